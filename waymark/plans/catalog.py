@@ -1,123 +1,6 @@
-"""Query catalogue: every operator as a query over the driver tables, with its
-DuckDB oracle where the semantics are expressible in SQL.
+"""Query catalogue: importing the query modules fills the registry."""
 
-``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name] -> SQL``.
-Computed columns carry the same alias on both sides; doubles are rounded to
-6 decimals at the end of each query (summation order differs between engines),
-never inside operators.
-"""
+from waymark.plans import q_signs, q_text  # noqa: F401
+from waymark.plans.registry import ORACLE, QUERIES
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from waymark.functions import geo, text
-from waymark.operators import bags as B
-from waymark.operators import join as J
-from waymark.operators import split as S
-from waymark.plans import fixture_sql as X
-from waymark.plans import fixtures as fx
-from waymark.plans import sqltext as q
-
-QUERIES: dict = {}
-ORACLE: dict = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-def r6(c):
-    return F.round(c if not isinstance(c, str) else F.col(c), 6)
-
-
-# ---------------------------------------------------------------- shared plans
-
-def lookup_df(spark: SparkSession, d: str) -> DataFrame:
-    return J.coord_lookup(fx.coord_lookup_raw(spark, d), ["ord"])
-
-
-def attached_df(spark: SparkSession, d: str) -> DataFrame:
-    return J.attach_coordinates(fx.signs(spark, d), lookup_df(spark, d))
-
-
-def raw_signs_df(spark: SparkSession, d: str) -> DataFrame:
-    return J.raw_signs_from_sheets(attached_df(spark, d), extra=fx.SIGN_ORDER)
-
-
-LOOKUP_SQL = f"""lookup AS (
-  SELECT intersection_key, coordinate_string, city, zip FROM (
-    SELECT {q.key('intersection')} AS intersection_key, cd AS coordinate_string, city, zip,
-           row_number() OVER (PARTITION BY {q.key('intersection')} ORDER BY ord) AS rn
-    FROM coord_lookup_raw) WHERE rn = 1)"""
-
-_DMS = q.dms_parts("coordinate_string")
-
-ATTACHED_SQL = f"""keyed AS (
-  SELECT {q.clean('intersection', '-')} AS intersection, {q.clean('text_on_sign_exact', '-')} AS text_on_sign,
-         code_type, src_order, src_line, src_part
-  FROM signs),
-merged AS (
-  SELECT k.*, {q.key('k.intersection')} AS intersection_key FROM keyed k),
-joined AS (
-  SELECT m.*, l.coordinate_string, l.city, l.zip
-  FROM merged m LEFT JOIN lookup l ON m.intersection_key = l.intersection_key),
-attached AS (
-  SELECT j.*, CASE WHEN len({_DMS['deg']}) = 2 THEN {q.dms_value(_DMS, 1)} END AS latitude,
-         CASE WHEN len({_DMS['deg']}) = 2 THEN {q.dms_value(_DMS, 2)} END AS longitude
-  FROM joined j)"""
-
-RAW_SIGNS_SQL = f"""raw_signs AS (
-  SELECT intersection, text_on_sign AS text_on_sign_exact, latitude, longitude, code_type,
-         src_order, src_line, src_part
-  FROM attached
-  WHERE intersection IS NOT NULL AND text_on_sign IS NOT NULL AND latitude IS NOT NULL
-    AND longitude IS NOT NULL AND {q.strip('text_on_sign')} <> ''
-    AND intersection NOT IN ('56th-pena'))"""
-
-PIPE_CTES = (X.SIGNS, X.COORD_LOOKUP_RAW, LOOKUP_SQL, ATTACHED_SQL)
-
-
-# ---------------------------------------------------------------- sources / joins
-
-@register("coord_lookup", X.with_ctes(X.COORD_LOOKUP_RAW, LOOKUP_SQL, body="SELECT * FROM lookup"))
-def q_coord_lookup(spark, d):
-    return lookup_df(spark, d)
-
-
-@register("attach_coordinates", X.with_ctes(*PIPE_CTES, body="""
-SELECT intersection, text_on_sign, code_type, intersection_key, coordinate_string, city, zip,
-       round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, src_order, src_line, src_part
-FROM attached"""))
-def q_attach_coordinates(spark, d):
-    a = attached_df(spark, d)
-    return a.select("intersection", "text_on_sign", "code_type", "intersection_key", "coordinate_string",
-                    "city", "zip", r6("latitude").alias("latitude"), r6("longitude").alias("longitude"),
-                    *fx.SIGN_ORDER)
-
-
-@register("raw_signs", X.with_ctes(*PIPE_CTES, RAW_SIGNS_SQL, body="""
-SELECT intersection, text_on_sign_exact, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude,
-       code_type, src_order, src_line, src_part
-FROM raw_signs"""))
-def q_raw_signs(spark, d):
-    r = raw_signs_df(spark, d)
-    return r.select("intersection", "text_on_sign_exact", r6("latitude").alias("latitude"),
-                    r6("longitude").alias("longitude"), "code_type", *fx.SIGN_ORDER)
-
-
-@register("intersection_profile", X.with_ctes(*PIPE_CTES, RAW_SIGNS_SQL, body="""
-SELECT intersection, round(avg(latitude), 6) AS latitude, round(avg(longitude), 6) AS longitude,
-       CAST(count(DISTINCT text_on_sign_exact) AS BIGINT) AS unique_sign_count,
-       count(*) AS raw_sign_count
-FROM raw_signs GROUP BY intersection"""))
-def q_intersection_profile(spark, d):
-    p = B.intersection_profile(raw_signs_df(spark, d))
-    return p.select("intersection", r6("latitude").alias("latitude"), r6("longitude").alias("longitude"),
-                    "unique_sign_count", "raw_sign_count")
+__all__ = ["QUERIES", "ORACLE"]
