@@ -84,10 +84,13 @@ def bootstrap_bags(df: DataFrame, order_by: list[str], group_col: str = "interse
     has_code = code_col is not None and code_col in df.columns
     g = group_col
     signs = df.where(F.col(g).isNotNull())
-    profile = intersection_profile(signs, g, text_col, lat_col, lon_col)
     street_n = (F.sum(F.when(F.col(code_col) == STREET_SIGN, 1).otherwise(0)) if has_code
                 else F.lit(0)).cast("bigint").alias("street_n")
-    sizes = signs.groupBy(g).agg(F.count(F.lit(1)).alias("n"), street_n)
+    profile = (signs.groupBy(g)
+                    .agg(F.avg(lat_col).alias("latitude"), F.avg(lon_col).alias("longitude"),
+                         F.countDistinct(text_col).cast("bigint").alias("unique_sign_count"),
+                         F.count(F.lit(1)).alias("raw_sign_count"), street_n))
+    sizes = profile.select(g, F.col("raw_sign_count").alias("n"), "street_n")
 
     slots = (sizes.withColumn("sample_id", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
                   .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(bag_size - 1)))))

@@ -50,14 +50,16 @@ def clean_signs(df: DataFrame, intersection_col: str = "intersection",
 def attach_coordinates(signs: DataFrame, lookup: DataFrame, mode: str = "strict",
                        key_from: str = "clean", intersection_col: str = "intersection",
                        text_col: str = "text_on_sign_exact") -> DataFrame:
-    """Clean the signs, left-join the lookup on the normalised key, parse the
-    DMS coordinate string into ``latitude``/``longitude``.
+    """Clean the signs, left-join the lookup on the normalised key and attach
+    ``latitude``/``longitude`` parsed from the DMS coordinate string.
 
-    ``lookup`` is the output of :func:`coord_lookup` (one row per key). It is
+    The DMS string is parsed on the lookup side -- once per key instead of
+    once per sign. ``lookup`` (output of :func:`coord_lookup`) is
     dimension-sized; the planner broadcasts it when its measured size is under
     the broadcast threshold and shuffles both sides otherwise. Unmatched signs
-    keep null coordinates. ``key_from='raw'`` keys the signs from the raw
-    intersection text instead of the cleaned one.
+    keep null coordinates. In ``strict`` mode a sign that matches an
+    unparsable coordinate string fails the job; unreferenced bad entries do
+    not. ``key_from='raw'`` keys the signs from the raw intersection text.
     """
     raw_key = join_key(intersection_col) if key_from == "raw" else None
     cleaned = signs
@@ -66,8 +68,19 @@ def attach_coordinates(signs: DataFrame, lookup: DataFrame, mode: str = "strict"
     cleaned = clean_signs(cleaned, intersection_col, text_col)
     if raw_key is not None:
         cleaned = cleaned.withColumn("intersection_key", F.col("_wm_raw_key")).drop("_wm_raw_key")
-    merged = cleaned.join(lookup, "intersection_key", "left")
-    return with_dms(merged, "coordinate_string", "latitude", "longitude", mode)
+    parsed = with_dms(lookup, "coordinate_string", "latitude", "longitude", mode="permissive")
+    if mode == "strict":
+        parsed = parsed.withColumn("_wm_bad", F.col("coordinate_string").isNotNull()
+                                   & F.col("latitude").isNull())
+    merged = cleaned.join(parsed, "intersection_key", "left")
+    if mode == "strict":
+        fail = F.raise_error(F.concat(F.lit("Could not parse coordinate string: "),
+                                      F.col("coordinate_string"))).cast("double")
+        merged = merged.withColumns({
+            "latitude": F.when(F.col("_wm_bad"), fail).otherwise(F.col("latitude")),
+            "longitude": F.when(F.col("_wm_bad"), fail).otherwise(F.col("longitude")),
+        }).drop("_wm_bad")
+    return merged
 
 
 def raw_signs_from_sheets(merged: DataFrame, extra=()) -> DataFrame:

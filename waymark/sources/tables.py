@@ -111,3 +111,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     else:
         writer.format(fmt).save(path)
     return path
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it
+    back: later stages scan a columnar table instead of recomputing the
+    lineage, and a lost executor re-reads files instead of re-running the
+    upstream joins."""
+    from waymark.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
