@@ -86,67 +86,83 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = EARTH_RADIUS_KM) ->
     return F.lit(2 * radius_km) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
 
 
-def _vincenty_terms(u1, u2, lam):
-    su1, cu1, su2, cu2 = F.sin(u1), F.cos(u1), F.sin(u2), F.cos(u2)
-    sin_sigma = F.sqrt(F.pow(cu2 * F.sin(lam), 2) + F.pow(cu1 * su2 - su1 * cu2 * F.cos(lam), 2))
-    cos_sigma = su1 * su2 + cu1 * cu2 * F.cos(lam)
-    sigma = F.atan2(sin_sigma, cos_sigma)
-    sin_alpha = F.when(sin_sigma == 0, F.lit(0.0)).otherwise(cu1 * cu2 * F.sin(lam) / sin_sigma)
-    cos2_alpha = 1 - sin_alpha * sin_alpha
-    cos_2sm = F.when(cos2_alpha == 0, F.lit(0.0)).otherwise(cos_sigma - 2 * su1 * su2 / cos2_alpha)
-    return sin_sigma, cos_sigma, sigma, sin_alpha, cos2_alpha, cos_2sm
+_GEO_FIELDS = ["su1", "cu1", "su2", "cu2", "L", "lam", "ss", "cs", "sig", "sa", "c2a", "c2sm", "delta"]
+
+
+def _geo_state(**vals) -> Column:
+    return F.struct(*[vals[k].alias(k) for k in _GEO_FIELDS])
+
+
+def _vincenty_phase(st: Column, phase: Column) -> Column:
+    """One phase of a Vincenty iteration. Every value is read from a field
+    of the state, so the expression stays linear in size (a lambda has no
+    common-subexpression elimination):
+
+    0: sin/cos of sigma from lambda; 1: sigma, sin alpha, cos^2 alpha,
+    cos 2 sigma_m; 2: the next lambda and its change."""
+    f = WGS84_F
+    keep = {k: st[k] for k in _GEO_FIELDS}
+    lam = st["lam"]
+    p0 = dict(keep,
+              ss=F.sqrt(F.pow(st["cu2"] * F.sin(lam), 2)
+                        + F.pow(st["cu1"] * st["su2"] - st["su1"] * st["cu2"] * F.cos(lam), 2)),
+              cs=st["su1"] * st["su2"] + st["cu1"] * st["cu2"] * F.cos(lam))
+    sa = F.when(st["ss"] == 0, F.lit(0.0)).otherwise(st["cu1"] * st["cu2"] * F.sin(lam) / st["ss"])
+    p1 = dict(keep, sig=F.atan2(st["ss"], st["cs"]), sa=sa,
+              c2a=1 - sa * sa,
+              c2sm=F.when(sa * sa == 1, F.lit(0.0))
+                    .otherwise(st["cs"] - 2 * st["su1"] * st["su2"] / (1 - sa * sa)))
+    c = f / 16 * st["c2a"] * (4 + f * (4 - 3 * st["c2a"]))
+    new_lam = st["L"] + (1 - c) * f * st["sa"] * (
+        st["sig"] + c * st["ss"] * (st["c2sm"] + c * st["cs"] * (-1 + 2 * st["c2sm"] * st["c2sm"])))
+    p2 = dict(keep, lam=new_lam, delta=F.abs(new_lam - lam))
+    return (F.when(phase == 0, _geo_state(**p0))
+             .when(phase == 1, _geo_state(**p1))
+             .otherwise(_geo_state(**p2)))
 
 
 def geodesic_state(lat1, lon1, lat2, lon2, iterations: int = 20) -> Column:
-    """Converged state of Vincenty's inverse iteration on WGS-84:
-    ``struct(u1, u2, lam, delta)``. The iteration on the auxiliary longitude
-    runs as a fixed number of steps of a higher-order ``aggregate`` over
-    ``sequence(1, iterations)`` -- a column expression, no Python."""
+    """State of Vincenty's inverse iteration on WGS-84 after ``iterations``
+    rounds, as a struct. The rounds run as steps of a higher-order
+    ``aggregate`` over a fixed sequence -- a column expression, no Python."""
     f = WGS84_F
     u1 = F.atan((1 - f) * F.tan(F.radians(_col(lat1))))
     u2 = F.atan((1 - f) * F.tan(F.radians(_col(lat2))))
     big_l = F.radians(_col(lon2)) - F.radians(_col(lon1))
+    zero = F.lit(0.0)
+    start = _geo_state(su1=F.sin(u1), cu1=F.cos(u1), su2=F.sin(u2), cu2=F.cos(u2), L=big_l, lam=big_l,
+                       ss=zero, cs=zero, sig=zero, sa=zero, c2a=zero, c2sm=zero, delta=F.lit(1.0))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(3 * iterations - 1)), start,
+                       lambda st, i: _vincenty_phase(st, i % 3))
 
-    def step(state, _i):
-        lam = state["lam"]
-        sin_sigma, cos_sigma, sigma, sin_alpha, cos2_alpha, cos_2sm = _vincenty_terms(
-            state["u1"], state["u2"], lam)
-        c = f / 16 * cos2_alpha * (4 + f * (4 - 3 * cos2_alpha))
-        new_lam = state["L"] + (1 - c) * f * sin_alpha * (
-            sigma + c * sin_sigma * (cos_2sm + c * cos_sigma * (-1 + 2 * cos_2sm * cos_2sm)))
-        return F.struct(state["u1"].alias("u1"), state["u2"].alias("u2"), state["L"].alias("L"),
-                        new_lam.alias("lam"), F.abs(new_lam - lam).alias("delta"))
-
-    start = F.struct(u1.alias("u1"), u2.alias("u2"), big_l.alias("L"),
-                     big_l.alias("lam"), F.lit(1.0).alias("delta"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), start, step)
 
+def with_geodesic(df, name: str, lat1, lon1, lat2, lon2, iterations: int = 20):
+    """Add column ``name`` with the WGS-84 (Vincenty) distance in km.
 
-def geodesic_from_state(state: Column, lat1, lon1, lat2, lon2) -> Column:
-    """Distance in km from :func:`geodesic_state`. If the iteration did not
-    converge (nearly antipodal points) the spherical distance is returned."""
+    The iteration runs in one projection; the closing series run in later
+    projections over its fields, so nothing is evaluated twice. Coincident
+    points give 0. If the iteration has not converged (nearly antipodal
+    points) the spherical distance is used instead.
+    """
     a, f = WGS84_A_KM, WGS84_F
     b = a * (1 - f)
-    sin_sigma, cos_sigma, sigma, _sin_alpha, cos2_alpha, cos_2sm = _vincenty_terms(
-        state["u1"], state["u2"], state["lam"])
-    u_sq = cos2_alpha * (a * a - b * b) / (b * b)
-    big_a = 1 + u_sq / 16384 * (4096 + u_sq * (-768 + u_sq * (320 - 175 * u_sq)))
-    big_b = u_sq / 1024 * (256 + u_sq * (-128 + u_sq * (74 - 47 * u_sq)))
-    d_sigma = big_b * sin_sigma * (cos_2sm + big_b / 4 * (
-        cos_sigma * (-1 + 2 * cos_2sm * cos_2sm)
-        - big_b / 6 * cos_2sm * (-3 + 4 * sin_sigma * sin_sigma) * (-3 + 4 * cos_2sm * cos_2sm)))
-    dist = F.when(sin_sigma == 0, F.lit(0.0)).otherwise(F.lit(b) * big_a * (sigma - d_sigma))
-    return F.when(state["delta"] > F.lit(1e-12), haversine_km(lat1, lon1, lat2, lon2)).otherwise(dist)
-
-
-def with_geodesic(df, name: str, lat1, lon1, lat2, lon2, iterations: int = 20):
-    """Add column ``name`` with the WGS-84 distance in km. The converged state
-    is computed in one projection and the distance in the next, so the
-    iteration is evaluated once per row."""
-    tmp = f"__{name}_state"
-    return (df.withColumn(tmp, geodesic_state(lat1, lon1, lat2, lon2, iterations))
-              .withColumn(name, geodesic_from_state(F.col(tmp), lat1, lon1, lat2, lon2))
-              .drop(tmp))
+    st = f"__{name}_st"
+    out = df.withColumn(st, geodesic_state(lat1, lon1, lat2, lon2, iterations))
+    s = F.col(st)
+    out = out.withColumn(f"__{name}_usq", s["c2a"] * (a * a - b * b) / (b * b))
+    usq = F.col(f"__{name}_usq")
+    out = out.withColumns({
+        f"__{name}_A": 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq))),
+        f"__{name}_B": usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq))),
+    })
+    big_a, big_b = F.col(f"__{name}_A"), F.col(f"__{name}_B")
+    ss, cs, c2sm = s["ss"], s["cs"], s["c2sm"]
+    d_sigma = big_b * ss * (c2sm + big_b / 4 * (
+        cs * (-1 + 2 * c2sm * c2sm) - big_b / 6 * c2sm * (-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm)))
+    dist = (F.when(s["delta"] > F.lit(1e-12), haversine_km(lat1, lon1, lat2, lon2))
+             .when(ss == 0, F.lit(0.0))
+             .otherwise(F.lit(b) * big_a * (s["sig"] - d_sigma)))
+    return out.withColumn(name, dist).drop(st, f"__{name}_usq", f"__{name}_A", f"__{name}_B")
 
 
 def zscore(c, mean: float, sd: float) -> Column:

@@ -34,6 +34,8 @@ def build_session(master: str | None = None, app_name: str = "waymark",
         builder = builder.master(master)
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
+    if master and master.startswith("local"):
+        builder = builder.config("spark.driver.memory", "16g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra_conf or {}).items():
