@@ -140,10 +140,13 @@ def rounds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def guesses(spark: SparkSession, d: str) -> DataFrame:
-    """Player guesses from ``events``: round ``event_id % 125``, latitude
-    ``39 + value/490`` (95 -- invalid -- for every 97th event), longitude
-    ``-105 + (user_id % 100)/100``; ``ts`` is the event time."""
-    ev = table(spark, d, "events", ["event_id", "ts", "user_id", "value"])
+    return guesses_from_events(table(spark, d, "events", ["event_id", "ts", "user_id", "value"]))
+
+
+def guesses_from_events(ev: DataFrame) -> DataFrame:
+    """Player guesses from ``events`` (batch or stream): round
+    ``event_id % 125``, latitude ``39 + value/490`` (95 -- invalid -- for
+    every 97th event), longitude ``-105 + (user_id % 100)/100``."""
     lat = F.when(F.col("event_id") % INVALID_GUESS_EVERY == 0, F.lit(95.0)) \
         .otherwise(39 + F.col("value") / 490)
     return ev.select(
