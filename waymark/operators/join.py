@@ -34,17 +34,36 @@ def coord_lookup(df: DataFrame, order_by: list[str], intersection_col: str = "in
     return first_per_key(keyed, "intersection_key", order_by).drop(*order_by)
 
 
+def intersection_keys(df: DataFrame, intersection_col: str = "intersection",
+                      key_from: str = "clean") -> DataFrame:
+    """Mapping raw intersection -> cleaned intersection and join key.
+
+    The intersection is the grouping key of the whole pipeline, so it has
+    far fewer distinct values than there are signs. Cleaning and keying run
+    once per distinct value here (a partial aggregation first drops repeats
+    inside every task) instead of once per sign; the mapping is joined back
+    on the raw value.
+    """
+    raw = df.select(F.col(intersection_col).alias("_wm_raw")).distinct()
+    cleaned = clean_text("_wm_raw", extra_chars="-")
+    key = join_key("_wm_raw") if key_from == "raw" else join_key(cleaned)
+    return raw.select("_wm_raw", cleaned.alias("_wm_clean"), key.alias("intersection_key"))
+
+
 def clean_signs(df: DataFrame, intersection_col: str = "intersection",
-                text_col: str = "text_on_sign_exact", keep=()) -> DataFrame:
+                text_col: str = "text_on_sign_exact", key_from: str = "clean") -> DataFrame:
     """Sheet-side cleaning: rename the text column ``text_on_sign``, clean the
     intersection and text (``-`` kept) and derive the join key from the
-    cleaned intersection."""
-    out = df.withColumnRenamed(text_col, "text_on_sign")
-    out = out.withColumns({
-        intersection_col: clean_text(intersection_col, extra_chars="-"),
-        "text_on_sign": clean_text("text_on_sign", extra_chars="-"),
-    })
-    return out.withColumn("intersection_key", join_key(intersection_col))
+    cleaned intersection (or from the raw one with ``key_from='raw'``)."""
+    keys = intersection_keys(df, intersection_col, key_from)
+    out = df.withColumnRenamed(text_col, "text_on_sign") \
+            .withColumn("text_on_sign", clean_text("text_on_sign", extra_chars="-"))
+    # A null intersection has no mapping row (null never equals null); it
+    # keeps a null cleaned value and the empty key, as the key function gives.
+    out = out.join(keys, out[intersection_col].eqNullSafe(keys["_wm_raw"]), "left")
+    return (out.withColumn(intersection_col, F.col("_wm_clean"))
+               .withColumn("intersection_key", F.coalesce(F.col("intersection_key"), F.lit("")))
+               .drop("_wm_raw", "_wm_clean"))
 
 
 def attach_coordinates(signs: DataFrame, lookup: DataFrame, mode: str = "strict",
@@ -61,13 +80,7 @@ def attach_coordinates(signs: DataFrame, lookup: DataFrame, mode: str = "strict"
     unparsable coordinate string fails the job; unreferenced bad entries do
     not. ``key_from='raw'`` keys the signs from the raw intersection text.
     """
-    raw_key = join_key(intersection_col) if key_from == "raw" else None
-    cleaned = signs
-    if raw_key is not None:
-        cleaned = cleaned.withColumn("_wm_raw_key", raw_key)
-    cleaned = clean_signs(cleaned, intersection_col, text_col)
-    if raw_key is not None:
-        cleaned = cleaned.withColumn("intersection_key", F.col("_wm_raw_key")).drop("_wm_raw_key")
+    cleaned = clean_signs(signs, intersection_col, text_col, key_from)
     parsed = with_dms(lookup, "coordinate_string", "latitude", "longitude", mode="permissive")
     if mode == "strict":
         parsed = parsed.withColumn("_wm_bad", F.col("coordinate_string").isNotNull()
@@ -88,10 +101,12 @@ def raw_signs_from_sheets(merged: DataFrame, extra=()) -> DataFrame:
     ``text_on_sign_exact``, keep the four required columns (plus
     ``code_type`` when present), drop nulls, drop texts that are blank after
     stripping (tested, not rewritten) and excluded intersections."""
-    from waymark.operators.filters import drop_blank_text, drop_null_rows, exclude_values
+    from waymark.operators.filters import drop_null_rows, exclude_values
     out = merged.withColumnRenamed("text_on_sign", "text_on_sign_exact")
     base = ["intersection", "text_on_sign_exact", "latitude", "longitude"]
     out = out.select(*base, *[c for c in ["code_type"] if c in out.columns], *extra)
     out = drop_null_rows(out, base)
-    out = drop_blank_text(out, "text_on_sign_exact", rewrite=False)
+    # The cleaned text is already stripped, so "blank after stripping" is
+    # just the empty string.
+    out = out.where(F.col("text_on_sign_exact") != "")
     return exclude_values(out, "intersection")

@@ -26,11 +26,13 @@ def clean(e: str, extra_chars: str = "", lowercase=True, remove_punctuation=True
     if remove_punctuation:
         allowed = ("a-z0-9" if keep_numbers else "a-z") + ("_" if keep_underscore else "") \
             + _class_escape(extra_chars)
-        out = f"regexp_replace({out}, {lit(f'[^{allowed}{WHITESPACE_CHARS}]')}, '', 'g')"
+        out = f"regexp_replace({out}, {lit(f'[^{allowed}{WHITESPACE_CHARS}]+')}, '', 'g')"
     if collapse_whitespace:
         out = f"regexp_replace({out}, {lit(f'{WS}+')}, ' ', 'g')"
-        out = f"regexp_replace({out}, {lit(f'{WS}*-{WS}*')}, '-', 'g')"
-    if do_strip:
+        out = f"regexp_replace({out}, ' ?- ?', '-', 'g')"
+        if do_strip:
+            out = f"trim({out})"
+    elif do_strip:
         out = strip(out)
     return out
 
@@ -40,8 +42,8 @@ def key(e: str) -> str:
     out = f"replace({out}, '&', ' and ')"
     out = f"replace({out}, '/', '-')"
     out = f"regexp_replace({out}, {lit(f'{WS}+')}, ' ', 'g')"
-    out = f"regexp_replace({out}, {lit(f'{WS}*-{WS}*')}, '-', 'g')"
-    out = f"regexp_replace({out}, {lit(f'[^a-z0-9\\-_{WHITESPACE_CHARS}]')}, '', 'g')"
+    out = f"regexp_replace({out}, ' ?- ?', '-', 'g')"
+    out = f"regexp_replace({out}, {lit(f'[^a-z0-9\\-_{WHITESPACE_CHARS}]+')}, '', 'g')"
     out = f"regexp_replace({out}, {lit(f'{WS}+')}, '-', 'g')"
     out = f"regexp_replace({out}, '^-+|-+$', '', 'g')"
     return f"coalesce({out}, '')"
