@@ -7,7 +7,9 @@ here gives the same numbers while every task stays balanced:
 
 1. range-partition on (group, order keys): Spark samples the keys, so a hot
    group is cut across many tasks, and sorts each task's rows;
-2. tag each row with its task id and in-task position, and persist that;
+2. tag each row with its task id and in-task position, and write that as a
+   table in the shared checkpoint folder -- the ids are fixed from then on,
+   whatever is recomputed, and a lost executor re-reads files;
 3. count rows per (task, group) -- a table of at most tasks + groups rows --
    and turn the counts into each (task, group)'s starting offset;
 4. ordinal = start offset + position within the task.
@@ -18,10 +20,11 @@ otherwise tied rows receive distinct ordinals in an arbitrary order.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymark.sources.tables import stage_table
+
 
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
@@ -42,7 +45,7 @@ def with_ordinal(df: DataFrame, order_by: list, partition_by: list | tuple = (),
                 .withColumn("_wm_task", F.spark_partition_id())
                 .withColumn("_wm_pos", F.monotonically_increasing_id()))
     # Counts and rows must come from one evaluation of the range shuffle.
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = stage_table(ranged, "ordinal")
     counts = (ranged.groupBy("_wm_task", *partition_by)
                     .agg(F.min("_wm_pos").alias("_wm_first"),
                          F.count(F.lit(1)).alias("_wm_n")))
