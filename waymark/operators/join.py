@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions.geo import with_dms
 from waymark.functions.text import clean_text, join_key
+from waymark.sources.tables import stage_table
 
 
 def first_per_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
@@ -55,7 +56,10 @@ def clean_signs(df: DataFrame, intersection_col: str = "intersection",
     """Sheet-side cleaning: rename the text column ``text_on_sign``, clean the
     intersection and text (``-`` kept) and derive the join key from the
     cleaned intersection (or from the raw one with ``key_from='raw'``)."""
-    keys = intersection_keys(df, intersection_col, key_from)
+    # Written once: the planner then knows the mapping's real size and
+    # broadcasts it when it is under the threshold (sort-merge join beyond),
+    # instead of shuffling every sign by intersection before finding out.
+    keys = stage_table(intersection_keys(df, intersection_col, key_from), "intersection-keys")
     out = df.withColumnRenamed(text_col, "text_on_sign") \
             .withColumn("text_on_sign", clean_text("text_on_sign", extra_chars="-"))
     # A null intersection has no mapping row (null never equals null); it
@@ -85,6 +89,8 @@ def attach_coordinates(signs: DataFrame, lookup: DataFrame, mode: str = "strict"
     if mode == "strict":
         parsed = parsed.withColumn("_wm_bad", F.col("coordinate_string").isNotNull()
                                    & F.col("latitude").isNull())
+    # One row per key, written once so the join is planned on its real size.
+    parsed = stage_table(parsed, "coord-lookup")
     merged = cleaned.join(parsed, "intersection_key", "left")
     if mode == "strict":
         fail = F.raise_error(F.concat(F.lit("Could not parse coordinate string: "),
