@@ -141,7 +141,10 @@ def error_summary(scored: DataFrame, split_col: str = "split", group_col: str =
                   err: str = "error_km", method: str = "exact") -> DataFrame:
     """Mean, median and 90th percentile of the error: bags overall and per
     split (level ``bag``), intersections per split (level ``intersection``).
-    Columns: scope, level, n, mean_km, median_km, p90_km."""
+    Columns: scope, level, n, mean_km, median_km, p90_km.
+
+    ``scored`` is read several times (counts, ranks, intersection means):
+    pass a written table, as the evaluation writes its scored bags anyway."""
     bags = scored.select(F.col(split_col).alias("scope"), F.lit("bag").alias("level"),
                          F.col(err).alias("err"), F.xxhash64(*scored.columns).alias("_wm_row"))
     parts = [bags, bags.withColumn("scope", F.lit("all"))]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.operators.ordinal import hash32, with_ordinal
+from waymark.sources.tables import stage_table
 
 DEFAULT_TEST_SIZE = 0.2
 DEFAULT_SEED = 1992
@@ -33,8 +34,10 @@ def group_split_table(df: DataFrame, group_col: str = "intersection",
                       test_size: float = DEFAULT_TEST_SIZE, seed: int = DEFAULT_SEED) -> DataFrame:
     """One row per group with its ``split``: the ``ceil(test_size * groups)``
     groups with the smallest ``hash32(seed || group)`` are ``val``."""
-    groups = (df.select(group_col).distinct()
-                .withColumn("_wm_h", hash32(F.lit(seed), group_col)))
+    # The distinct groups are dimension-sized; written once, the count and the
+    # ranking below read that small table instead of recomputing ``df``.
+    groups = stage_table(df.select(group_col).distinct()
+                           .withColumn("_wm_h", hash32(F.lit(seed), group_col)), "split-groups")
     total = groups.count()
     n_val = _n_val(total, test_size)
     ranked = with_ordinal(groups, ["_wm_h", group_col], name="_wm_rank")

@@ -14,7 +14,7 @@ from waymark.plans import sqltext as q
 from waymark.plans.q_bags import SEED, _bags, _rounded, _split_sql, bags_sql
 from waymark.plans.registry import r6, register
 from waymark.session import scratch_path
-from waymark.sources.tables import read_bags, write_table
+from waymark.sources.tables import read_bags, stage_table, write_table
 
 COORDS = ["latitude", "longitude", "predicted_latitude", "predicted_longitude"]
 
@@ -59,7 +59,7 @@ FROM (SELECT split AS scope, 'bag' AS level, error_km AS err FROM scored
       UNION ALL SELECT split, 'intersection', error_km FROM ie_err)
 GROUP BY scope, level"""))
 def q_error_summary(spark, d):
-    out = M.error_summary(scored_df(spark, d))
+    out = M.error_summary(stage_table(scored_df(spark, d), "scored-bags"))
     return out.select("scope", "level", "n", r6("mean_km"), r6("median_km"), r6("p90_km"))
 
 
@@ -78,7 +78,7 @@ SELECT split, count(*) AS n, round(avg(error_km), 6) AS mean_km,
        round(quantile_cont(error_km, 0.5), 6) AS median_km, round(quantile_cont(error_km, 0.9), 6) AS p90_km
 FROM ie_err GROUP BY split"""))
 def q_intersection_error_summary(spark, d):
-    ie = M.intersection_errors(scored_df(spark, d))
+    ie = stage_table(M.intersection_errors(scored_df(spark, d)), "intersection-errors")
     stats = ie.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg("error_km").alias("mean_km"))
     qs = M.quantiles(ie, "error_km", ["split"], [0.5, 0.9], tiebreak=["intersection"])
     return stats.join(qs, "split").select("split", "n", r6("mean_km"), r6("q50", "median_km"),
