@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.operators.ordinal import hash32, with_ordinal
+from waymark.sources.tables import stage_table
 
 STREET_SIGN = "street_sign"
 
@@ -86,10 +87,12 @@ def bootstrap_bags(df: DataFrame, order_by: list[str], group_col: str = "interse
     signs = df.where(F.col(g).isNotNull())
     street_n = (F.sum(F.when(F.col(code_col) == STREET_SIGN, 1).otherwise(0)) if has_code
                 else F.lit(0)).cast("bigint").alias("street_n")
-    profile = (signs.groupBy(g)
-                    .agg(F.avg(lat_col).alias("latitude"), F.avg(lon_col).alias("longitude"),
-                         F.countDistinct(text_col).cast("bigint").alias("unique_sign_count"),
-                         F.count(F.lit(1)).alias("raw_sign_count"), street_n))
+    # One row per group, used twice (slot sizes, output columns): written
+    # once rather than aggregated over all signs twice.
+    profile = stage_table(signs.groupBy(g)
+                               .agg(F.avg(lat_col).alias("latitude"), F.avg(lon_col).alias("longitude"),
+                                    F.countDistinct(text_col).cast("bigint").alias("unique_sign_count"),
+                                    F.count(F.lit(1)).alias("raw_sign_count"), street_n), "bag-profile")
     sizes = profile.select(g, F.col("raw_sign_count").alias("n"), "street_n")
 
     slots = (sizes.withColumn("sample_id", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
@@ -103,9 +106,11 @@ def bootstrap_bags(df: DataFrame, order_by: list[str], group_col: str = "interse
                   .select(g, "sample_id", "slot", text_col))
     members = drawn
     if has_code:
+        # Guaranteed members are the group's first street signs, the same for
+        # every sample: repeat the top-k rows per sample instead of joining.
         street = street_signs_topk(signs, bag_size, order_by, g, text_col, code_col)
-        fixed = (slots.where(guaranteed).join(street, [g, "slot"])
-                      .select(g, "sample_id", "slot", text_col))
+        fixed = street.select(g, F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("sample_id"),
+                              "slot", text_col)
         members = fixed.unionByName(drawn)
 
     members = members.withColumn("_wm_pos", hash32(F.lit(seed), F.lit("s"), g, "sample_id", "slot"))
