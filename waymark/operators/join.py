@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions.geo import with_dms
 from waymark.functions.text import clean_text, join_key
+from waymark.operators.partitioning import ensure_parallelism
 from waymark.sources.tables import stage_table
 
 
@@ -60,7 +61,7 @@ def clean_signs(df: DataFrame, intersection_col: str = "intersection",
     # broadcasts it when it is under the threshold (sort-merge join beyond),
     # instead of shuffling every sign by intersection before finding out.
     keys = stage_table(intersection_keys(df, intersection_col, key_from), "intersection-keys")
-    out = df.withColumnRenamed(text_col, "text_on_sign") \
+    out = ensure_parallelism(df).withColumnRenamed(text_col, "text_on_sign") \
             .withColumn("text_on_sign", clean_text("text_on_sign", extra_chars="-"))
     # A null intersection has no mapping row (null never equals null); it
     # keeps a null cleaned value and the empty key, as the key function gives.

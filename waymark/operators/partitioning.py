@@ -1,0 +1,22 @@
+"""Parallelism floor for CPU-heavy per-row work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Spread ``df`` over ``factor`` x the default parallelism when it has
+    fewer input partitions than there are cores.
+
+    A file with a single large row group (or a handful of small files) scans
+    in one or two tasks, and whatever per-row work follows -- regex cleaning,
+    tokenising, hashing -- runs in those tasks alone. On a cluster a large
+    input already has far more splits than cores and this is a no-op, so no
+    shuffle is added where it would cost. Counting partitions plans the
+    DataFrame but runs no job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * factor)
