@@ -98,3 +98,15 @@ def test_head_learns_signal_and_roundtrips(spark):
 def test_reference_head_size():
     p = H.init_params(384, 256, 0)
     assert sum(v.size for v in p.values()) == 131714
+
+
+def test_embed_with_user_encoder(spark):
+    def _length_encoder():
+        # A stand-in encoder: built once per worker, maps texts to 3-d vectors.
+        def encode(texts):
+            return [[len(t), t.count(" "), 1.0] for t in texts]
+        return encode
+
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (3, "xyz")], "doc_id long, text string")
+    got = {r.doc_id: r.embedding for r in E.embed_with(docs, "text", _length_encoder, 3).collect()}
+    assert got == {1: [5.0, 2.0, 1.0], 2: [0.0, 0.0, 1.0], 3: [3.0, 0.0, 1.0]}
