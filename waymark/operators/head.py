@@ -216,7 +216,7 @@ def _train_partitions(df: DataFrame, feat: str, state: dict, lr: float, weight_d
                             "steps": [float(t - st["t"])], "parts": [1.0]})
 
     schema = "vec array<double>, rows double, loss double, steps double, parts double"
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(run, schema), bstate
 
 
 def _evaluate(df: DataFrame, feat: str, model: HeadModel) -> tuple:
@@ -239,6 +239,7 @@ def _evaluate(df: DataFrame, feat: str, model: HeadModel) -> tuple:
 
     r = df.mapInPandas(run, "loss double, km double, n double").agg(
         F.sum("loss").alias("loss"), F.sum("km").alias("km"), F.sum("n").alias("n")).first()
+    bparams.destroy()
     n = r["n"] or 0.0
     return (r["loss"] / n, r["km"] / n, n) if n else (float("nan"), float("nan"), 0.0)
 
@@ -273,8 +274,9 @@ def fit_head(train: DataFrame, val: DataFrame, feat: str, stats: dict, key_col:
     best_loss, best, pending, bad_epochs, log = float("inf"), None, False, 0, []
     size = _flatten(params).size
     for epoch in range(1, epochs + 1):
-        parts = _train_partitions(tr, feat, state, lr, weight_decay, batch_size, dropout, seed, epoch)
+        parts, bstate = _train_partitions(tr, feat, state, lr, weight_decay, batch_size, dropout, seed, epoch)
         total, (rows, loss, steps, n_parts) = _tree_sum(parts, "vec", ["rows", "loss", "steps", "parts"])
+        bstate.destroy()
         avg = total / rows
         state = {"params": _unflatten(avg[:size], params), "m": _unflatten(avg[size:2 * size], params),
                  "v": _unflatten(avg[2 * size:], params), "t": state["t"] + int(round(steps / n_parts))}
