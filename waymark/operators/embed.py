@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from waymark.functions.text import clean_text
 from waymark.operators.ordinal import hash32
 from waymark.operators.partitioning import ensure_parallelism
+from waymark.session import ship_package
 
 
 def hashed_weights(df: DataFrame, text_col: str, id_cols, dim: int = 64) -> DataFrame:
@@ -60,6 +61,8 @@ def embed_with(df: DataFrame, text_col: str, encoder_factory: Callable[[], Calla
     """Embed with a user encoder: ``encoder_factory()`` returns a function
     from a list of texts to a 2-D array of shape (n, dim). It is called once
     per Python worker; batches arrive through Arrow."""
+    ship_package(df.sparkSession)
+
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = encoder_factory()

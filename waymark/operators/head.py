@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.functions.geo import EARTH_RADIUS_KM
+from waymark.session import ship_package
 
 PARAM_NAMES = ["w1", "b1", "w2", "b2", "w3", "b3"]
 
@@ -185,6 +186,7 @@ def _train_partitions(df: DataFrame, feat: str, state: dict, lr: float, weight_d
     the broadcast state; emits (weighted parameter and moment sums, rows,
     loss sum, steps)."""
     spark = df.sparkSession
+    ship_package(spark)
     bstate = spark.sparkContext.broadcast(state)
 
     def run(batches):
@@ -222,6 +224,7 @@ def _train_partitions(df: DataFrame, feat: str, state: dict, lr: float, weight_d
 def _evaluate(df: DataFrame, feat: str, model: HeadModel) -> tuple:
     """Distributed forward pass: (mean Huber loss, mean km, rows)."""
     spark = df.sparkSession
+    ship_package(spark)
     bparams = spark.sparkContext.broadcast(model.params)
     mean, sd = np.asarray(model.coord_mean), np.asarray(model.coord_std)
 
@@ -301,6 +304,7 @@ def predict(df: DataFrame, feat: str, model: HeadModel, prefix: str = "predicted
     """Add ``<prefix>latitude`` / ``<prefix>longitude``: forward pass with
     broadcast weights on Arrow batches, then de-normalised."""
     spark = df.sparkSession
+    ship_package(spark)
     bparams = spark.sparkContext.broadcast(model.params)
     mean, sd = np.asarray(model.coord_mean), np.asarray(model.coord_std)
     out_schema = T.StructType(df.schema.fields + [T.StructField(f"{prefix}latitude", T.DoubleType()),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -73,3 +74,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     os.makedirs(base, exist_ok=True)
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``waymark`` importable in Python workers (``mapInPandas``,
+    ``pandas_udf``): zip the package once per application and add it with
+    ``addPyFile``, which distributes it to every executor. Needed whenever
+    the driver imported the package from a path the workers do not have."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(pkg_dir)
+    zip_path = os.path.join(tempfile.mkdtemp(prefix="waymark-pyfiles-"), "waymark.zip")
+    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(zip_path)
+    _SHIPPED.add(sc.applicationId)
