@@ -158,3 +158,12 @@ def test_huber_loss_values(spark):
     df = spark.createDataFrame([(0.5, 0.0, 3.0, 0.0)], "p1 double, t1 double, p2 double, t2 double")
     r = M.huber_loss(df, ["p1", "p2"], ["t1", "t2"]).first()
     assert r.loss == pytest.approx((0.125 + 2.5) / 2)
+
+
+def test_coord_stats_fit_on_train(spark):
+    df = spark.createDataFrame([(1.0, 1.0, "train"), (3.0, 1.0, "train"), (100.0, 1.0, "val")],
+                               "latitude double, longitude double, split string")
+    assert M.fit_coord_stats(df, fit_on="train")["lat_mean"] == 2.0
+    assert M.fit_coord_stats(df)["lat_mean"] == pytest.approx(104.0 / 3)
+    with pytest.raises(ValueError):
+        M.fit_coord_stats(df, fit_on="val")

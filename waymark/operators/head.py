@@ -323,3 +323,18 @@ def predict(df: DataFrame, feat: str, model: HeadModel, prefix: str = "predicted
             yield pdf
 
     return df.mapInPandas(run, out_schema)
+
+
+def score_bags(df: DataFrame, feat: str, model: HeadModel, initial: HeadModel | None = None,
+               lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """Scored bags: trained predictions, ``error_km`` against the bag's
+    coordinates and, with ``initial``, the untrained model's predictions and
+    error beside them."""
+    from waymark.functions.geo import haversine_km
+    out = predict(df, feat, model)
+    out = out.withColumn("error_km", haversine_km("predicted_latitude", "predicted_longitude", lat, lon))
+    if initial is not None:
+        out = predict(out, feat, initial, prefix="initial_predicted_")
+        out = out.withColumn("initial_error_km", haversine_km("initial_predicted_latitude",
+                                                              "initial_predicted_longitude", lat, lon))
+    return out

@@ -65,8 +65,15 @@ def coord_stats(df: DataFrame, lat: str = "latitude", lon: str = "longitude") ->
                   sd(lat).alias("lat_std"), sd(lon).alias("lon_std"))
 
 
-def fit_coord_stats(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> dict:
-    """The four normalisation numbers as driver values (one aggregated row)."""
+def fit_coord_stats(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
+                    fit_on: str = "all", split_col: str = "split") -> dict:
+    """The four normalisation numbers as driver values (one aggregated row).
+    ``fit_on='all'`` fits on every row, as the original did (validation rows
+    included); ``'train'`` fits on the training side of ``split_col`` only."""
+    if fit_on == "train":
+        df = df.where(F.col(split_col) == "train")
+    elif fit_on != "all":
+        raise ValueError("fit_on must be 'all' or 'train'")
     return coord_stats(df, lat, lon).first().asDict()
 
 

@@ -79,10 +79,7 @@ def q_training_log(spark, d):
 
 def _scored(spark, d):
     bags, stats, path, _ = trained(spark, d)
-    model = H.load_model(spark, path)
-    scored = H.predict(bags, "embedding", model)
-    return scored.withColumn("error_km", haversine_km("predicted_latitude", "predicted_longitude",
-                                                      "latitude", "longitude")), stats, path
+    return H.score_bags(bags, "embedding", H.load_model(spark, path)), stats, path
 
 
 @register("score_bags")
@@ -107,11 +104,8 @@ def q_fit_head_metrics(spark, d):
 @register("compare_models")
 def q_compare_models(spark, d):
     """Initial (untrained) and trained heads scored side by side."""
-    scored, _, path = _scored(spark, d)
-    initial = H.load_model(spark, path + "-initial")
-    both = H.predict(scored, "embedding", initial, prefix="initial_predicted_")
-    both = both.withColumn("initial_error_km", haversine_km("initial_predicted_latitude",
-                                                            "initial_predicted_longitude", "latitude", "longitude"))
+    bags, _, path, _ = trained(spark, d)
+    both = H.score_bags(bags, "embedding", H.load_model(spark, path), H.load_model(spark, path + "-initial"))
     return both.select("vec_id", "split", r6("predicted_latitude"), r6("predicted_longitude"),
                        r6("initial_predicted_latitude"), r6("initial_predicted_longitude"),
                        r6("error_km"), r6("initial_error_km"))
