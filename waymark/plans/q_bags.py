@@ -20,7 +20,7 @@ SEED, BAG, SAMPLES, SEP = 1992, 5, 50, " | "
 ORDER_SQL = "src_order, src_line, src_part"
 
 
-def bags_sql(with_code: bool) -> str:
+def bags_sql(with_code: bool, bag: int = BAG, samples: int = SAMPLES) -> str:
     street_n = "sum(CASE WHEN code_type = 'street_sign' THEN 1 ELSE 0 END)" if with_code else "0"
     street = f"""
   UNION ALL
@@ -29,9 +29,9 @@ def bags_sql(with_code: bool) -> str:
     SELECT intersection, text_on_sign_exact AS t, rn - 1 AS slot FROM (
       SELECT intersection, text_on_sign_exact,
              row_number() OVER (PARTITION BY intersection ORDER BY {ORDER_SQL}) AS rn
-      FROM raw_signs WHERE code_type = 'street_sign') WHERE rn <= {BAG}) st
+      FROM raw_signs WHERE code_type = 'street_sign') WHERE rn <= {bag}) st
     ON sl.intersection = st.intersection AND sl.slot = st.slot
-  WHERE sl.slot < least(sl.street_n, {BAG})""" if with_code else ""
+  WHERE sl.slot < least(sl.street_n, {bag})""" if with_code else ""
     return X.with_ctes(*PIPE_CTES, RAW_SIGNS_SQL, f"""prof AS (
   SELECT intersection, avg(latitude) AS lat, avg(longitude) AS lon,
          CAST(count(DISTINCT text_on_sign_exact) AS BIGINT) AS uniq, count(*) AS n,
@@ -42,13 +42,13 @@ def bags_sql(with_code: bool) -> str:
   FROM raw_signs)""", f"""slots AS (
   SELECT p.intersection, p.n, p.street_n, s.sample_id, b.slot
   FROM prof p
-  CROSS JOIN (SELECT range AS sample_id FROM range(0, {SAMPLES})) s
-  CROSS JOIN (SELECT range AS slot FROM range(0, {BAG})) b)""", f"""members AS (
+  CROSS JOIN (SELECT range AS sample_id FROM range(0, {samples})) s
+  CROSS JOIN (SELECT range AS slot FROM range(0, {bag})) b)""", f"""members AS (
   SELECT sl.intersection, sl.sample_id, sl.slot, nb.t
   FROM slots sl JOIN numbered nb
     ON sl.intersection = nb.intersection
    AND nb.idx = {q.hash32(str(SEED), 'sl.intersection', 'sl.sample_id', 'sl.slot')} % sl.n
-  WHERE sl.slot >= least(sl.street_n, {BAG}){street})""", f"""bagged AS (
+  WHERE sl.slot >= least(sl.street_n, {bag}){street})""", f"""bagged AS (
   SELECT intersection, sample_id,
          string_agg(t, {q.lit(SEP)} ORDER BY {q.hash32(str(SEED), "'s'", 'intersection', 'sample_id', 'slot')}, slot) AS text
   FROM members GROUP BY intersection, sample_id)""", body="""
@@ -58,12 +58,12 @@ SELECT b.intersection, CAST(b.sample_id AS INTEGER) AS sample_id, b.text,
 FROM bagged b JOIN prof p ON b.intersection = p.intersection""")
 
 
-def _bags(spark, d, with_code=True):
+def _bags(spark, d, with_code=True, bag=BAG, samples=SAMPLES):
     signs = stage_table(raw_signs_df(spark, d), "raw-signs")
     if not with_code:
         signs = signs.drop("code_type")
     return B.bootstrap_bags(signs, fx.SIGN_ORDER, code_col="code_type" if with_code else None,
-                            bag_size=BAG, samples=SAMPLES, seed=SEED, separator=SEP)
+                            bag_size=bag, samples=samples, seed=SEED, separator=SEP)
 
 
 def _rounded(bags):
@@ -81,6 +81,16 @@ def q_bootstrap_bags_no_code(spark, d):
     return _rounded(_bags(spark, d, False))
 
 
+# Bags larger than most groups' street-sign count: guaranteed street slots and
+# random draws in the same bag.
+MIXED_BAG, MIXED_SAMPLES = 64, 10
+
+
+@register("bootstrap_bags_mixed", bags_sql(True, MIXED_BAG, MIXED_SAMPLES))
+def q_bootstrap_bags_mixed(spark, d):
+    return _rounded(_bags(spark, d, True, MIXED_BAG, MIXED_SAMPLES))
+
+
 @register("street_signs_topk", X.with_ctes(*PIPE_CTES, RAW_SIGNS_SQL, body=f"""
 SELECT intersection, CAST(rn - 1 AS INTEGER) AS slot, text_on_sign_exact FROM (
   SELECT intersection, text_on_sign_exact,
