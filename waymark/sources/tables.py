@@ -18,10 +18,21 @@ BAG_REQUIRED = ["text", "latitude", "longitude"]
 EXCEL_SUFFIXES = (".xlsx", ".xls", ".xlsm")
 
 
+_SCHEMAS: dict = {}
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+
+
 def table(spark: SparkSession, base_dir: str, name: str, columns=None) -> DataFrame:
     """One driver table (Parquet). Selecting ``columns`` here lets the scan
-    read only those columns."""
-    df = spark.read.parquet(os.path.join(base_dir, f"{name}.parquet"))
+    read only those columns. The schema is read from the footers once per
+    process and passed on later reads, which skips a schema job per read."""
+    path = os.path.join(base_dir, f"{name}.parquet")
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
     return df.select(*columns) if columns else df
 
 
@@ -121,4 +132,5 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     from waymark.session import scratch_path
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is the one just written: no footer-reading job on the way back.
+    return df.sparkSession.read.schema(_nullable(df.schema)).parquet(path)
