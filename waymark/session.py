@@ -81,11 +81,13 @@ _SHIPPED: set = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``waymark`` importable in Python workers (``mapInPandas``,
-    ``pandas_udf``): zip the package once per application and add it with
-    ``addPyFile``, which distributes it to every executor. Needed whenever
-    the driver imported the package from a path the workers do not have."""
+    ``pandas_udf``) of a local session: zip the package once per application
+    and add it with ``addPyFile``. Needed whenever the driver imported the
+    package from a path the workers do not have. On a cluster the package is
+    shipped with ``spark-submit --py-files`` instead, so nothing is written
+    to a machine-local folder there."""
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    if sc.applicationId in _SHIPPED or not sc.master.startswith("local"):
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     parent = os.path.dirname(pkg_dir)
