@@ -5,7 +5,7 @@ from __future__ import annotations
 from waymark.operators import bags as B
 from waymark.plans import fixture_sql as X
 from waymark.plans import fixtures as fx
-from waymark.plans.pipeline import (ATTACHED_SQL, LOOKUP_SQL, PIPE_CTES, RAW_SIGNS_SQL, attached_df,
+from waymark.plans.pipeline import (LOOKUP_SQL, PIPE_CTES, RAW_SIGNS_SQL, attached_df,
                                     lookup_df, raw_signs_df)
 from waymark.plans.registry import r6, register
 
