@@ -6,7 +6,7 @@ Spark expressions use (``waymark.functions``), so one rule has one spelling.
 
 from __future__ import annotations
 
-from waymark.functions.geo import DMS_PATTERN, EARTH_RADIUS_KM
+from waymark.functions.geo import DMS_PATTERN, EARTH_RADIUS_KM, WGS84_A_KM, WGS84_F
 from waymark.functions.text import WHITESPACE_CHARS, WS, _class_escape
 
 
@@ -78,3 +78,60 @@ def hash32(*parts: str) -> str:
 
 def r6(e: str) -> str:
     return f"round({e}, 6)"
+
+
+def geodesic_ctes(source: str, key_cols: list[str], lat1: str, lon1: str, lat2: str, lon2: str,
+                  iterations: int = 20) -> str:
+    """Recursive CTEs ``geo_it`` / ``geo_dist`` that run the same Vincenty
+    phases as ``waymark.functions.geo.geodesic_state`` (three phases per
+    iteration, ``3 * iterations`` steps) over the rows of ``source`` and give
+    ``distance`` per ``key_cols``. Start the WITH clause with RECURSIVE."""
+    f = WGS84_F
+    a = WGS84_A_KM
+    b = a * (1 - f)
+    keys = ", ".join(key_cols)
+    st = ["su1", "cu1", "su2", "cu2", "L", "lam", "ss", "cs", "sig", "sa", "c2a", "c2sm", "delta"]
+    new_sa = "(CASE WHEN ss = 0 THEN CAST(0 AS DOUBLE) ELSE cu1 * cu2 * sin(lam) / ss END)"
+    c = f"({f!r} / 16 * c2a * (4 + {f!r} * (4 - 3 * c2a)))"
+    new_lam = (f"(L + (1 - {c}) * {f!r} * sa * (sig + {c} * ss * (c2sm + {c} * cs * "
+               f"(-1 + 2 * c2sm * c2sm))))")
+    step = {
+        "ss": ("0", "sqrt(pow(cu2 * sin(lam), 2) + pow(cu1 * su2 - su1 * cu2 * cos(lam), 2))"),
+        "cs": ("0", "su1 * su2 + cu1 * cu2 * cos(lam)"),
+        "sig": ("1", "atan2(ss, cs)"),
+        "sa": ("1", new_sa),
+        "c2a": ("1", f"1 - {new_sa} * {new_sa}"),
+        "c2sm": ("1", f"(CASE WHEN {new_sa} * {new_sa} = 1 THEN CAST(0 AS DOUBLE) "
+                      f"ELSE cs - 2 * su1 * su2 / (1 - {new_sa} * {new_sa}) END)"),
+        "lam": ("2", new_lam),
+        "delta": ("2", f"abs({new_lam} - lam)"),
+    }
+    cols = []
+    for name in st:
+        if name in step:
+            ph, expr = step[name]
+            cols.append(f"CASE WHEN k % 3 = {ph} THEN {expr} ELSE {name} END")
+        else:
+            cols.append(name)
+    u1 = f"atan({1 - f!r} * tan(radians({lat1})))"
+    u2 = f"atan({1 - f!r} * tan(radians({lat2})))"
+    big_l = f"(radians({lon2}) - radians({lon1}))"
+    usq = f"(c2a * ({a * a - b * b!r}) / ({b * b!r}))"
+    big_a = f"(1 + {usq} / 16384 * (4096 + {usq} * (-768 + {usq} * (320 - 175 * {usq}))))"
+    big_b = f"({usq} / 1024 * (256 + {usq} * (-128 + {usq} * (74 - 47 * {usq}))))"
+    d_sig = (f"({big_b} * ss * (c2sm + {big_b} / 4 * (cs * (-1 + 2 * c2sm * c2sm) - {big_b} / 6 * c2sm * "
+             f"(-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm))))")
+    return f"""geo_it({keys}, k, {", ".join(st)}, glat1, glon1, glat2, glon2) AS (
+  SELECT {keys}, 0, sin({u1}), cos({u1}), sin({u2}), cos({u2}), {big_l}, {big_l},
+         {", ".join(["CAST(0 AS DOUBLE)"] * 6)}, CAST(1 AS DOUBLE),
+         CAST({lat1} AS DOUBLE), CAST({lon1} AS DOUBLE), CAST({lat2} AS DOUBLE), CAST({lon2} AS DOUBLE)
+  FROM {source}
+  UNION ALL
+  SELECT {keys}, k + 1, {", ".join(cols)}, glat1, glon1, glat2, glon2
+  FROM geo_it WHERE k < {3 * iterations}),
+geo_dist AS (
+  SELECT {keys},
+         CASE WHEN delta > 1e-12 THEN {haversine('glat1', 'glon1', 'glat2', 'glon2')}
+              WHEN ss = 0 THEN CAST(0 AS DOUBLE)
+              ELSE {b!r} * {big_a} * (sig - {d_sig}) END AS distance
+  FROM geo_it WHERE k = {3 * iterations})"""
