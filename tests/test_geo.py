@@ -75,3 +75,13 @@ def test_geodesic_close_to_haversine(spark):
     bad = out.where((F.col("h") > 1) & (F.col("h") < 19000) & (F.abs(F.col("g") - F.col("h")) > 0.006 * F.col("h")))
     assert bad.count() == 0
     assert out.where(F.col("g") >= 20037.5).count() == 0
+
+
+def test_filter_on_geodesic_stays_small(spark):
+    # Predicate pushdown may copy the distance into the filter: it must copy
+    # one expression, not an unrolled chain (whose inlined size explodes).
+    df = spark.range(50).select((F.col("id") * 0.1).alias("a"), F.lit(0.0).alias("b"),
+                                F.lit(1.0).alias("c"), F.lit(1.0).alias("d"))
+    out = with_geodesic(df, "g", "a", "b", "c", "d").where(F.col("g") < 100)
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 200_000
+    assert out.count() > 0

@@ -136,33 +136,43 @@ def geodesic_state(lat1, lon1, lat2, lon2, iterations: int = 20) -> Column:
                        lambda st, i: _vincenty_phase(st, i % 3))
 
 
-def with_geodesic(df, name: str, lat1, lon1, lat2, lon2, iterations: int = 20):
-    """Add column ``name`` with the WGS-84 (Vincenty) distance in km.
-
-    The iteration runs in one projection; the closing series run in later
-    projections over its fields, so nothing is evaluated twice. Coincident
-    points give 0. If the iteration has not converged (nearly antipodal
-    points) the spherical distance is used instead.
-    """
+def geodesic_km(lat1, lon1, lat2, lon2, iterations: int = 20) -> Column:
+    """WGS-84 (Vincenty) distance in km as ONE column expression: the phases
+    of :func:`geodesic_state` run as the steps of a higher-order
+    ``aggregate`` whose finish function turns the final state into the
+    distance. Being a single expression matters: predicate pushdown may copy
+    it into a filter on the distance, but it copies one node, never an
+    unrolled chain whose inlined size grows exponentially. Coincident points
+    give 0; if the last step still moved lambda by more than 1e-12 (nearly
+    antipodal points) the spherical distance is used instead."""
     a, f = WGS84_A_KM, WGS84_F
     b = a * (1 - f)
-    st = f"__{name}_st"
-    out = df.withColumn(st, geodesic_state(lat1, lon1, lat2, lon2, iterations))
-    s = F.col(st)
-    out = out.withColumn(f"__{name}_usq", s["c2a"] * (a * a - b * b) / (b * b))
-    usq = F.col(f"__{name}_usq")
-    out = out.withColumns({
-        f"__{name}_A": 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq))),
-        f"__{name}_B": usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq))),
-    })
-    big_a, big_b = F.col(f"__{name}_A"), F.col(f"__{name}_B")
-    ss, cs, c2sm = s["ss"], s["cs"], s["c2sm"]
-    d_sigma = big_b * ss * (c2sm + big_b / 4 * (
-        cs * (-1 + 2 * c2sm * c2sm) - big_b / 6 * c2sm * (-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm)))
-    dist = (F.when(s["delta"] > F.lit(1e-12), haversine_km(lat1, lon1, lat2, lon2))
-             .when(ss == 0, F.lit(0.0))
-             .otherwise(F.lit(b) * big_a * (s["sig"] - d_sigma)))
-    return out.withColumn(name, dist).drop(st, f"__{name}_usq", f"__{name}_A", f"__{name}_B")
+    u1 = F.atan((1 - f) * F.tan(F.radians(_col(lat1))))
+    u2 = F.atan((1 - f) * F.tan(F.radians(_col(lat2))))
+    big_l = F.radians(_col(lon2)) - F.radians(_col(lon1))
+    zero = F.lit(0.0)
+    start = _geo_state(su1=F.sin(u1), cu1=F.cos(u1), su2=F.sin(u2), cu2=F.cos(u2), L=big_l, lam=big_l,
+                       ss=zero, cs=zero, sig=zero, sa=zero, c2a=zero, c2sm=zero, delta=F.lit(1.0))
+    spherical = haversine_km(lat1, lon1, lat2, lon2)
+
+    def finish(st):
+        usq = st["c2a"] * (a * a - b * b) / (b * b)
+        big_a = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
+        big_b = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
+        ss, cs, c2sm = st["ss"], st["cs"], st["c2sm"]
+        d_sigma = big_b * ss * (c2sm + big_b / 4 * (
+            cs * (-1 + 2 * c2sm * c2sm) - big_b / 6 * c2sm * (-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm)))
+        return (F.when(st["delta"] > F.lit(1e-12), spherical)
+                 .when(ss == 0, F.lit(0.0))
+                 .otherwise(F.lit(b) * big_a * (st["sig"] - d_sigma)))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(3 * iterations - 1)), start,
+                       lambda st, i: _vincenty_phase(st, i % 3), finish)
+
+
+def with_geodesic(df, name: str, lat1, lon1, lat2, lon2, iterations: int = 20):
+    """Add column ``name`` with :func:`geodesic_km`."""
+    return df.withColumn(name, geodesic_km(lat1, lon1, lat2, lon2, iterations))
 
 
 def zscore(c, mean: float, sd: float) -> Column:
