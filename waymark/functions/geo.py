@@ -33,42 +33,50 @@ def dms_to_decimal(degrees, minutes, seconds, direction) -> Column:
     return F.when(F.upper(_col(direction)).isin("S", "W"), -value).otherwise(value)
 
 
-def with_dms(df, column: str, lat_name: str = "latitude", lon_name: str = "longitude",
-             mode: str = "strict"):
-    """Parse ``column`` -- a string holding exactly two DMS parts, latitude
-    first -- into two double columns. Null input gives nulls. Anything else
+def dms_pair(c: str | Column, mode: str = "strict") -> Column:
+    """Parse a string holding exactly two DMS parts, latitude first, into
+    ``struct(latitude, longitude)``. Null input gives nulls. Anything else
     that does not hold exactly two parts, or whose seconds are not a number,
     raises in ``strict`` mode and gives nulls in ``permissive`` mode.
 
-    Staged over three projections (capture groups, values, checks) so every
-    regular expression runs once per row.
+    One expression: the regex capture groups are computed once and bound to
+    a lambda variable (a one-element ``transform``), which derives both
+    coordinates from them. A filter on the result copies this one
+    expression, not a chain of projections that would repeat the regexes.
     """
     if mode not in ("strict", "permissive"):
         raise ValueError("mode must be 'strict' or 'permissive'")
-    s = F.col(column)
+    s = _col(c)
     groups = F.struct(*[F.regexp_extract_all(s, F.lit(DMS_PATTERN), F.lit(i)).alias(n)
                         for i, n in enumerate(["deg", "mins", "secs", "hemi"], start=1)])
-    out = df.withColumn("_wm_dms", groups)
-    g = F.col("_wm_dms")
-
-    def part(i):
-        return dms_to_decimal(F.try_element_at(g["deg"], F.lit(i)).cast("double"),
-                              F.try_element_at(g["mins"], F.lit(i)).cast("double"),
-                              _try_double(F.try_element_at(g["secs"], F.lit(i))),
-                              F.try_element_at(g["hemi"], F.lit(i)))
-
-    out = out.withColumn("_wm_ll", F.struct(F.size(g["deg"]).alias("n"), part(1).alias("lat"),
-                                            part(2).alias("lon")))
-    ll = F.col("_wm_ll")
-    ok = (ll["n"] == 2) & ll["lat"].isNotNull() & ll["lon"].isNotNull()
-    if mode == "strict":
-        fail = F.raise_error(F.concat(F.lit("Could not parse coordinate string: "), s)).cast("double")
-        lat = F.when(s.isNull(), F.lit(None).cast("double")).when(ok, ll["lat"]).otherwise(fail)
-        lon = F.when(s.isNull(), F.lit(None).cast("double")).when(ok, ll["lon"]).otherwise(fail)
-    else:
-        lat = F.when(ok, ll["lat"])
-        lon = F.when(ok, ll["lon"])
-    return out.withColumns({lat_name: lat, lon_name: lon}).drop("_wm_dms", "_wm_ll")
+
+    def parse(g):
+        def part(i):
+            return dms_to_decimal(F.try_element_at(g["deg"], F.lit(i)).cast("double"),
+                                  F.try_element_at(g["mins"], F.lit(i)).cast("double"),
+                                  _try_double(F.try_element_at(g["secs"], F.lit(i))),
+                                  F.try_element_at(g["hemi"], F.lit(i)))
+        lat, lon = part(1), part(2)
+        ok = (F.size(g["deg"]) == 2) & lat.isNotNull() & lon.isNotNull()
+        null = F.lit(None).cast("double")
+        if mode == "strict":
+            fail = F.raise_error(F.concat(F.lit("Could not parse coordinate string: "), s)).cast("double")
+            lat = F.when(s.isNull(), null).when(ok, lat).otherwise(fail)
+            lon = F.when(s.isNull(), null).when(ok, lon).otherwise(fail)
+        else:
+            lat, lon = F.when(ok, lat), F.when(ok, lon)
+        return F.struct(lat.alias("latitude"), lon.alias("longitude"))
+
+    return F.element_at(F.transform(F.array(groups), parse), 1)
+
+
+def with_dms(df, column: str, lat_name: str = "latitude", lon_name: str = "longitude",
+             mode: str = "strict"):
+    """Add ``lat_name``/``lon_name`` parsed from ``column`` with
+    :func:`dms_pair` (evaluated once per row)."""
+    out = df.withColumn("_wm_ll", dms_pair(column, mode))
+    return out.withColumns({lat_name: F.col("_wm_ll.latitude"),
+                            lon_name: F.col("_wm_ll.longitude")}).drop("_wm_ll")
 
 
 def _try_double(c: Column) -> Column:
