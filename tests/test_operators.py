@@ -167,3 +167,12 @@ def test_coord_stats_fit_on_train(spark):
     assert M.fit_coord_stats(df)["lat_mean"] == pytest.approx(104.0 / 3)
     with pytest.raises(ValueError):
         M.fit_coord_stats(df, fit_on="val")
+
+
+def test_quantiles_approx_close_to_exact(spark):
+    df = spark.range(20000).select((F.col("id") % 3).cast("string").alias("g"),
+                                   ((F.col("id") * 7919) % 10007).cast("double").alias("v"), "id")
+    exact = {r.g: r.q50 for r in M.quantiles(df, "v", ["g"], [0.5], tiebreak=["id"]).collect()}
+    approx = {r.g: r.q50 for r in M.quantiles(df, "v", ["g"], [0.5], method="approx").collect()}
+    assert set(exact) == set(approx)
+    assert all(abs(exact[g] - approx[g]) <= 10007 / 1000 for g in exact)
