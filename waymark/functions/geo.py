@@ -124,7 +124,10 @@ def _vincenty_phase(st: Column, phase: Column) -> Column:
     new_lam = st["L"] + (1 - c) * f * st["sa"] * (
         st["sig"] + c * st["ss"] * (st["c2sm"] + c * st["cs"] * (-1 + 2 * st["c2sm"] * st["c2sm"])))
     p2 = dict(keep, lam=new_lam, delta=F.abs(new_lam - lam))
-    return (F.when(phase == 0, _geo_state(**p0))
+    # Once a round has moved lambda by at most 1e-12 the state is final and
+    # the remaining steps only carry it along.
+    return (F.when(st["delta"] <= F.lit(1e-12), st)
+             .when(phase == 0, _geo_state(**p0))
              .when(phase == 1, _geo_state(**p1))
              .otherwise(_geo_state(**p2)))
 

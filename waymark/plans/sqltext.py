@@ -110,7 +110,7 @@ def geodesic_ctes(source: str, key_cols: list[str], lat1: str, lon1: str, lat2:
     for name in st:
         if name in step:
             ph, expr = step[name]
-            cols.append(f"CASE WHEN k % 3 = {ph} THEN {expr} ELSE {name} END")
+            cols.append(f"CASE WHEN delta <= 1e-12 THEN {name} WHEN k % 3 = {ph} THEN {expr} ELSE {name} END")
         else:
             cols.append(name)
     u1 = f"atan({1 - f!r} * tan(radians({lat1})))"
