@@ -114,9 +114,11 @@ def bootstrap_bags(df: DataFrame, order_by: list[str], group_col: str = "interse
         members = fixed.unionByName(drawn)
 
     members = members.withColumn("_wm_pos", hash32(F.lit(seed), F.lit("s"), g, "sample_id", "slot"))
+    # Sorting the (position, slot, text) structs orders the members; taking
+    # the ``t`` field of the sorted array is a native extraction, no lambda.
     ordered = F.array_sort(F.collect_list(F.struct("_wm_pos", "slot", F.col(text_col).alias("t"))))
     bags = (members.groupBy(g, "sample_id")
-                   .agg(F.array_join(F.transform(ordered, lambda m: m["t"]), separator).alias("text")))
+                   .agg(F.array_join(ordered["t"], separator).alias("text")))
     return (bags.join(profile, g)
                 .select(F.col(g).alias("intersection"), F.col("sample_id").cast("int").alias("sample_id"),
                         "text", "latitude", "longitude", "unique_sign_count", "raw_sign_count"))
