@@ -110,3 +110,23 @@ def test_embed_with_user_encoder(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, None), (3, "xyz")], "doc_id long, text string")
     got = {r.doc_id: r.embedding for r in E.embed_with(docs, "text", _length_encoder, 3).collect()}
     assert got == {1: [5.0, 2.0, 1.0], 2: [0.0, 0.0, 1.0], 3: [3.0, 0.0, 1.0]}
+
+
+def test_csv_raw_signs_into_bootstrap(spark):
+    # File order travels as a struct (path, block, position) and drives the
+    # ordinal, the street top-k and the draws.
+    from waymark.operators.bags import bootstrap_bags
+    root = scratch_path(spark, "t-raw-bags")
+    rows = [("a", f"t{i}", 1.0, 2.0, "street_sign" if i < 2 else "shop") for i in range(6)] + \
+           [("b", f"u{i}", 3.0, 4.0, "shop") for i in range(4)]
+    df = spark.createDataFrame(rows, "intersection string, text_on_sign_exact string, latitude double, "
+                                     "longitude double, code_type string").coalesce(1)
+    write_table(df, f"{root}/raw", fmt="csv")
+    signs = read_raw_signs(spark, f"{root}/raw")
+    bags = bootstrap_bags(signs, ["ord"], bag_size=3, samples=4, seed=5).collect()
+    assert len(bags) == 8
+    for r in bags:
+        parts = r.text.split(" | ")
+        assert len(parts) == 3
+        if r.intersection == "a":
+            assert {"t0", "t1"} <= set(parts)  # the two street signs, first in file order
