@@ -1,9 +1,11 @@
 """The registered queries of the package: ``QUERIES`` and ``ORACLE``."""
 
-from waymark.llm import chat
+from waymark.llm import chat, sentencepiece_bpe, token_store
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
+    "op2_token_store": token_store.op2_token_store,
+    "op8_sentencepiece": sentencepiece_bpe.op8_sentencepiece,
 }
 ORACLE = {
     "op1_chat_format": chat.OP1_SQL,
