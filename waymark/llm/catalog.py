@@ -1,11 +1,14 @@
 """The registered queries of the package: ``QUERIES`` and ``ORACLE``."""
 
-from waymark.llm import chat, sentencepiece_bpe, token_store
+from waymark.llm import chat, language_id, perplexity, sentencepiece_bpe, superminhash, token_store
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_token_store": token_store.op2_token_store,
+    "op3_superminhash": superminhash.op3_superminhash,
+    "op6_perplexity": perplexity.op6_perplexity,
     "op8_sentencepiece": sentencepiece_bpe.op8_sentencepiece,
+    "op9_language_id": language_id.op9_language_id,
 }
 ORACLE = {
     "op1_chat_format": chat.OP1_SQL,
