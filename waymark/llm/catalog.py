@@ -1,14 +1,17 @@
 """The registered queries of the package: ``QUERIES`` and ``ORACLE``."""
 
-from waymark.llm import chat, language_id, perplexity, sentencepiece_bpe, superminhash, token_store
+from waymark.llm import (chat, decontaminate, language_id, perplexity, secret_scan, sentencepiece_bpe,
+                         superminhash, token_store)
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_token_store": token_store.op2_token_store,
     "op3_superminhash": superminhash.op3_superminhash,
     "op6_perplexity": perplexity.op6_perplexity,
+    "op7_spaced_seeds": decontaminate.op7_spaced_seeds,
     "op8_sentencepiece": sentencepiece_bpe.op8_sentencepiece,
     "op9_language_id": language_id.op9_language_id,
+    "op10_randomness_battery": secret_scan.op10_randomness_battery,
 }
 ORACLE = {
     "op1_chat_format": chat.OP1_SQL,
