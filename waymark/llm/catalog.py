@@ -1,12 +1,14 @@
 """The registered queries of the package: ``QUERIES`` and ``ORACLE``."""
 
-from waymark.llm import (chat, decontaminate, language_id, perplexity, secret_scan, sentencepiece_bpe,
-                         superminhash, token_store)
+from waymark.llm import (chat, decontaminate, html_text, language_id, perplexity, secret_scan,
+                         sentencepiece_bpe, superminhash, token_store, warc_fixity)
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_token_store": token_store.op2_token_store,
     "op3_superminhash": superminhash.op3_superminhash,
+    "op4_layout_text": html_text.op4_layout_text,
+    "op5_merkle_audit": warc_fixity.op5_merkle_audit,
     "op6_perplexity": perplexity.op6_perplexity,
     "op7_spaced_seeds": decontaminate.op7_spaced_seeds,
     "op8_sentencepiece": sentencepiece_bpe.op8_sentencepiece,
@@ -15,4 +17,5 @@ QUERIES = {
 }
 ORACLE = {
     "op1_chat_format": chat.OP1_SQL,
+    "op5_merkle_audit": warc_fixity.OP5_SQL,
 }
