@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymark.llm.columns import broadcast_if_small
 from waymark.llm.textbytes import (batch_bytes, document_of, is_space, lower_ascii, mix64, ranges,
                                    small_batches, span_hashes)
 from waymark.sources.tables import stage_table, table
@@ -141,9 +142,10 @@ def set_key(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n, h1, h2, bands`` per row: set size, set key, band keys
-    (null for an empty set)."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    """``doc_id, text_hash, n, h1, h2, bands`` per row: hash of the text as it
+    is, set size, set key, band keys (null for an empty set)."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_hash(text_col).alias("text_hash"),
+                       F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
@@ -151,25 +153,25 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             bands = band_keys(signatures(sets)).view(np.int64)
             keys = [set_key(s) for s in sets]
             yield pa.record_batch([
-                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                batch.column("doc_id"), batch.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                 pa.array([b if len(s) else None for s, b in zip(sets, bands, strict=True)], pa.list_(pa.int64()))],
-                ["doc_id", "n", "h1", "h2", "bands"])
+                ["doc_id", "text_hash", "n", "h1", "h2", "bands"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n bigint, h1 bigint, h2 bigint, bands array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash bigint, n bigint, h1 bigint, h2 bigint, bands array<bigint>")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast when its counted rows are below the bound."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def text_hash(text_col: str) -> F.Column:
+    """Tells apart the texts of rows that share an id."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def class_sets(docs: DataFrame, needed: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``cid, shingles`` of the needed classes (``cid, doc_id, h1, h2``),
     from the text of each class's first document."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.join(_small(needed), rows["doc_id"].eqNullSafe(needed["doc_id"])).select("cid", "h1", "h2", "text")
+    rows = rows.join(broadcast_if_small(needed, BROADCAST_ROWS), rows["doc_id"].eqNullSafe(needed["doc_id"])).select("cid", "h1", "h2", "text")
 
     def run(batches):
         for batch in small_batches(batches, "text"):
@@ -293,7 +295,7 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> D
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row.
+    """``doc_id, n_shingles, component_id, kept, text_hash`` for every row.
 
     ``component_id`` is the least id of the documents reachable over links,
     ``kept`` tells whether it is the row's own. Texts without words (null,
@@ -312,11 +314,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = least.where("classes > 1").select("root", F.col("component_id").alias("least"))
     by_class = (rooted.join(several, "root", "left")
                       .select("n", "h1", "h2", F.coalesce("least", "doc_id").alias("component_id")))
-    found = feats.where("n > 0").select("doc_id", "n", "h1", "h2").join(by_class, ["n", "h1", "h2"])
-    out = found.select("doc_id", "n", "component_id").unionByName(
-        feats.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
+    found = feats.where("n > 0").select("doc_id", "text_hash", "n", "h1", "h2").join(by_class, ["n", "h1", "h2"])
+    out = found.select("doc_id", "text_hash", "n", "component_id").unionByName(
+        feats.where("n = 0").select("doc_id", "text_hash", "n", F.col("doc_id").alias("component_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each near-duplicate group: the one with
+    the least id. Texts without words stay. Of rows with the same id and text
+    one stays; rows of the least id with different texts all stay."""
+    found = stage_table(near_duplicates(docs, id_col, text_col), "near-duplicates")
+    same = lambda rows: docs[id_col].eqNullSafe(rows["_wm_id"]) & (text_hash(text_col) == rows["_wm_hash"])
+    keyed = found.select(F.col("doc_id").alias("_wm_id"), F.col("text_hash").alias("_wm_hash"), "kept")
+    gone = broadcast_if_small(keyed.where("not kept").select("_wm_id", "_wm_hash").distinct())
+    repeats = keyed.groupBy("_wm_id", "_wm_hash").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    repeats = stage_table(repeats.select("_wm_id", "_wm_hash"), "repeated-rows")
+    left = docs.join(gone, same(gone), "left_anti")
+    if not repeats.limit(1).count():
+        return left
+    again = broadcast_if_small(repeats)
+    return left.join(again, same(again), "left_anti").unionByName(
+        left.join(again, same(again), "left_semi").dropDuplicates([id_col, text_col]))
 
 
 def op3_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
