@@ -32,19 +32,23 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(masks: list[str]) -> Column:
+def _seeds(masks: list[str], items: bool) -> Column:
     """Seeds that begin at ``pos`` of the array ``hs``, one per mask; a mask
-    that does not fit gives a null. The mask's number is part of the seed."""
+    that does not fit gives a null, as does a short item's mask in other
+    ``items``. The mask's number is part of the seed."""
     def seed(number, mask):
         picked = [F.get("hs", F.col("pos") + k) for k, bit in enumerate(mask) if bit == "1"]
-        return F.when(F.col("pos") + len(mask) <= F.size("hs"), F.xxhash64(F.lit(number), *picked))
+        fits = F.col("pos") + len(mask) <= F.size("hs")
+        if items and number >= len(MASKS):
+            fits = F.size("hs") == len(mask)
+        return F.when(fits, F.xxhash64(F.lit(number), *picked))
     return F.array(*[seed(number, mask) for number, mask in enumerate(masks)])
 
 
-def _at_words(rows: DataFrame, masks: list[str]) -> DataFrame:
+def _at_words(rows: DataFrame, masks: list[str], items: bool = False) -> DataFrame:
     """One row per word and mask: ``pos, seed`` beside the columns of ``rows``."""
     placed = rows.select("*", F.posexplode("hs").alias("pos", "_h")).drop("_h")
-    return placed.select("*", F.explode(_seeds(masks)).alias("seed")).where("seed is not null")
+    return placed.select("*", F.explode(_seeds(masks, items)).alias("seed")).where("seed is not null")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -75,8 +79,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     found = []
     for block in range(blocks):
         mine = classes.where(F.pmod(F.col("class"), F.lit(blocks)) == block)
-        # A short item is sought by its whole length, a longer one by the masks.
-        seeds = (_at_words(mine, masks)
+        seeds = (_at_words(mine, masks, items=True)
                  .select("seed", F.col("pos").alias("item_pos"), size.alias("n"), "class").distinct())
         hits = _at_words(rows, masks).join(F.broadcast(seeds), "seed")  # a block holds at most BLOCK_SEEDS
         diagonal = F.col("pos") - F.col("item_pos")
