@@ -60,7 +60,7 @@ def dms_pair(c: str | Column, mode: str = "strict") -> Column:
         ok = (F.size(g["deg"]) == 2) & lat.isNotNull() & lon.isNotNull()
         null = F.lit(None).cast("double")
         if mode == "strict":
-            fail = F.raise_error(F.concat(F.lit("Could not parse coordinate string: "), s)).cast("double")
+            fail = F.raise_error(F.concat(F.lit("no coordinate pair in: "), s)).cast("double")
             lat = F.when(s.isNull(), null).when(ok, lat).otherwise(fail)
             lon = F.when(s.isNull(), null).when(ok, lon).otherwise(fail)
         else:

@@ -95,14 +95,19 @@ def bootstrap_bags(df: DataFrame, order_by: list[str], group_col: str = "interse
                                     F.count(F.lit(1)).alias("raw_sign_count"), street_n), "bag-profile")
     sizes = profile.select(g, F.col("raw_sign_count").alias("n"), "street_n")
 
+    # One row per group and sample is dealt out before the slots are made, so
+    # their rows and draws are spread over all tasks.
     slots = (sizes.withColumn("sample_id", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
+                  .repartition(g, "sample_id")
                   .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(bag_size - 1)))))
     guaranteed = F.col("slot") < F.least(F.col("street_n"), F.lit(bag_size))
 
     numbered = with_ordinal(signs.select(g, text_col, *order_by), order_by, [g], name="_wm_idx")
     drawn = (slots.where(~guaranteed)
                   .withColumn("_wm_idx", hash32(F.lit(seed), g, "sample_id", "slot") % F.col("n"))
-                  .join(numbered.select(g, "_wm_idx", text_col), [g, "_wm_idx"])
+                  # The slot table grows with groups x samples x bag, which the
+                  # planner's estimate does not see: never broadcast it.
+                  .join(numbered.select(g, "_wm_idx", text_col).hint("merge"), [g, "_wm_idx"])
                   .select(g, "sample_id", "slot", text_col))
     members = drawn
     if has_code:

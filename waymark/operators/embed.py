@@ -26,7 +26,6 @@ from pyspark.sql import types as T
 
 from waymark.functions.text import clean_text
 from waymark.operators.ordinal import hash32
-from waymark.operators.partitioning import ensure_parallelism
 from waymark.session import ship_package
 
 
@@ -34,7 +33,7 @@ def hashed_weights(df: DataFrame, text_col: str, id_cols, dim: int = 64) -> Data
     """Long form ``(ids..., bucket, weight)``: unit-length bucket counts of
     the cleaned tokens of every text."""
     id_cols = list(id_cols)
-    df = ensure_parallelism(df.select(*id_cols, text_col))
+    df = df.select(*id_cols, text_col)
     tokens = df.select(*id_cols, F.explode(F.split(clean_text(text_col), " ", -1)).alias("_wm_tok"))
     counts = (tokens.where(F.col("_wm_tok") != "")
                     .groupBy(*id_cols, (hash32("_wm_tok") % dim).alias("bucket"))

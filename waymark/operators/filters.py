@@ -16,7 +16,7 @@ def require_columns(df: DataFrame, required, optional=()) -> DataFrame:
     them sorted; keep the required columns and whichever optional ones exist."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the table lacks the columns {missing}")
     return df.select(*required, *[c for c in optional if c in df.columns])
 
 

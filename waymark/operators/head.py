@@ -2,21 +2,25 @@
 (I3, I4, I5, I6, A8).
 
 The head is a d -> h -> h/2 -> 2 ReLU network on z-scored targets with Huber
-loss and AdamW (decoupled weight decay). Training is synchronous model
-averaging over Spark partitions:
+loss and AdamW (decoupled weight decay). Training is synchronous gradient
+descent over Spark partitions:
 
-* each epoch broadcasts the current weights and optimiser moments;
-* ``mapInPandas`` runs mini-batch AdamW steps over every partition's rows
-  (NumPy on Arrow batches inside the task) and emits the partition's updated
-  parameters weighted by its row count;
-* the parameter sums are reduced by Spark in a tree of bounded fan-in and
-  the driver divides by the row count -- the only driver work is O(model
-  size), never O(data).
+* an epoch is a fixed number of steps; a row's step follows from the hash of
+  its key, so the steps do not depend on the partitioning;
+* per step the weights are broadcast and ``mapInPandas`` sums the gradients
+  of the step's rows in every partition, batch by batch (NumPy on Arrow
+  batches, so a task holds one batch and one gradient); dropout masks follow
+  from the row key, the epoch and the unit;
+* Spark reduces the partitions' sums in a tree of bounded fan-in, and the
+  driver makes one AdamW update -- its work is O(model size), never O(data).
+
+Results agree for any partitioning up to the rounding of the sums.
 
 Validation loss and mean km per epoch come from a distributed forward pass.
-The learning rate halves after ``patience`` epochs without a better
-validation loss (floor ``min_lr``); the best-validation weights are kept and
-persisted every ``save_every`` epochs and at the end.
+The best-validation weights are kept and persisted every ``save_every`` epochs
+and at the end. Apart from that, the learning rate halves after ``patience``
+epochs whose loss is not below the best one by the relative ``threshold``
+(floor ``min_lr``).
 """
 
 from __future__ import annotations
@@ -51,12 +55,25 @@ def init_params(dim: int, hidden: int, seed: int) -> dict:
     return params
 
 
-def forward(params: dict, x: np.ndarray, dropout: float = 0.0, rng=None):
+def dropout_mask(keys: np.ndarray, width: int, rate: float, seed: int) -> np.ndarray:
+    """Scaled mask of shape (rows, width): a unit's fate is a hash of the row
+    key, the unit and the seed."""
+    mixed = (keys.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+             + np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(seed))
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((mixed >> np.uint64(11)) * 2.0 ** -53 >= rate) / (1 - rate)
+
+
+def forward(params: dict, x: np.ndarray, dropout: float = 0.0, keys=None, seed: int = 0):
+    def mask(h, layer):
+        return dropout_mask(keys, h.shape[1], dropout, 2 * seed + layer) if dropout and keys is not None else None
+
     h1 = np.maximum(x @ params["w1"] + params["b1"], 0.0)
-    m1 = (rng.random(h1.shape) >= dropout) / (1 - dropout) if dropout and rng is not None else None
+    m1 = mask(h1, 0)
     a1 = h1 * m1 if m1 is not None else h1
     h2 = np.maximum(a1 @ params["w2"] + params["b2"], 0.0)
-    m2 = (rng.random(h2.shape) >= dropout) / (1 - dropout) if dropout and rng is not None else None
+    m2 = mask(h2, 1)
     a2 = h2 * m2 if m2 is not None else h2
     out = a2 @ params["w3"] + params["b3"]
     return out, (x, h1, m1, a1, h2, m2, a2)
@@ -68,8 +85,9 @@ def huber_elements(r: np.ndarray, delta: float = 1.0) -> np.ndarray:
 
 
 def backward(params: dict, cache, out: np.ndarray, y: np.ndarray, delta: float = 1.0) -> dict:
+    """Gradients of the rows' losses (each the mean over outputs), summed."""
     x, h1, m1, a1, h2, m2, a2 = cache
-    g_out = np.clip(out - y, -delta, delta) / out.size
+    g_out = np.clip(out - y, -delta, delta) / out.shape[1]
     grads = {"w3": a2.T @ g_out, "b3": g_out.sum(0)}
     g_a2 = g_out @ params["w3"].T
     g_h2 = (g_a2 * m2 if m2 is not None else g_a2) * (h2 > 0)
@@ -110,8 +128,7 @@ def _unflatten(vec: np.ndarray, like: dict) -> dict:
 
 
 def _features(pdf: pd.DataFrame, col: str) -> np.ndarray:
-    return np.stack(pdf[col].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()) \
-        if len(pdf) else np.zeros((0, 0))
+    return np.stack(pdf[col].to_numpy()).astype(np.float64, copy=False) if len(pdf) else np.zeros((0, 0))
 
 
 # ---------------------------------------------------------------- model object and artifacts
@@ -156,69 +173,51 @@ def load_model(spark: SparkSession, path: str) -> HeadModel:
 
 # ---------------------------------------------------------------- distributed pieces
 
-def _tree_sum(df: DataFrame, col: str, weight_cols, fan_in: int = 32) -> tuple:
+def _tree_sum(df: DataFrame, col: str, weight_cols, widths=(1024, 32)) -> tuple:
     """Element-wise sum of the array column over all rows (plus plain sums of
-    ``weight_cols``), as a tree of aggregations with at most ``fan_in``
-    arrays per task; the driver receives the last level only. ``df`` has at
-    most one row per partition, so the partition count bounds each level and
-    no extra job is needed to size it."""
+    ``weight_cols``). ``df`` has at most one row per partition; rows are summed
+    in ``widths`` groups, level by level, and the driver receives at most the
+    last width's arrays."""
     def add(acc, a):
         return F.zip_with(acc, a, lambda x, y: x + y)
 
-    level = df.select(col, *weight_cols)
-    bound = df.rdd.getNumPartitions()
-    while bound > fan_in:
-        buckets = (bound + fan_in - 1) // fan_in
-        level = (level.groupBy((F.spark_partition_id() % buckets).alias("_wm_b"))
+    level = df.select(F.spark_partition_id().alias("_wm_b"), col, *weight_cols)
+    for width in widths:
+        level = (level.groupBy((F.col("_wm_b") % width).alias("_wm_b"))
                       .agg(F.aggregate(F.collect_list(col), F.array_repeat(F.lit(0.0), F.size(F.first(col))),
                                        add).alias(col),
-                           *[F.sum(c).alias(c) for c in weight_cols])
-                      .drop("_wm_b"))
-        bound = buckets
-    rows = level.collect()
+                           *[F.sum(c).alias(c) for c in weight_cols]))
+    rows = level.orderBy("_wm_b").collect()
+    if not rows:
+        return None, [0.0] * len(weight_cols)
     total = np.sum([np.asarray(r[col]) for r in rows], axis=0)
     return total, [sum(r[c] for r in rows) for c in weight_cols]
 
 
-def _train_partitions(df: DataFrame, feat: str, state: dict, lr: float, weight_decay: float,
-                      batch_size: int, dropout: float, seed: int, epoch: int) -> DataFrame:
-    """One epoch of local mini-batch AdamW in every partition, starting from
-    the broadcast state; emits (weighted parameter and moment sums, rows,
-    loss sum, steps)."""
+def gradient_sums(df: DataFrame, feat: str, params: dict, dropout: float = 0.0, seed: int = 0) -> tuple:
+    """``(gradients summed over all rows, rows, loss sum)`` of prepared rows."""
     spark = df.sparkSession
     ship_package(spark)
-    bstate = spark.sparkContext.broadcast(state)
+    shared = spark.sparkContext.broadcast(params)
 
     def run(batches):
-        st = bstate.value
-        template = st["params"]
-        params = {k: v.copy() for k, v in template.items()}
-        m = {k: v.copy() for k, v in st["m"].items()}
-        v = {k: vv.copy() for k, vv in st["v"].items()}
-        t = st["t"]
-        rows, loss_sum = 0, 0.0
-        pdfs = [p for p in batches if len(p)]
-        if not pdfs:
-            return
-        pdf = pd.concat(pdfs, ignore_index=True).sort_values("_wm_key", kind="stable")
-        rng = np.random.default_rng([seed, epoch, int(pdf["_wm_key"].iloc[0]) & 0x7FFFFFFF])
-        pdf = pdf.iloc[rng.permutation(len(pdf))]
-        x = _features(pdf, feat)
-        y = pdf[["_wm_zlat", "_wm_zlon"]].to_numpy(dtype=np.float64)
-        for start in range(0, len(x), batch_size):
-            xb, yb = x[start:start + batch_size], y[start:start + batch_size]
-            out, cache = forward(params, xb, dropout, rng)
-            loss_sum += float(huber_elements(out - yb).mean()) * len(xb)
-            t += 1
-            adamw_step(params, backward(params, cache, out, yb), m, v, t, lr, weight_decay)
-            rows += len(xb)
-        w = float(rows)
-        vec = np.concatenate([_flatten(params) * w, _flatten(m) * w, _flatten(v) * w])
-        yield pd.DataFrame({"vec": [vec.tolist()], "rows": [w], "loss": [loss_sum],
-                            "steps": [float(t - st["t"])], "parts": [1.0]})
-
-    schema = "vec array<double>, rows double, loss double, steps double, parts double"
-    return df.mapInPandas(run, schema), bstate
+        total, rows, loss = None, 0.0, 0.0
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            y = pdf[["_wm_zlat", "_wm_zlon"]].to_numpy(dtype=np.float64)
+            out, cache = forward(shared.value, _features(pdf, feat), dropout, pdf["_wm_key"].to_numpy(), seed)
+            grads = _flatten(backward(shared.value, cache, out, y))
+            total = grads if total is None else total + grads
+            rows += len(pdf)
+            loss += float(huber_elements(out - y).mean(axis=1).sum())
+        if total is not None:
+            yield pd.DataFrame({"vec": [total.tolist()], "rows": [rows], "loss": [loss]})
+
+    total, (rows, loss) = _tree_sum(df.mapInPandas(run, "vec array<double>, rows double, loss double"), "vec",
+                                    ["rows", "loss"])
+    shared.destroy()
+    return (None if total is None else _unflatten(total, params)), rows, loss
 
 
 def _evaluate(df: DataFrame, feat: str, model: HeadModel) -> tuple:
@@ -260,11 +259,10 @@ def prepare_training(df: DataFrame, feat: str, lat: str, lon: str, stats: dict,
 
 def fit_head(train: DataFrame, val: DataFrame, feat: str, stats: dict, key_col: str,
              hidden: int = 256, dropout: float = 0.1, epochs: int = 10, lr: float = 5e-2,
-             weight_decay: float = 1e-3, batch_size: int = 64, patience: int = 5,
-             factor: float = 0.5, min_lr: float = 1e-7, seed: int = 1992, save_every: int = 5,
-             save_path: str | None = None, lat: str = "latitude", lon: str = "longitude"):
+             weight_decay: float = 1e-3, steps_per_epoch: int = 4, patience: int = 5,
+             factor: float = 0.5, min_lr: float = 1e-7, threshold: float = 1e-4, seed: int = 1992,
+             save_every: int = 5, save_path: str | None = None, lat: str = "latitude", lon: str = "longitude"):
     """Fit the head; returns ``(best model, initial model, epoch log rows)``."""
-    spark = train.sparkSession
     tr = prepare_training(train, feat, lat, lon, stats, key_col, seed).persist()
     va = prepare_training(val, feat, lat, lon, stats, key_col, seed).persist()
     dim = len(tr.select(feat).first()[0])
@@ -272,28 +270,32 @@ def fit_head(train: DataFrame, val: DataFrame, feat: str, stats: dict, key_col:
     sd = [stats["lat_std"], stats["lon_std"]]
     params = init_params(dim, hidden, seed)
     initial = HeadModel({k: v.copy() for k, v in params.items()}, mean, sd, hidden, dropout)
-    state = {"params": params, "m": {k: np.zeros_like(v) for k, v in params.items()},
-             "v": {k: np.zeros_like(v) for k, v in params.items()}, "t": 0}
-    best_loss, best, pending, bad_epochs, log = float("inf"), None, False, 0, []
-    size = _flatten(params).size
+    m, v = ({k: np.zeros_like(p) for k, p in params.items()} for _ in range(2))
+    updates, best_loss, best, pending, log = 0, float("inf"), None, False, []
+    plateau_loss, bad_epochs = float("inf"), 0
     for epoch in range(1, epochs + 1):
-        parts, bstate = _train_partitions(tr, feat, state, lr, weight_decay, batch_size, dropout, seed, epoch)
-        total, (rows, loss, steps, n_parts) = _tree_sum(parts, "vec", ["rows", "loss", "steps", "parts"])
-        bstate.destroy()
-        avg = total / rows
-        state = {"params": _unflatten(avg[:size], params), "m": _unflatten(avg[size:2 * size], params),
-                 "v": _unflatten(avg[2 * size:], params), "t": state["t"] + int(round(steps / n_parts))}
-        current = HeadModel(state["params"], mean, sd, hidden, dropout)
+        rows, loss = 0.0, 0.0
+        for step in range(steps_per_epoch):
+            part = tr.where(F.col("_wm_key") % steps_per_epoch == step)
+            grads, n, part_loss = gradient_sums(part, feat, params, dropout, seed + epoch)
+            if grads is None:
+                continue
+            updates += 1
+            adamw_step(params, {k: g / n for k, g in grads.items()}, m, v, updates, lr, weight_decay)
+            rows, loss = rows + n, loss + part_loss
+        current = HeadModel({k: p.copy() for k, p in params.items()}, mean, sd, hidden, dropout)
         val_loss, val_km, _ = _evaluate(va, feat, current)
         if val_loss < best_loss:
-            best_loss, best, pending, bad_epochs = val_loss, current, True, 0
+            best_loss, best, pending = val_loss, current, True
+        if val_loss < plateau_loss * (1 - threshold):
+            plateau_loss, bad_epochs = val_loss, 0
         else:
             bad_epochs += 1
             if bad_epochs > patience:
                 lr, bad_epochs = max(lr * factor, min_lr), 0
         log.append((epoch, loss / rows, val_loss, val_km, lr))
         if save_path and pending and (epoch == epochs or epoch % save_every == 0):
-            save_model(spark, best, save_path)
+            save_model(tr.sparkSession, best, save_path)
             pending = False
     tr.unpersist()
     va.unpersist()
@@ -301,28 +303,28 @@ def fit_head(train: DataFrame, val: DataFrame, feat: str, stats: dict, key_col:
 
 
 def predict(df: DataFrame, feat: str, model: HeadModel, prefix: str = "predicted_") -> DataFrame:
-    """Add ``<prefix>latitude`` / ``<prefix>longitude``: forward pass with
-    broadcast weights on Arrow batches, then de-normalised."""
+    """Add ``<prefix>latitude`` / ``<prefix>longitude``."""
+    return predict_each(df, feat, {prefix: model})
+
+
+def predict_each(df: DataFrame, feat: str, models: dict) -> DataFrame:
+    """Predictions of several models ({column prefix: model}) in one pass:
+    forward passes with broadcast weights on Arrow batches, de-normalised."""
     spark = df.sparkSession
     ship_package(spark)
-    bparams = spark.sparkContext.broadcast(model.params)
-    mean, sd = np.asarray(model.coord_mean), np.asarray(model.coord_std)
-    out_schema = T.StructType(df.schema.fields + [T.StructField(f"{prefix}latitude", T.DoubleType()),
-                                                   T.StructField(f"{prefix}longitude", T.DoubleType())])
+    shared = spark.sparkContext.broadcast({
+        prefix: (m.params, np.asarray(m.coord_mean), np.asarray(m.coord_std)) for prefix, m in models.items()})
+    added = [T.StructField(f"{prefix}{axis}", T.DoubleType()) for prefix in models for axis in ("latitude", "longitude")]
 
     def run(batches):
         for pdf in batches:
-            if len(pdf):
-                out, _ = forward(bparams.value, _features(pdf, feat))
-                coords = out * sd + mean
-            else:
-                coords = np.zeros((0, 2))
-            pdf = pdf.copy()
-            pdf[f"{prefix}latitude"] = coords[:, 0]
-            pdf[f"{prefix}longitude"] = coords[:, 1]
+            pdf, x = pdf.copy(), _features(pdf, feat)
+            for prefix, (params, mean, sd) in shared.value.items():
+                coords = forward(params, x)[0] * sd + mean if len(pdf) else np.zeros((0, 2))
+                pdf[f"{prefix}latitude"], pdf[f"{prefix}longitude"] = coords[:, 0], coords[:, 1]
             yield pdf
 
-    return df.mapInPandas(run, out_schema)
+    return df.mapInPandas(run, T.StructType(df.schema.fields + added))
 
 
 def score_bags(df: DataFrame, feat: str, model: HeadModel, initial: HeadModel | None = None,
@@ -331,10 +333,9 @@ def score_bags(df: DataFrame, feat: str, model: HeadModel, initial: HeadModel |
     coordinates and, with ``initial``, the untrained model's predictions and
     error beside them."""
     from waymark.functions.geo import haversine_km
-    out = predict(df, feat, model)
+    out = predict_each(df, feat, {"predicted_": model, **({"initial_predicted_": initial} if initial else {})})
     out = out.withColumn("error_km", haversine_km("predicted_latitude", "predicted_longitude", lat, lon))
     if initial is not None:
-        out = predict(out, feat, initial, prefix="initial_predicted_")
         out = out.withColumn("initial_error_km", haversine_km("initial_predicted_latitude",
                                                               "initial_predicted_longitude", lat, lon))
     return out

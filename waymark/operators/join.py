@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from waymark.functions.geo import with_dms
 from waymark.functions.text import clean_text, join_key
-from waymark.operators.partitioning import ensure_parallelism
-from waymark.sources.tables import stage_table
 
 
 def first_per_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
@@ -36,39 +34,18 @@ def coord_lookup(df: DataFrame, order_by: list[str], intersection_col: str = "in
     return first_per_key(keyed, "intersection_key", order_by).drop(*order_by)
 
 
-def intersection_keys(df: DataFrame, intersection_col: str = "intersection",
-                      key_from: str = "clean") -> DataFrame:
-    """Mapping raw intersection -> cleaned intersection and join key.
-
-    The intersection is the grouping key of the whole pipeline, so it has
-    far fewer distinct values than there are signs. Cleaning and keying run
-    once per distinct value here (a partial aggregation first drops repeats
-    inside every task) instead of once per sign; the mapping is joined back
-    on the raw value.
-    """
-    raw = df.select(F.col(intersection_col).alias("_wm_raw")).distinct()
-    cleaned = clean_text("_wm_raw", extra_chars="-")
-    key = join_key("_wm_raw") if key_from == "raw" else join_key(cleaned)
-    return raw.select("_wm_raw", cleaned.alias("_wm_clean"), key.alias("intersection_key"))
-
-
 def clean_signs(df: DataFrame, intersection_col: str = "intersection",
                 text_col: str = "text_on_sign_exact", key_from: str = "clean") -> DataFrame:
     """Sheet-side cleaning: rename the text column ``text_on_sign``, clean the
     intersection and text (``-`` kept) and derive the join key from the
-    cleaned intersection (or from the raw one with ``key_from='raw'``)."""
-    # Written once: the planner then knows the mapping's real size and
-    # broadcasts it when it is under the threshold (sort-merge join beyond),
-    # instead of shuffling every sign by intersection before finding out.
-    keys = stage_table(intersection_keys(df, intersection_col, key_from), "intersection-keys")
-    out = ensure_parallelism(df).withColumnRenamed(text_col, "text_on_sign") \
-            .withColumn("text_on_sign", clean_text("text_on_sign", extra_chars="-"))
-    # A null intersection has no mapping row (null never equals null); it
-    # keeps a null cleaned value and the empty key, as the key function gives.
-    out = out.join(keys, out[intersection_col].eqNullSafe(keys["_wm_raw"]), "left")
-    return (out.withColumn(intersection_col, F.col("_wm_clean"))
-               .withColumn("intersection_key", F.coalesce(F.col("intersection_key"), F.lit("")))
-               .drop("_wm_raw", "_wm_clean"))
+    cleaned intersection (or from the raw one with ``key_from='raw'``). One
+    projection of native expressions over the signs; a null intersection stays
+    null and gets the empty key."""
+    raw = F.col(intersection_col)
+    out = df.withColumn("intersection_key", join_key(raw if key_from == "raw" else clean_text(raw, extra_chars="-")))
+    return (out.withColumnRenamed(text_col, "text_on_sign")
+               .withColumns({"text_on_sign": clean_text("text_on_sign", extra_chars="-"),
+                             intersection_col: clean_text(raw, extra_chars="-")}))
 
 
 def attach_coordinates(signs: DataFrame, lookup: DataFrame, mode: str = "strict",
@@ -78,9 +55,10 @@ def attach_coordinates(signs: DataFrame, lookup: DataFrame, mode: str = "strict"
     ``latitude``/``longitude`` parsed from the DMS coordinate string.
 
     The DMS string is parsed on the lookup side -- once per key instead of
-    once per sign. ``lookup`` (output of :func:`coord_lookup`) is
-    dimension-sized; the planner broadcasts it when its measured size is under
-    the broadcast threshold and shuffles both sides otherwise. Unmatched signs
+    once per sign. ``lookup`` (output of :func:`coord_lookup`) has one row per
+    key; the planner broadcasts it when its size is under the broadcast
+    threshold and shuffles both sides, once, otherwise. Building the plan runs
+    no job, so later filters and column pruning reach the scans. Unmatched signs
     keep null coordinates. In ``strict`` mode a sign that matches an
     unparsable coordinate string fails the job; unreferenced bad entries do
     not. ``key_from='raw'`` keys the signs from the raw intersection text.
@@ -90,11 +68,9 @@ def attach_coordinates(signs: DataFrame, lookup: DataFrame, mode: str = "strict"
     if mode == "strict":
         parsed = parsed.withColumn("_wm_bad", F.col("coordinate_string").isNotNull()
                                    & F.col("latitude").isNull())
-    # One row per key, written once so the join is planned on its real size.
-    parsed = stage_table(parsed, "coord-lookup")
     merged = cleaned.join(parsed, "intersection_key", "left")
     if mode == "strict":
-        fail = F.raise_error(F.concat(F.lit("Could not parse coordinate string: "),
+        fail = F.raise_error(F.concat(F.lit("no coordinate pair in: "),
                                       F.col("coordinate_string"))).cast("double")
         merged = merged.withColumns({
             "latitude": F.when(F.col("_wm_bad"), fail).otherwise(F.col("latitude")),

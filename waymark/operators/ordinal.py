@@ -26,10 +26,17 @@ from pyspark.sql import functions as F
 from waymark.sources.tables import stage_table
 
 
+TARGET_BYTES = 128 << 20
+
+
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
+    """The given number, or enough for about ``TARGET_BYTES`` a task by the
+    plan's size estimate, at least the session's shuffle partitions."""
     if num_partitions:
         return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(floor, min(-(-size // TARGET_BYTES), 100_000))
 
 
 def with_ordinal(df: DataFrame, order_by: list, partition_by: list | tuple = (),

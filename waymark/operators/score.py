@@ -34,9 +34,14 @@ def validate_guesses(guesses: DataFrame, rounds: DataFrame) -> DataFrame:
     check -- text (when the guess carries one), round id >= 0, latitude in
     [-90, 90], longitude in [-180, 180], round exists."""
     known = rounds.select("round_id", F.lit(True).alias("_wm_known"))
-    g = guesses.join(known, "round_id", "left")
+    return _with_reason(guesses.join(known, "round_id", "left"), "text" in guesses.columns).drop("_wm_known")
+
+
+def _with_reason(g: DataFrame, has_text: bool) -> DataFrame:
+    """``reason`` of guesses joined with their round (``_wm_known`` is null
+    where there is none)."""
     checks = []
-    if "text" in guesses.columns:
+    if has_text:
         checks.append((text_reason("text").isNotNull(), "text_invalid"))
     checks += [
         (F.col("round_id").isNull() | (F.col("round_id") < 0), "round_id_negative"),
@@ -47,18 +52,23 @@ def validate_guesses(guesses: DataFrame, rounds: DataFrame) -> DataFrame:
     reason = F.lit(None).cast("string")
     for cond, name in reversed(checks):
         reason = F.when(cond, F.lit(name)).otherwise(reason)
-    return g.withColumn("reason", reason).drop("_wm_known")
+    return g.withColumn("reason", reason)
+
+
+def _playable(guesses: DataFrame, rounds: DataFrame, columns: dict) -> DataFrame:
+    """Guesses without a reason, beside columns of their round: one join."""
+    r = rounds.select("round_id", *[F.col(c).alias(n) for n, c in columns.items()], F.lit(True).alias("_wm_known"))
+    joined = _with_reason(guesses.join(r, "round_id", "left"), "text" in guesses.columns)
+    return joined.where(F.col("reason").isNull()).drop("reason", "_wm_known")
 
 
 def score_guesses(guesses: DataFrame, rounds: DataFrame) -> DataFrame:
     """Playable guesses with their round's truth and model prediction:
     ``guess_error_km`` (guess to truth) and ``model_error_km`` (prediction
     to truth)."""
-    r = rounds.select("round_id", F.col("latitude").alias("actual_latitude"),
-                      F.col("longitude").alias("actual_longitude"), "predicted_latitude",
-                      "predicted_longitude")
-    valid = validate_guesses(guesses, rounds).where(F.col("reason").isNull()).drop("reason")
-    scored = valid.join(r, "round_id")
+    scored = _playable(guesses, rounds, {"actual_latitude": "latitude", "actual_longitude": "longitude",
+                                         "predicted_latitude": "predicted_latitude",
+                                         "predicted_longitude": "predicted_longitude"})
     return scored.withColumns({
         "guess_error_km": haversine_km("latitude", "longitude", "actual_latitude", "actual_longitude"),
         "model_error_km": haversine_km("predicted_latitude", "predicted_longitude",
@@ -66,10 +76,8 @@ def score_guesses(guesses: DataFrame, rounds: DataFrame) -> DataFrame:
     })
 
 
-def score_open_estimates(estimates: DataFrame, predictions: DataFrame,
-                         key: str = "round_id") -> DataFrame:
-    """Distance between a user's estimate and the model's prediction for
-    the same text (no truth needed)."""
-    p = predictions.select(key, "predicted_latitude", "predicted_longitude")
-    return estimates.join(p, key).withColumn(
+def score_open_estimates(estimates: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Distance between a user's playable estimate and the model's prediction
+    for the same text (no truth needed)."""
+    return _playable(estimates, predictions, {c: c for c in ("predicted_latitude", "predicted_longitude")}).withColumn(
         "distance_km", haversine_km("latitude", "longitude", "predicted_latitude", "predicted_longitude"))

@@ -37,7 +37,8 @@ def group_split_table(df: DataFrame, group_col: str = "intersection",
     # The distinct groups are dimension-sized; written once, the count and the
     # ranking below read that small table instead of recomputing ``df``.
     groups = stage_table(df.select(group_col).distinct()
-                           .withColumn("_wm_h", hash32(F.lit(seed), group_col)), "split-groups")
+                           .withColumn("_wm_h", hash32(F.lit(seed), F.coalesce(F.col(group_col), F.lit("")))),
+                         "split-groups")
     total = groups.count()
     n_val = _n_val(total, test_size)
     ranked = with_ordinal(groups, ["_wm_h", group_col], name="_wm_rank")
@@ -49,7 +50,9 @@ def split(df: DataFrame, group_col: str | None = "intersection", row_key=None,
     """Add ``split``. With a group column every row of a group lands on the
     same side; otherwise rows are ranked by ``hash32(seed || row_key)``."""
     if group_col and group_col in df.columns:
-        return df.join(group_split_table(df, group_col, test_size, seed), group_col)
+        # Null-safe: rows without a group are a group and stay.
+        sides = group_split_table(df, group_col, test_size, seed).withColumnRenamed(group_col, "_wm_group")
+        return df.join(sides, df[group_col].eqNullSafe(sides["_wm_group"])).drop("_wm_group")
     if row_key is None:
         raise ValueError("a row split needs a stable row_key column")
     keyed = df.withColumn("_wm_h", hash32(F.lit(seed), row_key))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waymark.plans.fixtures import INVALID_GUESS_EVERY, ROUND_MODULUS
+from waymark.plans.fixtures import INVALID_GUESS_EVERY
 
 SIGNS = """signs AS (
   SELECT CASE WHEN l.l_orderkey % 2 = 0 THEN n.n_name || ' & ' || s.s_name
@@ -53,17 +53,22 @@ def scored(with_initial: bool = False) -> str:
 _CLAT, _CLON = _truth("s_suppkey")
 
 CITIES = f"""cities AS (
-  SELECT 'C' || CAST(s_suppkey % 60 AS VARCHAR) AS name,
+  SELECT 'C' || CAST(s_suppkey % (SELECT greatest(1, count(*) * 3 // 5) FROM supplier) AS VARCHAR) AS name,
          CASE WHEN s_nationkey % 3 = 0 THEN 'US' ELSE 'XX' END AS countrycode,
          {_CLAT} AS latitude, {_CLON} AS longitude,
          CAST(floor(s_acctbal / 1000) AS BIGINT) AS population,
-         ['A' || CAST(s_suppkey % 40 AS VARCHAR), 'C' || CAST(s_suppkey % 7 AS VARCHAR)] AS alternatenames,
+         ['A' || CAST(s_suppkey % (SELECT greatest(1, count(*) * 2 // 5) FROM supplier) AS VARCHAR), 'C' || CAST(s_suppkey % 7 AS VARCHAR)] AS alternatenames,
          s_suppkey AS ord
   FROM supplier)"""
 
 CITY_POINTS = f"""city_points AS (
   SELECT s_name AS name, {_CLAT} AS latitude, {_CLON} AS longitude FROM supplier)"""
 
+CITY_PAIR_LIST = """city_pair_list AS (
+  SELECT 'C' || (o_orderkey % (SELECT greatest(1, count(*) * 3 // 5) FROM supplier)) AS city_from,
+         'C' || (o_custkey % ((SELECT greatest(1, count(*) * 3 // 5) FROM supplier) + 2)) AS city_to
+  FROM orders)"""
+
 ROUNDS = f"""rounds AS (
   SELECT s_suppkey AS round_id, s_name AS text, {_CLAT} AS latitude, {_CLON} AS longitude,
          {_CLAT} + (((s_suppkey * 7) % 101) - 50) / 1000 AS predicted_latitude,
@@ -71,9 +76,12 @@ ROUNDS = f"""rounds AS (
   FROM supplier)"""
 
 GUESSES = f"""guesses AS (
-  SELECT event_id AS guess_id, ts, event_id % {ROUND_MODULUS} AS round_id,
+  SELECT event_id AS guess_id, ts,
+         CASE WHEN event_id % 89 = 0 THEN -1 ELSE event_id % ((SELECT count(*) FROM supplier) + 1) END AS round_id,
          CAST(CASE WHEN event_id % {INVALID_GUESS_EVERY} = 0 THEN 95.0 ELSE 39 + value / 490 END AS DOUBLE) AS latitude,
-         CAST(-105 + (user_id % 100) / 100 AS DOUBLE) AS longitude
+         CAST(CASE WHEN event_id % 83 = 0 THEN 185.0 ELSE -105 + (user_id % 100) / 100 END AS DOUBLE) AS longitude,
+         CASE WHEN event_id % 79 = 0 THEN ' ' || chr(9) || ' ' WHEN event_id % 73 = 0 THEN NULL
+              WHEN event_id % 71 = 0 THEN repeat('x', 4001) ELSE 'guess ' || event_id END AS text
   FROM events)"""
 
 

@@ -16,7 +16,6 @@ from waymark.sources.tables import table
 # Source order of a sign: lineitem (orderkey, linenumber, partkey). Rows tied
 # on all three carry the same text and code.
 SIGN_ORDER = ["src_order", "src_line", "src_part"]
-ROUND_MODULUS = 125          # guesses address round ids 0..124
 INVALID_GUESS_EVERY = 97     # every 97th event carries latitude 95
 
 
@@ -100,18 +99,20 @@ def scored(spark: SparkSession, d: str, with_initial: bool = False) -> DataFrame
 
 
 def cities(spark: SparkSession, d: str) -> DataFrame:
-    """Gazetteer: one city per supplier. ``name`` = ``C<k % 60>`` (shared
-    names), country US for nation key % 3 = 0 else XX, population from the
-    account balance (ties), aliases ``A<k % 40>`` and ``C<k % 7>``."""
+    """Gazetteer: one city per supplier. ``name`` = ``C<k % (3n/5)>`` of n
+    suppliers (shared names, growing with the table), country US for nation
+    key % 3 = 0 else XX, population from the account balance (ties), aliases
+    ``A<k % (2n/5)>`` and ``C<k % 7>``."""
+    n = round_count(spark, d)
     sup = table(spark, d, "supplier", ["s_suppkey", "s_nationkey", "s_acctbal"])
     k = F.col("s_suppkey")
     lat, lon = _truth(k)
     return sup.select(
-        F.concat(F.lit("C"), (k % 60).cast("string")).alias("name"),
+        F.concat(F.lit("C"), (k % max(1, n * 3 // 5)).cast("string")).alias("name"),
         F.when(F.col("s_nationkey") % 3 == 0, F.lit("US")).otherwise(F.lit("XX")).alias("countrycode"),
         lat.alias("latitude"), lon.alias("longitude"),
         F.floor(F.col("s_acctbal") / 1000).cast("bigint").alias("population"),
-        F.array(F.concat(F.lit("A"), (k % 40).cast("string")),
+        F.array(F.concat(F.lit("A"), (k % max(1, n * 2 // 5)).cast("string")),
                 F.concat(F.lit("C"), (k % 7).cast("string"))).alias("alternatenames"),
         k.alias("ord"),
     )
@@ -124,6 +125,16 @@ def city_points(spark: SparkSession, d: str) -> DataFrame:
     return sup.select(F.col("s_name").alias("name"), lat.alias("latitude"), lon.alias("longitude"))
 
 
+def city_pair_list(spark: SparkSession, d: str) -> DataFrame:
+    """Given pairs of city names, one per order: ``C<orderkey % (3n/5)>`` to
+    ``C<custkey % (3n/5 + 2)>`` (some names are unknown, some pairs repeat or
+    hold one name twice)."""
+    m = max(1, round_count(spark, d) * 3 // 5)
+    o = table(spark, d, "orders", ["o_orderkey", "o_custkey"])
+    return o.select(F.concat(F.lit("C"), (F.col("o_orderkey") % m).cast("string")).alias("city_from"),
+                    F.concat(F.lit("C"), (F.col("o_custkey") % (m + 2)).cast("string")).alias("city_to"))
+
+
 def rounds(spark: SparkSession, d: str) -> DataFrame:
     """Playable rounds: one per supplier, ``round_id`` = supplier key, text =
     supplier name, truth as in :func:`scored`, model prediction = truth plus a
@@ -139,22 +150,35 @@ def rounds(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def round_count(spark: SparkSession, d: str) -> int:
+    """Number of rounds (one per supplier), from the table's footers."""
+    return table(spark, d, "supplier").count()
+
+
 def guesses(spark: SparkSession, d: str) -> DataFrame:
-    return guesses_from_events(table(spark, d, "events", ["event_id", "ts", "user_id", "value"]))
+    return guesses_from_events(table(spark, d, "events", ["event_id", "ts", "user_id", "value"]), round_count(spark, d))
 
 
-def guesses_from_events(ev: DataFrame) -> DataFrame:
+def guesses_from_events(ev: DataFrame, rounds: int) -> DataFrame:
     """Player guesses from ``events`` (batch or stream): round
-    ``event_id % 125``, latitude ``39 + value/490`` (95 -- invalid -- for
-    every 97th event), longitude ``-105 + (user_id % 100)/100``."""
+    ``event_id % (rounds + 1)`` less 1 for every 89th event (so ids below 0 and
+    ids without a round occur), latitude ``39 + value/490`` (95 -- invalid --
+    for every 97th event), longitude ``-105 + (user_id % 100)/100`` (185 for
+    every 83rd), and a text: blank for every 79th event, null for every 73rd,
+    4001 characters for every 71st."""
+    e = F.col("event_id")
     lat = F.when(F.col("event_id") % INVALID_GUESS_EVERY == 0, F.lit(95.0)) \
         .otherwise(39 + F.col("value") / 490)
     return ev.select(
         F.col("event_id").alias("guess_id"),
         F.col("ts").cast("timestamp").alias("ts"),
-        (F.col("event_id") % ROUND_MODULUS).alias("round_id"),
+        F.when(e % 89 == 0, F.lit(-1).cast("bigint")).otherwise(e % (rounds + 1)).alias("round_id"),
         lat.cast("double").alias("latitude"),
-        (-105 + (F.col("user_id") % 100) / 100).cast("double").alias("longitude"),
+        F.when(e % 83 == 0, F.lit(185.0)).otherwise(-105 + (F.col("user_id") % 100) / 100).cast("double")
+         .alias("longitude"),
+        F.when(e % 79 == 0, F.lit(" \t ")).when(e % 73 == 0, F.lit(None).cast("string"))
+         .when(e % 71 == 0, F.repeat(F.lit("x"), 4001)).otherwise(F.concat(F.lit("guess "), e.cast("string")))
+         .alias("text"),
     )
 
 

@@ -136,6 +136,26 @@ def q_split_label(spark, d):
     return out.select("intersection", "text_on_sign_exact", *fx.SIGN_ORDER, "split")
 
 
+_SOME_GROUPS = """some_groups AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 7 <> 0 THEN 'S' || l_suppkey END AS place FROM lineitem)"""
+
+
+@register("group_split_nulls", X.with_ctes(_SOME_GROUPS, """splits AS (
+  SELECT place, CASE WHEN rk < ceil(0.2::DOUBLE * total) THEN 'val' ELSE 'train' END AS split
+  FROM (SELECT place, row_number() OVER (ORDER BY """ + q.hash32(str(SEED), "coalesce(place, '')") + """,
+               place NULLS FIRST) - 1 AS rk, count(*) OVER () AS total
+        FROM (SELECT DISTINCT place FROM some_groups)))""", body="""
+SELECT g.l_orderkey, CAST(g.l_linenumber AS BIGINT) AS l_linenumber, g.place, s.split
+FROM some_groups g JOIN splits s ON g.place IS NOT DISTINCT FROM s.place"""))
+def q_group_split_nulls(spark, d):
+    """A split by a group column with nulls: rows without a group are one
+    group and keep their rows."""
+    li = table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey"])
+    place = F.when(F.col("l_suppkey") % 7 != 0, F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
+    rows = li.select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), place.alias("place"))
+    return S.split(rows, "place", test_size=0.2, seed=SEED)
+
+
 @register("row_split", _split_sql("SELECT doc_id FROM documents", "doc_id"))
 def q_row_split(spark, d):
     docs = table(spark, d, "documents", ["doc_id"])

@@ -11,9 +11,10 @@ from waymark.plans import sqltext as q
 from waymark.plans.registry import r6, register
 from waymark.streaming.guesses import guess_stream, run_to_table, score_guess_stream
 
-_VALIDATED = """validated AS (
+_VALIDATED = f"""validated AS (
   SELECT g.guess_id, g.round_id, g.latitude, g.longitude,
-         CASE WHEN g.round_id IS NULL OR g.round_id < 0 THEN 'round_id_negative'
+         CASE WHEN g.text IS NULL OR length(g.text) NOT BETWEEN 1 AND 4000 OR {q.strip('g.text')} = '' THEN 'text_invalid'
+              WHEN g.round_id IS NULL OR g.round_id < 0 THEN 'round_id_negative'
               WHEN g.latitude IS NULL OR NOT (g.latitude BETWEEN -90 AND 90) THEN 'latitude_out_of_range'
               WHEN g.longitude IS NULL OR NOT (g.longitude BETWEEN -180 AND 180) THEN 'longitude_out_of_range'
               WHEN r.round_id IS NULL THEN 'round_not_found' END AS reason
@@ -48,12 +49,12 @@ def q_score_guesses(spark, d):
     return _scored_out(SC.score_guesses(fx.guesses(spark, d), fx.rounds(spark, d)))
 
 
-@register("score_open_estimates", X.with_ctes(X.ROUNDS, X.GUESSES, body=f"""
+@register("score_open_estimates", X.with_ctes(X.ROUNDS, X.GUESSES, _VALIDATED, body=f"""
 SELECT g.guess_id, round(r.predicted_latitude, 6) AS predicted_latitude,
        round(r.predicted_longitude, 6) AS predicted_longitude,
        round({q.haversine('g.latitude', 'g.longitude', 'r.predicted_latitude', 'r.predicted_longitude')}, 6)
          AS distance_km
-FROM guesses g JOIN rounds r ON g.round_id = r.round_id"""))
+FROM validated g JOIN rounds r ON g.round_id = r.round_id WHERE g.reason IS NULL"""))
 def q_score_open_estimates(spark, d):
     out = SC.score_open_estimates(fx.guesses(spark, d), fx.rounds(spark, d))
     return out.select("guess_id", r6("predicted_latitude"), r6("predicted_longitude"), r6("distance_km"))
@@ -66,6 +67,6 @@ def q_score_guesses_stream(spark, d):
     back."""
     events_schema = spark.read.parquet(os.path.join(d, "events.parquet")).schema
     stream = guess_stream(spark, d, events_schema, file_glob="events.parquet")
-    scored = score_guess_stream(fx.guesses_from_events(stream), fx.rounds(spark, d))
+    scored = score_guess_stream(fx.guesses_from_events(stream, fx.round_count(spark, d)), fx.rounds(spark, d))
     path = run_to_table(_scored_out(scored), "guess-scores")
     return spark.read.parquet(path)

@@ -3,22 +3,27 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import haversine_km
+from waymark.operators import bags as B
 from waymark.operators import embed as E
 from waymark.operators import head as H
 from waymark.operators import metrics as M
 from waymark.operators import split as S
+from waymark.plans import fixtures as fx
 from waymark.plans import sqltext as q
+from waymark.plans.pipeline import raw_signs_df
 from waymark.plans.registry import r6, register
 from waymark.session import scratch_path
-from waymark.sources.tables import table
+from waymark.sources.tables import stage_table, table
 
 DIM = 64
+EMBEDDING_DIM = 64  # width of the embeddings table
 SEED = 1992
 # Deterministic test runs: no dropout; the other settings are the defaults.
-FIT = dict(hidden=256, dropout=0.0, epochs=10, lr=5e-2, weight_decay=1e-3, batch_size=64,
+FIT = dict(hidden=256, dropout=0.0, epochs=10, lr=5e-2, weight_decay=1e-3, steps_per_epoch=4,
            patience=5, save_every=5, seed=SEED)
 
 _WEIGHTS_SQL = f"""tok AS (SELECT doc_id, unnest(string_split({q.clean('text')}, ' ')) AS t FROM documents),
@@ -51,23 +56,17 @@ def embedding_bags(spark, d):
                     (-105.2 + 0.05 * F.col("label")).cast("double").alias("longitude"))
 
 
-_TRAINED: dict = {}
-
-
 def trained(spark, d):
-    """Fit once per session and data folder; the model is saved as a table
-    and read back, so scoring goes through the artifact path."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _TRAINED:
-        bags = E.cache_embeddings(S.split(embedding_bags(spark, d), group_col=None, row_key="vec_id",
-                                          test_size=0.2, seed=SEED), "embedding-bags")
-        stats = M.fit_coord_stats(bags)
-        path = scratch_path(spark, "head-model")
-        best, initial, log = H.fit_head(bags.where("split = 'train'"), bags.where("split = 'val'"),
-                                        "embedding", stats, "vec_id", save_path=path, **FIT)
-        H.save_model(spark, initial, path + "-initial")
-        _TRAINED[key] = (bags, stats, path, log)
-    return _TRAINED[key]
+    """Fit; the model is saved as a table and read back, so scoring goes
+    through the artifact path."""
+    bags = E.cache_embeddings(S.split(embedding_bags(spark, d), group_col=None, row_key="vec_id",
+                                      test_size=0.2, seed=SEED), "embedding-bags")
+    stats = M.fit_coord_stats(bags)
+    path = scratch_path(spark, "head-model")
+    best, initial, log = H.fit_head(bags.where("split = 'train'"), bags.where("split = 'val'"),
+                                    "embedding", stats, "vec_id", save_path=path, **FIT)
+    H.save_model(spark, initial, path + "-initial")
+    return bags, stats, path, log
 
 
 @register("training_log")
@@ -108,3 +107,111 @@ def q_compare_models(spark, d):
     return both.select("vec_id", "split", r6("predicted_latitude"), r6("predicted_longitude"),
                        r6("initial_predicted_latitude"), r6("initial_predicted_longitude"),
                        r6("error_km"), r6("initial_error_km"))
+
+
+# A head with arithmetic weights, so that SQL can say what it predicts.
+FIXED_HIDDEN = 4
+FIXED_STATS = {"lat_mean": 39.5, "lon_mean": -105.0, "lat_std": 0.1, "lon_std": 0.2}
+
+
+def _fixed(rows: int, cols: int, shift: int) -> list[list[float]]:
+    return [[((i * 7 + j * 3 + shift) % 11 - 5) / 50 for j in range(cols)] for i in range(rows)]
+
+
+def fixed_params(dim: int, shift: int = 0) -> dict:
+    sizes = [(dim, FIXED_HIDDEN), (FIXED_HIDDEN, FIXED_HIDDEN // 2), (FIXED_HIDDEN // 2, 2)]
+    params = {}
+    for k, (n_in, n_out) in enumerate(sizes, 1):
+        params[f"w{k}"] = np.array(_fixed(n_in, n_out, shift + k))
+        params[f"b{k}"] = np.array(_fixed(1, n_out, shift + 5 * k)[0])
+    return params
+
+
+def fixed_model(dim: int, shift: int = 0) -> H.HeadModel:
+    stats = FIXED_STATS
+    return H.HeadModel(fixed_params(dim, shift), [stats["lat_mean"], stats["lon_mean"]],
+                       [stats["lat_std"], stats["lon_std"]], FIXED_HIDDEN, 0.0)
+
+
+def _layer_sql(name: str, source: str, x: str, params: dict, k: int, relu: bool) -> str:
+    units = []
+    for j, bias in enumerate(params[f"b{k}"].tolist()):
+        dot = f"list_dot_product({x}, {params[f'w{k}'][:, j].tolist()}::DOUBLE[]) + {bias!r}"
+        units.append(f"greatest({dot}, 0.0)" if relu else dot)
+    return f"{name} AS (SELECT * EXCLUDE ({x}), [{', '.join(units)}] AS {x} FROM {source})"
+
+
+def _forward_sql(source: str, dim: int, shift: int, tag: str) -> str:
+    p = fixed_params(dim, shift)
+    return ", ".join([_layer_sql(f"{tag}1", source, "x", p, 1, True), _layer_sql(f"{tag}2", f"{tag}1", "x", p, 2, True),
+                      _layer_sql(f"{tag}3", f"{tag}2", "x", p, 3, False)])
+
+
+_BAGS_SQL = """bags AS (SELECT vec_id, 39.5 + 0.03 * label AS latitude, -105.2 + 0.05 * label AS longitude,
+                 CAST(embedding AS DOUBLE[]) AS x FROM embeddings)"""
+_AT = {c: f"CAST({m} + {s} * x[{k}] AS DOUBLE)" for k, (c, m, s) in enumerate(
+    (("latitude", 39.5, 0.1), ("longitude", -105.0, 0.2)), 1)}
+
+
+def _side_by_side_sql(dim: int) -> str:
+    """Predictions and errors of the fixed heads 0 and 1 beside each other."""
+    sides = [f"{tag} AS (SELECT vec_id, latitude, longitude, {_AT['latitude']} AS plat, {_AT['longitude']} AS plon FROM {tag}3)"
+             for tag in ("m", "n")]
+    return f"""WITH {_BAGS_SQL}, {_forward_sql('bags', dim, 0, 'm')}, {_forward_sql('bags', dim, 1, 'n')}, {', '.join(sides)}
+SELECT m.vec_id, round(m.plat, 6) AS predicted_latitude, round(m.plon, 6) AS predicted_longitude,
+       round({q.haversine('m.plat', 'm.plon', 'm.latitude', 'm.longitude')}, 6) AS error_km,
+       round(n.plat, 6) AS initial_predicted_latitude, round(n.plon, 6) AS initial_predicted_longitude,
+       round({q.haversine('n.plat', 'n.plon', 'n.latitude', 'n.longitude')}, 6) AS initial_error_km
+FROM m JOIN n USING (vec_id)"""
+
+
+@register("score_fixed_models", _side_by_side_sql(EMBEDDING_DIM))
+def q_score_fixed_models(spark, d):
+    """Two heads with arithmetic weights scored side by side in one pass."""
+    both = H.score_bags(embedding_bags(spark, d), "embedding", fixed_model(EMBEDDING_DIM), fixed_model(EMBEDDING_DIM, 1))
+    return both.select("vec_id", *[r6(f"{p}{c}") for p in ("", "initial_") for c in
+                                   ("predicted_latitude", "predicted_longitude", "error_km")])
+
+
+def _gradient_sql(dim: int) -> str:
+    """Gradient of the output biases: clipped residuals, halved and summed."""
+    return f"""WITH {_BAGS_SQL}, z AS (SELECT vec_id, (latitude - 39.5) / 0.1 AS zlat, (longitude + 105.0) / 0.2 AS zlon, x FROM bags),
+{_forward_sql('z', dim, 0, 'm')}, r AS (SELECT x[1] - zlat AS a, x[2] - zlon AS b FROM m3)
+SELECT 'latitude' AS axis, round(sum(greatest(-1.0, least(1.0, a))) / 2, 6) AS gradient, count(*) AS n FROM r
+UNION ALL
+SELECT 'longitude', round(sum(greatest(-1.0, least(1.0, b))) / 2, 6), count(*) FROM r"""
+
+
+@register("gradient_step", _gradient_sql(EMBEDDING_DIM))
+def q_gradient_step(spark, d):
+    """One gradient sum over all bags: the output layer's biases."""
+    rows = H.prepare_training(embedding_bags(spark, d), "embedding", "latitude", "longitude", FIXED_STATS, "vec_id", SEED)
+    grads, n, _ = H.gradient_sums(rows, "embedding", fixed_params(EMBEDDING_DIM))
+    values = [(axis, round(float(g), 6), int(n)) for axis, g in zip(("latitude", "longitude"), grads["b3"], strict=True)]
+    return spark.createDataFrame(values, "axis string, gradient double, n long")
+
+
+E2E_FIT = dict(hidden=32, dropout=0.0, epochs=6, lr=2e-2, weight_decay=1e-3, steps_per_epoch=2, seed=SEED)
+
+
+@register("sign_bags_to_errors")
+def q_sign_bags_to_errors(spark, d):
+    """The main flow: raw signs -> bags -> hashed vectors -> split by place ->
+    fit -> score -> error summary. The sign texts of the driver's tables say
+    nothing about the place, so the errors are those of a model without a
+    signal; tests/test_training.py holds it against texts that do."""
+    signs = stage_table(raw_signs_df(spark, d), "raw-signs")
+    bags = B.bootstrap_bags(signs, fx.SIGN_ORDER, bag_size=5, samples=5, seed=SEED)
+    return bag_errors(bags, **E2E_FIT)
+
+
+def bag_errors(bags, dim: int = DIM, **fit):
+    """Error summary of a head fitted on bags (``intersection, sample_id,
+    text, latitude, longitude``) with places held out."""
+    keyed = bags.withColumn("bag_id", F.concat_ws("#", "intersection", "sample_id"))
+    vectors = E.embed_hashed(keyed, "text", ["bag_id"], dim)
+    rows = E.cache_embeddings(S.split(keyed.join(vectors, "bag_id"), "intersection", test_size=0.2, seed=SEED), "bag-vectors")
+    stats = M.fit_coord_stats(rows)
+    best, _, _ = H.fit_head(rows.where("split = 'train'"), rows.where("split = 'val'"), "embedding", stats, "bag_id", **fit)
+    scored = E.cache_embeddings(H.score_bags(rows, "embedding", best).drop("embedding"), "scored-bags")
+    return M.error_summary(scored)

@@ -4,8 +4,9 @@
 The sheets are derived from ``signs`` by Spark writes into the shared
 checkpoint folder: layout ``a`` (intersection, text, code), layout ``b``
 (reordered, with ``notes`` and an unnamed fourth column), layout ``c`` (no
-text column: skipped), a header-only sheet, and a nested folder under ``a``
-that the non-recursive glob must not visit.
+text column: skipped), layout ``d`` (text and intersection only), a
+header-only sheet, and a nested folder under ``a`` that the non-recursive glob
+must not visit. Every sign is in one layout.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ def write_sheets(spark, d) -> str:
                                        "code_type", "text_on_sign_exact",
                                        F.col("src_part").cast("string").alias(""), "intersection"),
         "c": s.where(part == 2).select("intersection", "code_type"),
+        "d": s.where(part == 3).select("text_on_sign_exact", "intersection"),
         "header_only": s.where(F.lit(False)).select("intersection", "text_on_sign_exact"),
     }
     for name, df in layouts.items():
@@ -50,7 +52,10 @@ _SHEETS_SQL = """sheets AS (
   UNION ALL
   SELECT intersection, text_on_sign_exact, code_type, 'n' || CAST(src_line AS VARCHAR),
          CAST(src_part AS VARCHAR), src_order, src_line, src_part
-  FROM signs WHERE src_part % 4 = 1)"""
+  FROM signs WHERE src_part % 4 = 1
+  UNION ALL
+  SELECT intersection, text_on_sign_exact, NULL, NULL, NULL, src_order, src_line, src_part
+  FROM signs WHERE src_part % 4 = 3)"""
 
 
 @register("scan_sheets", X.with_ctes(X.SIGNS, _SHEETS_SQL, body="""

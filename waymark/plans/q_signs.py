@@ -8,6 +8,8 @@ from waymark.plans import fixtures as fx
 from waymark.plans.pipeline import (LOOKUP_SQL, PIPE_CTES, RAW_SIGNS_SQL, attached_df,
                                     lookup_df, raw_signs_df)
 from waymark.plans.registry import r6, register
+from waymark.session import scratch_path
+from waymark.sources.tables import read_raw_signs, write_table
 
 
 @register("coord_lookup", X.with_ctes(X.COORD_LOOKUP_RAW, LOOKUP_SQL, body="SELECT * FROM lookup"))
@@ -36,6 +38,20 @@ def q_raw_signs(spark, d):
                     r6("longitude"), "code_type", *fx.SIGN_ORDER)
 
 
+@register("raw_signs_csv", X.with_ctes(*PIPE_CTES, RAW_SIGNS_SQL, body="""
+SELECT intersection, text_on_sign_exact, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, code_type
+FROM raw_signs"""))
+def q_raw_signs_csv(spark, d):
+    """The raw signs written as CSV, with an excluded, a blank and an
+    incomplete row beside them, and read through the CSV reader."""
+    signs = raw_signs_df(spark, d).select("intersection", "text_on_sign_exact", "latitude", "longitude", "code_type")
+    odd = signs.limit(0).unionByName(spark.createDataFrame(
+        [("56th-pena", " x ", 1.0, 2.0, "y"), ("blank", "   ", 1.0, 2.0, "y"), ("null", "t", None, 2.0, "y")], signs.schema))
+    path = write_table(signs.unionByName(odd), scratch_path(spark, "raw-signs-csv"), fmt="csv")
+    return read_raw_signs(spark, path).select("intersection", "text_on_sign_exact", r6("latitude"), r6("longitude"),
+                                              "code_type")
+
+
 @register("intersection_profile", X.with_ctes(*PIPE_CTES, RAW_SIGNS_SQL, body="""
 SELECT intersection, round(avg(latitude), 6) AS latitude, round(avg(longitude), 6) AS longitude,
        CAST(count(DISTINCT text_on_sign_exact) AS BIGINT) AS unique_sign_count,

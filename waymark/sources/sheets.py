@@ -5,13 +5,13 @@ Sheets are header CSV files whose columns differ from file to file. One
 every file and silently mis-assign columns, so the scan:
 
 1. finds the files with a non-recursive glob (``dir/*.csv``), in one listing;
-2. reads every file's first line in one text-source job and parses it as a
-   header (blank names become ``Unnamed: <i>``, as the original reader
-   names them);
+2. reads every file's first line that is not blank in one text-source job and
+   parses it as a header (blank names become ``Unnamed: <i>``, as the original
+   reader names them);
 3. reads each distinct header layout with one CSV read over all its files,
    using an explicit all-string schema from that header;
-4. keeps only the wanted columns, skips layouts without the required ones,
-   and unions the layouts by name.
+4. keeps only the wanted columns, skips layouts without the required ones
+   (:func:`skipped_sheets` lists their files), and unions the layouts by name.
 
 The number of reads is the number of distinct layouts, not of files. Rows
 carry ``ord`` = (file path, block start, position) so file order survives for
@@ -56,11 +56,19 @@ def sheet_headers(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
                   .select(F.col("_metadata.file_path").alias("path"), "value",
                           F.col("_metadata.file_block_start").alias("block"),
                           F.monotonically_increasing_id().alias("pos"))
-                  .where(F.col("block") == 0)
+                  .where((F.col("block") == 0) & (F.trim("value") != ""))
                   .groupBy("path").agg(F.min_by("value", "pos").alias("header")))
     return {r["path"]: parse_header(r["header"]) for r in lines.collect()}
 
 
+def skipped_sheets(spark: SparkSession, pattern: str,
+                   required=("intersection", "text_on_sign_exact")) -> DataFrame:
+    """``path, missing``: the files that a scan leaves out, with the required
+    columns they lack."""
+    rows = [(path, sorted(set(required) - set(cols))) for path, cols in sorted(sheet_headers(spark, pattern).items())]
+    return spark.createDataFrame([r for r in rows if r[1]], "path string, missing array<string>")
+
+
 def scan_sheets(spark: SparkSession, pattern: str, required=("intersection", "text_on_sign_exact"),
                 optional=SHEET_COLUMNS_OPTIONAL) -> DataFrame:
     """Union of all sheets matching ``pattern`` that hold the ``required``

@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,15 +37,22 @@ def table(spark: SparkSession, base_dir: str, name: str, columns=None) -> DataFr
     return df.select(*columns) if columns else df
 
 
-def read_csv_strings(spark: SparkSession, paths, header_columns) -> DataFrame:
+def read_csv_strings(spark: SparkSession, paths, header_columns, multi_line: bool = True) -> DataFrame:
     """Read CSV files that share one header as all-string columns (no
     inference: the header names the columns, values stay text until a typed
-    projection converts them)."""
+    projection converts them). Quoted line breaks need ``multi_line``, which
+    makes a file one task; without it large files are split."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header_columns])
-    return (spark.read.schema(schema)
-                 .option("header", True).option("enforceSchema", True)
-                 .option("multiLine", True).option("escape", '"')
+    rows = (spark.read.schema(schema).option("multiLine", multi_line).option("escape", '"')
                  .csv(list(paths) if not isinstance(paths, str) else paths))
+    # The reader would take a blank first line for the header, so header lines
+    # are read as rows and left out wherever they stand.
+    named = [c for c in header_columns if not c.startswith("Unnamed: ")]
+    is_header = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.lit(c)) for c in named], F.lit(bool(named)))
+    # A line of white space alone is blank too.
+    first, *others = [F.col(f"`{c}`") for c in header_columns]
+    blank = reduce(lambda a, b: a & b, [c.isNull() for c in others], F.coalesce(F.trim(first) == "", F.lit(True)))
+    return rows.where(~is_header & ~blank)
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
@@ -52,7 +60,7 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Read a table by suffix: workbook suffixes need a workbook reader, which
     this engine does not ship; everything else is a header CSV, with the
     reader's missing-value tokens turned into nulls."""
@@ -61,11 +69,31 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
             f"{path}: workbook files need a workbook reader; export the first sheet to CSV")
     if path.lower().endswith(".parquet"):
         return spark.read.parquet(path)
-    return nullify_columns(read_csv_strings(spark, path, csv_header(spark, path)))
+    return nullify_columns(read_csv_strings(spark, path, csv_header(spark, path), multi_line))
 
 
-def to_double(df: DataFrame, columns) -> DataFrame:
-    return df.withColumns({c: F.col(c).try_cast("double") for c in columns if c in df.columns})
+def to_number(df: DataFrame, columns, kind: str = "double", mode: str = "strict") -> DataFrame:
+    """Text columns as numbers. A value that is no number fails the job in
+    ``strict`` mode; in ``permissive`` mode it becomes null and its column is
+    named in ``rejected`` (array of column names, empty for a good row)."""
+    columns = [c for c in columns if c in df.columns]
+    bad = {c: F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull() for c in columns}
+    if mode == "permissive":
+        names = F.filter(F.array(*[F.when(b, F.lit(c)) for c, b in bad.items()]).cast("array<string>"),
+                         lambda n: n.isNotNull())
+        if "rejected" in df.columns:
+            names = F.concat(F.col("rejected"), names)
+        return df.withColumns({"rejected": names, **{c: F.col(c).try_cast(kind) for c in columns}})
+    if mode != "strict":
+        raise ValueError("mode must be 'strict' or 'permissive'")
+    fail = lambda c: F.raise_error(F.concat(F.lit(f"{c} holds no number: "), F.col(c))).cast(kind)
+    return df.withColumns({c: F.when(bad[c], fail(c)).otherwise(F.col(c).try_cast(kind)) for c in columns})
+
+
+def rejected_rows(spark: SparkSession, path: str, columns=("latitude", "longitude")) -> DataFrame:
+    """The rows of a CSV table in which some of ``columns`` holds no number,
+    with ``rejected``: what a permissive read leaves out."""
+    return to_number(read_table(spark, path), columns, mode="permissive").where(F.size("rejected") > 0)
 
 
 def prepare_raw_signs(df: DataFrame, extra=()) -> DataFrame:
@@ -80,14 +108,16 @@ def prepare_raw_signs(df: DataFrame, extra=()) -> DataFrame:
     return exclude_values(out, "intersection")
 
 
-def read_raw_signs(spark: SparkSession, path: str, order_col: str = "ord") -> DataFrame:
+def read_raw_signs(spark: SparkSession, path: str, order_col: str = "ord", mode: str = "strict") -> DataFrame:
     """Raw sign CSV -> typed raw sign table, with ``order_col`` giving file
-    order (path, block, position) for the order-sensitive operators."""
+    order (path, block, position) for the order-sensitive operators.
+    Coordinates that are no numbers fail the job; with ``mode='permissive'``
+    their rows are left out and :func:`rejected_rows` lists them."""
     df = read_table(spark, path)
     df = df.withColumn(order_col, F.struct(F.col("_metadata.file_path").alias("f"),
                                            F.col("_metadata.file_block_start").alias("b"),
                                            F.monotonically_increasing_id().alias("i")))
-    return prepare_raw_signs(to_double(df, ["latitude", "longitude"]), extra=[order_col])
+    return prepare_raw_signs(to_number(df, ["latitude", "longitude"], mode=mode), extra=[order_col])
 
 
 def prepare_bags(df: DataFrame, error_if_empty: bool = False) -> DataFrame:
@@ -96,17 +126,15 @@ def prepare_bags(df: DataFrame, error_if_empty: bool = False) -> DataFrame:
     with a one-row probe, not a count)."""
     out = drop_null_rows(df, BAG_REQUIRED).withColumn("text", F.col("text").cast("string"))
     if error_if_empty and out.limit(1).count() == 0:
-        raise ValueError("No playable rounds are available")
+        raise ValueError("the bag table has no usable row")
     return out
 
 
-def read_bags(spark: SparkSession, path: str, error_if_empty: bool = False) -> DataFrame:
-    df = read_table(spark, path)
-    df = to_double(df, ["latitude", "longitude"])
-    for c in ("sample_id", "unique_sign_count", "raw_sign_count"):
-        if c in df.columns:
-            df = df.withColumn(c, F.col(c).try_cast("int"))
-    return prepare_bags(df, error_if_empty)
+def read_bags(spark: SparkSession, path: str, error_if_empty: bool = False, mode: str = "strict") -> DataFrame:
+    """Bag CSV -> typed bag table; numbers as in :func:`read_raw_signs`."""
+    df = to_number(read_table(spark, path), ["latitude", "longitude"], mode=mode)
+    df = to_number(df, ["sample_id", "unique_sign_count", "raw_sign_count"], "int", mode)
+    return prepare_bags(df.drop("rejected"), error_if_empty)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",

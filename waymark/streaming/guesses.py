@@ -30,9 +30,11 @@ def score_guess_stream(guesses: DataFrame, rounds: DataFrame) -> DataFrame:
 
 
 def run_to_table(stream_df: DataFrame, name: str = "guess-scores", available_now: bool = True,
-                 output_path: str | None = None, checkpoint: str | None = None) -> str:
-    """Run a streaming query into a Parquet table and return its path. With
-    ``available_now`` the query processes every file present and stops."""
+                 output_path: str | None = None, checkpoint: str | None = None):
+    """Run a streaming query into a Parquet table. With ``available_now`` the
+    query processes every file present, stops, and the table's path is
+    returned; otherwise it runs on, and ``(path, query)`` is returned so that
+    the caller can watch and stop it."""
     spark = stream_df.sparkSession
     out = output_path or scratch_path(spark, name)
     ckpt = checkpoint or scratch_path(spark, name + "-ckpt")
@@ -40,8 +42,9 @@ def run_to_table(stream_df: DataFrame, name: str = "guess-scores", available_now
               .option("path", out).option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     query = writer.start()
-    if available_now:
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise RuntimeError(str(query.exception()))
+    if not available_now:
+        return out, query
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
     return out
