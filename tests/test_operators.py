@@ -130,7 +130,7 @@ def test_quantiles_match_numpy(spark):
     rows = [("a" if i % 3 else "b", float(v), i) for i, v in enumerate(vals)] + [("c", 1.0, 9001), ("c", 2.0, 9002),
                                                                                 ("c", 5.0, 9003), ("c", 9.0, 9004)]
     df = spark.createDataFrame(rows, "g string, v double, i int")
-    got = {r.g: (r.q50, r.q90) for r in M.quantiles(df, "v", ["g"], [0.5, 0.9], tiebreak=["i"]).collect()}
+    got = {r.g: (r.q50, r.q90) for r in M.quantiles(df, "v", ["g"], [0.5, 0.9]).collect()}
     for g in ("a", "b"):
         x = np.array([v for gg, v, _ in rows if gg == g])
         assert got[g][0] == pytest.approx(np.percentile(x, 50)) and got[g][1] == pytest.approx(np.percentile(x, 90))
@@ -172,7 +172,22 @@ def test_coord_stats_fit_on_train(spark):
 def test_quantiles_approx_close_to_exact(spark):
     df = spark.range(20000).select((F.col("id") % 3).cast("string").alias("g"),
                                    ((F.col("id") * 7919) % 10007).cast("double").alias("v"), "id")
-    exact = {r.g: r.q50 for r in M.quantiles(df, "v", ["g"], [0.5], tiebreak=["id"]).collect()}
+    exact = {r.g: r.q50 for r in M.quantiles(df, "v", ["g"], [0.5]).collect()}
     approx = {r.g: r.q50 for r in M.quantiles(df, "v", ["g"], [0.5], method="approx").collect()}
     assert set(exact) == set(approx)
     assert all(abs(exact[g] - approx[g]) <= 10007 / 1000 for g in exact)
+
+
+def test_bracketed_quantiles_on_a_large_skewed_group(spark):
+    rng = np.random.default_rng(5)
+    hot = np.concatenate([np.full(40_000, 3.0), rng.normal(size=50_000), rng.exponential(size=1_000)])
+    rows = spark.createDataFrame([(v,) for v in hot.tolist()], "v double").withColumn("g", F.lit(None).cast("string"))
+    got = M.quantiles(rows, "v", ["g"], [0.01, 0.5, 0.9, 0.999]).first()
+    assert [got.q1, got.q50, got.q90, got.q100] == pytest.approx(np.quantile(hot, [0.01, 0.5, 0.9, 0.999]).tolist())
+
+
+def test_first_skips_nulls_in_order_and_median_buffers_nothing(spark):
+    df = spark.createDataFrame([("a", 3, None, 1.0), ("a", 1, None, 4.0), ("a", 2, "x", 2.0), (None, 1, "y", 7.0), (None, 2, "z", None)],
+                               "g string, o int, t string, v double")
+    got = {r.g: (r.t, r.v) for r in M.group_agg(df, "g", {"t": "first", "v": "median"}, order_by="o").collect()}
+    assert got == {"a": ("x", 2.0), None: ("y", 7.0)}

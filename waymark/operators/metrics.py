@@ -1,27 +1,26 @@
 """Grouping and error analytics.
 
 Aggregations are plain ``groupBy().agg()`` so each task reduces its rows
-before the shuffle. Quantiles are exact by default but never buffer a group
-in one task: values are ranked with the balanced ordinal operator and the two
-ranks around each quantile position are joined back and interpolated.
+before the shuffle. Quantiles are exact by default but never buffer or sort a
+group: a sketch brackets them and only the values inside a bracket are ranked.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import EARTH_RADIUS_KM, denormalize, haversine_km, huber, zscore
 from waymark.functions.text import clean_columns
-from waymark.operators.ordinal import with_ordinal
 
 # Aggregation names accepted in an aggregation map (the pandas spellings).
 AGGREGATES = {
     "sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max,
-    "count": F.count, "first": F.first, "nunique": F.countDistinct,
-    "median": F.median, "std": F.stddev_samp,
+    "count": F.count, "nunique": F.countDistinct, "std": F.stddev_samp,
+    # "first" and "median" are planned by group_agg itself.
+    "first": None, "median": None,
 }
 
 
@@ -30,10 +29,13 @@ def union_frames(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def group_agg(df: DataFrame, by, agg: dict | None = None) -> DataFrame:
+def group_agg(df: DataFrame, by, agg: dict | None = None, order_by=None) -> DataFrame:
     """Group (null keys form their own group). Without ``agg`` the result is
     the group size in ``count``; with ``agg`` = {column: name} each column is
-    aggregated under its own name. Rows come sorted by the keys, nulls last."""
+    aggregated under its own name. ``first`` is the first value that is not
+    null in ``order_by`` order (any such value without it); ``median`` is the
+    exact quantile of :func:`quantiles`, which buffers no group. Rows come
+    sorted by the keys, nulls last."""
     by = [by] if isinstance(by, str) else list(by)
     if agg is None:
         out = df.groupBy(*by).agg(F.count(F.lit(1)).alias("count"))
@@ -41,7 +43,22 @@ def group_agg(df: DataFrame, by, agg: dict | None = None) -> DataFrame:
         unknown = sorted(set(agg.values()) - set(AGGREGATES))
         if unknown:
             raise ValueError(f"unsupported aggregations: {unknown}")
-        out = df.groupBy(*by).agg(*[AGGREGATES[fn](c).alias(c) for c, fn in agg.items()])
+        def one(c, fn):
+            if fn != "first":
+                return AGGREGATES[fn](c)
+            if order_by is None:
+                return F.first(c, ignorenulls=True)
+            order = F.struct(*[F.col(o) for o in ([order_by] if isinstance(order_by, str) else order_by)])
+            return F.min_by(c, F.when(F.col(c).isNotNull(), order))
+        medians = [c for c, fn in agg.items() if fn == "median"]
+        out = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_wm_rows"),
+                                  *[one(c, fn).alias(c) for c, fn in agg.items() if fn != "median"])
+        for c in medians:
+            m = quantiles(df, c, by, [0.5]).select(*[F.col(k).alias(f"_wm_k{n}") for n, k in enumerate(by)],
+                                                   F.col("q50").alias(c))
+            same = reduce(lambda a, b: a & b, [out[k].eqNullSafe(m[f"_wm_k{n}"]) for n, k in enumerate(by)])
+            out = out.join(m, same, "left").drop(*[f"_wm_k{n}" for n in range(len(by))])
+        out = out.select(*by, *agg)
     return out.orderBy(*[F.col(c).asc_nulls_last() for c in by])
 
 
@@ -94,41 +111,51 @@ def with_error_km(df: DataFrame, radius_km: float = EARTH_RADIUS_KM, name: str =
     return df.withColumn(name, haversine_km(pred[0], pred[1], true[0], true[1], radius_km))
 
 
-def quantiles(df: DataFrame, value: str, by: list[str], probs, tiebreak=(),
-              method: str = "exact", accuracy: int = 100000) -> DataFrame:
+#: Rank error of the sketch that brackets an exact quantile is n / BRACKET.
+BRACKET = 10_000
+
+
+def quantiles(df: DataFrame, value: str, by: list[str], probs, method: str = "exact",
+              accuracy: int = 100000) -> DataFrame:
     """Quantiles with linear interpolation (the NumPy default) per ``by``
     group, one column ``q<100p>`` per probability (``q50``, ``q90``).
 
-    ``exact`` ranks the values with the balanced ordinal (range-partitioned,
-    so a group holding most rows is still split over many tasks) and joins
-    back the ranks floor/ceil of ``p * (n - 1)``. ``approx`` uses
-    ``percentile_approx`` with bounded memory per group.
-    """
+    ``exact`` brackets every quantile with a sketch (one scan), then counts the
+    values below the bracket and the distinct values inside it (a second
+    scan) and takes the two ranks around ``p * (n - 1)``. Nothing is sorted but
+    the values inside a bracket: a few ten-thousandths of a group, or the whole
+    of a group of at most ``BRACKET`` rows; equal values count as one.
+    ``approx`` uses ``percentile_approx`` with bounded memory per group."""
     names = [f"q{round(p * 100)}" for p in probs]
-    vals = df.where(F.col(value).isNotNull())
+    vals = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_wm_v"))
     if method == "approx":
-        return vals.groupBy(*by).agg(*[F.percentile_approx(value, p, accuracy).alias(n)
+        return vals.groupBy(*by).agg(*[F.percentile_approx("_wm_v", p, accuracy).alias(n)
                                        for p, n in zip(probs, names)])
-    counts = vals.groupBy(*by).agg(F.count(F.lit(1)).alias("_wm_n"))
-    targets = reduce(lambda a, b: a.unionByName(b), [
-        counts.select(*by, F.lit(n).alias("_wm_q"),
-                      (F.lit(float(p)) * (F.col("_wm_n") - 1)).alias("_wm_pos"))
-        for p, n in zip(probs, names)])
-    targets = targets.withColumns({"_wm_lo": F.floor("_wm_pos"), "_wm_hi": F.ceil("_wm_pos")})
-    keyed = vals.select(*by, value, *tiebreak)
-    tb = [F.xxhash64(*tiebreak)] if tiebreak else []
-    ranked = with_ordinal(keyed.withColumn("_wm_tb", tb[0]) if tb else keyed,
-                          [value] + (["_wm_tb"] if tb else []), by, name="_wm_rank")
-    ranked = ranked.select(*by, "_wm_rank", F.col(value).alias("_wm_v"))
-    wanted = targets.select(*by, F.col("_wm_lo").alias("_wm_rank")).unionByName(
-        targets.select(*by, F.col("_wm_hi").alias("_wm_rank"))).distinct()
-    picked = ranked.join(wanted, [*by, "_wm_rank"])
-    lo = picked.select(*by, F.col("_wm_rank").alias("_wm_lo"), F.col("_wm_v").alias("_wm_vlo"))
-    hi = picked.select(*by, F.col("_wm_rank").alias("_wm_hi"), F.col("_wm_v").alias("_wm_vhi"))
-    interp = (targets.join(lo, [*by, "_wm_lo"]).join(hi, [*by, "_wm_hi"])
-                     .withColumn("_wm_val", F.col("_wm_vlo") + (F.col("_wm_vhi") - F.col("_wm_vlo"))
-                                 * (F.col("_wm_pos") - F.col("_wm_lo"))))
-    return interp.groupBy(*by).pivot("_wm_q", names).agg(F.first("_wm_val"))
+    margin = 3 / BRACKET
+    edges = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    groups = vals.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_wm_n"), F.min("_wm_v").alias("_wm_min"), F.max("_wm_v").alias("_wm_max"),
+        F.percentile_approx("_wm_v", edges, BRACKET).alias("_wm_e"))
+    small = F.col("_wm_n") <= BRACKET
+    wanted = F.array(*[F.struct(
+        F.lit(n).alias("q"), (F.lit(float(p)) * (F.col("_wm_n") - 1)).alias("at"),
+        F.when(small, F.col("_wm_min")).otherwise(F.col("_wm_e")[2 * k]).alias("low"),
+        F.when(small, F.col("_wm_max")).otherwise(F.col("_wm_e")[2 * k + 1]).alias("high"))
+        for k, (p, n) in enumerate(zip(probs, names))])
+    brackets = groups.select(*[F.col(c).alias(f"_wm_by{k}") for k, c in enumerate(by)], wanted.alias("_wm_w"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_wm_by{k}")) for k, c in enumerate(by)])
+    each = vals.join(brackets, same).select(*by, "_wm_v", F.explode("_wm_w").alias("w")).select(*by, "_wm_v", "w.*")
+    # One key for all values below the bracket, one per distinct value inside.
+    keyed = (each.where(F.col("_wm_v") <= F.col("high"))
+                 .withColumn("key", F.when(F.col("_wm_v") >= F.col("low"), F.col("_wm_v")))
+                 .groupBy(*by, "q", "at", "key").agg(F.count(F.lit(1)).alias("n")))
+    upto = F.sum("n").over(Window.partitionBy(*by, "q").orderBy(F.asc_nulls_first("key")))
+    ranked = keyed.withColumn("upto", upto).where(F.col("key").isNotNull())
+    ends = ranked.groupBy(*by, "q", "at").agg(
+        F.min(F.when(F.col("upto") > F.floor("at"), F.col("key"))).alias("lo"),
+        F.min(F.when(F.col("upto") > F.ceil("at"), F.col("key"))).alias("hi"))
+    found = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
+    return ends.groupBy(*by).agg(*[F.max(F.when(F.col("q") == n, found)).alias(n) for n in names])
 
 
 def intersection_errors(scored: DataFrame, split_col: str = "split",
@@ -150,20 +177,19 @@ def error_summary(scored: DataFrame, split_col: str = "split", group_col: str =
     split (level ``bag``), intersections per split (level ``intersection``).
     Columns: scope, level, n, mean_km, median_km, p90_km.
 
-    ``scored`` is read several times (counts, ranks, intersection means):
+    ``scored`` is read several times (counts, brackets, intersection means):
     pass a written table, as the evaluation writes its scored bags anyway."""
     bags = scored.select(F.col(split_col).alias("scope"), F.lit("bag").alias("level"),
-                         F.col(err).alias("err"), F.xxhash64(*scored.columns).alias("_wm_row"))
+                         F.col(err).alias("err"))
     parts = [bags, bags.withColumn("scope", F.lit("all"))]
     if group_col in scored.columns:
         ie = intersection_errors(scored, split_col, group_col)
         parts.append(ie.select(F.col(split_col).alias("scope"), F.lit("intersection").alias("level"),
-                               F.col("error_km").alias("err"),
-                               F.xxhash64(group_col).alias("_wm_row")))
+                               F.col("error_km").alias("err")))
     values = union_frames(parts)
     stats = values.groupBy("scope", "level").agg(F.count(F.lit(1)).alias("n"),
                                                  F.avg("err").alias("mean_km"))
-    qs = quantiles(values, "err", ["scope", "level"], [0.5, 0.9], tiebreak=["_wm_row"], method=method)
+    qs = quantiles(values, "err", ["scope", "level"], [0.5, 0.9], method=method)
     return (stats.join(qs, ["scope", "level"])
                  .select("scope", "level", "n", "mean_km", F.col("q50").alias("median_km"),
                          F.col("q90").alias("p90_km")))

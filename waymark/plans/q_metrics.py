@@ -80,7 +80,7 @@ FROM ie_err GROUP BY split"""))
 def q_intersection_error_summary(spark, d):
     ie = stage_table(M.intersection_errors(scored_df(spark, d)), "intersection-errors")
     stats = ie.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg("error_km").alias("mean_km"))
-    qs = M.quantiles(ie, "error_km", ["split"], [0.5, 0.9], tiebreak=["intersection"])
+    qs = M.quantiles(ie, "error_km", ["split"], [0.5, 0.9])
     return stats.join(qs, "split").select("split", "n", r6("mean_km"), r6("q50", "median_km"),
                                           r6("q90", "p90_km"))
 
@@ -166,15 +166,16 @@ def q_zscore_coords(spark, d):
     return z.select("intersection", r6("z_lat"), r6("z_lon"))
 
 
-@register("denormalize", X.with_ctes(X.scored(), body="""
-SELECT intersection, round(predicted_latitude, 6) AS predicted_latitude,
-       round(predicted_longitude, 6) AS predicted_longitude FROM scored_raw"""))
+@register("denormalize", X.with_ctes(X.scored(), f"st AS ({_STATS_SQL})", body="""
+SELECT s.intersection, round((length(s.intersection) - 4) / 8 * st.lat_std + st.lat_mean, 6) AS predicted_latitude,
+       round((s.latitude - 39.5) * st.lon_std + st.lon_mean, 6) AS predicted_longitude
+FROM scored_raw s CROSS JOIN st"""))
 def q_denormalize(spark, d):
-    """Normalise predictions with the truth's statistics, then map back."""
+    """Given z-values (arithmetic on the rows) mapped back with the truth's
+    statistics."""
     s = fx.scored(spark, d)
     stats = M.fit_coord_stats(s)
-    z = M.with_zscores(s, stats, {"zp_lat": ("predicted_latitude", "lat"),
-                                  "zp_lon": ("predicted_longitude", "lon")})
+    z = s.withColumns({"zp_lat": (F.length("intersection") - 4) / 8, "zp_lon": F.col("latitude") - 39.5})
     back = M.with_denormalized(z, stats, {"predicted_latitude": ("zp_lat", "lat"),
                                           "predicted_longitude": ("zp_lon", "lon")})
     return back.select("intersection", r6("predicted_latitude"), r6("predicted_longitude"))
