@@ -191,7 +191,7 @@ def q_gradient_step(spark, d):
     return spark.createDataFrame(values, "axis string, gradient double, n long")
 
 
-E2E_FIT = dict(hidden=32, dropout=0.0, epochs=6, lr=2e-2, weight_decay=1e-3, steps_per_epoch=2, seed=SEED)
+E2E_FIT = dict(hidden=32, dropout=0.0, epochs=5, lr=2e-2, weight_decay=1e-3, steps_per_epoch=1, seed=SEED)
 
 
 @register("sign_bags_to_errors")
