@@ -85,3 +85,11 @@ def test_filter_on_geodesic_stays_small(spark):
     out = with_geodesic(df, "g", "a", "b", "c", "d").where(F.col("g") < 300)
     assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 200_000
     assert 0 < out.count() < 50
+
+
+def test_nearly_antipodal_pairs_are_flagged(spark):
+    df = spark.createDataFrame([(0.0, 0.0, 0.5, 179.7), (40.0, -105.0, 41.0, -104.0), (1.0, 2.0, 1.0, 2.0)],
+                               "a double, b double, c double, d double")
+    got = [(r.g, r.f) for r in with_geodesic(df, "g", "a", "b", "c", "d", flag="f").collect()]
+    assert [f for _, f in got] == [True, False, False]
+    assert got[2][0] == 0.0

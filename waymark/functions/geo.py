@@ -132,30 +132,16 @@ def _vincenty_phase(st: Column, phase: Column) -> Column:
              .otherwise(_geo_state(**p2)))
 
 
-def geodesic_state(lat1, lon1, lat2, lon2, iterations: int = 20) -> Column:
-    """State of Vincenty's inverse iteration on WGS-84 after ``iterations``
-    rounds, as a struct. The rounds run as steps of a higher-order
-    ``aggregate`` over a fixed sequence -- a column expression, no Python."""
-    f = WGS84_F
-    u1 = F.atan((1 - f) * F.tan(F.radians(_col(lat1))))
-    u2 = F.atan((1 - f) * F.tan(F.radians(_col(lat2))))
-    big_l = F.radians(_col(lon2)) - F.radians(_col(lon1))
-    zero = F.lit(0.0)
-    start = _geo_state(su1=F.sin(u1), cu1=F.cos(u1), su2=F.sin(u2), cu2=F.cos(u2), L=big_l, lam=big_l,
-                       ss=zero, cs=zero, sig=zero, sa=zero, c2a=zero, c2sm=zero, delta=F.lit(1.0))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(3 * iterations - 1)), start,
-                       lambda st, i: _vincenty_phase(st, i % 3))
-
-
-def geodesic_km(lat1, lon1, lat2, lon2, iterations: int = 20) -> Column:
-    """WGS-84 (Vincenty) distance in km as ONE column expression: the phases
-    of :func:`geodesic_state` run as the steps of a higher-order
+def geodesic(lat1, lon1, lat2, lon2, iterations: int = 20) -> Column:
+    """WGS-84 (Vincenty) distance as ONE column expression, a struct of ``km``
+    and ``approximate``: the rounds run as the steps of a higher-order
     ``aggregate`` whose finish function turns the final state into the
     distance. Being a single expression matters: predicate pushdown may copy
     it into a filter on the distance, but it copies one node, never an
     unrolled chain whose inlined size grows exponentially. Coincident points
     give 0; if the last step still moved lambda by more than 1e-12 (nearly
-    antipodal points) the spherical distance is used instead."""
+    antipodal points) the value is the spherical distance and ``approximate``
+    is true."""
     a, f = WGS84_A_KM, WGS84_F
     b = a * (1 - f)
     u1 = F.atan((1 - f) * F.tan(F.radians(_col(lat1))))
@@ -173,17 +159,28 @@ def geodesic_km(lat1, lon1, lat2, lon2, iterations: int = 20) -> Column:
         ss, cs, c2sm = st["ss"], st["cs"], st["c2sm"]
         d_sigma = big_b * ss * (c2sm + big_b / 4 * (
             cs * (-1 + 2 * c2sm * c2sm) - big_b / 6 * c2sm * (-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm)))
-        return (F.when(st["delta"] > F.lit(1e-12), spherical)
-                 .when(ss == 0, F.lit(0.0))
-                 .otherwise(F.lit(b) * big_a * (st["sig"] - d_sigma)))
+        open_ = st["delta"] > F.lit(1e-12)
+        km = (F.when(open_, spherical).when(ss == 0, F.lit(0.0))
+               .otherwise(F.lit(b) * big_a * (st["sig"] - d_sigma)))
+        return F.struct(km.alias("km"), open_.alias("approximate"))
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(3 * iterations - 1)), start,
                        lambda st, i: _vincenty_phase(st, i % 3), finish)
 
 
-def with_geodesic(df, name: str, lat1, lon1, lat2, lon2, iterations: int = 20):
-    """Add column ``name`` with :func:`geodesic_km`."""
-    return df.withColumn(name, geodesic_km(lat1, lon1, lat2, lon2, iterations))
+def geodesic_km(lat1, lon1, lat2, lon2, iterations: int = 20) -> Column:
+    """The distance of :func:`geodesic` alone."""
+    return geodesic(lat1, lon1, lat2, lon2, iterations)["km"]
+
+
+def with_geodesic(df, name: str, lat1, lon1, lat2, lon2, iterations: int = 20, flag: str | None = None):
+    """Add column ``name`` with the ellipsoidal distance and, if named,
+    column ``flag``: whether it is only the spherical one."""
+    both = geodesic(lat1, lon1, lat2, lon2, iterations)
+    if flag is None:
+        return df.withColumn(name, both["km"])
+    return df.withColumn("_wm_geo", both).withColumns(
+        {name: F.col("_wm_geo.km"), flag: F.col("_wm_geo.approximate")}).drop("_wm_geo")
 
 
 def zscore(c, mean: float, sd: float) -> Column:
@@ -194,10 +191,6 @@ def denormalize(c, mean: float, sd: float) -> Column:
     return _col(c) * F.lit(sd) + F.lit(mean)
 
 
-def midpoint(a, b) -> Column:
-    return (_col(a) + _col(b)) / 2
-
-
 def huber(residual: Column, delta: float = 1.0) -> Column:
     """Element Huber loss: quadratic inside ``delta``, linear outside."""
     r = F.abs(residual)

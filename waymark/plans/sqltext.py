@@ -83,7 +83,7 @@ def r6(e: str) -> str:
 def geodesic_ctes(source: str, key_cols: list[str], lat1: str, lon1: str, lat2: str, lon2: str,
                   iterations: int = 20) -> str:
     """Recursive CTEs ``geo_it`` / ``geo_dist`` that run the same Vincenty
-    phases as ``waymark.functions.geo.geodesic_state`` (three phases per
+    phases as ``waymark.functions.geo.geodesic`` (three phases per
     iteration, ``3 * iterations`` steps) over the rows of ``source`` and give
     ``distance`` per ``key_cols``. Start the WITH clause with RECURSIVE."""
     f = WGS84_F
