@@ -50,7 +50,7 @@ def test_store_equals_the_library(spark):
     random.shuffle(rows)
     df = spark.createDataFrame([(i, t, 7, "x") for i, t in rows], "doc_id bigint, text string, start bigint, codes string")
     path = token_store.write_token_store(df, scratch_path(spark, "store"), BYTE_BPE, num_partitions=4)
-    got = sorted(((r.start, r.doc_id, list(r.ids)) for r in token_store.read_documents(spark, path).collect()))
+    got = sorted(((r.start, r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in token_store.read_documents(spark, path).collect()))
     flat = []
     for (start, doc, ids), (want_doc, text) in zip(got, sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")),
                                                    strict=True):

@@ -140,58 +140,80 @@ def sums_by_document(values: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray
     return np.bincount(docs, weights=values, minlength=n)
 
 
-def distinct_tiles(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def distinct_tiles(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct pieces of ``data`` cut at ``starts`` (the pieces cover it):
-    ``(ends, first, inverse)``. Pieces of equal hash are compared byte by
+    ``(ends, hashes, first, inverse)``. Pieces of equal hash are compared byte by
     byte; should two differ, every piece counts as distinct."""
     ends = np.append(starts[1:], len(data))
-    first, inverse = distinct(span_hashes(data, starts, ends))
+    hashes = span_hashes(data, starts, ends)
+    first, inverse = distinct(hashes)
     lengths = ends - starts
     shift = starts[first][inverse] - starts
     same = np.array_equal(lengths[first][inverse], lengths) and np.array_equal(
         data[np.arange(len(data)) + np.repeat(shift, lengths)], data)
     if not same:
         first = inverse = np.arange(len(starts))
-    return ends, first, inverse
+    return ends, hashes, first, inverse
 
 
 class PieceCache:
-    """Ids of pieces seen so far, keyed by their bytes. ``encode`` turns a list
-    of new pieces into flat ids and counts. Emptied at ``limit`` pieces, so a
-    task of any length keeps bounded memory."""
+    """Ids of pieces seen so far. ``encode`` turns a list of new pieces into
+    flat ids and counts. Pieces are found by their hash and compared byte by
+    byte. Emptied at ``limit`` pieces (about 100 bytes each), so a task of any
+    length keeps bounded memory."""
 
     def __init__(self, encode, limit: int = 400_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
     def _clear(self):
-        self.index: dict[bytes, int] = {}
-        self.starts = self.lengths = np.zeros(0, np.int64)
+        self.keys = np.zeros(0, np.uint64)
+        self.bytes = np.zeros(0, np.uint8)
         self.ids = np.zeros(0, np.int32)
+        # Begin and length of a piece's bytes and of its ids.
+        self.places = np.zeros((4, 0), np.int64)
+
+    def _add(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> None:
+        pieces = [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+        ids, counts = self.encode(pieces)
+        sizes = ends - starts
+        new = np.stack([len(self.bytes) + np.cumsum(sizes) - sizes, sizes,
+                        len(self.ids) + np.cumsum(counts) - counts, counts])
+        self.keys = np.append(self.keys, keys)
+        self.bytes = np.append(self.bytes, np.frombuffer(b"".join(pieces), np.uint8))
+        self.ids = np.append(self.ids, ids.astype(np.int32))
+        self.places = np.append(self.places, new, 1)
 
     def tokens(self, data: np.ndarray, cuts: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all documents, and ids per document, from the true
         positions of ``cuts`` (every document begin must be one)."""
+        import pandas as pd
         n_docs = len(offsets) - 1
         if len(data) == 0:
             return np.zeros(0, np.int32), np.zeros(n_docs, np.int64)
         starts = np.flatnonzero(cuts)
-        ends, first, inverse = distinct_tiles(data, starts)
-        if len(self.index) + len(first) > self.limit:
+        ends, keys, first, inverse = distinct_tiles(data, starts)
+        if len(self.keys) + len(first) > self.limit:
             self._clear()
-        raw = data.tobytes()
-        pieces = [raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        fresh = [p for p in dict.fromkeys(pieces) if p not in self.index]
-        if fresh:
-            ids, counts = self.encode(fresh)
-            begin = np.cumsum(counts) - counts + len(self.ids)
-            self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh)), strict=True))
-            self.starts, self.lengths = np.append(self.starts, begin), np.append(self.lengths, counts)
-            self.ids = np.append(self.ids, ids.astype(np.int32))
-        place = np.fromiter((self.index[p] for p in pieces), np.int64, len(pieces))[inverse]
-        counts = self.lengths[place]
+        begin, end, keys = starts[first], ends[first], keys[first]
+        table = pd.Index(self.keys)
+        known = table.get_indexer(keys) if table.is_unique else np.full(len(keys), -1)
+        old = np.flatnonzero(known >= 0)
+        if len(old):
+            # Another piece may have the same hash.
+            at, size = self.places[0][known[old]], self.places[1][known[old]]
+            equal = size == (end - begin)[old]
+            if equal.all():
+                differ = gather(self.bytes, at, size) != gather(data, begin[old], size)
+                equal = ~np.logical_or.reduceat(differ, np.cumsum(size) - size)
+            known[old[~equal]] = -1
+        fresh = np.flatnonzero(known < 0)
+        if len(fresh):
+            known[fresh] = len(self.keys) + np.arange(len(fresh))
+            self._add(data.tobytes(), begin[fresh], end[fresh], keys[fresh])
+        at, counts = self.places[2][known][inverse], self.places[3][known][inverse]
         per_doc = np.bincount(document_of(starts, offsets), weights=counts, minlength=n_docs).astype(np.int64)
-        return gather(self.ids, self.starts[place], counts), per_doc
+        return gather(self.ids, at, counts), per_doc
 
 
 def document_begins(n: int, offsets: np.ndarray) -> np.ndarray:

@@ -21,8 +21,8 @@ from __future__ import annotations
 import json
 import os
 import struct
-import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.textbytes import PieceCache, batch_bytes, document_begins, small_batches
+from waymark.llm.textbytes import PieceCache, batch_bytes, document_begins, gather, small_batches
 from waymark.session import scratch_path
 from waymark.sources.tables import table
 
@@ -111,10 +111,11 @@ class DacReader:
         return values
 
 
-def _whitespace_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def _safe_cuts(data: np.ndarray, offsets: np.ndarray, uncut: bytes) -> np.ndarray:
     """Places where a byte-level pre-tokeniser always ends a piece: a single
     space or line break between two characters that are not white space (the
-    space opens its piece, the line break is one). Characters that may be
+    space opens its piece, the line break is one), and a punctuation mark
+    after a letter, unless it is one of ``uncut``. Characters that may be
     Unicode white space by their first bytes are left alone."""
     cuts = document_begins(len(data), offsets)
     n = len(data)
@@ -135,6 +136,14 @@ def _whitespace_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     line = np.flatnonzero(lone & (data == 10))
     cuts[line] = True
     cuts[line + 1] = True
+    # Letters and punctuation are separate pieces; an apostrophe may belong to
+    # a contraction. Only letters known by their bytes count (ASCII, and the
+    # accented ones of Latin-1).
+    letter = ((data | 32) >= 97) & ((data | 32) <= 122) & (data < 128)
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    mark = (data > 32) & (data < 127) & ~letter & (data != 39) & ~((data >= 48) & (data <= 57))
+    mark &= ~np.isin(data, np.frombuffer(uncut, np.uint8))
+    cuts[1:] |= letter[:-1] & mark[1:]
     return cuts
 
 
@@ -147,24 +156,57 @@ def _cuttable(spec: dict) -> bool:
                         for t in spec.get("added_tokens", ())))
 
 
-def _piece_encoder(text: str):
+def _inner_marks(spec: dict) -> bytes:
+    """ASCII marks that follow another character inside an added token."""
+    inner = "".join(t["content"][1:] for t in spec.get("added_tokens", ()))
+    return "".join(sorted({c for c in inner if c.isascii() and not c.isalnum()})).encode()
+
+
+def _piece_encoder(text: str, cuttable: bool, together: int = 50):
+    """Encoder of lists of distinct pieces. Pieces without inner white space
+    are encoded ``together``, one per line, and taken apart at the line break's
+    id: the library's cost per call is that of several words."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_str(text)
+    line = tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def each(texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def flat(lists: list[list[int]]) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(lists), np.int64)
 
     def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-        counts = np.array([len(x) for x in found], np.int64)
-        return np.fromiter((i for x in found for i in x), np.int64, int(counts.sum())), counts
+        sizes = np.array([len(p) for p in pieces], np.int64)
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        begins = np.cumsum(sizes) - sizes
+        # Bytes that are, or may begin, white space.
+        blank = (data <= 32) | (data == 127) | (data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3))
+        inner = np.add.reduceat(blank, begins, dtype=np.int64) - (data[begins] == 32)
+        alone = np.flatnonzero((inner > 0) | (sizes < 2)) if cuttable and len(line) == 1 else np.arange(len(pieces))
+        grouped = np.setdiff1d(np.arange(len(pieces)), alone, assume_unique=True)
+        plain = [pieces[k] for k in grouped.tolist()]
+        lines = flat([ids + line for ids in each([b"\n".join(plain[k:k + together])
+                                                  for k in range(0, len(plain), together)])])
+        breaks = np.flatnonzero(lines == line[0]) if len(lines) else np.zeros(0, np.int64)
+        odd = each([pieces[k] for k in alone.tolist()])
+        counts = np.zeros(len(pieces), np.int64)
+        counts[grouped] = np.diff(breaks, prepend=-1) - 1
+        counts[alone] = [len(x) for x in odd]
+        ids = np.concatenate([lines, flat(odd)])
+        starts = np.zeros(len(pieces), np.int64)
+        starts[grouped] = breaks - counts[grouped]
+        starts[alone] = len(lines) + np.cumsum(counts[alone]) - counts[alone]
+        return gather(ids, starts, counts), counts
     return encode
 
 
-def parts_for(df: DataFrame, target: int = 64 << 20) -> int:
-    """Partitions of about ``target`` bytes by the plan's size estimate, at
-    least the session's shuffle partitions."""
+def parts_for(df: DataFrame, target: int = 8 << 20) -> int:
+    """Partitions of about ``target`` bytes by the plan's size estimate (for a
+    file scan, compressed bytes), at least two per core."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(floor, min(-(-size // target), 100_000))
+    return max(2 * df.sparkSession.sparkContext.defaultParallelism, min(-(-size // target), 100_000))
 
 
 def write_token_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id",
@@ -175,20 +217,21 @@ def write_token_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     of the corpus. A null or empty text is the end id alone; rows with a null
     id come first; rows of one id are ordered by text and all kept; no rows
     give an empty store; other columns are dropped. Texts are encoded as
-    distinct white-space-separated pieces, which gives the ids of the whole
-    text (see ``_whitespace_cuts``).
+    distinct pieces between safe cuts, which gives the ids of the whole
+    text (see ``_safe_cuts``).
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
     shared, cuttable = spark.sparkContext.broadcast(spec), _cuttable(json.loads(spec))
+    uncut = _inner_marks(json.loads(spec))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ranged = (rows.repartitionByRange(num_partitions or parts_for(rows), "doc_id")
                   .sortWithinPartitions("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, begun = TaskContext.get().partitionId(), 0, 0
-        cache = PieceCache(_piece_encoder(shared.value))
+        cache = PieceCache(_piece_encoder(shared.value, cuttable))
         names, counts, ids, size = [], [], [], 0
 
         def segment():
@@ -202,7 +245,7 @@ def write_token_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
         for batch in small_batches(batches, "text"):
             data, offsets = batch_bytes(batch.column("text"))
-            cuts = _whitespace_cuts(data, offsets) if cuttable else document_begins(len(data), offsets)
+            cuts = _safe_cuts(data, offsets, uncut) if cuttable else document_begins(len(data), offsets)
             got, each = cache.tokens(data, cuts, offsets)
             names.append(batch.column("doc_id"))
             counts.append(each + 1)
@@ -237,7 +280,8 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, start, ids`` of every document of a store."""
+    """``doc_id, start, ids`` of every document of a store; ``ids`` is a binary
+    of little-endian unsigned 32-bit integers."""
     segments = read_segments(spark, path).select("start", "doc_ids", "doc_counts", "codes")
 
     def run(batches):
@@ -245,15 +289,16 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             for row in range(batch.num_rows):
                 counts = batch.column("doc_counts")[row].values.to_numpy()
                 ends = np.cumsum(counts)
-                ids = DacReader(batch.column("codes")[row].as_py()).all()
+                ids = DacReader(batch.column("codes")[row].as_py()).all().astype("<u4")
                 first = batch.column("start")[row].as_py()
+                offsets = (4 * np.append(0, ends)).astype(np.int32)
                 yield pa.record_batch([
                     batch.column("doc_ids")[row].values, pa.array(first + ends - counts),
-                    pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids.view(np.int32)))],
+                    pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])],
                     ["doc_id", "start", "ids"])
 
     kind = segments.schema["doc_ids"].dataType.elementType.simpleString()
-    return segments.mapInArrow(run, f"doc_id {kind}, start bigint, ids array<int>")
+    return segments.mapInArrow(run, f"doc_id {kind}, start bigint, ids binary")
 
 
 def tokens_at(positions: DataFrame, path: str, position_col: str = "position") -> DataFrame:
@@ -293,16 +338,5 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     path = write_token_store(docs, scratch_path(spark, "token-store"), public_tokenizers.path("byte_bpe_50k.json"))
-    stored = read_documents(spark, path)
-
-    def digests(batches):
-        for batch in batches:
-            lists = batch.column("ids")
-            lengths = lists.value_lengths().to_numpy()
-            raw = lists.flatten().to_numpy().astype("<u4").tobytes()
-            ends = 4 * np.cumsum(lengths.astype(np.int64))
-            crcs = [zlib.crc32(raw[s:e]) for s, e in zip((ends - 4 * lengths).tolist(), ends.tolist(), strict=True)]
-            yield pa.record_batch([batch.column("doc_id"), batch.column("start"), pa.array(lengths.astype(np.int64)),
-                                   pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return stored.mapInArrow(digests, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return read_documents(spark, path).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
