@@ -15,17 +15,26 @@ Links are exact on what banding proposes:
 2. in every bucket each class is compared with one leader (a star, not all
    pairs), on full sets, and components are formed;
 3. in a bucket whose classes are not yet one component, every class outside
-   the leader's component is compared with the members of other components.
-   Jaccard distance obeys the triangle inequality, so a pair whose distances
-   to the leader differ by more than 1/4 cannot be linked and is skipped.
+   its largest component is held against the members of other components. A
+   pair cannot be linked, and is skipped, if its distances to the leader
+   differ by more than 1/4 (Jaccard distance obeys the triangle inequality),
+   or if too many shingles of one side occur in no other class of these
+   buckets. Of the others, those whose signatures agree in ``LEAST_AGREE``
+   positions, and whose longer signatures (made for these classes only) agree
+   in ``LEAST_LONG``, are compared on full sets.
 
 With 32 bands of 4 rows, a pair at the similarity of 0.75 shares no bucket
-with probability 5e-6.
+with probability 5e-6. Its signatures agree in 96 of 128 positions, give or
+take 4.9, and in 378 of 504, give or take 9.7 (less, as the variance is below
+the binomial one), so it falls below the bounds of step 3 with a probability
+of about 1e-6.
 """
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +51,10 @@ BANDS, ROWS = 32, 4
 POSITIONS = BANDS * ROWS
 #: A pair is linked when PERCENT * union <= 100 * intersection.
 PERCENT = 75
+LEAST_AGREE = 72
+LONG_POSITIONS, LONG_SALTS, LEAST_LONG = 252, (1, 2), 332
+#: Positions per word of a packed signature, 7 bits each in a byte.
+PACKED = 7
 #: Ids of at most this many classes are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 #: Pairs of one hot class per task.
@@ -135,6 +148,29 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return mix64((mix64(rows) * _ROW_FACTORS).sum(2, dtype=np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64))
 
 
+def packed(values: np.ndarray) -> np.ndarray:
+    """Seven bits of every position, seven positions in a word."""
+    short = np.zeros((len(values), -(-values.shape[1] // PACKED) * PACKED), np.uint64)
+    short[:, :values.shape[1]] = mix64(values) & np.uint64(0x7F)
+    shifts = np.arange(PACKED, dtype=np.uint64) * np.uint64(8)
+    return (short.reshape(len(values), -1, PACKED) << shifts).sum(2, dtype=np.uint64)
+
+
+def agreeing(a: str, b: str, positions: int) -> F.Column:
+    """Positions in which two packed signatures agree (others agree by chance
+    in one of 128). Short signatures are written out word by word, which Spark
+    compiles; it interprets lambdas."""
+    ones, high = F.lit(0x007F7F7F7F7F7F7F), F.lit(0x0080808080808080)
+    words = -(-positions // PACKED)
+
+    def differ(x, y):
+        return F.bit_count((x.bitwiseXOR(y) + ones).bitwiseAND(high))
+
+    if words <= 24:
+        return positions - reduce(operator.add, [differ(F.get(a, F.lit(k)), F.get(b, F.lit(k))) for k in range(words)])
+    return positions - F.aggregate(F.zip_with(F.col(a), F.col(b), differ), F.lit(0), lambda s, x: s + x)
+
+
 def set_key(hashes: np.ndarray) -> tuple[int, int]:
     """128 bits that identify a set."""
     return (int(mix64(hashes).sum(dtype=np.uint64).view(np.int64)),
@@ -142,24 +178,27 @@ def set_key(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text_hash, n, h1, h2, bands`` per row: hash of the text as it
-    is, set size, set key, band keys (null for an empty set)."""
+    """``doc_id, text_hash, n, h1, h2, bands, sig`` per row: hash of the text
+    as it is, set size, set key, band keys and packed signature (null for an
+    empty set)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_hash(text_col).alias("text_hash"),
                        F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             sets = shingle_sets(*batch_bytes(batch.column("text")))
-            bands = band_keys(signatures(sets)).view(np.int64)
+            values = signatures(sets)
+            bands, short = band_keys(values).view(np.int64), packed(values).view(np.int64)
             keys = [set_key(s) for s in sets]
             yield pa.record_batch([
                 batch.column("doc_id"), batch.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                pa.array([b if len(s) else None for s, b in zip(sets, bands, strict=True)], pa.list_(pa.int64()))],
-                ["doc_id", "text_hash", "n", "h1", "h2", "bands"])
+                *[pa.array([x if len(s) else None for s, x in zip(sets, xs, strict=True)], pa.list_(pa.int64()))
+                  for xs in (bands, short)]], ["doc_id", "text_hash", "n", "h1", "h2", "bands", "sig"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash bigint, n bigint, h1 bigint, h2 bigint, bands array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash bigint, n bigint, h1 bigint, h2 bigint, "
+                                "bands array<bigint>, sig array<bigint>")
 
 
 def text_hash(text_col: str) -> F.Column:
@@ -203,6 +242,21 @@ def common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 .drop("set_a", "set_b", "salt"))
 
 
+def long_signatures(sets: DataFrame) -> DataFrame:
+    """``cid, long``: packed longer signatures from the shingle sets."""
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                found = [s.values.to_numpy().view(np.uint64) for s in part.column("shingles")]
+                both = np.concatenate([signatures([mix64(s + np.uint64(salt)) for s in found], LONG_POSITIONS)
+                                       for salt in LONG_SALTS], 1)
+                yield pa.record_batch([part.column("cid"), pa.array(list(packed(both).view(np.int64)), pa.list_(pa.int64()))],
+                                      ["cid", "long"])
+
+    return sets.select("cid", "shingles").mapInArrow(run, "cid bigint, long array<bigint>")
+
+
 def linked(shared: str, n_a: str, n_b: str) -> F.Column:
     return 100 * F.col(shared) >= PERCENT * (F.col(n_a) + F.col(n_b) - F.col(shared))
 
@@ -239,18 +293,24 @@ def _classes(feats: DataFrame) -> DataFrame:
     table is written), ``doc_id`` (the least), ``n, h1, h2, bands``."""
     return stage_table(
         feats.where("n > 0").groupBy("n", "h1", "h2")
-             .agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"))
-             .select(F.monotonically_increasing_id().alias("cid"), "doc_id", "n", "h1", "h2", "bands"), "classes")
+             .agg(F.min("doc_id").alias("doc_id"), F.any_value(F.struct("bands", "sig")).alias("any"))
+             .select(F.monotonically_increasing_id().alias("cid"), "doc_id", "n", "h1", "h2", "any.bands", "any.sig"),
+        "classes")
 
 
 def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """All verified links between classes that the star and cross steps need."""
     members = classes.select("cid", "n", F.explode("bands").alias("bucket"))
-    heads = (members.groupBy("bucket").agg(F.min(F.struct("cid", "n")).alias("head"), F.count(F.lit(1)).alias("size"))
-                    .where("size > 1").select("bucket", "head"))
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = stage_table(members.join(sizes, "bucket"), "shared-buckets")
+    # The class that meets most others leads: the original of a group of
+    # edited copies is nearer to all of them than they are to each other.
+    weight = shared.groupBy("cid").agg(F.sum("size").alias("weight"))
+    heads = (shared.join(weight, "cid").groupBy("bucket")
+                   .agg(F.max_by(F.struct("cid", "n"), F.struct("weight", -F.col("cid"))).alias("head")))
     placed = stage_table(
-        members.join(heads, "bucket").select("bucket", "cid", "n", F.col("head.cid").alias("leader"),
-                                             F.col("head.n").alias("leader_n")), "buckets")
+        shared.join(heads, "bucket").select("bucket", "cid", "n", F.col("head.cid").alias("leader"),
+                                            F.col("head.n").alias("leader_n")), "buckets")
     star = placed.where("cid <> leader").select(F.col("cid").alias("a"), F.col("n").alias("n_a"),
                                                 F.col("leader").alias("b"), F.col("leader_n").alias("n_b"))
     star = stage_table(star.where(may_link("n_a", "n_b")).distinct(), "star-pairs")
@@ -260,35 +320,41 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> D
     links = starred.where(linked("shared", "n_a", "n_b")).select("a", "b")
     labels = components(links)
 
-    # Buckets that still hold several components.
+    # Buckets that still hold several components. Their leaders are done.
     root = labels.select(F.col("node").alias("cid"), "root")
-    near = labels.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-    rooted = (placed.join(root, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-                    .join(near, "leader", "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
-                    .where("cid <> leader"))
-    stranger = F.col("root") != F.col("leader_root")
-    several = rooted.where(stranger).select("bucket").distinct()
+    rooted = (placed.where("cid <> leader").join(root, "cid", "left")
+                    .withColumn("root", F.coalesce("root", "cid")))
+    main = (rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("rows"))
+                  .groupBy("bucket").agg(F.max_by("root", F.struct("rows", "root")).alias("main"),
+                                         F.count(F.lit(1)).alias("roots")).where("roots > 1").drop("roots"))
     distance = starred.select(F.col("a").alias("cid"), F.col("b").alias("leader"),
                               (1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("far"))
-    open_ = stage_table(rooted.join(several, "bucket", "left_semi").join(distance, ["cid", "leader"], "left")
-                              .withColumn("stranger", stranger)
+    open_ = stage_table(rooted.join(main, "bucket").join(distance, ["cid", "leader"], "left")
+                              .withColumn("stranger", F.col("root") != F.col("main"))
                               .select("bucket", "cid", "n", "root", "far", "stranger"), "open-buckets")
-    # A link needs |far - far'| <= 1/4, so its ends lie in the same or in
-    # neighbouring quarters; a distance that was not measured may be any.
-    quarter = F.floor(F.col("far") * 4).cast("int")
-    theirs = F.explode(F.when(F.col("far").isNull(), F.sequence(F.lit(0), F.lit(4)))
-                        .otherwise(F.array(quarter))).alias("quarter")
-    reach = F.explode(F.when(F.col("far").isNull(), F.sequence(F.lit(0), F.lit(4)))
-                       .otherwise(F.sequence(F.greatest(quarter - 1, F.lit(0)), F.least(quarter + 1, F.lit(4)))))
-    one = open_.where("stranger").select("bucket", reach.alias("quarter"), F.col("cid").alias("a"),
-                                         F.col("n").alias("n_a"), F.col("root").alias("root_a"), F.col("far").alias("far_a"))
-    other = open_.select("bucket", theirs, F.col("cid").alias("b"), F.col("n").alias("n_b"),
-                         F.col("root").alias("root_b"), F.col("far").alias("far_b"), F.col("stranger").alias("also"))
-    cross = (one.join(other, ["bucket", "quarter"])
+    inside = open_.select("cid").distinct()
+    # Shingles that no other class of these buckets has are shared with none.
+    owners = (sets.join(inside, "cid", "left_semi").select("cid", F.explode("shingles").alias("shingle"))
+                  .groupBy("shingle").agg(F.count(F.lit(1)).alias("owners"), F.min("cid").alias("cid")))
+    alone = owners.where("owners = 1").groupBy("cid").agg(F.count(F.lit(1)).alias("alone"))
+    longer = long_signatures(sets.join(inside, "cid", "left_semi"))
+    facts = (classes.join(inside, "cid", "left_semi").select("cid", "sig", "bands").join(longer, "cid")
+                    .join(alone, "cid", "left").withColumn("alone", F.coalesce("alone", F.lit(0))))
+    open_ = open_.join(facts, "cid").withColumn("common", F.col("n") - F.col("alone"))
+    carried = ("cid", "n", "root", "far", "common", "sig", "long", "bands", "stranger")
+    one, other = (open_.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in carried]) for side in "ab")
+    most = F.least("common_a", "common_b")
+    # Every pair is looked at in the first bucket that it shares.
+    here = F.get("bands_a", F.array_position(F.zip_with("bands_a", "bands_b", lambda a, b: a == b), True).cast("int") - 1)
+    cross = (one.where("stranger_a").join(other, "bucket")
                 .where((F.col("root_a") != F.col("root_b")) & may_link(F.col("n_a"), F.col("n_b"))
-                       & (~F.col("also") | (F.col("a") < F.col("b")))
-                       & (F.coalesce(F.abs(F.col("far_a") - F.col("far_b")), F.lit(0)) <= 0.25 + 1e-9))
-                .select("a", "b", "n_a", "n_b").distinct())
+                       & (~F.col("stranger_b") | (F.col("cid_a") < F.col("cid_b")))
+                       & (F.coalesce(F.abs(F.col("far_a") - F.col("far_b")), F.lit(0)) <= 0.25 + 1e-9)
+                       & (100 * most >= PERCENT * (F.col("n_a") + F.col("n_b") - most))
+                       & (agreeing("sig_a", "sig_b", POSITIONS) >= LEAST_AGREE)
+                       & (here == F.col("bucket"))
+                       & (agreeing("long_a", "long_b", LONG_POSITIONS * len(LONG_SALTS)) >= LEAST_LONG))
+                .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"), "n_a", "n_b"))
     crossed = common(stage_table(cross, "cross-pairs"), sets).where(linked("shared", "n_a", "n_b")).select("a", "b")
     # The stars' components stand for their links.
     return labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(crossed)
