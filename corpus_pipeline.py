@@ -25,9 +25,9 @@ from waymark.sources.tables import table
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; texts without a letter and
     texts for which no language reaches the least score go."""
-    found = language_id.predict(docs, language_id.fit_documents(docs), docs.columns)
-    return found.where((F.col("lang_pred") != language_id.UNDETERMINED)
-                       & (F.col("score") >= language_id.MIN_SCORE)).select(*docs.columns)
+    found = language_id.predict(docs, language_id.fit_documents(docs), docs.columns, names=("_wm_lang", "_wm_score"))
+    return found.where((F.col("_wm_lang") != language_id.UNDETERMINED)
+                       & (F.col("_wm_score") >= language_id.MIN_SCORE)).select(*docs.columns)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,6 +48,11 @@ def test_stages_return_documents_and_pass_odd_rows(spark):
         if name != "sentencepiece":
             assert out.columns == docs.columns
             assert sorted(out.dtypes) == sorted(docs.dtypes)
+    odd = docs.selectExpr("*", "1.0D AS score", "'x' AS lang_pred", "true AS kept", "array(1) AS ids", "'k' AS key", "2L AS n",
+                          "5 AS start", "'t' AS hs", "'s' AS kind", "0 AS bucket")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, odd, SF001).columns == odd.columns, name
+    assert corpus_pipeline.encode(spark, odd, SF001).count() == len(rows)
     left = corpus_pipeline.identify_language(spark, docs, SF001).collect()
     assert sorted((r.doc_id or 0) for r in left) == [0, 1, 1, 4]
     one = corpus_pipeline.remove_near_duplicates(spark, docs, SF001).collect()

@@ -148,24 +148,26 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     return Model(languages, np.ascontiguousarray(weights.T.astype(np.float32)), prior, letters)
 
 
-def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "text") -> DataFrame:
-    """``carry`` columns and ``lang_pred, score``. Only the text is read for
-    the prediction. Null texts and texts without a letter are ``und`` with
+def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "text",
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``carry`` columns and the prediction, under ``names``. Only the text is
+    read for it. Null texts and texts without a letter are ``und`` with
     score 0; equally probable languages give the first in order."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     rows = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(carry)], F.col(text_col).alias("_text"))
-    names = [f"c{k}" for k in range(len(carry))]
+    slots = [f"c{k}" for k in range(len(carry))]
 
     def run(batches):
         for batch in small_batches(batches, "_text"):
             langs, scores = shared.value.predict(batch.column("_text"))
-            yield pa.record_batch([*[batch.column(n) for n in names], pa.array(langs, pa.string()),
-                                   pa.array(scores, pa.float64())], [*names, "lang_pred", "score"])
+            yield pa.record_batch([*[batch.column(n) for n in slots], pa.array(langs, pa.string()),
+                                   pa.array(scores, pa.float64())], [*slots, "_lang", "_score"])
 
     kinds = [f"c{k} {rows.schema[f'c{k}'].dataType.simpleString()}" for k in range(len(carry))]
-    out = rows.mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double"]))
-    return out.select(*[F.col(n).alias(c) for n, c in zip(names, carry, strict=True)], "lang_pred", "score")
+    out = rows.mapInArrow(run, ", ".join([*kinds, "_lang string", "_score double"]))
+    return out.select(*[F.col(n).alias(c) for n, c in zip(slots, carry, strict=True)],
+                      F.col("_lang").alias(names[0]), F.col("_score").alias(names[1]))
 
 
 def fit_documents(docs: DataFrame) -> Model:
