@@ -355,7 +355,8 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> D
                        & (here == F.col("bucket"))
                        & (agreeing("long_a", "long_b", LONG_POSITIONS * len(LONG_SALTS)) >= LEAST_LONG))
                 .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"), "n_a", "n_b"))
-    crossed = common(stage_table(cross, "cross-pairs"), sets).where(linked("shared", "n_a", "n_b")).select("a", "b")
+    crossed = stage_table(common(stage_table(cross, "cross-pairs"), sets)
+                          .where(linked("shared", "n_a", "n_b")).select("a", "b"), "cross-links")
     # The stars' components stand for their links.
     return labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(crossed)
 
