@@ -155,12 +155,15 @@ def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "te
     score 0; equally probable languages give the first in order."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(carry)], F.col(text_col).alias("_text"))
     slots = [f"c{k}" for k in range(len(carry))]
+    rows = docs.select(*[F.col(c).alias(n) for n, c in zip(slots, carry, strict=True)],
+                       *([] if text_col in carry else [F.col(text_col).alias("_text")]))
+    # A carried text is sent once.
+    text = slots[carry.index(text_col)] if text_col in carry else "_text"
 
     def run(batches):
-        for batch in small_batches(batches, "_text"):
-            langs, scores = shared.value.predict(batch.column("_text"))
+        for batch in small_batches(batches, text):
+            langs, scores = shared.value.predict(batch.column(text))
             yield pa.record_batch([*[batch.column(n) for n in slots], pa.array(langs, pa.string()),
                                    pa.array(scores, pa.float64())], [*slots, "_lang", "_score"])
 
