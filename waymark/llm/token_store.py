@@ -243,7 +243,7 @@ def write_token_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
                                     one(doc_ids), one(pa.array(each)), pa.array([dac_encode(flat)], pa.binary())],
                                    ["part", "seq", "local_start", "n_tokens", "doc_ids", "doc_counts", "codes"])
 
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 2 << 20):
             data, offsets = batch_bytes(batch.column("text"))
             cuts = _safe_cuts(data, offsets, uncut) if cuttable else document_begins(len(data), offsets)
             got, each = cache.tokens(data, cuts, offsets)
