@@ -239,7 +239,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
 
     A null or empty text gives the end id alone. Ids are carried as they are
     (null or repeated too), other columns are dropped, no rows give no rows.
-    A text of any length is one value; batches are cut to about 1 MB of text,
+    A text of any length is one value; batches are cut to about half a MB of text,
     so only a longer text alone exceeds that.
     """
     spark = docs.sparkSession

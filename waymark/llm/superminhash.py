@@ -93,7 +93,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return sets
 
 
-def signatures(sets: list[np.ndarray], m: int = POSITIONS, block: int = 1 << 17) -> np.ndarray:
+def signatures(sets: list[np.ndarray], m: int = POSITIONS, block: int = 1 << 16) -> np.ndarray:
     """SuperMinHash signatures, ``len(sets) x m``; a value is the level in the
     high byte and 56 random bits. Empty sets keep the greatest value."""
     if m > 255:

@@ -49,7 +49,7 @@ def batch_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``limit`` bytes of text, or
     one longer text. Bounds the memory of the passes over a batch."""
     for batch in batches:
