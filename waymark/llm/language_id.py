@@ -54,9 +54,9 @@ def _features(column: pa.Array, letters: np.ndarray) -> Iterator[tuple[int, np.n
     for n in range(ORDERS):
         # Hash of the n + 1 characters that start here.
         ahead = np.zeros(len(codes), np.uint32)
-        ahead[:len(codes) - n or None] = codes[n:]
+        ahead[:max(len(codes) - n, 0)] = codes[n:]
         seen = np.zeros(len(codes), bool)
-        seen[:len(codes) - n or None] = is_letter[n:]
+        seen[:max(len(codes) - n, 0)] = is_letter[n:]
         run = run * np.uint32(0x01000193) + ahead * np.uint32(0x9E3779B1) + np.uint32(n + 1)
         any_letter = any_letter | seen
         mixed = (run ^ (run >> np.uint32(15))) * np.uint32(0x85EBCA6B)
