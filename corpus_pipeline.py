@@ -23,10 +23,12 @@ from waymark.sources.tables import table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; texts without a letter and
-    texts for which no language reaches the least score go."""
-    found = language_id.predict(docs, language_id.fit_documents(docs), docs.columns, names=("_wm_lang", "_wm_score"))
-    return found.where((F.col("_wm_lang") != language_id.UNDETERMINED)
+    """Documents whose language is recognised; texts without a letter, texts
+    for which no language reaches the least score and texts too improbable for
+    their best language (foreign ones, random letters) go."""
+    found = language_id.predict(docs, language_id.fit_documents(docs), docs.columns,
+                                names=("_wm_lang", "_wm_score", "_wm_own"))
+    return found.where((F.col("_wm_lang") != language_id.UNDETERMINED) & F.col("_wm_own")
                        & (F.col("_wm_score") >= language_id.MIN_SCORE)).select(*docs.columns)
 
 

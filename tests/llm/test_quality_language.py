@@ -155,3 +155,30 @@ def test_score_equals_brute_force(spark):
     want = 1 / sum(math.exp(t - max(total)) for t in total)
     names, scores = model.predict(pa.array(["ab c"]))
     assert names == [["x", "y"][int(np.argmax(total))]] and scores[0] == pytest.approx(want, rel=1e-4)
+
+
+FOREIGN = {
+    "ru": "Съешь же ещё этих мягких французских булок да выпей чаю, а потом расскажи", "short": "чаю", "zh": "人人生而自由在尊严和权利上一律平等",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+          "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "
+          "i powinni postępować wobec innych w duchu braterstwa."}
+CLEAN = ["the", "the cat", "in the house", "and the other", "das ist der", "le chat et la", "que los", "All human beings are born free and "
+         "equal in dignity and rights.", "Alle Menschen sind frei und gleich an Würde und Rechten geboren."]
+
+
+def test_pipeline_drops_foreign_and_random_texts_and_keeps_clean_ones(spark):
+    import random
+
+    import corpus_pipeline
+    docs = duckdb.sql(f"SELECT doc_id, text, lang FROM '{SF01}/documents.parquet'").fetchall()
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = [*FOREIGN.values(), *["".join(rng.choice(letters) for _ in range(n)) for n in (30, 300)],
+            " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(40))]
+    slices = [t[:n] for n in (15, 40, 120) for _, t, _ in docs[:60] if any(c.isalpha() for c in t[:n])]
+    rows = docs + [(10**6 + k, t, None) for k, t in enumerate(junk)] + [(2 * 10**6 + k, t, None) for k, t in enumerate(CLEAN + slices)]
+    left = {r.doc_id for r in corpus_pipeline.identify_language(
+        spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), SF01).collect()}
+    assert [junk[i - 10**6] for i in left if 10**6 <= i < 2 * 10**6] == []
+    assert left >= {i for i, _, _ in rows if i < 10**6 or i >= 2 * 10**6}

@@ -7,6 +7,11 @@ A feature is hashed to one of ``BUCKETS`` columns. Training sums the columns
 per language in Spark; the smoothed log probabilities form a matrix of
 languages x ``BUCKETS``, which is broadcast, and a text's score is the sum of
 its features' rows.
+
+The posterior only compares the learned languages and is close to 1 for any
+text of some length. Whether a text is of its best language at all is told by
+its mean log probability per feature, against mean and standard deviation of
+that value under the language's own distribution (see ``Model.judge``).
 """
 
 from __future__ import annotations
@@ -32,6 +37,10 @@ HELD_LANGUAGES = 64
 UNDETERMINED = "und"
 #: Documents whose best language is less probable than this are rejected.
 MIN_SCORE = 0.35
+#: A text is foreign to its best language if its mean log probability per
+#: feature is lower than the language's mean by more than ``FAR`` (a factor of
+#: 11 per feature) and ``FAR_SHORT`` standard deviations of a mean of as many.
+FAR, FAR_SHORT = 2.4, 2.0
 
 
 def letter_table() -> np.ndarray:
@@ -81,23 +90,36 @@ class Model:
     def __init__(self, languages: list[str], weights: np.ndarray, prior: np.ndarray, letters: np.ndarray):
         self.languages, self.weights, self.prior = languages, weights, prior
         self.letters = letters
+        # Mean and deviation of a feature's log probability, per language. The
+        # smoothing counts, so a hardly trained language expects unseen features.
+        logs = weights.astype(np.float64)
+        self.mean = (np.exp(logs) * logs).sum(0)
+        self.spread = np.sqrt((np.exp(logs) * (logs - self.mean) ** 2).sum(0))
 
     def predict(self, column: pa.Array) -> tuple[list[str], list[float]]:
-        names, scores = [], []
+        return self.judge(column)[:2]
+
+    def judge(self, column: pa.Array) -> tuple[list[str], list[float], list[bool]]:
+        """Language and score, and whether the text's mean log probability per
+        feature is one that texts of the language have."""
+        names, scores, own = [], [], []
         for n_letters, cols in _features(column, np.unpackbits(self.letters).view(bool)):
             if not n_letters or not self.languages:
                 names.append(UNDETERMINED)
                 scores.append(0.0)
+                own.append(False)
                 continue
             if len(cols) < BUCKETS // 4:
                 total = self.weights[cols].sum(0, dtype=np.float64)
             else:
                 total = np.bincount(cols, minlength=BUCKETS) @ self.weights.astype(np.float64)
-            total = total + self.prior
+            logs, total = total, total + self.prior
             best = int(np.argmax(total))
             names.append(self.languages[best])
             scores.append(float(1.0 / np.exp(total - total[best]).sum()))
-        return names, scores
+            far = FAR + FAR_SHORT * self.spread[best] / np.sqrt(len(cols))
+            own.append(bool(logs[best] / len(cols) >= self.mean[best] - far))
+        return names, scores, own
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -149,13 +171,15 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
 
 
 def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "text",
-            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``carry`` columns and the prediction, under ``names``. Only the text is
+            names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """``carry`` columns and the prediction, under ``names``; a third name adds
+    whether the text is of that language by ``Model.judge``. Only the text is
     read for it. Null texts and texts without a letter are ``und`` with
     score 0; equally probable languages give the first in order."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     slots = [f"c{k}" for k in range(len(carry))]
+    found = ["_lang", "_score", "_own"]
     rows = docs.select(*[F.col(c).alias(n) for n, c in zip(slots, carry, strict=True)],
                        *([] if text_col in carry else [F.col(text_col).alias("_text")]))
     # A carried text is sent once.
@@ -163,14 +187,14 @@ def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "te
 
     def run(batches):
         for batch in small_batches(batches, text):
-            langs, scores = shared.value.predict(batch.column(text))
+            langs, scores, own = shared.value.judge(batch.column(text))
             yield pa.record_batch([*[batch.column(n) for n in slots], pa.array(langs, pa.string()),
-                                   pa.array(scores, pa.float64())], [*slots, "_lang", "_score"])
+                                   pa.array(scores, pa.float64()), pa.array(own, pa.bool_())], [*slots, *found])
 
     kinds = [f"c{k} {rows.schema[f'c{k}'].dataType.simpleString()}" for k in range(len(carry))]
-    out = rows.mapInArrow(run, ", ".join([*kinds, "_lang string", "_score double"]))
+    out = rows.mapInArrow(run, ", ".join([*kinds, "_lang string", "_score double", "_own boolean"]))
     return out.select(*[F.col(n).alias(c) for n, c in zip(slots, carry, strict=True)],
-                      F.col("_lang").alias(names[0]), F.col("_score").alias(names[1]))
+                      *[F.col(n).alias(c) for n, c in zip(found, names)])
 
 
 def fit_documents(docs: DataFrame) -> Model:
