@@ -182,3 +182,22 @@ def test_pipeline_drops_foreign_and_random_texts_and_keeps_clean_ones(spark):
         spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), SF01).collect()}
     assert [junk[i - 10**6] for i in left if 10**6 <= i < 2 * 10**6] == []
     assert left >= {i for i, _, _ in rows if i < 10**6 or i >= 2 * 10**6}
+
+
+def test_band_rejects_junk_on_either_side_that_passes_the_base_rules(spark):
+    import random
+    docs = duckdb.sql(f"SELECT doc_id, text, lang FROM '{SF01}/documents.parquet' WHERE lang = 'en'").fetchall()
+    rng = random.Random(9)
+    common = [w for w, _ in Counter(w for _, t, _ in docs for w in t.split()).most_common(12)]
+    too_plain = [" ".join(rng.choice(common) for _ in range(120)) for _ in range(5)]
+    noise = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    long_ = [t for _, t, _ in docs if len(set(t.split())) > 150][:5]
+    too_odd = [" ".join(noise() if rng.random() < 0.5 else w for w in t.split()) for t in long_]
+    rows = docs + [(10**6 + k, t, "en") for k, t in enumerate(too_plain + too_odd)]
+    got = {r.doc_id: r for r in perplexity.quality(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    middle = np.median([got[i].perplexity for i, _, _ in docs])
+    for k in range(10):
+        r = got[10**6 + k]
+        assert not r.base_failed and not r.kept, (k, math.log(r.perplexity), math.log(middle))
+        assert (r.perplexity < middle) == (k < 5)
+    assert sum(not got[i].kept and not got[i].base_failed for i, _, _ in docs) > 0
