@@ -165,3 +165,23 @@ def test_secrets_of_the_documents(spark):
         assert [s for s in r.spans.split(",") if s and not s.startswith("random")] == brute_base(docs[r.doc_id])
     plan = query._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_random_values_behind_names_in_queries_and_in_paths(spark):
+    rng = random.Random(13)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    forms = ["é😀 AUTH_KEY={} x", "see https://a.example/get?sig={}&x=1", "/etc/app_conf/{} y", "a = b, key_1={}== z",
+             "my-app+other/some_name/{}"]
+    secrets, docs = {}, []
+    for k in range(100):
+        secret = "A1b" + "".join(rng.choice(letters) for _ in range(45))
+        before, after = forms[k % 5].split("{}")
+        padding = "==" if after.startswith("==") else ""
+        secrets[k] = (len(before), len(before) + len(secret + padding))
+        docs.append((k, before + secret + after))
+    df = spark.createDataFrame(docs, DOCS)
+    got = {(r.doc_id, r.start, r.end) for r in secret_scan.scan(df).collect()}
+    for form in range(5):
+        assert sum((k, *secrets[k]) in got for k in range(form, 100, 5)) >= 18, forms[form]
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert sum(docs[k][1][slice(*secrets[k])] not in clean[k] for k in range(100)) >= 90

@@ -32,7 +32,8 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 LEAST_ASSIGNED = 8
 LEAST_TOKEN = 20
-TOKEN = rf"[A-Za-z0-9+/_=-]{{{LEAST_TOKEN},}}"
+# An equals sign parts tokens unless nothing but more of them follows (padding).
+TOKEN = rf"[A-Za-z0-9+/_-]{{{LEAST_TOKEN},}}(?:=+(?![A-Za-z0-9+/_=-]))?"
 PATTERNS = dict(zip(KINDS, (ASSIGN, ACCESS, HEX, TOKEN), strict=True))
 # Alphabets by encoding, in order of preference.
 _DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
@@ -44,6 +45,10 @@ ALPHABETS = {
     "base64": (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]+=*$", _LOWER.upper() + _LOWER + _DIGITS + "+/"),
     "base64url": (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+=*$", _LOWER.upper() + _LOWER + _DIGITS + "-_"),
 }
+#: Maximal runs of every alphabet, in tokens that no alphabet fits as a whole.
+RUNS = {name: rf"[{chars}]{{{LEAST_TOKEN},}}" + ("=*" if name.startswith("base") and name != "base36" else "")
+        for name, chars in (("hex", "0-9a-f"), ("hex_upper", "0-9A-F"), ("base32", "A-Z2-7"), ("base36", "0-9a-z"),
+                            ("base64", "A-Za-z0-9+/"), ("base64url", "A-Za-z0-9_-"))}
 #: Upper bounds of the length classes; the last class is open.
 LENGTH_CLASSES = (24, 32, 48, 64, 128)
 FDR = 0.05
@@ -71,14 +76,19 @@ def _with(rows: DataFrame, **columns: Column) -> DataFrame:
     return rows.select("*", F.inline(made))
 
 
+def _alphabet(token: Column) -> Column:
+    """The symbols of the token's inferred encoding, or null."""
+    abc = F.lit(None).cast("string")
+    for pattern, letters in reversed(ALPHABETS.values()):
+        abc = F.when(token.rlike(pattern), F.lit(letters)).otherwise(abc)
+    return abc
+
+
 def randomness(tokens: DataFrame, token_col: str = "token") -> DataFrame:
     """The rows whose token has an inferred encoding and enough symbols, with
     ``length`` and ``p``, the combined p-value under randomness."""
     token = F.col(token_col)
-    abc = F.lit(None).cast("string")
-    for pattern, letters in reversed(ALPHABETS.values()):
-        abc = F.when(token.rlike(pattern), F.lit(letters)).otherwise(abc)
-    rows = _with(tokens, _abc=abc, _body=F.regexp_replace(token, "=+$", ""))
+    rows = _with(tokens, _abc=_alphabet(token), _body=F.regexp_replace(token, "=+$", ""))
     rows = rows.where(F.col("_abc").isNotNull() & (F.char_length("_body") >= LEAST_TOKEN))
     rows = _with(rows, length=F.char_length("_body"), _k=F.char_length("_abc").cast("double"),
                  _chars=F.filter(F.split("_body", "(?!^)", -1), lambda c: c != ""))
@@ -133,27 +143,48 @@ def _step() -> Column:
     return F.least(F.floor(-F.log10(F.greatest(F.col("p"), F.lit(1e-30))) * GRID).cast("int"), F.lit(GRID_END))
 
 
-def find_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, key, kind, start, end, match``: all matches of all patterns,
-    as code point ranges. A match's start is the length of what stands before
-    it: the pieces between matches and the earlier matches."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+def _matches(rows: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """The columns of ``rows`` but ``text``, with ``row, kind, start, end,
+    match``: all matches of all patterns in ``text``, as code point ranges. A
+    match's start is the length of what stands before it: the pieces between
+    matches and the earlier matches."""
+    carry = [c for c in rows.columns if c != "text"]
     found = F.array(*[F.struct(F.lit(k).alias("kind"), F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias("m"))
-                      for k, p in PATTERNS.items()])
+                      for k, p in patterns.items()])
     rows = rows.withColumn("found", F.explode(F.filter(found, lambda f: F.size(f["m"]) > 0)))
     parts = F.lit(None).cast("array<string>")
-    for kind, pattern in PATTERNS.items():
+    for kind, pattern in patterns.items():
         parts = F.when(F.col("found.kind") == kind, F.split("text", pattern, -1)).otherwise(parts)
     rows = rows.withColumn("row", F.monotonically_increasing_id())
-    rows = rows.select("doc_id", text_key(F.col("text")).alias("key"), "row",
-                       "found.kind", F.posexplode(F.arrays_zip(F.col("found.m").alias("m"), parts.alias("between"))))
+    rows = rows.select(*carry, "row", "found.kind",
+                       F.posexplode(F.arrays_zip(F.col("found.m").alias("m"), parts.alias("between"))))
     rows = rows.where(F.col("col.m").isNotNull()).select(
-        "doc_id", "key", "row", "kind", "pos", F.col("col.m").alias("match"), F.char_length("col.m").alias("size"),
+        *carry, "row", "kind", "pos", F.col("col.m").alias("match"), F.char_length("col.m").alias("size"),
         F.char_length("col.between").alias("gap"))
     before = Window.partitionBy("row", "kind").orderBy("pos")
     end = F.sum(F.col("gap") + F.col("size")).over(before)
-    return rows.select("doc_id", "key", "kind", (end - F.col("size")).alias("start"), end.alias("end"), "match")
+    return rows.select(*carry, "row", "kind", (end - F.col("size")).alias("start"), end.alias("end"), "match")
+
+
+def find_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, key, kind, start, end, match`` of all patterns, with ``row``,
+    which tells apart the rows and kinds."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return _matches(docs.select(F.col(id_col).alias("doc_id"), text_key(text).alias("key"), text.alias("text")), PATTERNS)
+
+
+def tokens(matches: DataFrame) -> DataFrame:
+    """The tokens to test: those with an inferred encoding, and of the others
+    the runs of every alphabet, each run once."""
+    found = matches.where("kind = 'random'").drop("row")
+    whole = _alphabet(F.col("match")).isNotNull()
+    mixed = found.where(~whole).select("doc_id", "key", F.monotonically_increasing_id().alias("token"),
+                                       F.col("start").alias("at"), F.col("match").alias("text"))
+    # The token's number is fixed by the written matches; equal runs of two alphabets are one.
+    runs = _matches(mixed, RUNS).dropDuplicates(["token", "start", "end"])
+    return found.where(whole).unionByName(runs.select(
+        "doc_id", "key", F.lit("random").alias("kind"), (F.col("at") + F.col("start")).alias("start"),
+        (F.col("at") + F.col("end")).alias("end"), "match"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,7 +196,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     base = matches.where(
         ((F.col("kind") == "assign") & (F.char_length(F.regexp_extract("match", ASSIGN, 1)) >= LEAST_ASSIGNED))
         | F.col("kind").isin("access", "hex"))
-    tested = stage_table(randomness(matches.where("kind = 'random'"), "match"), "secret-tests")
+    tested = stage_table(randomness(tokens(matches), "match"), "secret-tests")
     limits = cleared(tested).withColumnRenamed("size", "class")
     # At most one row per length class.
     random_ = (tested.withColumn("class", length_class(F.col("length"))).join(F.broadcast(limits), "class", "left")
