@@ -1,7 +1,7 @@
 """The registered queries of the package: ``QUERIES`` and ``ORACLE``."""
 
 from waymark.llm import (chat, decontaminate, html_text, language_id, perplexity, secret_scan,
-                         sentencepiece_bpe, superminhash, token_store, warc_fixity)
+                         sentencepiece_bpe, superminhash, token_store, warc_fixity, whitening)
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_sentencepiece": sentencepiece_bpe.op8_sentencepiece,
     "op9_language_id": language_id.op9_language_id,
     "op10_randomness_battery": secret_scan.op10_randomness_battery,
+    "op11_whitening": whitening.op11_whitening,
 }
 ORACLE = {
     "op1_chat_format": chat.OP1_SQL,
