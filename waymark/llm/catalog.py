@@ -1,6 +1,6 @@
 """The registered queries of the package: ``QUERIES`` and ``ORACLE``."""
 
-from waymark.llm import (chat, decontaminate, html_text, language_id, perplexity, secret_scan,
+from waymark.llm import (chat, conversation_repair, decontaminate, html_text, language_id, perplexity, secret_scan,
                          sentencepiece_bpe, superminhash, token_store, warc_fixity, whitening)
 
 QUERIES = {
@@ -15,8 +15,10 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op10_randomness_battery": secret_scan.op10_randomness_battery,
     "op11_whitening": whitening.op11_whitening,
+    "op12_lightest_repair": conversation_repair.op12_lightest_repair,
 }
 ORACLE = {
     "op1_chat_format": chat.OP1_SQL,
     "op5_merkle_audit": warc_fixity.OP5_SQL,
+    "op12_lightest_repair": conversation_repair.OP12_SQL,
 }
