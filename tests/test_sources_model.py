@@ -8,13 +8,15 @@ from waymark.operators import embed as E
 from waymark.operators import head as H
 from waymark.operators import metrics as M
 from waymark.session import scratch_path
-from waymark.sources.sheets import parse_header, scan_sheets
+from waymark.sources.csvblocks import column_names
+from waymark.sources.sheets import scan_sheets
 from waymark.sources.tables import (prepare_bags, prepare_raw_signs, read_bags, read_raw_signs, read_table,
                                     write_table)
 
 
-def test_parse_header_names_blanks_like_the_original():
-    assert parse_header('a,,b,a') == ["a", "Unnamed: 1", "b", "a.1"]
+def test_header_names_blanks_like_the_original():
+    assert column_names(["a", "", "b", "a"]) == ["a", "Unnamed: 1", "b", "a.1"]
+    assert column_names(["a", "a.1", "a", "a"]) == ["a", "a.1", "a.2", "a.3"]
 
 
 def test_scan_sheets_layouts(spark):

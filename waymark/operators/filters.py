@@ -52,4 +52,6 @@ def nullify_columns(df: DataFrame, columns=None, tokens=MISSING_TOKENS) -> DataF
     columns when ``columns`` is None), as a CSV reader of the original does."""
     if columns is None:
         columns = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    return df.withColumns({c: nullify_tokens(c, tokens) for c in columns})
+    # Quoted: a header may hold dots and back-ticks.
+    named = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    return df.select(*[nullify_tokens(named(c), tokens).alias(c) if c in columns else named(c) for c in df.columns])

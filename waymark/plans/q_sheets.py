@@ -4,8 +4,9 @@
 The sheets are derived from ``signs`` by Spark writes into the shared
 checkpoint folder: layout ``a`` (intersection, text, code), layout ``b``
 (reordered, with ``notes`` and an unnamed fourth column), layout ``c`` (no
-text column: skipped), layout ``d`` (text and intersection only), a
-header-only sheet, and a nested folder under ``a`` that the non-recursive glob
+text column: skipped), layout ``d`` (an index column without a name, text and
+intersection), a sheet in which the header row comes a second time (a row like
+any other), a header-only sheet, and a nested folder under ``a`` that the non-recursive glob
 must not visit. Every sign is in one layout.
 """
 
@@ -36,7 +37,9 @@ def write_sheets(spark, d) -> str:
                                        "code_type", "text_on_sign_exact",
                                        F.col("src_part").cast("string").alias(""), "intersection"),
         "c": s.where(part == 2).select("intersection", "code_type"),
-        "d": s.where(part == 3).select("text_on_sign_exact", "intersection"),
+        "d": s.where(part == 3).select(F.col("src_line").cast("string").alias(""), "text_on_sign_exact", "intersection"),
+        "again": spark.range(1).select(F.lit("intersection").alias("intersection"),
+                                       F.lit("text_on_sign_exact").alias("text_on_sign_exact")),
         "header_only": s.where(F.lit(False)).select("intersection", "text_on_sign_exact"),
     }
     for name, df in layouts.items():
@@ -55,7 +58,9 @@ _SHEETS_SQL = """sheets AS (
   FROM signs WHERE src_part % 4 = 1
   UNION ALL
   SELECT intersection, text_on_sign_exact, NULL, NULL, NULL, src_order, src_line, src_part
-  FROM signs WHERE src_part % 4 = 3)"""
+  FROM signs WHERE src_part % 4 = 3
+  UNION ALL
+  SELECT 'intersection', 'text_on_sign_exact', NULL, NULL, NULL, NULL, NULL, NULL)"""
 
 
 @register("scan_sheets", X.with_ctes(X.SIGNS, _SHEETS_SQL, body="""

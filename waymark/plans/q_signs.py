@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from waymark.operators import bags as B
 from waymark.plans import fixture_sql as X
 from waymark.plans import fixtures as fx
@@ -42,12 +44,13 @@ def q_raw_signs(spark, d):
 SELECT intersection, text_on_sign_exact, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, code_type
 FROM raw_signs"""))
 def q_raw_signs_csv(spark, d):
-    """The raw signs written as CSV, with an excluded, a blank and an
-    incomplete row beside them, and read through the CSV reader."""
+    """The raw signs written as CSV with an index column, and an excluded, a
+    blank and an incomplete row beside them, read through the CSV reader."""
     signs = raw_signs_df(spark, d).select("intersection", "text_on_sign_exact", "latitude", "longitude", "code_type")
     odd = signs.limit(0).unionByName(spark.createDataFrame(
         [("56th-pena", " x ", 1.0, 2.0, "y"), ("blank", "   ", 1.0, 2.0, "y"), ("null", "t", None, 2.0, "y")], signs.schema))
-    path = write_table(signs.unionByName(odd), scratch_path(spark, "raw-signs-csv"), fmt="csv")
+    indexed = signs.unionByName(odd).select(F.monotonically_increasing_id().cast("string").alias(""), "*")
+    path = write_table(indexed, scratch_path(spark, "raw-signs-csv"), fmt="csv")
     return read_raw_signs(spark, path).select("intersection", "text_on_sign_exact", r6("latitude"), r6("longitude"),
                                               "code_type")
 

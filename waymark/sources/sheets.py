@@ -2,92 +2,47 @@
 
 Sheets are header CSV files whose columns differ from file to file. One
 ``spark.read.csv`` over all of them would take the first file's header for
-every file and silently mis-assign columns, so the scan:
-
-1. finds the files with a non-recursive glob (``dir/*.csv``), in one listing;
-2. reads every file's first line that is not blank in one text-source job and
-   parses it as a header (blank names become ``Unnamed: <i>``, as the original
-   reader names them);
-3. reads each distinct header layout with one CSV read over all its files,
-   using an explicit all-string schema from that header;
-4. keeps only the wanted columns, skips layouts without the required ones
-   (:func:`skipped_sheets` lists their files), and unions the layouts by name.
-
-The number of reads is the number of distinct layouts, not of files. Rows
-carry ``ord`` = (file path, block start, position) so file order survives for
-the order-sensitive operators downstream.
+every file and silently mis-assign columns. Here the tasks that read the
+sheets also find each one's header (its first row that is not blank) and pick
+columns by name, so one read gives the rows of all layouts, nothing is
+collected, and small sheets share tasks. Large ones are cut into blocks, see
+``csvblocks``. Rows carry ``ord`` = (path, block, position): the order of the
+files' names, and of the rows in each.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.operators.filters import nullify_columns
-from waymark.sources.tables import EXCEL_SUFFIXES, read_csv_strings
+from waymark.session import ship_package
+from waymark.sources.csvblocks import csv_headers, csv_rows
+from waymark.sources.tables import EXCEL_SUFFIXES
 
+SHEET_REQUIRED = ("intersection", "text_on_sign_exact")
 SHEET_COLUMNS_OPTIONAL = ["code_type", "notes", "Unnamed: 3"]
 
 
-def parse_header(line: str) -> list[str]:
-    names = next(csv.reader(io.StringIO(line))) if line else []
-    out, seen = [], {}
-    for i, name in enumerate(names):
-        name = name if name != "" else f"Unnamed: {i}"
-        if name in seen:
-            seen[name] += 1
-            name = f"{name}.{seen[name]}"
-        else:
-            seen[name] = 0
-        out.append(name)
-    return out
-
-
-def sheet_headers(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
-    """{file path: header columns} for every file matching the glob, from
-    one pass over the files' first blocks."""
+def _no_workbooks(pattern: str) -> None:
     if pattern.lower().endswith(EXCEL_SUFFIXES):
         raise NotImplementedError("workbook files need a workbook reader; export the sheets to CSV")
-    lines = (spark.read.text(pattern)
-                  .select(F.col("_metadata.file_path").alias("path"), "value",
-                          F.col("_metadata.file_block_start").alias("block"),
-                          F.monotonically_increasing_id().alias("pos"))
-                  .where((F.col("block") == 0) & (F.trim("value") != ""))
-                  .groupBy("path").agg(F.min_by("value", "pos").alias("header")))
-    return {r["path"]: parse_header(r["header"]) for r in lines.collect()}
 
 
-def skipped_sheets(spark: SparkSession, pattern: str,
-                   required=("intersection", "text_on_sign_exact")) -> DataFrame:
+def skipped_sheets(spark: SparkSession, pattern: str, required=SHEET_REQUIRED) -> DataFrame:
     """``path, missing``: the files that a scan leaves out, with the required
     columns they lack."""
-    rows = [(path, sorted(set(required) - set(cols))) for path, cols in sorted(sheet_headers(spark, pattern).items())]
-    return spark.createDataFrame([r for r in rows if r[1]], "path string, missing array<string>")
+    _no_workbooks(pattern)
+    ship_package(spark)
+    lacking = F.array_sort(F.array_except(F.array(*[F.lit(c) for c in required]), "names"))
+    return csv_headers(spark, pattern).select("path", lacking.alias("missing")).where(F.size("missing") > 0)
 
 
-def scan_sheets(spark: SparkSession, pattern: str, required=("intersection", "text_on_sign_exact"),
+def scan_sheets(spark: SparkSession, pattern: str, required=SHEET_REQUIRED,
                 optional=SHEET_COLUMNS_OPTIONAL) -> DataFrame:
-    """Union of all sheets matching ``pattern`` that hold the ``required``
-    columns, projected to the required and present optional columns, with
-    missing-value tokens as nulls and an ``ord`` column in file order."""
-    headers = sheet_headers(spark, pattern)
-    layouts: dict[tuple, list[str]] = {}
-    for path, cols in sorted(headers.items()):
-        if all(c in cols for c in required):
-            layouts.setdefault(tuple(cols), []).append(path)
-    if not layouts:
-        raise ValueError(f"No sheet data found for {pattern}")
-    frames = []
-    for cols, paths in layouts.items():
-        df = read_csv_strings(spark, paths, list(cols))
-        keep = list(required) + [c for c in optional if c in cols]
-        df = df.select(*[F.col(f"`{c}`") for c in keep],
-                       F.struct(F.col("_metadata.file_path").alias("path"),
-                                F.col("_metadata.file_block_start").alias("block"),
-                                F.monotonically_increasing_id().alias("pos")).alias("ord"))
-        frames.append(nullify_columns(df, keep))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """All rows of the sheets matching ``pattern`` that hold the ``required``
+    columns: these, the ``optional`` ones (null where a sheet lacks them), with
+    missing-value tokens as nulls, and ``ord``."""
+    _no_workbooks(pattern)
+    columns = [*required, *optional]
+    return nullify_columns(csv_rows(spark, pattern, columns, required), columns)

@@ -4,14 +4,14 @@
 from __future__ import annotations
 
 import os
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from waymark.operators.filters import (drop_blank_text, drop_null_rows, exclude_values,
                                        nullify_columns, require_columns)
+from waymark.sources.csvblocks import csv_rows, first_header
+from waymark.sources.staging import stage_table  # noqa: F401 -- the operators import it from here
 
 RAW_SIGN_COLUMNS = ["intersection", "text_on_sign_exact", "latitude", "longitude"]
 RAW_SIGN_OPTIONAL = ["code_type"]
@@ -22,10 +22,6 @@ EXCEL_SUFFIXES = (".xlsx", ".xls", ".xlsm")
 _SCHEMAS: dict = {}
 
 
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
-
-
 def table(spark: SparkSession, base_dir: str, name: str, columns=None) -> DataFrame:
     """One driver table (Parquet). Selecting ``columns`` here lets the scan
     read only those columns. The schema is read from the footers once per
@@ -37,39 +33,19 @@ def table(spark: SparkSession, base_dir: str, name: str, columns=None) -> DataFr
     return df.select(*columns) if columns else df
 
 
-def read_csv_strings(spark: SparkSession, paths, header_columns, multi_line: bool = True) -> DataFrame:
-    """Read CSV files that share one header as all-string columns (no
-    inference: the header names the columns, values stay text until a typed
-    projection converts them). Quoted line breaks need ``multi_line``, which
-    makes a file one task; without it large files are split."""
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header_columns])
-    rows = (spark.read.schema(schema).option("multiLine", multi_line).option("escape", '"')
-                 .csv(list(paths) if not isinstance(paths, str) else paths))
-    # The reader would take a blank first line for the header, so header lines
-    # are read as rows and left out wherever they stand.
-    named = [c for c in header_columns if not c.startswith("Unnamed: ")]
-    is_header = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.lit(c)) for c in named], F.lit(bool(named)))
-    # A line of white space alone is blank too.
-    first, *others = [F.col(f"`{c}`") for c in header_columns]
-    blank = reduce(lambda a, b: a & b, [c.isNull() for c in others], F.coalesce(F.trim(first) == "", F.lit(True)))
-    return rows.where(~is_header & ~blank)
-
-
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a header CSV (reads the first line only)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
-
-
-def read_table(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, path: str, order_col: str | None = None) -> DataFrame:
     """Read a table by suffix: workbook suffixes need a workbook reader, which
-    this engine does not ship; everything else is a header CSV, with the
-    reader's missing-value tokens turned into nulls."""
+    this engine does not ship; everything else is header CSV (a file or a
+    folder of files) with the columns of its first file as text, the reader's
+    missing-value tokens as nulls, and ``order_col``, if named, in file order.
+    Unnamed columns (an index) and repeated names are named as the original
+    reader names them."""
     if path.lower().endswith(EXCEL_SUFFIXES):
         raise NotImplementedError(
             f"{path}: workbook files need a workbook reader; export the first sheet to CSV")
     if path.lower().endswith(".parquet"):
         return spark.read.parquet(path)
-    return nullify_columns(read_csv_strings(spark, path, csv_header(spark, path), multi_line))
+    return nullify_columns(csv_rows(spark, path, first_header(spark, path), order_col=order_col))
 
 
 def to_number(df: DataFrame, columns, kind: str = "double", mode: str = "strict") -> DataFrame:
@@ -113,10 +89,7 @@ def read_raw_signs(spark: SparkSession, path: str, order_col: str = "ord", mode:
     order (path, block, position) for the order-sensitive operators.
     Coordinates that are no numbers fail the job; with ``mode='permissive'``
     their rows are left out and :func:`rejected_rows` lists them."""
-    df = read_table(spark, path)
-    df = df.withColumn(order_col, F.struct(F.col("_metadata.file_path").alias("f"),
-                                           F.col("_metadata.file_block_start").alias("b"),
-                                           F.monotonically_increasing_id().alias("i")))
+    df = read_table(spark, path, order_col)
     return prepare_raw_signs(to_number(df, ["latitude", "longitude"], mode=mode), extra=[order_col])
 
 
@@ -150,15 +123,3 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     else:
         writer.format(fmt).save(path)
     return path
-
-
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared checkpoint folder and read it
-    back: later stages scan a columnar table instead of recomputing the
-    lineage, and a lost executor re-reads files instead of re-running the
-    upstream joins."""
-    from waymark.session import scratch_path
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    # The schema is the one just written: no footer-reading job on the way back.
-    return df.sparkSession.read.schema(_nullable(df.schema)).parquet(path)
