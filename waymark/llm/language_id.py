@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymark.llm.columns import bound_batches
 from waymark.llm.textbytes import batch_bytes, small_batches
 from waymark.sources.tables import table
 
@@ -126,6 +127,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     """Model of all rows with a language. Tasks count in numpy, Spark sums the
     counts per language and bucket; what reaches the driver is the matrix."""
     spark = labelled.sparkSession
+    bound_batches(spark)
     letters = letter_table()
     shared = spark.sparkContext.broadcast(letters)
     rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
@@ -177,6 +179,7 @@ def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "te
     read for it. Null texts and texts without a letter are ``und`` with
     score 0; equally probable languages give the first in order."""
     spark = docs.sparkSession
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     slots = [f"c{k}" for k in range(len(carry))]
     found = ["_lang", "_score", "_own"]

@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymark.llm.columns import bound_batches
 from waymark.llm.textbytes import (PieceCache, batch_bytes, document_begins, gather,
                                    small_batches)
 from waymark.sources.tables import table
@@ -243,6 +244,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     so only a longer text alone exceeds that.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(BpeModel(model_path))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
 
@@ -294,6 +296,30 @@ def decode_documents(encoded: DataFrame, model_path: str, id_col: str = "doc_id"
         F.col("_id").alias(id_col), F.col("_ids").alias(ids_col), F.col("_text").alias(text_col))
 
 
+def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, ids, text``: the ids of every whole text with the end id, and
+    the text that these ids decode to, as :func:`encode_documents` and
+    :func:`decode_documents` give them. One Python worker does both, so a task
+    holds one model and its ids do not cross to the JVM and back."""
+    bound_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(BpeModel(model_path))
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        cache = PieceCache(model.encode_words)
+        for batch in small_batches(batches, "_text"):
+            data, offsets = batch_bytes(model.prepared(batch.column("_text")))
+            ids, counts = cache.tokens(data, model.cuts(data, offsets), offsets)
+            ids = np.insert(ids, np.cumsum(counts), model.end_id)
+            texts = _texts(*model.decode(ids, counts + 1))
+            yield pa.record_batch([batch.column("_id"), _list_array(ids, counts + 1),
+                                   pa.array(texts, pa.binary()).cast(pa.string())], ["_id", "_ids", "_decoded"])
+
+    out = rows.mapInArrow(run, f"_id {rows.schema['_id'].dataType.simpleString()}, _ids array<int>, _decoded string")
+    return out.select(F.col("_id").alias(id_col), F.col("_ids").alias("ids"), F.col("_decoded").alias("text"))
+
+
 def _decimal(ids: np.ndarray, lengths: np.ndarray, size: int) -> list[bytes]:
     """Decimal ids joined by one space, per document."""
     words = [b"%d " % i for i in range(size)]

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.columns import broadcast_if_small
+from waymark.llm.columns import bound_batches, broadcast_if_small
 from waymark.llm.textbytes import (batch_bytes, document_of, is_space, lower_ascii, mix64, ranges,
                                    small_batches, span_hashes)
 from waymark.sources.tables import stage_table, table
@@ -181,6 +181,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``doc_id, text_hash, n, h1, h2, bands, sig`` per row: hash of the text
     as it is, set size, set key, band keys and packed signature (null for an
     empty set)."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_hash(text_col).alias("text_hash"),
                        F.col(text_col).alias("text"))
 
