@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from waymark.llm import decontaminate, language_id, secret_scan, sentencepiece_bpe, superminhash
 from waymark.llm.columns import broadcast_if_small, text_key
 from waymark.session import scratch_path
-from waymark.sources.tables import table
+from waymark.sources.tables import stage_table, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,9 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     found = decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark", ["item_id", "text"]))
-    leaks = broadcast_if_small(found.select(F.col("doc_id").alias("_wm_id"), F.col("key").alias("_wm_key")).distinct())
+    # Written once: the count and the join below must not search the corpus again.
+    leaks = broadcast_if_small(stage_table(
+        found.select(F.col("doc_id").alias("_wm_id"), F.col("key").alias("_wm_key")).distinct(), "leaks"))
     return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_wm_id"])
                      & (text_key(F.coalesce("text", F.lit(""))) == leaks["_wm_key"]), "left_anti")
 
@@ -55,8 +57,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     they decode to."""
     import public_tokenizers
     path = public_tokenizers.path("piece_bpe_32k.model")
-    decoded = sentencepiece_bpe.decode_documents(sentencepiece_bpe.encode_documents(docs, path), path)
-    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "text")
+    return sentencepiece_bpe.round_trip(docs, path).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "text")
 
 
 STAGES = [
