@@ -12,7 +12,7 @@ from waymark.operators import join as J
 from waymark.operators import metrics as M
 from waymark.operators import split as S
 from waymark.operators.filters import exclude_values, require_columns
-from waymark.operators.ordinal import with_ordinal
+from waymark.operators.ordinal import hash32, with_ordinal
 
 
 def test_require_columns_lists_missing_sorted(spark):
@@ -191,3 +191,55 @@ def test_first_skips_nulls_in_order_and_median_buffers_nothing(spark):
                                "g string, o int, t string, v double")
     got = {r.g: (r.t, r.v) for r in M.group_agg(df, "g", {"t": "first", "v": "median"}, order_by="o").collect()}
     assert got == {"a": ("x", 2.0), None: ("y", 7.0)}
+
+
+def test_refined_quantiles_meet_odd_values_groups_and_totals(spark):
+    rng = np.random.default_rng(5)
+    groups = {"clustered": np.concatenate([1 + rng.normal(0, 1e-12, 500), [1e300, -1e300]]),
+              "equal": np.full(300, 7.25), "signed": rng.normal(0, 50, 700), "one": np.array([-0.0]),
+              "wide": np.array([-1.7e308, 1.7e308, 5e-324, 0.0, 1.0]), None: rng.exponential(3, 400)}
+    rows = [(g, float(v)) for g, values in groups.items() for v in values] + [("signed", None), ("signed", float("nan")), ("empty", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r.g: r for r in M.quantiles(df, "v", ["g"], probs, counts=True, total={"g": "all of them"}).collect()}
+    groups["all of them"] = np.concatenate(list(groups.values()))
+    assert set(got) == set(groups)
+    for g, values in groups.items():
+        assert got[g].n == len(values)
+        ordered = np.sort(values)
+        for p in probs:
+            at = p * (len(values) - 1)
+            low, high = ordered[int(np.floor(at))], ordered[int(np.ceil(at))]
+            assert got[g][f"q{round(p * 100)}"] == low + (high - low) * (at - np.floor(at)), (g, p)
+
+
+def test_quantiles_exchange_cells_only(spark):
+    df = spark.range(20000).selectExpr("id % 3 AS g", "cast(sqrt(id) AS double) AS v")
+    from waymark.operators import quantiles as Q
+    values = Q._as_values(df, "v", ["g"])
+    hist = Q._counts(values.withColumn("cell", Q.first_cell(F.col("v"))), "part", "cell")
+    plan = hist._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.rindex("partial_count")
+
+
+def test_row_split_takes_the_least_hashes_and_keeps_keys_together(spark):
+    from waymark.operators import split as S
+    rows = [(k, k % 7) for k in range(500)]
+    df = spark.createDataFrame(rows, "k long, x long").repartition(4)
+    rank = {r.k: r.h for r in df.select("k", hash32(F.lit(3), "k").alias("h")).collect()}
+    val = {r.k for r in S.split(df, None, "k", 0.2, 3).collect() if r.split == "val"}
+    assert val == set(sorted(rank, key=lambda k: (rank[k], k))[:100])
+    again = spark.createDataFrame([(k % 40, k) for k in range(400)] + [(None, 1)] * 5, "k long, x long")
+    sides = S.split(again, None, "k", 0.25, 3).groupBy("k").agg(F.countDistinct("split").alias("n")).collect()
+    assert all(r.n == 1 for r in sides)
+    plan = S.split(df, None, "k", 0.2, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
+
+
+def test_cleaning_is_in_the_plan_once(spark):
+    from conftest import SF001
+    from waymark.operators import bags
+    from waymark.plans.pipeline import raw_signs_df
+    plan = bags.intersection_profile(raw_signs_df(spark, SF001))._jdf.queryExecution().optimizedPlan().toString()
+    # Two in each cleaned column, five in the key of the signs, five in the lookup's.
+    assert plan.count("regexp_replace") == 14

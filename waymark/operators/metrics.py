@@ -1,19 +1,20 @@
 """Grouping and error analytics.
 
 Aggregations are plain ``groupBy().agg()`` so each task reduces its rows
-before the shuffle. Quantiles are exact by default but never buffer or sort a
-group: a sketch brackets them and only the values inside a bracket are ranked.
+before the shuffle. Quantiles are exact by default but never buffer, sort or
+shuffle a group's values, see ``quantiles``.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import EARTH_RADIUS_KM, denormalize, haversine_km, huber, zscore
 from waymark.functions.text import clean_columns
+from waymark.operators.quantiles import quantiles
 
 # Aggregation names accepted in an aggregation map (the pandas spellings).
 AGGREGATES = {
@@ -111,53 +112,6 @@ def with_error_km(df: DataFrame, radius_km: float = EARTH_RADIUS_KM, name: str =
     return df.withColumn(name, haversine_km(pred[0], pred[1], true[0], true[1], radius_km))
 
 
-#: Rank error of the sketch that brackets an exact quantile is n / BRACKET.
-BRACKET = 10_000
-
-
-def quantiles(df: DataFrame, value: str, by: list[str], probs, method: str = "exact",
-              accuracy: int = 100000) -> DataFrame:
-    """Quantiles with linear interpolation (the NumPy default) per ``by``
-    group, one column ``q<100p>`` per probability (``q50``, ``q90``).
-
-    ``exact`` brackets every quantile with a sketch (one scan), then counts the
-    values below the bracket and the distinct values inside it (a second
-    scan) and takes the two ranks around ``p * (n - 1)``. Nothing is sorted but
-    the values inside a bracket: a few ten-thousandths of a group, or the whole
-    of a group of at most ``BRACKET`` rows; equal values count as one.
-    ``approx`` uses ``percentile_approx`` with bounded memory per group."""
-    names = [f"q{round(p * 100)}" for p in probs]
-    vals = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_wm_v"))
-    if method == "approx":
-        return vals.groupBy(*by).agg(*[F.percentile_approx("_wm_v", p, accuracy).alias(n)
-                                       for p, n in zip(probs, names)])
-    margin = 3 / BRACKET
-    edges = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
-    groups = vals.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_wm_n"), F.min("_wm_v").alias("_wm_min"), F.max("_wm_v").alias("_wm_max"),
-        F.percentile_approx("_wm_v", edges, BRACKET).alias("_wm_e"))
-    small = F.col("_wm_n") <= BRACKET
-    wanted = F.array(*[F.struct(
-        F.lit(n).alias("q"), (F.lit(float(p)) * (F.col("_wm_n") - 1)).alias("at"),
-        F.when(small, F.col("_wm_min")).otherwise(F.col("_wm_e")[2 * k]).alias("low"),
-        F.when(small, F.col("_wm_max")).otherwise(F.col("_wm_e")[2 * k + 1]).alias("high"))
-        for k, (p, n) in enumerate(zip(probs, names))])
-    brackets = groups.select(*[F.col(c).alias(f"_wm_by{k}") for k, c in enumerate(by)], wanted.alias("_wm_w"))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_wm_by{k}")) for k, c in enumerate(by)])
-    each = vals.join(brackets, same).select(*by, "_wm_v", F.explode("_wm_w").alias("w")).select(*by, "_wm_v", "w.*")
-    # One key for all values below the bracket, one per distinct value inside.
-    keyed = (each.where(F.col("_wm_v") <= F.col("high"))
-                 .withColumn("key", F.when(F.col("_wm_v") >= F.col("low"), F.col("_wm_v")))
-                 .groupBy(*by, "q", "at", "key").agg(F.count(F.lit(1)).alias("n")))
-    upto = F.sum("n").over(Window.partitionBy(*by, "q").orderBy(F.asc_nulls_first("key")))
-    ranked = keyed.withColumn("upto", upto).where(F.col("key").isNotNull())
-    ends = ranked.groupBy(*by, "q", "at").agg(
-        F.min(F.when(F.col("upto") > F.floor("at"), F.col("key"))).alias("lo"),
-        F.min(F.when(F.col("upto") > F.ceil("at"), F.col("key"))).alias("hi"))
-    found = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
-    return ends.groupBy(*by).agg(*[F.max(F.when(F.col("q") == n, found)).alias(n) for n in names])
-
-
 def intersection_errors(scored: DataFrame, split_col: str = "split",
                         group_col: str = "intersection") -> DataFrame:
     """Per split and intersection: mean predicted coordinates, the
@@ -179,20 +133,24 @@ def error_summary(scored: DataFrame, split_col: str = "split", group_col: str =
 
     ``scored`` is read several times (counts, brackets, intersection means):
     pass a written table, as the evaluation writes its scored bags anyway."""
-    bags = scored.select(F.col(split_col).alias("scope"), F.lit("bag").alias("level"),
-                         F.col(err).alias("err"))
-    parts = [bags, bags.withColumn("scope", F.lit("all"))]
+    ranks = [0.5, 0.9]
+
+    def level(rows: DataFrame, col: str, name: str, total: dict | None) -> DataFrame:
+        rows = rows.select(F.col(split_col).alias("scope"), F.col(col).alias("err"))
+        sums = rows.where(F.col("err").isNotNull()).groupBy("scope").agg(F.sum("err").alias("s"), F.count("err").alias("c"))
+        if total:
+            sums = sums.unionByName(sums.agg(F.sum("s").alias("s"), F.sum("c").alias("c")).where("c > 0")
+                                        .select(F.lit(total["scope"]).alias("scope"), "s", "c"))
+        means = sums.select(F.col("scope").alias("_wm_scope"), (F.col("s") / F.col("c")).alias("mean_km"))
+        qs = quantiles(rows, "err", ["scope"], ranks, method=method, total=total, counts=True)
+        return (qs.join(means, qs["scope"].eqNullSafe(means["_wm_scope"]))
+                  .select("scope", F.lit(name).alias("level"), "n", "mean_km", F.col("q50").alias("median_km"),
+                          F.col("q90").alias("p90_km")))
+
+    out = level(scored, err, "bag", {"scope": "all"})
     if group_col in scored.columns:
-        ie = intersection_errors(scored, split_col, group_col)
-        parts.append(ie.select(F.col(split_col).alias("scope"), F.lit("intersection").alias("level"),
-                               F.col("error_km").alias("err")))
-    values = union_frames(parts)
-    stats = values.groupBy("scope", "level").agg(F.count(F.lit(1)).alias("n"),
-                                                 F.avg("err").alias("mean_km"))
-    qs = quantiles(values, "err", ["scope", "level"], [0.5, 0.9], method=method)
-    return (stats.join(qs, ["scope", "level"])
-                 .select("scope", "level", "n", "mean_km", F.col("q50").alias("median_km"),
-                         F.col("q90").alias("p90_km")))
+        out = out.unionByName(level(intersection_errors(scored, split_col, group_col), "error_km", "intersection", None))
+    return out
 
 
 def split_group_counts(scored: DataFrame, split_col: str = "split",

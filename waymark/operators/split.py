@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.operators.ordinal import hash32, with_ordinal
+from waymark.operators.quantiles import kth_smallest
 from waymark.sources.tables import stage_table
 
 DEFAULT_TEST_SIZE = 0.2
@@ -48,17 +49,30 @@ def group_split_table(df: DataFrame, group_col: str = "intersection",
 def split(df: DataFrame, group_col: str | None = "intersection", row_key=None,
           test_size: float = DEFAULT_TEST_SIZE, seed: int = DEFAULT_SEED) -> DataFrame:
     """Add ``split``. With a group column every row of a group lands on the
-    same side; otherwise rows are ranked by ``hash32(seed || row_key)``."""
+    same side; otherwise the ``ceil(test_size * rows)`` rows with the least
+    ``hash32(seed || row_key)`` (then the least key) are ``val``: the border is
+    found from histograms, and the rows get their label where they are. Rows
+    that share a key stay together."""
     if group_col and group_col in df.columns:
         # Null-safe: rows without a group are a group and stay.
         sides = group_split_table(df, group_col, test_size, seed).withColumnRenamed(group_col, "_wm_group")
         return df.join(sides, df[group_col].eqNullSafe(sides["_wm_group"])).drop("_wm_group")
     if row_key is None:
         raise ValueError("a row split needs a stable row_key column")
-    keyed = df.withColumn("_wm_h", hash32(F.lit(seed), row_key))
-    n_val = _n_val(df.count(), test_size)
-    ranked = with_ordinal(keyed, ["_wm_h", row_key], name="_wm_rank")
-    return ranked.withColumn("split", split_label(F.col("_wm_rank") < n_val)).drop("_wm_h", "_wm_rank")
+    rank = hash32(F.lit(seed), row_key)
+    sized = []
+
+    def last(total: int) -> int:
+        sized.append(_n_val(total, test_size))
+        return sized[0] - 1
+
+    border, before, _ = kth_smallest(df, rank, last)
+    # Keys with the border's hash: as many of the least as the side still takes.
+    key = F.col(row_key)
+    ties = df.where(rank == int(border)).select(key.alias("k")).orderBy("k").limit(before + 1)
+    top = ties.agg(F.max("k").alias("k"), F.count("k").alias("n")).first()
+    below = key.isNull() | (key <= F.lit(top["k"])) if top["n"] else key.isNull()
+    return df.withColumn("split", split_label((rank < int(border)) | ((rank == int(border)) & below)))
 
 
 def pick_rounds(df: DataFrame, k: int, seed: int, row_key: str) -> DataFrame:
