@@ -1,15 +1,14 @@
 """Text embedding.
 
 Two interchangeable embedders produce a fixed-width ``array<double>`` per
-row:
+row, without leaving the row (no shuffle):
 
-* :func:`embed_hashed` -- native: clean, split on spaces, hash each token into
-  one of ``dim`` buckets, count per (row, bucket), scale each row to unit
-  length (mean pooling followed by normalisation gives the same vector). All
-  of it is explode / aggregate / window over at most ``dim`` rows per text,
-  so long texts never gather anywhere.
-* :func:`embed_with` -- an iterator ``pandas_udf`` around a user-supplied
-  encoder factory, built once per Python worker and fed Arrow batches.
+* :func:`embed_hashed` -- clean, split on spaces and hash each token into one
+  of ``dim`` buckets, natively; the bucket lists of an Arrow batch are counted
+  at once and each row is scaled to unit length (mean pooling followed by
+  normalisation gives the same vector).
+* :func:`embed_with` -- a user-supplied encoder, built once per Python worker
+  and fed batches of texts through ``predict_batch_udf``.
 
 :func:`cache_embeddings` writes the vectors once (the encoder is frozen) so
 training epochs re-read them instead of re-embedding.
@@ -19,8 +18,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,47 +29,72 @@ from waymark.functions.text import clean_text
 from waymark.operators.ordinal import hash32
 from waymark.session import ship_package
 
+#: Entries of the count matrix made at once.
+MATRIX_ENTRIES = 1 << 20
 
-def hashed_weights(df: DataFrame, text_col: str, id_cols, dim: int = 64) -> DataFrame:
-    """Long form ``(ids..., bucket, weight)``: unit-length bucket counts of
-    the cleaned tokens of every text."""
-    id_cols = list(id_cols)
-    df = df.select(*id_cols, text_col)
-    tokens = df.select(*id_cols, F.explode(F.split(clean_text(text_col), " ", -1)).alias("_wm_tok"))
-    counts = (tokens.where(F.col("_wm_tok") != "")
-                    .groupBy(*id_cols, (hash32("_wm_tok") % dim).alias("bucket"))
-                    .agg(F.count(F.lit(1)).alias("_wm_n")))
-    norm = F.sqrt(F.sum(F.col("_wm_n") * F.col("_wm_n")).over(Window.partitionBy(*id_cols)))
-    return counts.withColumn("weight", F.col("_wm_n") / norm).drop("_wm_n")
+
+def _unit_counts(buckets: pa.Array, dim: int) -> np.ndarray:
+    """Bucket counts per row, scaled to unit length."""
+    lengths = buckets.value_lengths().to_numpy(zero_copy_only=False)
+    flat = buckets.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    counts = np.bincount(row * dim + flat, minlength=len(lengths) * dim).reshape(-1, dim).astype(np.float64)
+    return counts / np.sqrt((counts * counts).sum(1, keepdims=True))
 
 
 def embed_hashed(df: DataFrame, text_col: str, id_cols, dim: int = 64,
                  out_col: str = "embedding") -> DataFrame:
-    """``(ids..., embedding array<double>[dim])`` for every text with at
-    least one token."""
+    """``(ids..., embedding array<double>[dim])`` for every row whose text has
+    at least one token."""
+    ship_package(df.sparkSession)
     id_cols = list(id_cols)
-    w = hashed_weights(df, text_col, id_cols, dim)
-    entries = F.map_from_entries(F.collect_list(F.struct("bucket", "weight")))
-    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                      lambda i: F.coalesce(F.element_at(F.col("_wm_m"), i.cast("bigint")), F.lit(0.0)))
-    return (w.groupBy(*id_cols).agg(entries.alias("_wm_m"))
-             .select(*id_cols, vec.alias(out_col)))
+    tokens = F.filter(F.split(clean_text(text_col), " ", -1), lambda t: t != "")
+    buckets = F.transform(tokens, lambda t: (hash32(t) % dim).cast("int"))
+    rows = df.select(*[F.col(c).alias(f"id{k}") for k, c in enumerate(id_cols)], buckets.alias("buckets"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, MATRIX_ENTRIES // dim)
+        for whole in batches:
+            for begin in range(0, whole.num_rows, step):
+                batch = whole.slice(begin, step)
+                values = _unit_counts(batch.column("buckets"), dim)
+                offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * dim)
+                yield pa.record_batch([*batch.columns[:-1], pa.ListArray.from_arrays(offsets, pa.array(values.reshape(-1)))],
+                                      [*batch.schema.names[:-1], "vector"])
+
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("vector", T.ArrayType(T.DoubleType()))])
+    out = rows.where(F.size("buckets") > 0).mapInArrow(run, schema)
+    return out.select(*[F.col(f"id{k}").alias(c) for k, c in enumerate(id_cols)], F.col("vector").alias(out_col))
+
+
+def hashed_weights(df: DataFrame, text_col: str, id_cols, dim: int = 64) -> DataFrame:
+    """Long form ``(ids..., bucket, weight)`` of :func:`embed_hashed`, without
+    the zeros."""
+    vectors = embed_hashed(df, text_col, id_cols, dim, "_wm_vector")
+    return (vectors.select(*id_cols, F.posexplode("_wm_vector").alias("bucket", "weight")).where("weight > 0")
+                   .withColumn("bucket", F.col("bucket").cast("bigint")))
 
 
 def embed_with(df: DataFrame, text_col: str, encoder_factory: Callable[[], Callable],
-               dim: int, out_col: str = "embedding") -> DataFrame:
-    """Embed with a user encoder: ``encoder_factory()`` returns a function
-    from a list of texts to a 2-D array of shape (n, dim). It is called once
-    per Python worker; batches arrive through Arrow."""
+               dim: int, out_col: str = "embedding", batch_size: int = 64) -> DataFrame:
+    """Embed with a user encoder: ``encoder_factory()`` returns a function from
+    a list of texts to a 2-D array of shape (n, dim). It is called once per
+    Python worker and fed ``batch_size`` texts at a time; a null text is an
+    empty one."""
     ship_package(df.sparkSession)
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def make():
         encoder = encoder_factory()
-        for texts in batches:
-            vectors = encoder(texts.fillna("").astype(str).tolist())
-            yield pd.Series([list(map(float, v)) for v in vectors])
-    return df.withColumn(out_col, encode(F.col(text_col)))
+
+        def predict(texts: np.ndarray) -> np.ndarray:
+            vectors = np.asarray(encoder([str(t) for t in texts]), dtype=np.float64)
+            if vectors.shape != (len(texts), dim):
+                raise ValueError(f"the encoder gave shape {vectors.shape} for {len(texts)} texts of {dim} dimensions")
+            return vectors
+        return predict
+
+    encode = predict_batch_udf(make, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size)
+    return df.withColumn(out_col, encode(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
 
 
 def cache_embeddings(df: DataFrame, name: str = "embeddings") -> DataFrame:

@@ -2,19 +2,24 @@
 (I3, I4, I5, I6, A8).
 
 The head is a d -> h -> h/2 -> 2 ReLU network on z-scored targets with Huber
-loss and AdamW (decoupled weight decay). Training is synchronous gradient
-descent over Spark partitions:
-
-* an epoch is a fixed number of steps; a row's step follows from the hash of
-  its key, so the steps do not depend on the partitioning;
-* per step the weights are broadcast and ``mapInPandas`` sums the gradients
-  of the step's rows in every partition, batch by batch (NumPy on Arrow
-  batches, so a task holds one batch and one gradient); dropout masks follow
-  from the row key, the epoch and the unit;
-* Spark reduces the partitions' sums in a tree of bounded fan-in, and the
-  driver makes one AdamW update -- its work is O(model size), never O(data).
-
-Results agree for any partitioning up to the rounding of the sums.
+loss and AdamW (decoupled weight decay), trained on mini-batches whose number
+grows with the rows:
+
+* the rows are dealt by a hash of their key to rounds and, within a round, to
+  replicas, and written once, partitioned by round. A round reads its own
+  files only (partition pruning);
+* in a round every replica starts from the same weights and moments, which are
+  broadcast, and makes one update per ``batch_size`` of its rows, in an order
+  that a hash draws anew every epoch. A replica has about ``sync_steps``
+  batches a round, so a task holds that many rows and one model;
+* the replicas' weights and moments, weighted by their rows, are summed by Spark
+  in a tree of bounded fan-in; the mean opens the next round. The driver's work
+  is O(model size), never O(data).
+
+Up to ``batch_size * sync_steps`` rows there is one replica, which is plain
+mini-batch AdamW; beyond, replicas are added up to ``replicas``, and then
+rounds. The deal depends on the keys alone, so results agree for any
+partitioning up to the rounding of the sums.
 
 Validation loss and mean km per epoch come from a distributed forward pass.
 The best-validation weights are kept and persisted every ``save_every`` epochs
@@ -30,15 +35,18 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.functions.geo import EARTH_RADIUS_KM
-from waymark.session import ship_package
+from waymark.operators.ordinal import hash32
+from waymark.session import scratch_path, ship_package
+from waymark.sources.staging import nullable, stage_table
 
 PARAM_NAMES = ["w1", "b1", "w2", "b2", "w3", "b3"]
+BASE_ENCODER = "hashed-tokens"
 
 
 # ---------------------------------------------------------------- network maths (NumPy, inside tasks)
@@ -127,8 +135,20 @@ def _unflatten(vec: np.ndarray, like: dict) -> dict:
     return out
 
 
-def _features(pdf: pd.DataFrame, col: str) -> np.ndarray:
-    return np.stack(pdf[col].to_numpy()).astype(np.float64, copy=False) if len(pdf) else np.zeros((0, 0))
+def vectors_of(column) -> np.ndarray:
+    """Rows x dimensions of an Arrow list column, as one array."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    n = len(column)
+    if not n:
+        return np.zeros((0, 0))
+    if column.null_count:
+        raise ValueError("a row has no vector")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(n, -1)
+
+
+def _numbers(batch, *names: str) -> np.ndarray:
+    return np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names], 1).astype(np.float64, copy=False)
 
 
 # ---------------------------------------------------------------- model object and artifacts
@@ -140,7 +160,7 @@ class HeadModel:
     coord_std: list
     hidden_dim: int
     dropout: float
-    model_name: str = "hashed-tokens"
+    model_name: str = BASE_ENCODER
     extra: dict = field(default_factory=dict)
 
     @property
@@ -152,14 +172,22 @@ class HeadModel:
                 "hidden_dim": self.hidden_dim, "dropout": self.dropout, "model_name": self.model_name}
 
 
-def save_model(spark: SparkSession, model: HeadModel, path: str) -> str:
-    """Weights as a Parquet table ``(name, shape, values)`` plus a one-row
-    metadata table -- model-sized, written by Spark like any table."""
+def _write_model(spark: SparkSession, model: HeadModel, path: str) -> None:
     rows = [(k, list(model.params[k].shape), model.params[k].ravel().astype(float).tolist()) for k in PARAM_NAMES]
     schema = "name string, shape array<int>, values array<double>"
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/weights")
     spark.createDataFrame([(json.dumps(model.metadata()),)], "config string") \
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/config")
+
+
+def save_model(spark: SparkSession, model: HeadModel, path: str, initial: HeadModel | None = None) -> str:
+    """Weights as a Parquet table ``(name, shape, values)`` plus a one-row
+    metadata table, and the initial model beside them if there is one --
+    model-sized, written by Spark like any table. Without ``initial`` an
+    initial model that the artifact holds stays."""
+    _write_model(spark, model, path)
+    if initial is not None:
+        _write_model(spark, initial, f"{path}/initial")
     return path
 
 
@@ -168,30 +196,51 @@ def load_model(spark: SparkSession, path: str) -> HeadModel:
     params = {r["name"]: np.asarray(r["values"], dtype=np.float64).reshape(r["shape"])
               for r in spark.read.parquet(f"{path}/weights").collect()}
     return HeadModel(params, meta["coord_mean"], meta["coord_std"], meta["hidden_dim"], meta["dropout"],
-                     meta.get("model_name", "hashed-tokens"))
+                     meta.get("model_name", BASE_ENCODER))
+
+
+def load_models(spark: SparkSession, path: str) -> tuple[HeadModel, HeadModel | None, str]:
+    """``(trained, initial, base encoder)``. An artifact without an initial
+    model gives None for it, and the encoder that the initial predictions are
+    to use is then the base one that the trained model names."""
+    trained = load_model(spark, path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/initial/config")
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return trained, None, trained.model_name
+    initial = load_model(spark, f"{path}/initial")
+    return trained, initial, initial.model_name
 
 
 # ---------------------------------------------------------------- distributed pieces
 
-def _tree_sum(df: DataFrame, col: str, weight_cols, widths=(1024, 32)) -> tuple:
+def _tree_sum(df: DataFrame, col: str, weight_cols, at_most: int | None = None, widths=(1024, 32, 4)) -> tuple:
     """Element-wise sum of the array column over all rows (plus plain sums of
-    ``weight_cols``). ``df`` has at most one row per partition; rows are summed
-    in ``widths`` groups, level by level, and the driver receives at most the
-    last width's arrays."""
-    def add(acc, a):
-        return F.zip_with(acc, a, lambda x, y: x + y)
-
-    level = df.select(F.spark_partition_id().alias("_wm_b"), col, *weight_cols)
+    ``weight_cols``). Rows are summed in ``widths`` groups, level by level, so
+    the driver receives at most twice the last width's arrays. ``at_most``, if
+    known, is the number of rows; levels that few rows do not need are left
+    out."""
+    names = [col, *weight_cols]
+    schema = ", ".join(["_wm_b bigint", f"{col} array<double>", *[f"{c} double" for c in weight_cols]])
+
+    def add(part: pa.Table) -> pa.Table:
+        vec = vectors_of(part.column(col)).sum(0)
+        sums = [float(np.sum(part.column(c).to_numpy())) for c in weight_cols]
+        return pa.table({"_wm_b": [part.column("_wm_b")[0].as_py()], col: pa.array([vec]),
+                         **{c: [s] for c, s in zip(weight_cols, sums, strict=True)}})
+
+    level = df.select(F.monotonically_increasing_id().alias("_wm_b"), *names)
     for width in widths:
-        level = (level.groupBy((F.col("_wm_b") % width).alias("_wm_b"))
-                      .agg(F.aggregate(F.collect_list(col), F.array_repeat(F.lit(0.0), F.size(F.first(col))),
-                                       add).alias(col),
-                           *[F.sum(c).alias(c) for c in weight_cols]))
-    rows = level.orderBy("_wm_b").collect()
-    if not rows:
+        if at_most is None or at_most > 2 * width:
+            # The id of a partition's only row is its number, shifted.
+            level = (level.withColumn("_wm_b", F.pmod(F.xxhash64("_wm_b"), F.lit(width)).cast("bigint"))
+                          .groupBy("_wm_b").applyInArrow(add, schema))
+    rows = level.select(*names).toArrow()
+    if not rows.num_rows:
         return None, [0.0] * len(weight_cols)
-    total = np.sum([np.asarray(r[col]) for r in rows], axis=0)
-    return total, [sum(r[c] for r in rows) for c in weight_cols]
+    return vectors_of(rows.column(col)).sum(0), [float(np.sum(rows.column(c).to_numpy())) for c in weight_cols]
+
+
+TARGETS = ("_wm_zlat", "_wm_zlon")
 
 
 def gradient_sums(df: DataFrame, feat: str, params: dict, dropout: float = 0.0, seed: int = 0) -> tuple:
@@ -202,54 +251,57 @@ def gradient_sums(df: DataFrame, feat: str, params: dict, dropout: float = 0.0,
 
     def run(batches):
         total, rows, loss = None, 0.0, 0.0
-        for pdf in batches:
-            if not len(pdf):
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            y = pdf[["_wm_zlat", "_wm_zlon"]].to_numpy(dtype=np.float64)
-            out, cache = forward(shared.value, _features(pdf, feat), dropout, pdf["_wm_key"].to_numpy(), seed)
+            y = _numbers(batch, *TARGETS)
+            out, cache = forward(shared.value, vectors_of(batch.column(feat)), dropout, batch.column("_wm_key").to_numpy(), seed)
             grads = _flatten(backward(shared.value, cache, out, y))
             total = grads if total is None else total + grads
-            rows += len(pdf)
+            rows += batch.num_rows
             loss += float(huber_elements(out - y).mean(axis=1).sum())
         if total is not None:
-            yield pd.DataFrame({"vec": [total.tolist()], "rows": [rows], "loss": [loss]})
+            yield pa.record_batch([pa.array([total]), pa.array([rows]), pa.array([loss])], ["vec", "rows", "loss"])
 
-    total, (rows, loss) = _tree_sum(df.mapInPandas(run, "vec array<double>, rows double, loss double"), "vec",
+    total, (rows, loss) = _tree_sum(df.mapInArrow(run, "vec array<double>, rows double, loss double"), "vec",
                                     ["rows", "loss"])
     shared.destroy()
     return (None if total is None else _unflatten(total, params)), rows, loss
 
 
-def _evaluate(df: DataFrame, feat: str, model: HeadModel) -> tuple:
-    """Distributed forward pass: (mean Huber loss, mean km, rows)."""
-    spark = df.sparkSession
+def row_losses(df: DataFrame, feat: str, model: HeadModel, carry=()) -> DataFrame:
+    """``carry`` columns, ``loss`` (mean Huber loss over the outputs) and ``km``
+    of prepared rows."""
+    spark, carry = df.sparkSession, list(carry)
     ship_package(spark)
-    bparams = spark.sparkContext.broadcast(model.params)
-    mean, sd = np.asarray(model.coord_mean), np.asarray(model.coord_std)
+    shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        for pdf in batches:
-            if not len(pdf):
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            out, _ = forward(bparams.value, _features(pdf, feat))
-            y = pdf[["_wm_zlat", "_wm_zlon"]].to_numpy(dtype=np.float64)
-            pred = out * sd + mean
-            true = y * sd + mean
+            m, y = shared.value, _numbers(batch, *TARGETS)
+            out, _ = forward(m.params, vectors_of(batch.column(feat)))
+            mean, sd = np.asarray(m.coord_mean), np.asarray(m.coord_std)
+            pred, true = out * sd + mean, y * sd + mean
             km = haversine_np(pred[:, 0], pred[:, 1], true[:, 0], true[:, 1])
-            yield pd.DataFrame({"loss": [float(huber_elements(out - y).mean(axis=1).sum())],
-                                "km": [float(km.sum())], "n": [float(len(pdf))]})
+            yield pa.record_batch([*[batch.column(c) for c in carry], pa.array(huber_elements(out - y).mean(axis=1)),
+                                   pa.array(km)], [*carry, "loss", "km"])
 
-    r = df.mapInPandas(run, "loss double, km double, n double").agg(
-        F.sum("loss").alias("loss"), F.sum("km").alias("km"), F.sum("n").alias("n")).first()
-    bparams.destroy()
-    n = r["n"] or 0.0
-    return (r["loss"] / n, r["km"] / n, n) if n else (float("nan"), float("nan"), 0.0)
+    kinds = [f"{c} {df.schema[c].dataType.simpleString()}" for c in carry]
+    return df.select(feat, *TARGETS, *carry).mapInArrow(run, ", ".join([*kinds, "loss double", "km double"]))
+
+
+def _evaluate(df: DataFrame, feat: str, model: HeadModel) -> tuple:
+    """Distributed forward pass: (mean Huber loss, mean km, rows)."""
+    r = row_losses(df, feat, model).agg(F.sum("loss").alias("loss"), F.sum("km").alias("km"),
+                                        F.count(F.lit(1)).alias("n")).first()
+    return (r["loss"] / r["n"], r["km"] / r["n"], r["n"]) if r["n"] else (float("nan"), float("nan"), 0)
 
 
 def prepare_training(df: DataFrame, feat: str, lat: str, lon: str, stats: dict, key_col: str,
                      seed: int) -> DataFrame:
-    """Features, z-scored targets and a seeded shuffle key per row."""
-    from waymark.operators.ordinal import hash32
+    """Features, z-scored targets and a seeded key per row."""
     return df.select(
         F.col(feat),
         ((F.col(lat) - stats["lat_mean"]) / stats["lat_std"]).alias("_wm_zlat"),
@@ -257,35 +309,111 @@ def prepare_training(df: DataFrame, feat: str, lat: str, lon: str, stats: dict,
         hash32(F.lit(seed), key_col).alias("_wm_key"))
 
 
+@dataclass
+class Deal:
+    """Prepared rows written by ``round``, each with its ``replica``."""
+    rows: DataFrame
+    n: int
+    rounds: int
+    replicas: int
+
+    def of_round(self, k: int) -> DataFrame:
+        return self.rows.where(F.col("round") == k)
+
+
+def deal_rounds(prepared: DataFrame, batch_size: int = 64, replicas: int = 8, sync_steps: int = 16) -> Deal:
+    """Deal prepared rows to rounds and replicas (by the hash of their key) and
+    write them, partitioned by round."""
+    n, share = prepared.count(), batch_size * sync_steps
+    replicas = max(1, min(replicas, -(-n // share)))
+    rounds = max(1, -(-n // (share * replicas)))
+    place = hash32(F.lit("deal"), "_wm_key") % (rounds * replicas)
+    dealt = prepared.withColumns({"replica": (place % replicas).cast("int"), "round": F.floor(place / replicas).cast("int")})
+    path = scratch_path(prepared.sparkSession, "training-rounds")
+    dealt.repartition("round", "replica").write.partitionBy("round").parquet(path)
+    # One listing for all rounds.
+    return Deal(prepared.sparkSession.read.schema(nullable(dealt.schema)).parquet(path), n, rounds, replicas)
+
+
+def _draw(keys: np.ndarray, epoch: int) -> np.ndarray:
+    """The order of a replica's rows in an epoch."""
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(epoch) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
+    return np.lexsort((keys, mixed ^ (mixed >> np.uint64(31))))
+
+
+def local_updates(state: dict, x, y, keys, epoch: int, batch_size: int, lr: float, weight_decay: float,
+                  dropout: float, seed: int) -> tuple:
+    """Mini-batch updates of one replica: ``(params, m, v, updates, loss sum)``."""
+    params, m, v = ({k: a.copy() for k, a in state[part].items()} for part in ("params", "m", "v"))
+    order, loss, t = _draw(keys, epoch), 0.0, state["t"]
+    for begin in range(0, len(order), batch_size):
+        rows = order[begin:begin + batch_size]
+        out, cache = forward(params, x[rows], dropout, keys[rows], seed + epoch)
+        loss += float(huber_elements(out - y[rows]).mean(axis=1).sum())
+        grads = backward(params, cache, out, y[rows])
+        t += 1
+        adamw_step(params, {k: g / len(rows) for k, g in grads.items()}, m, v, t, lr, weight_decay)
+    return params, m, v, t - state["t"], loss
+
+
+def run_round(rows: DataFrame, feat: str, state: dict, epoch: int, batch_size: int, lr: float, weight_decay: float,
+              dropout: float, seed: int, at_most: int | None = None) -> tuple:
+    """One round of ``at_most`` replicas from ``state`` (params, m, v, t): ``(next state, rows, loss
+    sum)``."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(state)
+    size = sum(a.size for a in state["params"].values())
+
+    def replica(part: pa.Table) -> pa.Table:
+        keys = part.column("_wm_key").to_numpy()
+        params, m, v, steps, loss = local_updates(shared.value, vectors_of(part.column(feat)), _numbers(part, *TARGETS), keys,
+                                                  epoch, batch_size, lr, weight_decay, dropout, seed)
+        vec = np.concatenate([_flatten(params), _flatten(m), _flatten(v)]) * len(keys)
+        return pa.table({"vec": pa.array([vec]), "rows": [float(len(keys))], "loss": [loss], "steps": [float(steps)]})
+
+    done = (rows.select("replica", feat, *TARGETS, "_wm_key").groupBy("replica")
+                .applyInArrow(replica, "vec array<double>, rows double, loss double, steps double"))
+    total, (n, loss, steps, replicas) = _tree_sum(done.withColumn("replicas", F.lit(1.0)), "vec",
+                                                  ["rows", "loss", "steps", "replicas"], at_most)
+    shared.destroy()
+    if total is None:
+        return state, 0.0, 0.0
+    parts = [_unflatten(total[k * size:(k + 1) * size] / n, state["params"]) for k in range(3)]
+    return {"params": parts[0], "m": parts[1], "v": parts[2], "t": state["t"] + round(steps / replicas)}, n, loss
+
+
 def fit_head(train: DataFrame, val: DataFrame, feat: str, stats: dict, key_col: str,
              hidden: int = 256, dropout: float = 0.1, epochs: int = 10, lr: float = 5e-2,
-             weight_decay: float = 1e-3, steps_per_epoch: int = 4, patience: int = 5,
-             factor: float = 0.5, min_lr: float = 1e-7, threshold: float = 1e-4, seed: int = 1992,
+             weight_decay: float = 1e-3, batch_size: int = 64, replicas: int = 8, sync_steps: int = 16,
+             patience: int = 5, factor: float = 0.5, min_lr: float = 1e-7, threshold: float = 1e-4, seed: int = 1992,
              save_every: int = 5, save_path: str | None = None, lat: str = "latitude", lon: str = "longitude"):
-    """Fit the head; returns ``(best model, initial model, epoch log rows)``."""
-    tr = prepare_training(train, feat, lat, lon, stats, key_col, seed).persist()
-    va = prepare_training(val, feat, lat, lon, stats, key_col, seed).persist()
-    dim = len(tr.select(feat).first()[0])
+    """Fit the head; returns ``(best model, initial model, epoch log rows)``.
+    A table without training rows is an error."""
+    spark = train.sparkSession
+    ship_package(spark)
+    deal = deal_rounds(prepare_training(train, feat, lat, lon, stats, key_col, seed), batch_size, replicas, sync_steps)
+    first = deal.rows.select(F.size(feat).alias("dim")).take(1)
+    if not first:
+        raise ValueError("there is no training row")
+    va = stage_table(prepare_training(val, feat, lat, lon, stats, key_col, seed), "validation-rows")
     mean = [stats["lat_mean"], stats["lon_mean"]]
     sd = [stats["lat_std"], stats["lon_std"]]
-    params = init_params(dim, hidden, seed)
+    params = init_params(first[0]["dim"], hidden, seed)
     initial = HeadModel({k: v.copy() for k, v in params.items()}, mean, sd, hidden, dropout)
     m, v = ({k: np.zeros_like(p) for k, p in params.items()} for _ in range(2))
-    updates, best_loss, best, pending, log = 0, float("inf"), None, False, []
+    state = {"params": params, "m": m, "v": v, "t": 0}
+    best_loss, best, pending, log = float("inf"), None, False, []
     plateau_loss, bad_epochs = float("inf"), 0
     for epoch in range(1, epochs + 1):
         rows, loss = 0.0, 0.0
-        for step in range(steps_per_epoch):
-            part = tr.where(F.col("_wm_key") % steps_per_epoch == step)
-            grads, n, part_loss = gradient_sums(part, feat, params, dropout, seed + epoch)
-            if grads is None:
-                continue
-            updates += 1
-            adamw_step(params, {k: g / n for k, g in grads.items()}, m, v, updates, lr, weight_decay)
-            rows, loss = rows + n, loss + part_loss
-        current = HeadModel({k: p.copy() for k, p in params.items()}, mean, sd, hidden, dropout)
+        for k in range(deal.rounds):
+            state, n, part = run_round(deal.of_round(k), feat, state, epoch, batch_size, lr, weight_decay, dropout, seed,
+                                       deal.replicas)
+            rows, loss = rows + n, loss + part
+        current = HeadModel({k: p.copy() for k, p in state["params"].items()}, mean, sd, hidden, dropout)
         val_loss, val_km, _ = _evaluate(va, feat, current)
-        if val_loss < best_loss:
+        if best is None or val_loss < best_loss:
             best_loss, best, pending = val_loss, current, True
         if val_loss < plateau_loss * (1 - threshold):
             plateau_loss, bad_epochs = val_loss, 0
@@ -295,10 +423,8 @@ def fit_head(train: DataFrame, val: DataFrame, feat: str, stats: dict, key_col:
                 lr, bad_epochs = max(lr * factor, min_lr), 0
         log.append((epoch, loss / rows, val_loss, val_km, lr))
         if save_path and pending and (epoch == epochs or epoch % save_every == 0):
-            save_model(tr.sparkSession, best, save_path)
+            save_model(spark, best, save_path, initial)
             pending = False
-    tr.unpersist()
-    va.unpersist()
     return best, initial, log
 
 
@@ -317,14 +443,16 @@ def predict_each(df: DataFrame, feat: str, models: dict) -> DataFrame:
     added = [T.StructField(f"{prefix}{axis}", T.DoubleType()) for prefix in models for axis in ("latitude", "longitude")]
 
     def run(batches):
-        for pdf in batches:
-            pdf, x = pdf.copy(), _features(pdf, feat)
-            for prefix, (params, mean, sd) in shared.value.items():
-                coords = forward(params, x)[0] * sd + mean if len(pdf) else np.zeros((0, 2))
-                pdf[f"{prefix}latitude"], pdf[f"{prefix}longitude"] = coords[:, 0], coords[:, 1]
-            yield pdf
-
-    return df.mapInPandas(run, T.StructType(df.schema.fields + added))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, columns = vectors_of(batch.column(feat)), list(batch.columns)
+            for params, mean, sd in shared.value.values():
+                coords = forward(params, x)[0] * sd + mean
+                columns += [pa.array(coords[:, 0]), pa.array(coords[:, 1])]
+            yield pa.record_batch(columns, [*batch.schema.names, *[f.name for f in added]])
+
+    return df.mapInArrow(run, T.StructType(df.schema.fields + added))
 
 
 def score_bags(df: DataFrame, feat: str, model: HeadModel, initial: HeadModel | None = None,
