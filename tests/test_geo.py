@@ -2,10 +2,12 @@
 
 import math
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from waymark.functions.geo import dms_to_decimal, haversine_km, with_dms, with_geodesic
+from waymark.functions.geo import WGS84_F, _far_km, dms_to_decimal, geodesic, haversine_km, with_dms, with_geodesic
 
 
 def test_dms_to_decimal(spark):
@@ -87,9 +89,26 @@ def test_filter_on_geodesic_stays_small(spark):
     assert 0 < out.count() < 50
 
 
-def test_nearly_antipodal_pairs_are_flagged(spark):
-    df = spark.createDataFrame([(0.0, 0.0, 0.5, 179.7), (40.0, -105.0, 41.0, -104.0), (1.0, 2.0, 1.0, 2.0)],
-                               "a double, b double, c double, d double")
-    got = [(r.g, r.f) for r in with_geodesic(df, "g", "a", "b", "c", "d", flag="f").collect()]
-    assert [f for _, f in got] == [True, False, False]
-    assert got[2][0] == 0.0
+def test_nearly_antipodal_pairs_meet_published_distances(spark):
+    # Values in metres by other methods, published with their algorithms.
+    rows = [(0.0, 0.0, 0.5, 179.7, 19944127.421), (-30.0, 0.0, 29.9, 179.8, 19989832.827610),
+            (0.0, 0.0, 0.0, 180.0, 20003931.4586), (0.0, 0.0, 0.5, 179.5, 19936288.578965),
+            (0.5, -179.7, 0.0, 0.0, 19944127.421), (30.0, 179.8, -29.9, 0.0, 19989832.827610),
+            (90.0, 0.0, -90.0, 50.0, 20003931.4586)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, m double")
+    out = df.select("m", geodesic("a", "b", "c", "d").alias("g")).collect()
+    for r in out:
+        assert r.g.km * 1000 == pytest.approx(r.m, abs=2e-3)
+    assert [r.g.searched for r in out[:3]] == [True, True, True]
+
+
+def test_the_search_equals_the_iteration_where_both_settle(spark):
+    rng = random.Random(2)
+    rows = [(rng.uniform(-89, 89), rng.uniform(-180, 180), rng.uniform(-89, 89), rng.uniform(-180, 180)) for _ in range(60)]
+    # (Short arcs of the equator itself are never searched: their azimuth is a step, not a root.)
+    rows += [(0.5, 0.0, -0.3, 90.0), (10.0, 5.0, -10.0, 5.0), (45.0, 0.0, 45.0, 1e-3), (1.0, 2.0, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    u = lambda c: F.atan((1 - WGS84_F) * F.tan(F.radians(c)))
+    far = _far_km(F.sin(u("a")), F.cos(u("a")), F.sin(u("c")), F.cos(u("c")), F.radians("d") - F.radians("b"))
+    for r in df.select(geodesic("a", "b", "c", "d").alias("g"), far.alias("far")).collect():
+        assert r.g.searched or r.far == pytest.approx(r.g.km, abs=1e-5)

@@ -3,6 +3,8 @@ distances, z-scores, error segments. Native expressions only."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -132,37 +134,106 @@ def _vincenty_phase(st: Column, phase: Column) -> Column:
              .otherwise(_geo_state(**p2)))
 
 
+def _bind(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once (a let in one expression)."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _vincenty_km(c2a: Column, ss: Column, cs: Column, c2sm: Column, sig: Column) -> Column:
+    """Length of the arc ``sig`` on the geodesic with this ``cos^2 alpha_0``."""
+    a, b = WGS84_A_KM, WGS84_A_KM * (1 - WGS84_F)
+    usq = c2a * (a * a - b * b) / (b * b)
+    big_a = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
+    big_b = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
+    d_sigma = big_b * ss * (c2sm + big_b / 4 * (
+        cs * (-1 + 2 * c2sm * c2sm) - big_b / 6 * c2sm * (-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm)))
+    return F.lit(b) * big_a * (sig - d_sigma)
+
+
+#: Halvings of the azimuth's interval: pi / 2^60 is below its rounding.
+AZIMUTH_STEPS = 60
+
+
+def _course(p: Column, azimuth: Column) -> Column:
+    """The geodesic that leaves the first point at ``azimuth``, up to the
+    second point's latitude: its spherical quantities and the difference of
+    longitude it covers. ``p`` holds sine and cosine of both reduced latitudes
+    with the first point the southern and farther from the equator."""
+    turn = F.struct((F.sin(azimuth) * p["c1"]).alias("s0"), (F.cos(azimuth) * p["c1"]).alias("k1"))
+    ends = lambda t: F.struct(
+        t["s0"].alias("s0"), t["k1"].alias("k1"),
+        F.sqrt(F.greatest(F.lit(0.0), t["k1"] * t["k1"] + (p["s1"] - p["s2"]) * (p["s1"] + p["s2"]))).alias("k2"))
+    arcs = lambda t: F.struct(
+        (1 - t["s0"] * t["s0"]).alias("c2a"), t["s0"].alias("s0"),
+        F.atan2(p["s1"], t["k1"]).alias("sig1"), F.atan2(p["s2"], t["k2"]).alias("sig2"),
+        (F.atan2(t["s0"] * p["s2"], t["k2"]) - F.atan2(t["s0"] * p["s1"], t["k1"])).alias("omega"))
+    sums = lambda t: F.struct(
+        t["c2a"].alias("c2a"), t["s0"].alias("s0"), t["omega"].alias("omega"), (t["sig2"] - t["sig1"]).alias("sig"),
+        F.sin(t["sig2"] - t["sig1"]).alias("ss"), F.cos(t["sig2"] - t["sig1"]).alias("cs"),
+        F.cos(t["sig1"] + t["sig2"]).alias("c2sm"),
+        (WGS84_F / 16 * t["c2a"] * (4 + WGS84_F * (4 - 3 * t["c2a"]))).alias("c"))
+    done = lambda t: F.struct(
+        *[t[k].alias(k) for k in ("c2a", "sig", "ss", "cs", "c2sm")],
+        (t["omega"] - (1 - t["c"]) * WGS84_F * t["s0"] * (t["sig"] + t["c"] * t["ss"] * (
+            t["c2sm"] + t["c"] * t["cs"] * (-1 + 2 * t["c2sm"] * t["c2sm"])))).alias("turned"))
+    return _bind(_bind(_bind(_bind(turn, ends), arcs), sums), done)
+
+
+def _far_km(su1: Column, cu1: Column, su2: Column, cu2: Column, big_l: Column) -> Column:
+    """Distance where the iteration over the longitude does not settle (nearly
+    antipodal points): the azimuth is searched instead. The longitude covered
+    rises with the azimuth from 0 to pi, so halving the interval finds it, in
+    a fixed number of steps."""
+    swap = F.abs(su2) > F.abs(su1)
+    first, second = F.when(swap, su2).otherwise(su1), F.when(swap, su1).otherwise(su2)
+    # South of the equator, never on it: the sign tells the quadrant.
+    south = -F.greatest(F.abs(first), F.lit(1e-300))
+    points = F.struct(south.alias("s1"), F.when(swap, cu2).otherwise(cu1).alias("c1"),
+                      F.when(first > 0, -second).otherwise(second).alias("s2"),
+                      F.when(swap, cu1).otherwise(cu2).alias("c2"),
+                      F.abs(F.atan2(F.sin(big_l), F.cos(big_l))).alias("L"))
+
+    def search(p: Column) -> Column:
+        def halve(s, _):
+            middle = (s["low"] + s["high"]) / 2
+            short = _course(p, middle)["turned"] < p["L"]
+            return _bind(F.struct(middle.alias("m"), short.alias("short")), lambda t: F.struct(
+                F.when(t["short"], t["m"]).otherwise(s["low"]).alias("low"),
+                F.when(t["short"], s["high"]).otherwise(t["m"]).alias("high")))
+
+        whole = F.struct(F.lit(0.0).alias("low"), F.lit(math.pi).alias("high"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(AZIMUTH_STEPS)), whole, halve,
+                           lambda s: _bind(_course(p, (s["low"] + s["high"]) / 2), lambda t: _vincenty_km(
+                               t["c2a"], t["ss"], t["cs"], t["c2sm"], t["sig"])))
+
+    return _bind(points, search)
+
+
 def geodesic(lat1, lon1, lat2, lon2, iterations: int = 20) -> Column:
-    """WGS-84 (Vincenty) distance as ONE column expression, a struct of ``km``
-    and ``approximate``: the rounds run as the steps of a higher-order
+    """WGS-84 distance as ONE column expression, a struct of ``km`` and
+    ``searched``: Vincenty's rounds run as the steps of a higher-order
     ``aggregate`` whose finish function turns the final state into the
     distance. Being a single expression matters: predicate pushdown may copy
     it into a filter on the distance, but it copies one node, never an
     unrolled chain whose inlined size grows exponentially. Coincident points
     give 0; if the last step still moved lambda by more than 1e-12 (nearly
-    antipodal points) the value is the spherical distance and ``approximate``
-    is true."""
-    a, f = WGS84_A_KM, WGS84_F
-    b = a * (1 - f)
+    antipodal points) the azimuth is searched for instead, and ``searched`` is
+    true."""
+    f = WGS84_F
     u1 = F.atan((1 - f) * F.tan(F.radians(_col(lat1))))
     u2 = F.atan((1 - f) * F.tan(F.radians(_col(lat2))))
     big_l = F.radians(_col(lon2)) - F.radians(_col(lon1))
     zero = F.lit(0.0)
     start = _geo_state(su1=F.sin(u1), cu1=F.cos(u1), su2=F.sin(u2), cu2=F.cos(u2), L=big_l, lam=big_l,
                        ss=zero, cs=zero, sig=zero, sa=zero, c2a=zero, c2sm=zero, delta=F.lit(1.0))
-    spherical = haversine_km(lat1, lon1, lat2, lon2)
 
     def finish(st):
-        usq = st["c2a"] * (a * a - b * b) / (b * b)
-        big_a = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
-        big_b = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
-        ss, cs, c2sm = st["ss"], st["cs"], st["c2sm"]
-        d_sigma = big_b * ss * (c2sm + big_b / 4 * (
-            cs * (-1 + 2 * c2sm * c2sm) - big_b / 6 * c2sm * (-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm)))
-        open_ = st["delta"] > F.lit(1e-12)
-        km = (F.when(open_, spherical).when(ss == 0, F.lit(0.0))
-               .otherwise(F.lit(b) * big_a * (st["sig"] - d_sigma)))
-        return F.struct(km.alias("km"), open_.alias("approximate"))
+        # Not settled, or settled beyond the antipode.
+        open_ = (st["delta"] > F.lit(1e-12)) | (F.abs(st["lam"]) > F.lit(math.pi)) | F.isnan(st["delta"])
+        km = (F.when(open_, _far_km(st["su1"], st["cu1"], st["su2"], st["cu2"], st["L"]))
+               .when(st["ss"] == 0, F.lit(0.0))
+               .otherwise(_vincenty_km(st["c2a"], st["ss"], st["cs"], st["c2sm"], st["sig"])))
+        return F.struct(km.alias("km"), open_.alias("searched"))
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(3 * iterations - 1)), start,
                        lambda st, i: _vincenty_phase(st, i % 3), finish)
@@ -173,14 +244,9 @@ def geodesic_km(lat1, lon1, lat2, lon2, iterations: int = 20) -> Column:
     return geodesic(lat1, lon1, lat2, lon2, iterations)["km"]
 
 
-def with_geodesic(df, name: str, lat1, lon1, lat2, lon2, iterations: int = 20, flag: str | None = None):
-    """Add column ``name`` with the ellipsoidal distance and, if named,
-    column ``flag``: whether it is only the spherical one."""
-    both = geodesic(lat1, lon1, lat2, lon2, iterations)
-    if flag is None:
-        return df.withColumn(name, both["km"])
-    return df.withColumn("_wm_geo", both).withColumns(
-        {name: F.col("_wm_geo.km"), flag: F.col("_wm_geo.approximate")}).drop("_wm_geo")
+def with_geodesic(df, name: str, lat1, lon1, lat2, lon2, iterations: int = 20):
+    """Add column ``name`` with the ellipsoidal distance."""
+    return df.withColumn(name, geodesic_km(lat1, lon1, lat2, lon2, iterations))
 
 
 def zscore(c, mean: float, sd: float) -> Column:
