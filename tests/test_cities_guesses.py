@@ -103,3 +103,78 @@ def test_stream_restart_is_exactly_once(spark):
     assert run().count() == 2          # restart: nothing reprocessed
     spark.createDataFrame([(3, 0, 40.0, -105.0)], schema).write.mode("append").parquet(src)
     assert sorted(r.guess_id for r in run().collect()) == [1, 2, 3]
+
+
+def test_stream_with_rejects_survives_a_failure_in_mid_batch(spark, monkeypatch):
+    # Scores plus rejects equal the batch twin after a batch that failed between its two writes.
+    from waymark.session import scratch_path
+    from waymark.streaming import guesses as G
+    src = scratch_path(spark, "t-judge-src")
+    rounds = spark.createDataFrame([(0, "t", 39.7, -105.0, 39.8, -105.1)],
+                                   "round_id long, text string, latitude double, longitude double, "
+                                   "predicted_latitude double, predicted_longitude double")
+    schema = "guess_id long, round_id long, latitude double, longitude double"
+    rows = [(k, 0 if k % 3 else 7, 39.0 + k / 10 if k % 4 else 95.0, -104.0) for k in range(12)]
+    for k in range(3):
+        spark.createDataFrame(rows[4 * k:4 * k + 4], schema).coalesce(1).write.mode("append").parquet(src)
+    paths = [scratch_path(spark, n) for n in ("t-scores", "t-rejects", "t-judge-ckpt")]
+    real, calls = G.judge_guesses, []
+
+    def failing(batch, static):
+        judged = real(batch, static)
+        calls.append(1)
+        if len(calls) == 2:  # the second batch's rejects cannot be written
+            return judged.withColumn("reason", F.when(F.col("reason").isNull(), F.col("reason"))
+                                     .otherwise(F.raise_error(F.lit("sink lost")).cast("string")))
+        return judged
+
+    def run():
+        stream = G.guess_stream(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=1)
+        return G.run_with_rejects(stream, rounds, *paths)
+
+    monkeypatch.setattr(G, "judge_guesses", failing)
+    with pytest.raises(Exception, match="sink lost"):
+        run()
+    run()
+    want = {r.guess_id: (r.reason, r.guess_error_km) for r in SC.judge_guesses(spark.createDataFrame(rows, schema), rounds).collect()}
+    scores, rejects = (spark.read.parquet(p).collect() for p in paths[:2])
+    got = [(r.guess_id, (None, r.guess_error_km)) for r in scores] + [(r.guess_id, (r.reason, None)) for r in rejects]
+    assert len(got) == len(want) and dict(got) == want
+    assert {r.batch for r in scores} | {r.batch for r in rejects} == {0, 1, 2}
+    run()
+    assert spark.read.parquet(paths[0]).count() == len(scores)
+
+
+def test_contains_index_equals_a_plain_search(spark):
+    import random
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abñ ") for _ in range(n))
+    texts = [(k % 40, word(rng.randint(0, 12))) for k in range(120)] + [(50, None), (51, "ab"), (51, "ab")]
+    queries = [word(rng.randint(0, 6)) for _ in range(60)] + ["ab", "zzz", "", "a", "abñab"]
+    got = C.contains_pairs(spark.createDataFrame([(q,) for q in queries], "q string"),
+                           spark.createDataFrame(texts, "ord long, text string")).collect()
+    want = {(q, o) for q in queries if q for o, t in texts if t and q in t}
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_distance_extent_equals_all_pairs(spark):
+    import itertools
+    import random
+
+    from waymark.functions.geo import haversine_km
+    from waymark.operators.extent import distance_extent
+    rng = random.Random(3)
+    sets = {"spread": [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(150)],
+            "cluster": [(39 + rng.gauss(0, 1e-4), -105 + rng.gauss(0, 1e-4)) for _ in range(120)] + [(10.0, 10.0)],
+            "equal": [(1.0, 2.0)] * 4 + [(1.0, 2.5)], "two": [(0.0, 179.9), (0.0, -179.9)],
+            "poles": [(90.0, 0.0), (-90.0, 0.0), (89.9, 50.0), (0.0, 0.0)], "one": [(1.0, 1.0)], "none": []}
+    for name, points in sets.items():
+        df = spark.createDataFrame([*points, (None, 1.0)], "latitude double, longitude double")
+        got = distance_extent(df).first()
+        pairs = spark.createDataFrame([(*a, *b) for a, b in itertools.combinations(points, 2)] or [(None,) * 4],
+                                      "a double, b double, c double, d double")
+        want = pairs.where("a is not null").agg(F.min(haversine_km("a", "b", "c", "d")).alias("lo"), F.max(haversine_km("a", "b", "c", "d")).alias("hi"),
+                                                F.count_if(haversine_km("a", "b", "c", "d") <= 0).alias("zero")).first()
+        assert got.n_pairs == len(points) * (len(points) - 1) // 2 and got.n_out_of_bounds == want.zero, name
+        assert got.min_km == (want.lo if want.lo is None else pytest.approx(want.lo, abs=1e-9)), name
+        assert got.max_km == (want.hi if want.hi is None else pytest.approx(want.hi, abs=1e-9)), name

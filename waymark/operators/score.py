@@ -62,20 +62,34 @@ def _playable(guesses: DataFrame, rounds: DataFrame, columns: dict) -> DataFrame
     return joined.where(F.col("reason").isNull()).drop("reason", "_wm_known")
 
 
-def score_guesses(guesses: DataFrame, rounds: DataFrame) -> DataFrame:
-    """Playable guesses with their round's truth and model prediction:
-    ``guess_error_km`` (guess to truth) and ``model_error_km`` (prediction
-    to truth)."""
-    scored = _playable(guesses, rounds, {"actual_latitude": "latitude", "actual_longitude": "longitude",
-                                         "predicted_latitude": "predicted_latitude",
-                                         "predicted_longitude": "predicted_longitude"})
-    return scored.withColumns({
+_TRUTH = {"actual_latitude": "latitude", "actual_longitude": "longitude",
+          "predicted_latitude": "predicted_latitude", "predicted_longitude": "predicted_longitude"}
+
+
+def _with_errors(joined: DataFrame) -> DataFrame:
+    return joined.withColumns({
         "guess_error_km": haversine_km("latitude", "longitude", "actual_latitude", "actual_longitude"),
         "model_error_km": haversine_km("predicted_latitude", "predicted_longitude",
                                        "actual_latitude", "actual_longitude"),
     })
 
 
+def score_guesses(guesses: DataFrame, rounds: DataFrame) -> DataFrame:
+    """Playable guesses with their round's truth and model prediction:
+    ``guess_error_km`` (guess to truth) and ``model_error_km`` (prediction
+    to truth)."""
+    return _with_errors(_playable(guesses, rounds, _TRUTH))
+
+
+def judge_guesses(guesses: DataFrame, rounds: DataFrame) -> DataFrame:
+    """Every guess with ``reason`` and its errors, from one join: the scores
+    are the rows without a reason, the rejects those with one (their errors
+    are null)."""
+    r = rounds.select("round_id", *[F.col(c).alias(n) for n, c in _TRUTH.items()], F.lit(True).alias("_wm_known"))
+    judged = _with_errors(_with_reason(guesses.join(r, "round_id", "left"), "text" in guesses.columns).drop("_wm_known"))
+    return judged.withColumns({c: F.when(F.col("reason").isNull(), F.col(c)) for c in ("guess_error_km", "model_error_km")})
+
+
 def score_open_estimates(estimates: DataFrame, predictions: DataFrame) -> DataFrame:
     """Distance between a user's playable estimate and the model's prediction
     for the same text (no truth needed)."""

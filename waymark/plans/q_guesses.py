@@ -9,7 +9,8 @@ from waymark.plans import fixture_sql as X
 from waymark.plans import fixtures as fx
 from waymark.plans import sqltext as q
 from waymark.plans.registry import r6, register
-from waymark.streaming.guesses import guess_stream, run_to_table, score_guess_stream
+from waymark.session import scratch_path
+from waymark.streaming.guesses import guess_stream, run_to_table, run_with_rejects, score_guess_stream
 
 _VALIDATED = f"""validated AS (
   SELECT g.guess_id, g.round_id, g.latitude, g.longitude,
@@ -70,3 +71,22 @@ def q_score_guesses_stream(spark, d):
     scored = score_guess_stream(fx.guesses_from_events(stream, fx.round_count(spark, d)), fx.rounds(spark, d))
     path = run_to_table(_scored_out(scored), "guess-scores")
     return spark.read.parquet(path)
+
+
+@register("judge_guesses_stream", X.with_ctes(X.ROUNDS, X.GUESSES, _VALIDATED, body=f"""
+SELECT v.guess_id, v.round_id, v.reason,
+       CASE WHEN v.reason IS NULL THEN round({q.haversine('v.latitude', 'v.longitude', 'r.latitude', 'r.longitude')}, 6) END
+         AS guess_error_km,
+       CASE WHEN v.reason IS NULL
+            THEN round({q.haversine('r.predicted_latitude', 'r.predicted_longitude', 'r.latitude', 'r.longitude')}, 6) END
+         AS model_error_km
+FROM validated v LEFT JOIN rounds r ON v.round_id = r.round_id"""))
+def q_judge_guesses_stream(spark, d):
+    """The events table as a file stream, judged into a table of scores and a
+    table of rejects with their reasons; both read back."""
+    events_schema = spark.read.parquet(os.path.join(d, "events.parquet")).schema
+    stream = guess_stream(spark, d, events_schema, file_glob="events.parquet")
+    scores, rejects = run_with_rejects(fx.guesses_from_events(stream, fx.round_count(spark, d)), fx.rounds(spark, d),
+                                       *[scratch_path(spark, n) for n in ("scores", "rejects", "judge-ckpt")])
+    both = spark.read.parquet(scores).unionByName(spark.read.parquet(rejects), allowMissingColumns=True)
+    return both.select("guess_id", "round_id", "reason", r6("guess_error_km"), r6("model_error_km"))
