@@ -34,18 +34,29 @@ def coord_lookup(df: DataFrame, order_by: list[str], intersection_col: str = "in
     return first_per_key(keyed, "intersection_key", order_by).drop(*order_by)
 
 
+def usable_signs(df: DataFrame, intersection_col: str = "intersection",
+                 text_col: str = "text_on_sign_exact") -> DataFrame:
+    """The rows that have an intersection and whose cleaned text will not be
+    blank, told from the raw columns: cleaning leaves something exactly if the
+    lower-cased text has a letter, digit, ``_`` or ``-``. The test is cheap and
+    keeps later filters from repeating the cleaning."""
+    return df.where(F.col(intersection_col).isNotNull() & F.lower(F.col(text_col).cast("string")).rlike(r"[a-z0-9_\-]"))
+
+
 def clean_signs(df: DataFrame, intersection_col: str = "intersection",
                 text_col: str = "text_on_sign_exact", key_from: str = "clean") -> DataFrame:
     """Sheet-side cleaning: rename the text column ``text_on_sign``, clean the
     intersection and text (``-`` kept) and derive the join key from the
-    cleaned intersection (or from the raw one with ``key_from='raw'``). One
-    projection of native expressions over the signs; a null intersection stays
-    null and gets the empty key."""
-    raw = F.col(intersection_col)
-    out = df.withColumn("intersection_key", join_key(raw if key_from == "raw" else clean_text(raw, extra_chars="-")))
-    return (out.withColumnRenamed(text_col, "text_on_sign")
-               .withColumns({"text_on_sign": clean_text("text_on_sign", extra_chars="-"),
-                             intersection_col: clean_text(raw, extra_chars="-")}))
+    cleaned intersection (or from the raw one with ``key_from='raw'``).
+    Native projections over the signs; the key refers to the cleaned column,
+    so the cleaning is there once. A null intersection stays null and gets the
+    empty key."""
+    if key_from == "raw":
+        df = df.withColumn("intersection_key", join_key(intersection_col))
+    out = (df.withColumnRenamed(text_col, "text_on_sign")
+             .withColumns({"text_on_sign": clean_text("text_on_sign", extra_chars="-"),
+                           intersection_col: clean_text(intersection_col, extra_chars="-")}))
+    return out if key_from == "raw" else out.withColumn("intersection_key", join_key(intersection_col))
 
 
 def attach_coordinates(signs: DataFrame, lookup: DataFrame, mode: str = "strict",
@@ -79,16 +90,27 @@ def attach_coordinates(signs: DataFrame, lookup: DataFrame, mode: str = "strict"
     return merged
 
 
-def raw_signs_from_sheets(merged: DataFrame, extra=()) -> DataFrame:
+def raw_signs_from_sheets(merged: DataFrame, extra=(), tested: bool = False) -> DataFrame:
     """Sheet path of the raw sign table: rename the cleaned text back to
     ``text_on_sign_exact``, keep the four required columns (plus
     ``code_type`` when present), drop nulls, drop texts that are blank after
-    stripping (tested, not rewritten) and excluded intersections."""
-    from waymark.operators.filters import drop_null_rows, exclude_values
+    stripping (tested, not rewritten) and excluded intersections.
+
+    ``tested`` says that the signs went through :func:`usable_signs` before
+    they were cleaned; names and texts are then not tested again."""
+    from waymark.operators.filters import EXCLUDED_INTERSECTIONS, drop_null_rows, exclude_values
     out = merged.withColumnRenamed("text_on_sign", "text_on_sign_exact")
     base = ["intersection", "text_on_sign_exact", "latitude", "longitude"]
-    out = out.select(*base, *[c for c in ["code_type"] if c in out.columns], *extra)
-    out = drop_null_rows(out, base)
+    columns = [*base, *[c for c in ["code_type"] if c in out.columns], *extra]
+    if tested:
+        # No name is null; the planner learns it here, so that no null test of
+        # the cleaned name is pushed below the join. The exclusion stands beside
+        # a column of the lookup, so it too stays above and cleans nothing again.
+        out = out.withColumn("intersection", F.coalesce("intersection", F.lit("")))
+        matched = F.col("coordinate_string").isNotNull()
+        out = out.where(~(matched & F.col("intersection").isin(list(EXCLUDED_INTERSECTIONS))))
+        return drop_null_rows(out.select(*columns), ["latitude", "longitude"])
+    out = drop_null_rows(out.select(*columns), base)
     # The cleaned text is already stripped, so "blank after stripping" is
     # just the empty string.
     out = out.where(F.col("text_on_sign_exact") != "")

@@ -20,7 +20,8 @@ def attached_df(spark: SparkSession, d: str) -> DataFrame:
 
 
 def raw_signs_df(spark: SparkSession, d: str) -> DataFrame:
-    return J.raw_signs_from_sheets(attached_df(spark, d), extra=fx.SIGN_ORDER)
+    signs = J.usable_signs(fx.signs(spark, d))
+    return J.raw_signs_from_sheets(J.attach_coordinates(signs, lookup_df(spark, d)), extra=fx.SIGN_ORDER, tested=True)
 
 
 LOOKUP_SQL = f"""lookup AS (

@@ -89,6 +89,6 @@ def q_sheet_raw_signs(spark, d):
     root = write_sheets(spark, d)
     lookup_path = write_table(fx.coord_lookup_raw(spark, d), scratch_path(spark, "coord-sheet"), fmt="csv")
     lookup_raw = read_table(spark, lookup_path).withColumn("ord", F.col("ord").cast("bigint"))
-    merged = J.attach_coordinates(scan_sheets(spark, f"{root}/*/*.csv"), J.coord_lookup(lookup_raw, ["ord"]))
-    raw = J.raw_signs_from_sheets(merged)
+    signs = J.usable_signs(scan_sheets(spark, f"{root}/*/*.csv"))
+    raw = J.raw_signs_from_sheets(J.attach_coordinates(signs, J.coord_lookup(lookup_raw, ["ord"])), tested=True)
     return raw.select("intersection", "text_on_sign_exact", r6("latitude"), r6("longitude"), "code_type")

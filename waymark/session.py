@@ -65,12 +65,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for intermediate tables.
 
     Only the name is made here; the writers create the folder in whatever
-    file system ``spark.checkpoint.dir`` names."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    file system ``spark.checkpoint.dir`` names. :func:`drop_scratch` removes
+    what was written."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this application has written so far, and
+    return how many there were. DataFrames that still read them cannot be
+    evaluated any more, so call it when their results have been written."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
 
 
 _SHIPPED: set = set()
