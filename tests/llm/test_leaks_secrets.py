@@ -1,6 +1,7 @@
 """Decontamination and secret scan."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -19,7 +20,7 @@ def words(text):
 
 
 def brute_overlaps(docs, items):
-    """All (document, item) with a window that agrees and a seed hit on its diagonal."""
+    """All (document, item) with a window that agrees on some diagonal."""
     out = set()
     for doc, text in docs:
         d = words(text)
@@ -27,16 +28,12 @@ def brute_overlaps(docs, items):
             w = words(t)
             if not w:
                 continue
-            masks = decontaminate.MASKS if len(w) >= 7 else ()
             size = min(len(w), decontaminate.WINDOW)
             for shift in range(-len(w) + 1, len(d)):
                 m = [0 <= k + shift < len(d) and d[k + shift] == w[k] for k in range(len(w))]
-                if not any(100 * sum(m[k:k + size]) >= decontaminate.AGREE * size for k in range(len(w) - size + 1)):
-                    continue
-                hit = any(all(m[k + j] for j, bit in enumerate(mask) if bit == "1") and 0 <= k + shift and k + shift + len(mask) <= len(d)
-                          for mask in masks for k in range(len(w) - len(mask) + 1)) if masks else all(m)
-                if hit:
+                if any(100 * sum(m[k:k + size]) >= decontaminate.AGREE * size for k in range(len(w) - size + 1)):
                     out.add((doc, item))
+                    break
     return out
 
 
@@ -45,10 +42,30 @@ def found(spark, docs, items):
     return {(r.doc_id, r.item_id) for r in rows}
 
 
+@pytest.mark.parametrize("n", range(1, 14))
+def test_masks_meet_every_accepted_pattern(n):
+    wrong = n - -(-decontaminate.AGREE * n // 100)
+    masks = [m for m, least, most in decontaminate.MASKS if least <= n <= most]
+    spots = [{at + k for k, bit in enumerate(m) if bit == "1"} for m in masks for at in range(n - len(m) + 1)]
+    for pattern in itertools.combinations(range(n), wrong):
+        assert any(not spot & set(pattern) for spot in spots), pattern
+
+
+def test_one_substitution_in_every_place_of_short_items(spark):
+    docs, items = [], []
+    for n in range(1, 13):
+        item = [f"i{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        for k in range(n):
+            docs.append((100 * n + k, " ".join(["before", *item[:k], "other", *item[k + 1:], "after"])))
+    got = found(spark, docs, items)
+    assert got == {(100 * n + k, n) for n in range(5, 13) for k in range(n)} == brute_overlaps(docs, items)
+
+
 def test_substitutions_cuts_and_clean_documents(spark):
     rng = random.Random(1)
     word = lambda: f"w{rng.randrange(400)}"
-    items = [(k, " ".join(word() for _ in range(rng.randint(7, 40)))) for k in range(12)]
+    items = [(k, " ".join(word() for _ in range(rng.randint(5, 40)))) for k in range(12)]
     items += [(20, "Only three words"), (21, None), (22, "!!!"), (23, items[0][1].upper()), (None, "an item without an id here now")]
     docs = [(1, None), (2, ""), (3, "!!"), (4, "so only THREE, words here"), (5, "only three other words")]
     for k in range(150):

@@ -21,8 +21,15 @@ from pyspark.sql import functions as F
 from waymark.llm.columns import broadcast_if_small, text_key
 from waymark.sources.tables import stage_table, table
 
-MASKS = ("1101011", "11100111")
 WINDOW, AGREE = 13, 80
+#: Mask, and the least and greatest number of words of the items it is for. Every
+#: pattern of substitutions that ``AGREE`` accepts leaves at least one place of
+#: one of an item's masks untouched (a test goes through all patterns). Items
+#: of fewer than 5 words must agree in all of them.
+LONG = 1 << 30
+MASKS = (("1101011", 12, LONG), ("11100111", 12, LONG),
+         ("1111", 5, 11), ("11011", 5, 11), ("10111", 5, 5), ("11101", 5, 5),
+         ("1", 1, 1), ("11", 2, 2), ("111", 3, 3), ("1111", 4, 4))
 #: Seeds broadcast at once (about 40 bytes each); a larger benchmark is taken in blocks.
 BLOCK_SEEDS = 1_000_000
 
@@ -32,20 +39,20 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(masks: list[str], items: bool) -> Column:
+def _seeds(masks: list[tuple[str, int, int]], items: bool) -> Column:
     """Seeds that begin at ``pos`` of the array ``hs``, one per mask; a mask
-    that does not fit gives a null, as does a short item's mask in other
-    ``items``. The mask's number is part of the seed."""
-    def seed(number, mask):
+    that does not fit gives a null, as does, in ``items``, one for items of
+    other lengths. The mask's number is part of the seed."""
+    def seed(number, mask, least, most):
         picked = [F.get("hs", F.col("pos") + k) for k, bit in enumerate(mask) if bit == "1"]
         fits = F.col("pos") + len(mask) <= F.size("hs")
-        if items and number >= len(MASKS):
-            fits = F.size("hs") == len(mask)
+        if items:
+            fits = fits & F.size("hs").between(least, most)
         return F.when(fits, F.xxhash64(F.lit(number), *picked))
-    return F.array(*[seed(number, mask) for number, mask in enumerate(masks)])
+    return F.array(*[seed(number, *mask) for number, mask in enumerate(masks)])
 
 
-def _at_words(rows: DataFrame, masks: list[str], items: bool = False) -> DataFrame:
+def _at_words(rows: DataFrame, masks: list[tuple[str, int, int]], items: bool = False) -> DataFrame:
     """One row per word and mask: ``pos, seed`` beside the columns of ``rows``."""
     placed = rows.select("*", F.posexplode("hs").alias("pos", "_h")).drop("_h")
     return placed.select("*", F.explode(_seeds(masks, items)).alias("seed")).where("seed is not null")
@@ -57,8 +64,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     every overlapping (document, item); ``doc_word`` is the document word
     where the item would begin. ``key`` tells apart rows of one id.
 
-    Items shorter than the masks get a mask of their own length. Null or
-    wordless texts and items overlap with nothing; rows with null ids are
+    Short items have masks of their own. Null or wordless texts and items overlap with nothing; rows with null ids are
     carried; repeated rows give one result; ties between windows go to the
     first place. Items with the same words are compared once. Other columns
     are dropped.
@@ -66,10 +72,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     items = benchmark.select(F.col(item_col).alias("item_id"), word_hashes(F.col(item_text_col)).alias("hs"))
     items = stage_table(items.where(F.size("hs") > 0), "benchmark")
     size = F.size("hs")
-    shortest = min(len(m) for m in MASKS)
-    # At most six short lengths.
-    short = [r[0] for r in items.where(size < shortest).select(size.alias("n")).distinct().collect()]
-    masks = [*MASKS, *["1" * n for n in sorted(short)]]
+    # Lengths of short items: one number for all others.
+    lengths = [r[0] for r in items.select(F.least(size, F.lit(WINDOW)).alias("n")).distinct().collect()]
+    masks = [m for m in MASKS if any(m[1] <= n <= m[2] for n in lengths)] or [MASKS[0]]
     classes = stage_table(items.select("hs").distinct().withColumn("class", F.xxhash64("hs")), "benchmark-classes")
     n_seeds = (classes.agg(F.sum(size)).first()[0] or 0) * len(masks)
     blocks = max(1, -(-n_seeds // BLOCK_SEEDS))
