@@ -4,8 +4,9 @@ Nothing outside this package imports it. Functions that run in Python workers
 are pickled by value, so executors need no copy of the package on disk.
 """
 
-from pyspark import cloudpickle
+import sys
 
-import waymark
+from pyspark import cloudpickle
 
-cloudpickle.register_pickle_by_value(waymark)
+# This package alone: how the rest of the library ships its functions stays as it is.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

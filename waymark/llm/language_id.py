@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from waymark.llm.columns import bound_batches
 from waymark.llm.textbytes import batch_bytes, small_batches
-from waymark.sources.tables import table
+from waymark.sources.tables import stage_table, table
 
 BUCKETS = 1 << 16
 ORDERS = 3
@@ -160,10 +160,13 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
 
     sums = (rows.mapInArrow(count, "lang string, bucket int, n bigint")
                 .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    # The size of the matrix is known before anything of it is gathered.
+    sums = stage_table(sums, "language-counts")
+    n = sums.select("lang").distinct().count()
+    if n * BUCKETS * 4 > MAX_MODEL_BYTES:
+        raise ValueError(f"{n} languages x {BUCKETS} buckets exceed {MAX_MODEL_BYTES} bytes")
     found = sums.toPandas()
     languages = sorted(found["lang"].unique())
-    if len(languages) * BUCKETS * 4 > MAX_MODEL_BYTES:
-        raise ValueError(f"{len(languages)} languages x {BUCKETS} buckets exceed {MAX_MODEL_BYTES} bytes")
     counts = np.zeros((len(languages), BUCKETS + 1))
     counts[np.searchsorted(languages, found["lang"]), found["bucket"]] = found["n"]
     docs, counts = counts[:, BUCKETS], counts[:, :BUCKETS]

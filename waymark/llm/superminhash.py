@@ -59,6 +59,8 @@ PACKED = 7
 BROADCAST_ROWS = 2_000_000
 #: Pairs of one hot class per task.
 SALT_ROWS = 512
+#: Pairs of a bucket that one task looks at.
+SALT_PAIRS = 200_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _WORD_FACTORS = mix64(np.arange(11, 11 + WORDS, dtype=np.uint64)) | np.uint64(1)
@@ -347,7 +349,15 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> D
     most = F.least("common_a", "common_b")
     # Every pair is looked at in the first bucket that it shares.
     here = F.get("bands_a", F.array_position(F.zip_with("bands_a", "bands_b", lambda a, b: a == b), True).cast("int") - 1)
-    cross = (one.where("stranger_a").join(other, "bucket")
+    # A bucket's strangers are dealt over as many tasks as its pairs need.
+    load = (open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.count_if("stranger").alias("strangers"))
+                 .select("bucket", F.ceil(F.col("rows") * F.col("strangers") / SALT_PAIRS).cast("int").alias("salts"))
+                 .where("salts > 0"))
+    load = stage_table(load, "bucket-loads")
+    one = (one.where("stranger_a").join(load, "bucket")
+              .withColumn("salt", F.pmod(F.xxhash64("cid_a"), F.col("salts")).cast("int")).drop("salts"))
+    other = other.join(load, "bucket").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    cross = (one.join(other, ["bucket", "salt"])
                 .where((F.col("root_a") != F.col("root_b")) & may_link(F.col("n_a"), F.col("n_b"))
                        & (~F.col("stranger_b") | (F.col("cid_a") < F.col("cid_b")))
                        & (F.coalesce(F.abs(F.col("far_a") - F.col("far_b")), F.lit(0)) <= 0.25 + 1e-9)

@@ -313,14 +313,15 @@ def tokens_at(positions: DataFrame, path: str, position_col: str = "position") -
     cell = lambda c: F.floor(c / SEGMENT)
     end = F.col("start") + F.col("n_tokens") - 1
     celled = segments.select("start", "n_tokens", F.explode(F.sequence(cell(F.col("start")), cell(end))).alias("cell"))
-    wanted = positions.select(F.col(position_col).cast("bigint").alias("position"))
-    wanted = wanted.withColumn("cell", cell(F.col("position")))
+    # A position is looked up once, however often it is asked for.
+    wanted = (positions.groupBy(F.col(position_col).cast("bigint").alias("position")).agg(F.count(F.lit(1)).alias("times"))
+                       .withColumn("cell", cell(F.col("position"))))
     placed = wanted.join(celled, "cell").where(
         (F.col("position") >= F.col("start")) & (F.col("position") < F.col("start") + F.col("n_tokens")))
-    # A bounded number of positions per row, so a hot segment is read by many tasks.
-    grouped = placed.groupBy("start", F.floor(F.xxhash64("position") % 64).alias("salt")).agg(
-        F.collect_list("position").alias("positions"))
-    rows = grouped.join(segments.select("start", "codes"), "start").select("start", "positions", "codes")
+    # A segment's distinct positions in 64 parts, so a hot segment is read by many tasks.
+    grouped = placed.groupBy("start", F.pmod(F.xxhash64("position"), F.lit(64)).alias("salt")).agg(
+        F.collect_list("position").alias("positions"), F.collect_list("times").alias("times"))
+    rows = grouped.join(segments.select("start", "codes"), "start").select("start", "positions", "times", "codes")
 
     def run(batches):
         for batch in batches:
@@ -328,9 +329,11 @@ def tokens_at(positions: DataFrame, path: str, position_col: str = "position") -
                 found = batch.column("positions")[row].values.to_numpy()
                 reader = DacReader(batch.column("codes")[row].as_py())
                 got = reader.at(found - batch.column("start")[row].as_py())
-                yield pa.record_batch([pa.array(found), pa.array(got.astype(np.int64))], ["position", "id"])
+                yield pa.record_batch([pa.array(found), pa.array(got.astype(np.int64)), batch.column("times")[row].values],
+                                      ["position", "id", "times"])
 
-    return rows.mapInArrow(run, "position bigint, id bigint")
+    found = rows.mapInArrow(run, "position bigint, id bigint, times bigint")
+    return found.select("position", "id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("_")).drop("_")
 
 
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
