@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.columns import broadcast_if_small
+from waymark.llm.columns import BROADCAST_ROWS, broadcast_if_small
 from waymark.operators.ordinal import _num_partitions, hash32, with_ordinal
 from waymark.session import scratch_path
 from waymark.sources.tables import stage_table, table
@@ -125,10 +125,12 @@ def class_budgets(ordered: DataFrame, sources: DataFrame) -> DataFrame:
     sizes = stage_table(ordered.groupBy("class", "source_no").agg(F.sum("size").alias("words")), "mix-classes")
     classes = sorted((r[0] for r in sizes.select("class").distinct().collect()), reverse=True)
     state, rounds = stage_table(fraction, "mix-carry"), []
+    # One row per source meets the documents: a hot source stays where its rows are.
+    beside = F.broadcast if state.count() <= BROADCAST_ROWS else (lambda df: df)
     for k in classes:
         here = state.join(sizes.where(F.col("class") == k), "source_no").select(
             "source_no", (F.col("fraction") * F.col("words") + F.col("carry")).alias("budget"))
-        drawn = (ordered.where(F.col("class") == k).join(here, "source_no")
+        drawn = (ordered.where(F.col("class") == k).join(beside(here), "source_no")
                         .groupBy("source_no", "budget").agg(F.max(F.when(_within(F.col("budget")), F.col("upto"))).alias("drawn")))
         after = (state.join(drawn, "source_no", "left")
                       .select("source_no", "fraction",
