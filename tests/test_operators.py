@@ -149,6 +149,14 @@ def test_group_and_clean_reference_case(spark):
     b = spark.createDataFrame([("beta", "Chicago!")], "group string, value string")
     out = M.group_and_clean([a, b], columns=["value"], group_by="group").collect()
     assert [r.group for r in out] == ["alpha", "beta"] and [r["count"] for r in out] == [2, 1]
+    import tempfile
+    with tempfile.TemporaryDirectory() as folder:
+        with open(f"{folder}/c.csv", "w", encoding="utf-8") as f:
+            f.write('group,n,value\nalpha,7,"Den\nver"\n,8,NA\n')
+        numbered = spark.createDataFrame([("beta", 3)], "group string, n int")
+        rows = M.group_and_clean([a, f"{folder}/c.csv", numbered], columns=["value"]).collect()
+        assert sorted(((r.group, r.value, r.n) for r in rows), key=str) == sorted([
+            ("alpha", "new york", None), ("alpha", "boston", None), ("alpha", "den ver", "7"), (None, None, "8"), ("beta", None, "3")], key=str)
     null_group = spark.createDataFrame([(None, "x"), ("a", "y")], "group string, value string")
     got = M.group_agg(null_group, "group").collect()
     assert [r.group for r in got] == ["a", None]

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import EARTH_RADIUS_KM, denormalize, haversine_km, huber, zscore
 from waymark.functions.text import clean_columns
 from waymark.operators.quantiles import quantiles
+from waymark.sources.tables import read_table
 
 # Aggregation names accepted in an aggregation map (the pandas spellings).
 AGGREGATES = {
@@ -30,6 +31,17 @@ def union_frames(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _as_text(frames: list[DataFrame]) -> list[DataFrame]:
+    """Columns that are text in some frames only, as text in all."""
+    kinds: dict[str, set] = {}
+    for frame in frames:
+        for name, kind in frame.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    mixed = {name for name, found in kinds.items() if "string" in found and len(found) > 1}
+    named = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    return [f.select(*[(named(c).cast("string") if c in mixed else named(c)).alias(c) for c in f.columns]) for f in frames]
+
+
 def group_agg(df: DataFrame, by, agg: dict | None = None, order_by=None) -> DataFrame:
     """Group (null keys form their own group). Without ``agg`` the result is
     the group size in ``count``; with ``agg`` = {column: name} each column is
@@ -63,9 +75,13 @@ def group_agg(df: DataFrame, by, agg: dict | None = None, order_by=None) -> Data
     return out.orderBy(*[F.col(c).asc_nulls_last() for c in by])
 
 
-def group_and_clean(frames, columns=None, group_by=None, agg=None, **clean_flags) -> DataFrame:
-    """Union heterogeneous frames, clean ``columns``, optionally group."""
-    combined = union_frames(frames)
+def group_and_clean(sources, columns=None, group_by=None, agg=None, **clean_flags) -> DataFrame:
+    """Union heterogeneous sources, clean ``columns``, optionally group. A
+    source is a DataFrame, or the path of a table that
+    :func:`waymark.sources.tables.read_table` reads (its columns are text); a
+    column that is text in some source is text in the union."""
+    spark = next((s.sparkSession for s in sources if isinstance(s, DataFrame)), None) or SparkSession.active()
+    combined = union_frames(_as_text([s if isinstance(s, DataFrame) else read_table(spark, str(s)) for s in sources]))
     if columns:
         combined = clean_columns(combined, columns, **clean_flags)
     if group_by is None:

@@ -222,8 +222,11 @@ _FRAMES_SQL = f"""frames AS (
 
 @register("group_and_clean", X.with_ctes(X.SIGNS, _FRAMES_SQL, body="SELECT * FROM frames"))
 def q_group_and_clean(spark, d):
-    out = M.group_and_clean(_frames(spark, d), columns=["text_on_sign_exact"])
-    return out.select("intersection", "text_on_sign_exact", "src_line", "notes", "src_order")
+    """A frame and a CSV table in one union."""
+    a, b = _frames(spark, d)
+    path = write_table(b, scratch_path(spark, "frame-csv"), fmt="csv")
+    out = M.group_and_clean([a, path], columns=["text_on_sign_exact"])
+    return out.select("intersection", "text_on_sign_exact", "src_line", "notes", F.col("src_order").cast("bigint").alias("src_order"))
 
 
 @register("group_count", X.with_ctes(X.SIGNS, _FRAMES_SQL, body="""
