@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
+import string
 
 import duckdb
 import pytest
@@ -202,3 +204,71 @@ def test_random_values_behind_names_in_queries_and_in_paths(spark):
         assert sum((k, *secrets[k]) in got for k in range(form, 100, 5)) >= 18, forms[form]
     clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
     assert sum(docs[k][1][slice(*secrets[k])] not in clean[k] for k in range(100)) >= 90
+
+
+ALPHABETS = [("[0-9]", "[a-f]", "[0-9a-f]", "0123456789abcdef", ""), ("[0-9]", "[A-F]", "[0-9A-F]", "0123456789ABCDEF", ""),
+             ("[2-7]", "[A-Z]", "[A-Z2-7]", string.ascii_uppercase + "234567", "=*"),
+             ("[0-9]", "[a-z]", "[0-9a-z]", string.digits + string.ascii_lowercase, ""),
+             ("[0-9]", "(?=.*[a-z]).*[A-Z]", "[A-Za-z0-9+/]", string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/", "=*"),
+             ("[0-9]", "(?=.*[a-z]).*[A-Z]", "[A-Za-z0-9_-]", string.ascii_uppercase + string.ascii_lowercase + string.digits + "-_", "=*")]
+
+
+def inferred(token):
+    return next((abc for digit, letter, chars, abc, tail in ALPHABETS
+                 if re.fullmatch(f"(?=.*{digit})(?=.*{letter}){chars}+{tail}", token)), None)
+
+
+def combined_p(token):
+    """Fisher's combination of the three tests, or None if the token is not tested."""
+    abc, body = inferred(token), token.rstrip("=")
+    if abc is None or len(body) < 20:
+        return None
+    n, k, x = len(body), len(abc), [abc.index(c) + 1 for c in body]
+    two_sided = lambda z: max(math.erfc(abs(z) / math.sqrt(2)), 1e-300)
+    chi = sum(body.count(c) ** 2 for c in set(body)) * k / n - n
+    p = [two_sided((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (1 - 1 / n)))]
+    high = [v > k / 2 for v in x]
+    pairs = 2 * sum(high) * (n - sum(high))
+    spread = pairs * (pairs - n) / (n * n * (n - 1))
+    turns = sum(a != b for a, b in itertools.pairwise(high))
+    p.append(two_sided((turns - pairs / n) / math.sqrt(spread) if spread > 0 else 40))
+    dev = [v - sum(x) / n for v in x]
+    var = sum(d * d for d in dev)
+    p.append(two_sided((sum(a * b for a, b in itertools.pairwise(dev)) / var + 1 / n) * math.sqrt(n) if var > 0 else 40))
+    half = -sum(map(math.log, p))
+    return math.exp(-half) * (1 + half + half * half / 2)
+
+
+def test_random_spans_equal_brute_force(spark):
+    rng = random.Random(19)
+    pools = [abc for *_, abc, _ in ALPHABETS]
+    docs = []
+    for k in range(160):
+        pool = rng.choice(pools)
+        token = "".join(rng.choice(pool) for _ in range(rng.choice([12, 20, 30, 45, 60, 90, 200])))
+        if k % 3 == 0:
+            token = rng.choice(["Abc1" * 9, "item_001_" * 5, "0a" * 20, "HELLO2WORLD" * 3, token[:8] * 6])
+        docs.append((k, rng.choice(["x {} y", "é😀 k={}", "/a/b_{}/c-d", "{}== z", "q=\"{}\"", "a.{}.b"]).format(token)))
+    tested = []
+    for doc, text in docs:
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?", text):
+            if inferred(m[0]):
+                tested.append((doc, m.start(), m.end(), m[0]))
+                continue
+            runs = {(doc, m.start() + r.start(), m.start() + r.end(), r[0])
+                    for _, _, chars, _, tail in ALPHABETS for r in re.finditer(f"{chars}{{20,}}{tail}", m[0])}
+            tested += sorted(runs)
+    rows = [(*t, combined_p(t[3])) for t in tested]
+    rows = [(d, s, e, t, p) for d, s, e, t, p in rows if p is not None]
+    size = lambda t: sum(len(t.rstrip("=")) >= b for b in secret_scan.LENGTH_CLASSES)
+    step = lambda p: min(math.floor(-math.log10(max(p, 1e-30)) * secret_scan.GRID), secret_scan.GRID_END)
+    want = set()
+    for c in {size(r[3]) for r in rows}:
+        mine = [(step(r[4]), r) for r in rows if size(r[3]) == c]
+        # Benjamini and Hochberg on the grid: the least step whose p-value is within the rate at its rank.
+        limit = min((s for s, _ in mine if 10 ** (-s / secret_scan.GRID) <= secret_scan.FDR * sum(o >= s for o, _ in mine) / len(mine)),
+                    default=math.inf)
+        want |= {r[:3] for s, r in mine if s < limit}
+    df = spark.createDataFrame(docs, DOCS)
+    got = {(r.doc_id, r.start, r.end) for r in secret_scan.scan(df).where("kind = 'random'").collect()}
+    assert got == want and 20 < len(want) < len(rows)

@@ -229,7 +229,9 @@ def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", mask
 
 
 def op10_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every document, as counts and span lists."""
+    """Secrets of every document, as counts and span lists. What the method
+    bounds is the share of random strings among the tokens that it clears, not
+    among those that it reports."""
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     listed = scan(docs).groupBy("doc_id", "key").agg(
