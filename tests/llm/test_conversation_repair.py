@@ -97,7 +97,7 @@ def solved(turns, size):
 TURN = st.tuples(st.sampled_from(["s", "u", "a", " ", "t", ""]), st.sampled_from(range(4)))
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=50, deadline=None)
 @given(st.lists(TURN, min_size=1, max_size=3))
 def test_agenda_equals_all_edit_sequences(turns):
     assert solved(turns, 256) == brute(turns) == program(turns)
@@ -176,10 +176,9 @@ def test_nulls_ties_long_conversations_and_repartitioning(spark):
     rows = odd_rows()
     want = expected(damaged(rows), {r[0] for r in rows})
     df = spark.createDataFrame([(*r, 1, "k") for r in rows], ROWS + ", pos int, audit string")
-    for parts in (1, 5):
-        turns = df.repartition(parts)
-        got = repair.repair_report(repair.damage(turns), turns).collect()
-        assert {r[0]: tuple(r)[1:] for r in got} == want
+    turns = df.repartition(5)
+    got = repair.repair_report(repair.damage(turns), turns).collect()
+    assert {r[0]: tuple(r)[1:] for r in got} == want
 
 
 def test_repaired_turns_are_well_formed(spark):

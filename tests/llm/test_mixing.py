@@ -76,7 +76,7 @@ def test_taken_words_come_near_the_target(spark):
     assert all(abs(r["sum(taken)"] - r["max(target)"]) <= 0.02 * r["max(target)"] for r in taken)
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(sizes=st.lists(st.integers(0, 50), min_size=1, max_size=6), weights=st.lists(st.sampled_from([0.0, 1.0, 2.0, 30.0]), min_size=6, max_size=6),
        share=st.sampled_from([0.5, 1.5, 3.0]))
 def test_water_fill_equals_rounds(spark, sizes, weights, share):

@@ -57,9 +57,9 @@ def test_store_equals_the_library(spark):
         want = library.encode(text or "", add_special_tokens=False).ids + [2]
         assert (start, doc, ids) == (len(flat), want_doc, want), text
         flat += want
-    asked = [random.randrange(len(flat)) for _ in range(200)] + [0, 0, len(flat) - 1, len(flat), -1, None]
+    asked = [random.randrange(len(flat)) for _ in range(200)] + [0, 0, len(flat) - 1, len(flat), -1, None] + [7] * 500
     found = token_store.tokens_at(spark.createDataFrame([(p,) for p in asked], "position bigint"), path).collect()
-    assert len(found) == 203 and all(flat[r.position] == r.id for r in found)
+    assert len(found) == 703 and sum(r.position == 7 for r in found) >= 500 and all(flat[r.position] == r.id for r in found)
 
 
 def test_empty_store(spark):
@@ -92,6 +92,8 @@ def test_sentencepiece_equals_the_library(spark):
         want = library.encode(text or "") + [2]
         assert list(got[k].ids) == want, text
         assert got[k].text == library.decode(want)
+    both = lambda rows: sorted(((r.doc_id or -1, list(r.ids), r.text) for r in rows))
+    assert both(sentencepiece_bpe.round_trip(df, PIECES).collect()) == both(got.values())
 
 
 def test_op8_on_the_documents(spark, documents):
@@ -108,3 +110,4 @@ def test_op8_on_the_documents(spark, documents):
 def test_sentencepiece_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert sentencepiece_bpe.encode_documents(empty, PIECES).count() == 0
+    assert sentencepiece_bpe.round_trip(empty, PIECES).count() == 0
