@@ -56,7 +56,7 @@ def random_csv(rng, rows):
     return out.getvalue()
 
 
-@pytest.mark.parametrize("size", [200, 3001, 10 ** 7])
+@pytest.mark.parametrize("size", [301, 10 ** 7])
 def test_any_cut_gives_the_same_rows(spark, tmp_path, size):
     rng, wanted = random.Random(size), ["text", "name", "Unnamed: 0", "name.1", "absent"]
     for k in range(2):
