@@ -58,7 +58,9 @@ PACKED = 7
 #: Ids of at most this many classes are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 #: Pairs of one hot class per task.
-SALT_ROWS = 512
+SALT_ROWS = 64
+#: Labels of at most this many nodes are broadcast (16 bytes each).
+LABEL_ROWS = 1_000_000
 #: Pairs of a bucket that one task looks at.
 SALT_PAIRS = 200_000
 
@@ -277,12 +279,14 @@ def components(edges: DataFrame) -> DataFrame:
                             .distinct(), "links")
     labels = stage_table(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")),
                          "labels")
+    # The nodes stay the same: counted once. Few labels are sent to the edges.
+    beside = F.broadcast if labels.count() <= LABEL_ROWS else (lambda df: df)
     while True:
-        near = (both.join(labels.select(F.col("node").alias("b"), "root"), "b")
+        near = (both.join(beside(labels.select(F.col("node").alias("b"), "root")), "b")
                     .groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near")))
-        least = labels.join(near, "node").select("node", F.least("root", "near").alias("root"),
-                                                 F.col("root").alias("old"))
-        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("jump"))
+        least = near.join(beside(labels), "node").select("node", F.least("root", "near").alias("root"),
+                                                         F.col("root").alias("old"))
+        jump = beside(labels.select(F.col("node").alias("root"), F.col("root").alias("jump")))
         after = stage_table(least.join(jump, "root", "left")
                                  .select("node", F.least("root", "jump").alias("root"), "old"), "labels")
         changed = after.where("root <> old").limit(1).count()
@@ -353,7 +357,7 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> D
     load = (open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.count_if("stranger").alias("strangers"))
                  .select("bucket", F.ceil(F.col("rows") * F.col("strangers") / SALT_PAIRS).cast("int").alias("salts"))
                  .where("salts > 0"))
-    load = stage_table(load, "bucket-loads")
+    load = broadcast_if_small(stage_table(load, "bucket-loads"))
     one = (one.where("stranger_a").join(load, "bucket")
               .withColumn("salt", F.pmod(F.xxhash64("cid_a"), F.col("salts")).cast("int")).drop("salts"))
     other = other.join(load, "bucket").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
