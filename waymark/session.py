@@ -62,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="waymark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
+    if spark.sparkContext.master.split("[")[0] == "local":
+        # Workers of a local session may run in another folder than the driver.
+        ship_package(spark)
     return current
 
 
