@@ -1,7 +1,9 @@
 """Training-data operators on documents, pages and conversations.
 
 Nothing outside this package imports it. Functions that run in Python workers
-are pickled by value, so executors need no copy of the package on disk.
+are pickled by value. Models are broadcast as objects, so on a cluster the
+package is shipped with ``spark-submit --py-files``; local sessions do it by
+themselves.
 """
 
 import sys
