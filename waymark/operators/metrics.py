@@ -147,26 +147,20 @@ def error_summary(scored: DataFrame, split_col: str = "split", group_col: str =
     split (level ``bag``), intersections per split (level ``intersection``).
     Columns: scope, level, n, mean_km, median_km, p90_km.
 
-    ``scored`` is read several times (counts, brackets, intersection means):
+    ``scored`` is read several times (histograms, intersection means):
     pass a written table, as the evaluation writes its scored bags anyway."""
-    ranks = [0.5, 0.9]
-
-    def level(rows: DataFrame, col: str, name: str, total: dict | None) -> DataFrame:
-        rows = rows.select(F.col(split_col).alias("scope"), F.col(col).alias("err"))
-        sums = rows.where(F.col("err").isNotNull()).groupBy("scope").agg(F.sum("err").alias("s"), F.count("err").alias("c"))
-        if total:
-            sums = sums.unionByName(sums.agg(F.sum("s").alias("s"), F.sum("c").alias("c")).where("c > 0")
-                                        .select(F.lit(total["scope"]).alias("scope"), "s", "c"))
-        means = sums.select(F.col("scope").alias("_wm_scope"), (F.col("s") / F.col("c")).alias("mean_km"))
-        qs = quantiles(rows, "err", ["scope"], ranks, method=method, total=total, counts=True)
-        return (qs.join(means, qs["scope"].eqNullSafe(means["_wm_scope"]))
-                  .select("scope", F.lit(name).alias("level"), "n", "mean_km", F.col("q50").alias("median_km"),
-                          F.col("q90").alias("p90_km")))
-
-    out = level(scored, err, "bag", {"scope": "all"})
+    values = scored.select(F.lit("bag").alias("level"), F.col(split_col).alias("scope"), F.col(err).alias("err"))
     if group_col in scored.columns:
-        out = out.unionByName(level(intersection_errors(scored, split_col, group_col), "error_km", "intersection", None))
-    return out
+        values = values.unionByName(intersection_errors(scored, split_col, group_col).select(
+            F.lit("intersection").alias("level"), F.col(split_col).alias("scope"), F.col("error_km").alias("err")))
+    sums = values.where(F.col("err").isNotNull()).groupBy("level", "scope").agg(F.sum("err").alias("s"), F.count("err").alias("c"))
+    sums = sums.unionByName(sums.where("level = 'bag'").groupBy("level").agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
+                                .select("level", F.lit("all").alias("scope"), "s", "c"))
+    means = sums.select(F.col("level").alias("_wm_level"), F.col("scope").alias("_wm_scope"), (F.col("s") / F.col("c")).alias("mean_km"))
+    # One search for all scopes and levels; the intersections have no total.
+    qs = quantiles(values, "err", ["level", "scope"], [0.5, 0.9], method=method, total={"scope": "all"}, counts=True)
+    joined = qs.join(means, (qs["level"] == means["_wm_level"]) & qs["scope"].eqNullSafe(means["_wm_scope"]))
+    return joined.select("scope", "level", "n", "mean_km", F.col("q50").alias("median_km"), F.col("q90").alias("p90_km"))
 
 
 def split_group_counts(scored: DataFrame, split_col: str = "split",

@@ -93,9 +93,9 @@ def quantiles(df: DataFrame, value: str, by: list[str], probs, method: str = "ex
               accuracy: int = 100000, total: dict | None = None, counts: bool = False) -> DataFrame:
     """Quantiles with linear interpolation (the NumPy default) per ``by``
     group, one column ``q<100p>`` per probability (``q50``, ``q90``), and with
-    ``counts`` also ``n``, the number of values. With ``total`` = {``by`` column: label} there
-    is a further group over all values, from the groups' histograms added up;
-    it carries the labels (null for other columns).
+    ``counts`` also ``n``, the number of values. With ``total`` = {``by`` column: label} the
+    groups that differ in these columns only make a further group, which carries
+    the labels; their histograms are added up.
 
     ``exact`` refines histograms. ``approx`` uses ``percentile_approx`` with
     bounded memory per group. Nulls and NaN are no values; a group without
@@ -106,8 +106,9 @@ def quantiles(df: DataFrame, value: str, by: list[str], probs, method: str = "ex
         vals = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         out = vals.groupBy(*by).agg(F.count(value).alias("n"), *each)
         if total is not None:
-            whole = vals.agg(F.count(value).alias("n"), *each).where("n > 0")
-            out = out.unionByName(whole.select(*[F.lit(total.get(c)).cast(df.schema[c].dataType).alias(c) for c in by], "n", *names))
+            whole = vals.groupBy(*[c for c in by if c not in total]).agg(F.count(value).alias("n"), *each).where("n > 0")
+            out = out.unionByName(whole.select(*[F.lit(total[c]).cast(df.schema[c].dataType).alias(c) if c in total else F.col(c)
+                                                 for c in by], "n", *names))
         return out if counts else out.drop("n")
     values = _as_values(df, value, by)
     parts = stage_table(_counts(values.withColumn("cell", first_cell(F.col("v"))), "part", "cell"), "quantile-histograms")
@@ -115,12 +116,13 @@ def quantiles(df: DataFrame, value: str, by: list[str], probs, method: str = "ex
     groups = parts.groupBy("part").agg(F.sum("n").alias("n"))
     sizes = groups.select(F.struct(F.lit(False).alias("all"), "part").alias("whole"), "n", F.array("part").alias("parts"))
     if total is not None:
-        # A label of no part's own: all parts, with their histograms merged.
-        label = F.struct(*[F.lit(total.get(c)).cast(df.schema[c].dataType).alias(f"k{k}") for k, c in enumerate(by)])
-        both = F.struct(F.lit(True).alias("all"), label.alias("part"))
-        hist = hist.unionByName(merge_histograms(parts, "cell").select(both.alias("whole"), "cell", "n", "lo", "hi"))
-        sizes = sizes.unionByName(groups.agg(F.sum("n").alias("n"), F.collect_list("part").alias("parts"))
-                                        .where("n > 0").select(both.alias("whole"), "n", "parts"))
+        # The parts that differ in these columns only, with their histograms merged.
+        label = F.struct(*[(F.lit(total[c]).cast(df.schema[c].dataType) if c in total else F.col("part")[f"k{k}"]).alias(f"k{k}")
+                           for k, c in enumerate(by)])
+        both = F.struct(F.lit(True).alias("all"), label.alias("part")).alias("whole")
+        hist = hist.unionByName(merge_histograms(parts.select(both, "cell", "n", "lo", "hi"), "whole", "cell"))
+        sizes = sizes.unionByName(groups.select(both, "part", "n").groupBy("whole").agg(
+            F.sum("n").alias("n"), F.collect_list("part").alias("parts")))
     at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     ends = F.explode(F.array(*[F.struct(F.lit(name).alias("q"), F.lit(high).alias("high"), (a - F.floor(a)).alias("share"),
                                         (F.ceil(a) if high else F.floor(a)).cast("bigint").alias("rank"))
