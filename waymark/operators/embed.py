@@ -3,9 +3,9 @@
 Two interchangeable embedders produce a fixed-width ``array<double>`` per
 row, without leaving the row (no shuffle):
 
-* :func:`embed_hashed` -- clean, split on spaces and hash each token into one
-  of ``dim`` buckets, natively; the bucket lists of an Arrow batch are counted
-  at once and each row is scaled to unit length (mean pooling followed by
+* :func:`embed_hashed` -- clean and split on spaces natively; the distinct
+  tokens of an Arrow batch are hashed into ``dim`` buckets, counted at once,
+  and each row is scaled to unit length (mean pooling followed by
   normalisation gives the same vector).
 * :func:`embed_with` -- a user-supplied encoder, built once per Python worker
   and fed batches of texts through ``predict_batch_udf``.
@@ -16,6 +16,7 @@ training epochs re-read them instead of re-embedding.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,17 +27,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.functions.text import clean_text
-from waymark.operators.ordinal import hash32
 from waymark.session import ship_package
 
 #: Entries of the count matrix made at once.
 MATRIX_ENTRIES = 1 << 20
 
 
-def _unit_counts(buckets: pa.Array, dim: int) -> np.ndarray:
-    """Bucket counts per row, scaled to unit length."""
-    lengths = buckets.value_lengths().to_numpy(zero_copy_only=False)
-    flat = buckets.flatten().to_numpy(zero_copy_only=False)
+def _unit_counts(tokens: pa.Array, dim: int) -> np.ndarray:
+    """Bucket counts per row, scaled to unit length. A token's bucket is
+    ``hash32`` of it by ``dim``; every distinct token is hashed once."""
+    lengths = tokens.value_lengths().to_numpy(zero_copy_only=False)
+    coded = tokens.flatten().dictionary_encode()
+    buckets = np.array([int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dim for t in coded.dictionary.to_pylist()], np.int64)
+    flat = buckets[coded.indices.to_numpy(zero_copy_only=False)]
     row = np.repeat(np.arange(len(lengths)), lengths)
     counts = np.bincount(row * dim + flat, minlength=len(lengths) * dim).reshape(-1, dim).astype(np.float64)
     return counts / np.sqrt((counts * counts).sum(1, keepdims=True))
@@ -49,21 +52,20 @@ def embed_hashed(df: DataFrame, text_col: str, id_cols, dim: int = 64,
     ship_package(df.sparkSession)
     id_cols = list(id_cols)
     tokens = F.filter(F.split(clean_text(text_col), " ", -1), lambda t: t != "")
-    buckets = F.transform(tokens, lambda t: (hash32(t) % dim).cast("int"))
-    rows = df.select(*[F.col(c).alias(f"id{k}") for k, c in enumerate(id_cols)], buckets.alias("buckets"))
+    rows = df.select(*[F.col(c).alias(f"id{k}") for k, c in enumerate(id_cols)], tokens.alias("tokens"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = max(1, MATRIX_ENTRIES // dim)
         for whole in batches:
             for begin in range(0, whole.num_rows, step):
                 batch = whole.slice(begin, step)
-                values = _unit_counts(batch.column("buckets"), dim)
+                values = _unit_counts(batch.column("tokens"), dim)
                 offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * dim)
                 yield pa.record_batch([*batch.columns[:-1], pa.ListArray.from_arrays(offsets, pa.array(values.reshape(-1)))],
                                       [*batch.schema.names[:-1], "vector"])
 
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("vector", T.ArrayType(T.DoubleType()))])
-    out = rows.where(F.size("buckets") > 0).mapInArrow(run, schema)
+    out = rows.where(F.size("tokens") > 0).mapInArrow(run, schema)
     return out.select(*[F.col(f"id{k}").alias(c) for k, c in enumerate(id_cols)], F.col("vector").alias(out_col))
 
 
