@@ -125,3 +125,46 @@ def test_main_flow_beats_the_mean_on_texts_that_carry_the_place(spark):
                                              "predicted_longitude": F.lit(stats["lon_mean"])})).agg(F.avg("error_km")).first()[0]
     assert got["val", "bag"].mean_km < 0.5 * base
     assert got["val", "intersection"].n == 8
+
+
+def test_a_chain_of_rounds_equals_the_rounds_one_by_one(spark):
+    rows = H.prepare_training(_rows(spark, 200), "embedding", "latitude", "longitude",
+                              {"lat_mean": 39.3, "lat_std": 0.2, "lon_mean": -104.8, "lon_std": 0.2}, "vec_id", 1)
+    deal = H.deal_rounds(rows, batch_size=4, replicas=3, sync_steps=2)
+    assert deal.rounds > H.CHAINED
+    zero = {k: np.zeros_like(v) for k, v in fixed_params(6).items()}
+    start = {"params": fixed_params(6), "m": zero, "v": zero, "t": 0}
+    got, n, loss = H.run_epoch(deal, "embedding", start, 1, 4, 1e-2, 1e-3, 0.1, 5)
+    # By hand: every round's replicas from one state, averaged by their rows.
+    state, want_loss, kept = start, 0.0, deal.rows.collect()
+    for k in range(deal.rounds):
+        parts = []
+        for replica in range(deal.replicas):
+            mine = [r for r in kept if (r["round"], r["replica"]) == (k, replica)]
+            if mine:
+                x, y = np.array([r.embedding for r in mine]), np.array([[r._wm_zlat, r._wm_zlon] for r in mine])
+                parts.append((len(mine), H.local_updates(state, x, y, np.array([r._wm_key for r in mine]), 1, 4, 1e-2, 1e-3, 0.1, 5)))
+        total = sum(p[0] for p in parts)
+        if parts:
+            mean = [{name: sum(w * p[at][name] for w, p in parts) / total for name in H.PARAM_NAMES} for at in range(3)]
+            state = dict(zip(("params", "m", "v"), mean), t=state["t"] + round(sum(p[3] for _, p in parts) / len(parts)))
+            want_loss += sum(p[4] for _, p in parts)
+    assert n == 200 and loss == pytest.approx(want_loss) and got["t"] == state["t"]
+    for part in ("params", "m", "v"):
+        assert all(np.allclose(got[part][k], state[part][k], rtol=1e-9, atol=1e-15) for k in H.PARAM_NAMES)
+
+
+def test_a_round_without_rows_hands_on_its_state(spark):
+    rows = H.prepare_training(_rows(spark, 20), "embedding", "latitude", "longitude",
+                              {"lat_mean": 39.3, "lat_std": 0.2, "lon_mean": -104.8, "lon_std": 0.2}, "vec_id", 1)
+    deal = H.deal_rounds(rows, batch_size=8)
+    zero = {k: np.zeros_like(v) for k, v in fixed_params(6).items()}
+    start = {"params": fixed_params(6), "m": zero, "v": zero, "t": 3}
+    after, n, loss = H.run_round(deal.of_round(9), "embedding", start, 1, 8, 1e-2, 1e-3, 0.1, 5, 2)
+    assert (after["t"], n, loss) == (3, 0, 0) and all(np.array_equal(after["params"][k], start["params"][k]) for k in start["params"])
+
+
+def test_the_plan_of_the_rounds_does_not_grow_with_them(spark):
+    from waymark.plans.q_model import q_training_rounds
+    plan = q_training_rounds(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
