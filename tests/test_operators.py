@@ -251,3 +251,16 @@ def test_cleaning_is_in_the_plan_once(spark):
     plan = bags.intersection_profile(raw_signs_df(spark, SF001))._jdf.queryExecution().optimizedPlan().toString()
     # Two in each cleaned column, five in the key of the signs, five in the lookup's.
     assert plan.count("regexp_replace") == 14
+
+
+def test_ordinal_partitions_do_not_follow_a_join_estimate(spark):
+    """The planner's estimate of a join is the product of its sides; the
+    ordinal of its groups is not dealt over as many tasks."""
+    from conftest import SF01
+    from waymark.operators.ordinal import _num_partitions
+    from waymark.plans.pipeline import raw_signs_df
+    signs = raw_signs_df(spark, SF01)
+    assert int(signs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > 100 << 30
+    assert _num_partitions(signs.select("intersection").distinct(), None) == 8
+    plan = B.sample_ordinal(signs, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan and "l_orderkey" not in plan

@@ -58,7 +58,9 @@ def sample_ordinal(df: DataFrame, samples: int, group_col: str = "intersection",
                    seed: int | None = None) -> DataFrame:
     """Global sample number: groups in sorted order times ``samples`` plus
     ``sample_id`` (the original seeded each sample with seed + this number)."""
-    groups = df.where(F.col(group_col).isNotNull()).select(group_col).distinct()
+    # Written once: the ordinal reads its rows twice (sample, sort), and the
+    # files tell their number.
+    groups = stage_table(df.where(F.col(group_col).isNotNull()).select(group_col).distinct(), "sample-groups")
     ranked = with_ordinal(groups, [group_col], name="_wm_group_rank")
     out = (ranked.withColumn("sample_id", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
                  .withColumn("sample_ordinal", F.col("_wm_group_rank") * samples + F.col("sample_id"))

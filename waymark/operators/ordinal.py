@@ -27,14 +27,21 @@ from waymark.sources.tables import stage_table
 
 
 TARGET_BYTES = 128 << 20
+UNPACKED = 4
 
 
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     """The given number, or enough for about ``TARGET_BYTES`` a task by the
-    plan's size estimate, at least the session's shuffle partitions."""
+    plan's size estimate, at least the session's shuffle partitions. The
+    estimate of a join is the product of its sides, so what the plan reads
+    (``UNPACKED`` times, since files are compressed) bounds it."""
     if num_partitions:
         return num_partitions
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves, read = plan.collectLeaves().iterator(), 0
+    while leaves.hasNext():
+        read += int(leaves.next().stats().sizeInBytes())
+    size = min(int(plan.stats().sizeInBytes()), UNPACKED * read)
     floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(floor, min(-(-size // TARGET_BYTES), 100_000))
 
