@@ -68,3 +68,31 @@ def test_no_python_in_text_plans(spark):
     df = spark.range(3).select(F.col("id").cast("string").alias("t"))
     plan = df.select(clean_text("t"), join_key("t"), split_words("t"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_short_ways_equal_the_regular_expressions(spark):
+    """Cleaning, keys and stripping of ASCII and of cleaned texts skip most
+    regular expressions; the results are those of the expressions."""
+    import random
+    from waymark.functions.text import WHITESPACE_CHARS, WS, keep_only, strip_ws
+    draw = random.Random(3)
+    signs = [list("aAzZ09_--- \t\n\r\x0b\x1c\x00\x01\x7f&/#!.  ") + ["é", NBSP, "\u212a", "İ", "\u0085"],
+             list("aZ09_-- \t\n\x1f\x01&#  "), list("ab0_-  -")]
+    texts = ["", " ", "-", " - "] + ["".join(draw.choice(s) for _ in range(draw.randrange(14))) for s in signs for _ in range(1500)]
+    df = spark.createDataFrame([(t,) for t in [None, *texts]], "t string")
+    kept = keep_only(F.lower("t"), rf"a-z0-9_\-{WHITESPACE_CHARS}")
+    clean = F.trim(F.regexp_replace(F.regexp_replace(kept, f"{WS}+", " "), " ?- ?", "-"))
+    strip = F.regexp_replace("t", f"^{WS}+|{WS}+$", "")
+
+    def key(c):
+        out = F.lower(F.regexp_replace(c, f"^{WS}+|{WS}+$", ""))
+        out = F.replace(F.replace(out, F.lit("&"), F.lit(" and ")), F.lit("/"), F.lit("-"))
+        out = F.regexp_replace(F.regexp_replace(out, f"{WS}+", " "), " ?- ?", "-")
+        out = F.regexp_replace(keep_only(out, rf"a-z0-9\-_{WHITESPACE_CHARS}"), f"{WS}+", "-")
+        return F.coalesce(F.regexp_replace(out, "^-+|-+$", ""), F.lit(""))
+
+    short = clean_text("t", extra_chars="-")
+    for got, want in ((short, clean), (strip_ws("t"), strip), (join_key("t"), key(F.col("t"))), (join_key(short), key(clean))):
+        assert df.where(~got.eqNullSafe(want)).collect() == []
+    plan = df.select(short)._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" in plan and "octet_length" in plan
