@@ -131,3 +131,25 @@ def test_one_read_and_no_collect(spark, tmp_path):
     (tmp_path / "a.csv").write_text("intersection,text_on_sign_exact\nx,Stop\n")
     plan = scan_sheets(spark, f"{tmp_path}/*.csv")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan text") == 1 and "Exchange" not in plan
+
+
+def test_lines_that_need_no_parser(spark, tmp_path):
+    """Plain lines are told from the arrays of a batch: outside quotes, without
+    a quote or CR, with the header's number of fields."""
+    import pyarrow as pa
+    rng = random.Random(11)
+    for width in (1, 2, 3):
+        for inside in (False, True):
+            lines = [rng.choice(["a,b", "a", "", "é,", "a,b,c", 'x,"y', 'y",z', '"q",r', "a,\r", ",,", 'p" q,r']) for _ in range(400)]
+            plain_lines, end = csvblocks._plain_lines(pa.array(lines), width, inside)
+            state, want = inside, []
+            for line in lines:
+                want.append(width > 1 and not state and '"' not in line and "\r" not in line and line.count(",") == width - 1)
+                state = ends_inside(line, state)
+            assert plain_lines.tolist() == want and end == state
+    # Few quoted rows among many plain ones, in several batches a block.
+    text = "n,text\n" + "".join(f'{k},"two\nlines, ""{k}"""\n' if k % 997 == 5 else f"{k},é {k}\n" for k in range(30000))
+    (tmp_path / "f.csv").write_text(text, encoding="utf-8")
+    for size in (100_000, 10 ** 7):
+        with blocks_of(spark, size):
+            assert read(spark, tmp_path / "f.csv", ["text", "n"]) == dicts(text, ["text", "n"])

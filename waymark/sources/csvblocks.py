@@ -31,7 +31,9 @@ import csv
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -137,6 +139,44 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[
                 begin = k
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, str, int, pa.Array, pa.Array]]:
+    """``(row in the batch, path, block, positions, lines)`` in pieces, in
+    order, as Arrow arrays."""
+    paths, blocks, places, values = (batch.column(c) for c in ("path", "block", "pos", "value"))
+    if not batch.num_rows:
+        return
+    other = np.diff(blocks.to_numpy(zero_copy_only=False)) != 0
+    other |= pc.not_equal(paths[1:], paths[:-1]).to_numpy(zero_copy_only=False).astype(bool)
+    cuts = [0, *(np.flatnonzero(other) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(cuts, cuts[1:]):
+        yield begin, paths[begin].as_py(), blocks[begin].as_py(), places[begin:end], values[begin:end]
+
+
+def _where(mask: pa.Array) -> np.ndarray:
+    return np.flatnonzero(mask.to_numpy(zero_copy_only=False))
+
+
+def _plain_lines(values: pa.Array, width: int, inside: bool) -> tuple[np.ndarray, bool]:
+    """Which lines are rows by themselves that need no parser (outside quotes,
+    no quote or CR in them, the header's number of fields), and whether the
+    last line ends inside quotes if the first begins ``inside``."""
+    quoted = _where(pc.match_substring(values, '"'))
+    plain = pc.equal(pc.count_substring(values, ","), width - 1).to_numpy(zero_copy_only=False).astype(bool)
+    plain[quoted] = False
+    plain[_where(pc.match_substring(values, "\r"))] = False
+    if width < 2:
+        plain[:] = False  # a blank line has as many delimiters as a row
+    # Only a line with a quote changes the state.
+    begin = 0
+    for k, line in zip(quoted.tolist(), values.take(pa.array(quoted)).to_pylist(), strict=True):
+        if inside:
+            plain[begin:k] = False
+        begin, inside = k + 1, ends_inside(line, inside)
+    if inside:
+        plain[begin:] = False
+    return plain, inside
+
+
 def _unmarked(line: str) -> str:
     return line.removeprefix("\ufeff")
 
@@ -165,21 +205,28 @@ def _scan_blocks(lines: DataFrame) -> DataFrame:
                 [pa.array([at[0]]), pa.array([at[1]], pa.int64()), pa.array([outside]), pa.array([inside]),
                  pa.array([header], pa.list_(pa.string()))], ["path", "block", "from_outside", "from_inside", "header"])
 
-        for path, block, _, values in _blocks(batches):
-            if at != (path, block):
+        for path, block, values in ((p, b, v) for batch in batches for _, p, b, _, v in _pieces(batch)):
+            begins = at != (path, block)
+            if begins:
                 if at is not None:
                     yield done()
                 at, outside, inside, header = (path, block), False, True, None
                 first = [] if block == 0 else None
-                if first is not None:
-                    values[0] = _unmarked(values[0])
-            for line in values:
+            # After the header only lines with a quote matter.
+            looked = 0
+            while first is not None and looked < len(values):
+                line = values[looked].as_py()
+                if begins and not looked:
+                    line = _unmarked(line)
+                looked += 1
+                outside, inside = ends_inside(line, outside), ends_inside(line, inside)
+                first.append(line)
+                if not outside:
+                    found = next(_parse(first), None)
+                    first, header = (None, found[1]) if found else ([], None)
+            rest = values[looked:]
+            for line in rest.filter(pc.match_substring(rest, '"')).to_pylist():
                 outside, inside = ends_inside(line, outside), ends_inside(line, inside)
-                if first is not None:
-                    first.append(line)
-                    if not outside:
-                        found = next(_parse(first), None)
-                        first, header = (None, found[1]) if found else ([], None)
         if at is not None:
             yield done()
 
@@ -225,6 +272,17 @@ def _emit(rows: list[tuple], wanted: int, fragments: bool) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds)], names)
 
 
+def _emit_plain(at: tuple[str, int], places: pa.Array, values: pa.Array, columns: _Columns) -> pa.RecordBatch:
+    """The rows of plain lines (see ``_plain_lines``), all columns at once."""
+    n, width = len(values), columns.width
+    fields = pc.split_pattern(values, ",").flatten()
+    picked = [pa.nulls(n, pa.string()) if p is None else
+              fields.take(pa.array(np.arange(p, n * width, width))).cast(pa.string()) for p in columns.places]
+    arrays = [pa.repeat(pa.scalar(at[0], pa.string()), n), pa.repeat(pa.scalar(at[1], pa.int64()), n), places, *picked,
+              pa.nulls(n, pa.string()), pa.nulls(n, pa.bool_())]
+    return pa.record_batch(arrays, ["path", "block", "pos", *[f"c{k}" for k in range(len(picked))], "fragment", "opens"])
+
+
 def _kinds(wanted: list[str], more: str = "") -> str:
     return ", ".join(["path string, block bigint, pos bigint", *[f"c{k} string" for k in range(len(wanted))]]) + more
 
@@ -303,21 +361,31 @@ def _cut_files(lines: DataFrame, wanted: list[str], required: list[str]) -> Data
                 yield _emit(out, len(wanted), True)
 
         for batch in batches:
-            begins, headers, offset = batch.column("inside").to_pylist(), batch.column("header").to_pylist(), 0
-            for path, block, numbers, values in _blocks(iter([batch])):
-                if at != (path, block):
+            begins, headers = batch.column("inside"), batch.column("header")
+            for offset, path, block, numbers, values in _pieces(batch):
+                first = at != (path, block)
+                if first:
                     if held:
                         yield from rows(True)
-                    if begins[offset] is None:
+                    if not begins[offset].is_valid:
                         raise ValueError(f"{path}: the blocks of the file changed while it was read")
-                    if headers[offset] is None:
+                    if not headers[offset].is_valid:
                         raise ValueError(f"{path}: the header row does not end in the file's first block")
-                    at, inside = (path, block), begins[offset]
+                    at, inside = (path, block), begins[offset].as_py()
                     tail, header_due = inside, block == 0
-                    columns = _Columns(path, headers[offset], wanted, required)
-                    if block == 0:
-                        values[0] = _unmarked(values[0])
-                offset += len(values)
+                    columns = _Columns(path, headers[offset].as_py(), wanted, required)
+                if not header_due:
+                    # What is left has quotes, lies inside them, or has another
+                    # number of fields; between such lines stand whole rows only.
+                    plain, _ = _plain_lines(values, columns.width, inside)
+                    if plain.any():
+                        mask = pa.array(plain)
+                        if columns.usable:
+                            yield _emit_plain(at, numbers.filter(mask), values.filter(mask), columns)
+                        numbers, values = numbers.filter(pa.array(~plain)), values.filter(pa.array(~plain))
+                numbers, values = numbers.to_pylist(), values.to_pylist()
+                if first and block == 0:
+                    values[0] = _unmarked(values[0])
                 for number, line in zip(numbers, values, strict=True):
                     held.append(line)
                     places.append(number)
