@@ -95,6 +95,43 @@ def test_bootstrap_bag_invariants(spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, rows))
 
 
+@pytest.mark.parametrize("code", [None, "code_type"])
+def test_bags_of_small_and_large_groups_agree(spark, monkeypatch, code):
+    # Null texts, repeated texts, a null group and a group of a few long texts.
+    nulls = [("b", None, "street_sign", 40.0, -105.0, 90), (None, "x", "shop", 1.0, 1.0, 91)]
+    long = [("long", "y" * 700 + str(i), "street_sign", 42.0, -105.0, i) for i in range(3)]
+    signs = _signs(spark).unionByName(spark.createDataFrame(nulls + long, _signs(spark).schema))
+    seen = []
+    for rows, size in [(8192, 1 << 20), (10, 1000), (0, 1 << 20)]:
+        monkeypatch.setattr(B, "GROUP_ROWS", rows)
+        monkeypatch.setattr(B, "GROUP_BYTES", size)
+        bags = B.bootstrap_bags(signs, ["ord"], code_col=code, bag_size=9, samples=5, seed=3)
+        seen.append(sorted(map(tuple, bags.collect())))
+    assert len(seen[0]) == 4 * 5
+    assert seen[0] == seen[1] == seen[2]
+    counts = {r[0]: r[5:] for r in seen[0]}
+    assert counts == {"hot": (11, 400), "b": (7, 8), "c": (3, 3), "long": (3, 3)}
+
+
+@pytest.mark.parametrize("code", [None, "code_type"])
+def test_small_groups_are_shuffled_once(spark, code):
+    """The signs move by group, and once more for the street signs; neither
+    slots nor draws move, and no draw joins the signs."""
+    plan = B.bootstrap_bags(_signs(spark), ["ord"], code_col=code, bag_size=4, samples=6, seed=7)
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # The third is the profile, where it is not broadcast.
+    assert text.count(" Exchange hashpartitioning(") <= (3 if code else 2)
+    assert "_wm_idx" not in text
+
+
+def test_collected_ordinals_are_the_numbers(spark):
+    df = _signs(spark).withColumn("minus", -F.col("ord"))
+    rows = with_ordinal(df, ["minus"], ["intersection"], name="o").collect()
+    lists = with_ordinal(df, ["minus"], ["intersection"], name="o", collect="ord").collect()
+    assert {(r.intersection, r.o): r.ord for r in rows} == {(r.intersection, k): v for r in lists for k, v in enumerate(r.o)}
+
+
 def test_bootstrap_argument_errors(spark):
     signs = _signs(spark)
     with pytest.raises(ValueError):

@@ -9,14 +9,17 @@ Contract (``seed`` default 1992, ``||`` = join with ``|``):
 * the members of a bag are ordered by ``hash32(seed || 's' || g || i || s)``
   and joined with the separator.
 
-The work is a handful of equi-joins and aggregations: the slot table has
-groups x samples x bag_size rows whatever the group sizes, sign numbering uses
-the balanced ordinal operator, and draws join on ``(group, index)`` so a hot
-group's rows spread by index across tasks.
+Groups are told apart by size. The signs of a group of at most ``GROUP_ROWS``
+signs and ``GROUP_BYTES`` of text are put into one array at their numbers, and
+its bags are drawn from that array without a further shuffle. A larger group never meets in one task: its signs are numbered
+by the balanced ordinal operator, and draws join on ``(group, index)``, so its
+rows spread by index across tasks.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ from waymark.operators.ordinal import hash32, with_ordinal
 from waymark.sources.tables import stage_table
 
 STREET_SIGN = "street_sign"
+# Bounds of a group that is held in one row.
+GROUP_ROWS, GROUP_BYTES = 8192, 1 << 20
 
 
 def intersection_profile(df: DataFrame, group_col: str = "intersection",
@@ -89,43 +94,101 @@ def bootstrap_bags(df: DataFrame, order_by: list[str], group_col: str = "interse
     signs = df.where(F.col(g).isNotNull())
     street_n = (F.sum(F.when(F.col(code_col) == STREET_SIGN, 1).otherwise(0)) if has_code
                 else F.lit(0)).cast("bigint").alias("street_n")
-    # One row per group, used twice (slot sizes, output columns): written
-    # once rather than aggregated over all signs twice.
+    small = ((F.count(F.lit(1)) <= GROUP_ROWS)
+             & (F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0)) <= GROUP_BYTES))
+    # One row per group, used several times: written once rather than
+    # aggregated over all signs again.
     profile = stage_table(signs.groupBy(g)
                                .agg(F.avg(lat_col).alias("latitude"), F.avg(lon_col).alias("longitude"),
-                                    F.countDistinct(text_col).cast("bigint").alias("unique_sign_count"),
-                                    F.count(F.lit(1)).alias("raw_sign_count"), street_n), "bag-profile")
-    sizes = profile.select(g, F.col("raw_sign_count").alias("n"), "street_n")
-
-    # One row per group and sample is dealt out before the slots are made, so
-    # their rows and draws are spread over all tasks.
-    slots = (sizes.withColumn("sample_id", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
-                  .repartition(g, "sample_id")
-                  .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(bag_size - 1)))))
-    guaranteed = F.col("slot") < F.least(F.col("street_n"), F.lit(bag_size))
-
-    numbered = with_ordinal(signs.select(g, text_col, *order_by), order_by, [g], name="_wm_idx")
-    drawn = (slots.where(~guaranteed)
-                  .withColumn("_wm_idx", hash32(F.lit(seed), g, "sample_id", "slot") % F.col("n"))
-                  # The slot table grows with groups x samples x bag, which the
-                  # planner's estimate does not see: never broadcast it.
-                  .join(numbered.select(g, "_wm_idx", text_col).hint("merge"), [g, "_wm_idx"])
-                  .select(g, "sample_id", "slot", text_col))
-    members = drawn
-    if has_code:
-        # Guaranteed members are the group's first street signs, the same for
-        # every sample: repeat the top-k rows per sample instead of joining.
-        street = street_signs_topk(signs, bag_size, order_by, g, text_col, code_col)
-        fixed = street.select(g, F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("sample_id"),
-                              "slot", text_col)
-        members = fixed.unionByName(drawn)
-
-    members = members.withColumn("_wm_pos", hash32(F.lit(seed), F.lit("s"), g, "sample_id", "slot"))
-    # Sorting the (position, slot, text) structs orders the members; taking
-    # the ``t`` field of the sorted array is a native extraction, no lambda.
-    ordered = F.array_sort(F.collect_list(F.struct("_wm_pos", "slot", F.col(text_col).alias("t"))))
-    bags = (members.groupBy(g, "sample_id")
-                   .agg(F.array_join(ordered["t"], separator).alias("text")))
-    return (bags.join(profile, g)
-                .select(F.col(g).alias("intersection"), F.col("sample_id").cast("int").alias("sample_id"),
-                        "text", "latitude", "longitude", "unique_sign_count", "raw_sign_count"))
+                                    F.count(F.lit(1)).alias("raw_sign_count"), street_n,
+                                    small.alias("_wm_small")), "bag-profile")
+    draw = _Draw(order_by, g, text_col, code_col if has_code else None, bag_size, samples, seed, separator)
+    large = profile.where(~F.col("_wm_small"))
+    if not large.take(1):
+        return draw.small(signs, profile)
+    # At most one name per GROUP_ROWS signs or GROUP_BYTES of text.
+    names = F.broadcast(large.select(g))
+    return (draw.small(signs.join(names, g, "left_anti"), profile.where("_wm_small"))
+                .unionByName(draw.large(signs.join(names, g, "left_semi"), large)))
+
+
+@dataclass(frozen=True)
+class _Draw:
+    """The bags of small and of large groups (see the module's contract)."""
+
+    order_by: list[str]
+    g: str
+    text_col: str
+    code_col: str | None
+    bag_size: int
+    samples: int
+    seed: int
+    separator: str
+
+    def _in_order(self, members):
+        # Sorting the (position, slot, text) structs orders the members; taking
+        # the ``t`` field of the sorted array is a native extraction, no lambda.
+        return F.array_join(F.sort_array(members)["t"], self.separator).alias("text")
+
+    def _position(self, slot):
+        return hash32(F.lit(self.seed), F.lit("s"), self.g, "sample_id", slot)
+
+    def _index(self, slot):
+        return hash32(F.lit(self.seed), self.g, "sample_id", slot) % F.col("raw_sign_count")
+
+    def _guaranteed(self, slot):
+        return slot < F.least(F.col("street_n"), F.lit(self.bag_size))
+
+    def _street(self, signs):
+        return street_signs_topk(signs, self.bag_size, self.order_by, self.g, self.text_col, self.code_col)
+
+    def _output(self, bags):
+        return bags.select(F.col(self.g).alias("intersection"), F.col("sample_id").cast("int").alias("sample_id"),
+                           "text", "latitude", "longitude", "unique_sign_count", "raw_sign_count")
+
+    def small(self, signs: DataFrame, profile: DataFrame) -> DataFrame:
+        """Bags of groups whose signs fit one array: one shuffle of the signs
+        by group serves the numbering, the arrays and the draws."""
+        groups = with_ordinal(signs.select(self.g, self.text_col, *self.order_by), self.order_by, [self.g],
+                              name="_wm_signs", collect=self.text_col).join(profile, self.g)
+        pick = lambda slot: F.get("_wm_signs", self._index(slot).cast("int"))
+        if self.code_col is not None:
+            street = with_ordinal(self._street(signs), ["slot"], [self.g], name="_wm_street", collect=self.text_col)
+            groups = groups.join(street, self.g, "left")
+            drawn = pick
+            pick = lambda slot: F.when(self._guaranteed(slot), F.get("_wm_street", slot)).otherwise(drawn(slot))
+        members = F.transform(F.sequence(F.lit(0), F.lit(self.bag_size - 1)), lambda slot: F.struct(
+            self._position(slot).alias("_wm_pos"), slot.alias("slot"), pick(slot).alias("t")))
+        unique = F.size(F.array_distinct(F.array_compact("_wm_signs"))).cast("bigint")
+        return self._output(groups.withColumn("unique_sign_count", unique)
+                                  .withColumn("sample_id", F.explode(F.sequence(F.lit(0), F.lit(self.samples - 1))))
+                                  .withColumn("text", self._in_order(members)))
+
+    def large(self, signs: DataFrame, profile: DataFrame) -> DataFrame:
+        """Bags of groups that are never brought together: draws are rows
+        that join the numbered signs on (group, index)."""
+        g, text_col, tasks = self.g, self.text_col, int(signs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        samples = F.explode(F.sequence(F.lit(0), F.lit(self.samples - 1)))
+        # One row per group and sample is dealt out before the slots are made, so
+        # their rows and draws are spread over all tasks.
+        slots = (profile.select(g, "raw_sign_count", "street_n", samples.alias("sample_id"))
+                        .repartition(tasks, g, "sample_id")
+                        .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(self.bag_size - 1)))))
+        numbered = with_ordinal(signs.select(g, text_col, *self.order_by), self.order_by, [g], name="_wm_idx")
+        members = (slots.where(~self._guaranteed(F.col("slot")))
+                        .withColumn("_wm_idx", self._index(F.col("slot")))
+                        # The slot table grows with groups x samples x bag, which the
+                        # planner's estimate does not see: never broadcast it.
+                        .join(numbered.select(g, "_wm_idx", text_col).hint("merge"), [g, "_wm_idx"])
+                        .select(g, "sample_id", "slot", text_col))
+        if self.code_col is not None:
+            # Guaranteed members are the group's first street signs, the same for
+            # every sample: repeat the top-k rows per sample instead of joining.
+            fixed = (self._street(signs).repartition(tasks, g, "slot")
+                         .select(g, samples.alias("sample_id"), "slot", text_col))
+            members = fixed.unionByName(members)
+        members = members.withColumn("_wm_pos", self._position(F.col("slot")))
+        bags = (members.groupBy(g, "sample_id")
+                       .agg(self._in_order(F.collect_list(F.struct("_wm_pos", "slot", F.col(text_col).alias("t"))))))
+        unique = signs.groupBy(g).agg(F.countDistinct(text_col).cast("bigint").alias("unique_sign_count"))
+        return self._output(bags.join(profile.join(unique, g), g))

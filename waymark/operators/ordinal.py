@@ -47,11 +47,22 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def with_ordinal(df: DataFrame, order_by: list, partition_by: list | tuple = (),
-                 name: str = "ordinal", num_partitions: int | None = None) -> DataFrame:
+                 name: str = "ordinal", num_partitions: int | None = None,
+                 collect: str | None = None) -> DataFrame:
     """Add ``name`` (bigint, 0-based): the row's position in ``order_by``
     order within ``partition_by`` -- ``row_number() - 1`` computed with
-    balanced tasks. ``order_by`` items are column names or sort Columns."""
+    balanced tasks. ``order_by`` items are column names or sort Columns. Rows
+    with a null partition key are left out.
+
+    With ``collect`` (a column; ``order_by`` are ascending column names) every
+    partition becomes one row, and ``name`` the array of that column with each
+    value at its position. For partitions known to be small: it takes one
+    shuffle and writes nothing, but holds a partition in one row."""
     partition_by = list(partition_by)
+    if collect:
+        row = F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(order_by)], F.col(collect).alias("value"))
+        return (df.na.drop(subset=partition_by).groupBy(*partition_by)
+                  .agg(F.sort_array(F.collect_list(row))["value"].alias(name)))
     keys = partition_by + list(order_by)
     n = _num_partitions(df, num_partitions)
     ranged = (df.repartitionByRange(n, *keys)
