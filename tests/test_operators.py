@@ -12,7 +12,7 @@ from waymark.operators import join as J
 from waymark.operators import metrics as M
 from waymark.operators import split as S
 from waymark.operators.filters import exclude_values, require_columns
-from waymark.operators.ordinal import hash32, with_ordinal
+from waymark.operators.ordinal import hash32, hash_digits, with_ordinal
 
 
 def test_require_columns_lists_missing_sorted(spark):
@@ -125,6 +125,36 @@ def test_small_groups_are_shuffled_once(spark, code):
     assert "_wm_idx" not in text
 
 
+@pytest.mark.parametrize("code", [None, "code_type"])
+def test_bags_are_drawn_before_they_are_rows(spark, code):
+    """The array of a group is not repeated per bag, the street signs come from
+    it, and no hash is in the plan twice."""
+    bags = B.bootstrap_bags(_signs(spark), ["ord"], code_col=code, bag_size=4, samples=6, seed=7)
+    plan = bags._jdf.queryExecution().optimizedPlan().toString()
+    per_bag = plan.split("Generate posexplode(")[0]
+    assert "Generate" not in per_bag and "_wm_signs" not in per_bag
+    assert "Window" not in plan
+    assert plan.count("md5(") == (3 if code else 2)  # positions of street and of drawn slots, indices
+
+
+@pytest.mark.parametrize("code", [None, "code_type"])
+def test_bags_of_a_group_may_fill_several_rows(spark, monkeypatch, code):
+    seen = []
+    for size in (8 << 20, 250, 1):
+        monkeypatch.setattr(B, "CHUNK_BYTES", size)
+        bags = B.bootstrap_bags(_signs(spark), ["ord"], code_col=code, bag_size=4, samples=7, seed=7)
+        seen.append(sorted(map(tuple, bags.collect())))
+    assert len(seen[0]) == 3 * 7
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_hash_digits_sort_as_their_number(spark):
+    df = spark.range(300).select(hash32("id", F.lit("s")).alias("n"), hash_digits("id", F.lit("s")).alias("d"))
+    rows = df.collect()
+    assert all(len(r.d) == 8 and int(r.d, 16) == r.n for r in rows)
+    assert sorted(rows, key=lambda r: r.d) == sorted(rows, key=lambda r: r.n)
+
+
 def test_collected_ordinals_are_the_numbers(spark):
     df = _signs(spark).withColumn("minus", -F.col("ord"))
     rows = with_ordinal(df, ["minus"], ["intersection"], name="o").collect()

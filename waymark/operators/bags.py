@@ -11,24 +11,27 @@ Contract (``seed`` default 1992, ``||`` = join with ``|``):
 
 Groups are told apart by size. The signs of a group of at most ``GROUP_ROWS``
 signs and ``GROUP_BYTES`` of text are put into one array at their numbers, and
-its bags are drawn from that array without a further shuffle. A larger group never meets in one task: its signs are numbered
-by the balanced ordinal operator, and draws join on ``(group, index)``, so its
-rows spread by index across tasks.
+its bags are drawn from that array without a further shuffle; the array serves
+all samples of a row of at most ``CHUNK_BYTES`` of bags. A larger group never
+meets in one task: its signs are numbered by the balanced ordinal operator, and
+draws join on ``(group, index)``, so its rows spread by index across tasks.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.operators.ordinal import hash32, with_ordinal
+from waymark.operators.ordinal import hash32, hash_digits, with_ordinal
 from waymark.sources.tables import stage_table
 
 STREET_SIGN = "street_sign"
 # Bounds of a group that is held in one row.
 GROUP_ROWS, GROUP_BYTES = 8192, 1 << 20
+# Bags drawn side by side in one row.
+CHUNK_BYTES = 8 << 20
 
 
 def intersection_profile(df: DataFrame, group_col: str = "intersection",
@@ -59,6 +62,12 @@ def street_signs_topk(df: DataFrame, k: int, order_by: list[str], group_col: str
               .select(group_col, (F.col("_wm_rn") - 1).cast("int").alias("slot"), text_col))
 
 
+def street_texts(signs: Column, k: int) -> Column:
+    """:func:`street_signs_topk` of a group whose signs (``t``, ``street``) are
+    one array in source order: its first ``k`` street texts."""
+    return F.slice(F.filter(signs, lambda sign: sign["street"])["t"], 1, k)
+
+
 def sample_ordinal(df: DataFrame, samples: int, group_col: str = "intersection",
                    seed: int | None = None) -> DataFrame:
     """Global sample number: groups in sorted order times ``samples`` plus
@@ -94,14 +103,15 @@ def bootstrap_bags(df: DataFrame, order_by: list[str], group_col: str = "interse
     signs = df.where(F.col(g).isNotNull())
     street_n = (F.sum(F.when(F.col(code_col) == STREET_SIGN, 1).otherwise(0)) if has_code
                 else F.lit(0)).cast("bigint").alias("street_n")
-    small = ((F.count(F.lit(1)) <= GROUP_ROWS)
-             & (F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0)) <= GROUP_BYTES))
+    size = F.octet_length(F.col(text_col).cast("string"))
+    small = (F.count(F.lit(1)) <= GROUP_ROWS) & (F.coalesce(F.sum(size), F.lit(0)) <= GROUP_BYTES)
     # One row per group, used several times: written once rather than
     # aggregated over all signs again.
     profile = stage_table(signs.groupBy(g)
                                .agg(F.avg(lat_col).alias("latitude"), F.avg(lon_col).alias("longitude"),
                                     F.count(F.lit(1)).alias("raw_sign_count"), street_n,
-                                    small.alias("_wm_small")), "bag-profile")
+                                    small.alias("_wm_small"),
+                                    F.coalesce(F.max(size), F.lit(0)).alias("_wm_longest")), "bag-profile")
     draw = _Draw(order_by, g, text_col, code_col if has_code else None, bag_size, samples, seed, separator)
     large = profile.where(~F.col("_wm_small"))
     if not large.take(1):
@@ -130,11 +140,17 @@ class _Draw:
         # the ``t`` field of the sorted array is a native extraction, no lambda.
         return F.array_join(F.sort_array(members)["t"], self.separator).alias("text")
 
-    def _position(self, slot):
-        return hash32(F.lit(self.seed), F.lit("s"), self.g, "sample_id", slot)
+    def _bag(self, sample_id, *salt):
+        # What the hashes of a bag's slots have in common.
+        return F.concat_ws("|", F.lit(self.seed).cast("string"), *map(F.lit, salt), F.col(self.g).cast("string"),
+                           sample_id.cast("string"))
 
-    def _index(self, slot):
-        return hash32(F.lit(self.seed), self.g, "sample_id", slot) % F.col("raw_sign_count")
+    def _position(self, slot, bag=None):
+        # Digits of one length order as their number does.
+        return hash_digits(self._bag(F.col("sample_id"), "s") if bag is None else bag, slot)
+
+    def _index(self, slot, bag=None):
+        return hash32(self._bag(F.col("sample_id")) if bag is None else bag, slot) % F.col("raw_sign_count")
 
     def _guaranteed(self, slot):
         return slot < F.least(F.col("street_n"), F.lit(self.bag_size))
@@ -148,21 +164,42 @@ class _Draw:
 
     def small(self, signs: DataFrame, profile: DataFrame) -> DataFrame:
         """Bags of groups whose signs fit one array: one shuffle of the signs
-        by group serves the numbering, the arrays and the draws."""
-        groups = with_ordinal(signs.select(self.g, self.text_col, *self.order_by), self.order_by, [self.g],
-                              name="_wm_signs", collect=self.text_col).join(profile, self.g)
-        pick = lambda slot: F.get("_wm_signs", self._index(slot).cast("int"))
-        if self.code_col is not None:
-            street = with_ordinal(self._street(signs), ["slot"], [self.g], name="_wm_street", collect=self.text_col)
-            groups = groups.join(street, self.g, "left")
-            drawn = pick
-            pick = lambda slot: F.when(self._guaranteed(slot), F.get("_wm_street", slot)).otherwise(drawn(slot))
-        members = F.transform(F.sequence(F.lit(0), F.lit(self.bag_size - 1)), lambda slot: F.struct(
-            self._position(slot).alias("_wm_pos"), slot.alias("slot"), pick(slot).alias("t")))
+        by group serves the numbering, the street signs, the arrays and the
+        draws. The bags of a row are drawn before they are rows of their own,
+        so the array is not repeated per bag."""
+        street = F.lit(False) if self.code_col is None else F.coalesce(F.col(self.code_col) == STREET_SIGN, F.lit(False))
+        sign = F.struct(F.col(self.text_col).alias("t"), street.alias("street"))
+        groups = with_ordinal(signs.select(self.g, *self.order_by, sign.alias("_wm_sign")), self.order_by, [self.g],
+                              name="_wm_numbered", collect="_wm_sign")
+        groups = groups.select(self.g, F.col("_wm_numbered")["t"].alias("_wm_signs"),
+                               street_texts(F.col("_wm_numbered"), self.bag_size).alias("_wm_street"))
         unique = F.size(F.array_distinct(F.array_compact("_wm_signs"))).cast("bigint")
-        return self._output(groups.withColumn("unique_sign_count", unique)
-                                  .withColumn("sample_id", F.explode(F.sequence(F.lit(0), F.lit(self.samples - 1))))
-                                  .withColumn("text", self._in_order(members)))
+        bag_bytes = self.bag_size * (F.col("_wm_longest") + len(self.separator.encode()) + 1)
+        chunk = F.greatest(F.lit(1), F.least(F.lit(self.samples), F.floor(CHUNK_BYTES / bag_bytes))).cast("int")
+        groups = (groups.withColumn("unique_sign_count", unique).join(profile, self.g)
+                        .withColumn("_wm_chunk", chunk)
+                        .withColumn("_wm_from", F.explode(F.sequence(F.lit(0), F.lit(self.samples - 1), F.col("_wm_chunk")))))
+
+        def draw(bag):
+            def member(slot, text):
+                return F.struct(self._position(slot, bag["position"]).alias("_wm_pos"), slot.alias("slot"), text.alias("t"))
+
+            def drawn(slot):
+                return member(slot, F.get("_wm_signs", self._index(slot, bag["index"]).cast("int")))
+            if self.code_col is None:
+                return self._in_order(F.transform(slots, drawn))
+            return self._in_order(F.concat(F.transform("_wm_street", lambda text, slot: member(slot, text)),
+                                           F.transform(F.slice(slots, F.size("_wm_street") + 1, self.bag_size), drawn)))
+
+        slots = F.sequence(F.lit(0), F.lit(self.bag_size - 1))
+        last = F.least(F.col("_wm_from") + F.col("_wm_chunk"), F.lit(self.samples)) - 1
+        bags = F.transform(F.sequence(F.col("_wm_from"), last), lambda i: F.struct(
+            self._bag(i, "s").alias("position"), self._bag(i).alias("index")))
+        # For the other explode the planner tests that there is a bag, which
+        # draws all of them twice.
+        return self._output(groups.withColumn("_wm_texts", F.transform(bags, draw))
+                                  .select("*", F.posexplode_outer("_wm_texts").alias("_wm_at", "text"))
+                                  .withColumn("sample_id", F.col("_wm_from") + F.col("_wm_at")))
 
     def large(self, signs: DataFrame, profile: DataFrame) -> DataFrame:
         """Bags of groups that are never brought together: draws are rows

@@ -61,7 +61,12 @@ def with_ordinal(df: DataFrame, order_by: list, partition_by: list | tuple = (),
     partition_by = list(partition_by)
     if collect:
         row = F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(order_by)], F.col(collect).alias("value"))
-        return (df.na.drop(subset=partition_by).groupBy(*partition_by)
+        # The rows go to their partition first: its rows are spread over all
+        # tasks, where a partial list per task would hold but a few of them. The
+        # number of tasks is not left to the bytes moved, since the work on a
+        # partition may be far more than that of reading it.
+        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return (df.na.drop(subset=partition_by).repartition(n, *partition_by).groupBy(*partition_by)
                   .agg(F.sort_array(F.collect_list(row))["value"].alias(name)))
     keys = partition_by + list(order_by)
     n = _num_partitions(df, num_partitions)
@@ -90,6 +95,11 @@ def hash32(*parts) -> F.Column:
     ``('0x' || substr(md5(...), 1, 8))::BIGINT`` in DuckDB, so draws, ranks
     and splits built on it can be checked against plain SQL.
     """
-    cols = [F.col(p) if isinstance(p, str) else p for p in parts]
-    key = F.concat_ws("|", *[c.cast("string") for c in cols])
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    return F.conv(hash_digits(*parts), 16, 10).cast("bigint")
+
+
+def hash_digits(*parts) -> F.Column:
+    """The hex digits of :func:`hash32`, which sort as it does."""
+    cols = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    key = F.concat_ws("|", *cols)
+    return F.substring(F.md5(key), 1, 8)
