@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from waymark.functions.text import MISSING_TOKENS, clean_text, join_key, nullify_tokens, split_words
+from waymark.functions.text import MISSING_TOKENS, clean_key, clean_text, join_key, nullify_tokens, split_words
 
 NBSP = " "
 # FIXTURES.md golden vectors: raw -> clean (extra '-'), key(clean), key(raw).
@@ -96,3 +96,25 @@ def test_short_ways_equal_the_regular_expressions(spark):
         assert df.where(~got.eqNullSafe(want)).collect() == []
     plan = df.select(short)._jdf.queryExecution().optimizedPlan().toString()
     assert "translate(" in plan and "octet_length" in plan
+
+
+def test_texts_with_nothing_to_clean_are_kept_and_keyed(spark):
+    """A text that the whole cleaning would not change skips it, whatever the
+    flags; the key of a cleaned text needs no test of it."""
+    import itertools
+    import random
+    import string
+    from waymark.functions.text import _clean_ascii
+    draw = random.Random(5)
+    texts = ["", " ", "-", "a", "a-b", "a - b", "a -b", "a--b c", "a b ", " a", "a  b", "A b", "5_a", "a.b", "x\n", "a b\n"]
+    texts += ["".join(draw.choice("ab5_- .A") for _ in range(draw.randrange(9))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in [None, *texts]], "t string")
+    for numbers, underscore, extra in itertools.product((True, False), (True, False), ("", "-", ".-", ".")):
+        chars = string.ascii_lowercase + (string.digits if numbers else "") + ("_" if underscore else "") + extra
+        want = F.trim(_clean_ascii(F.lower("t"), chars))
+        got = clean_text("t", keep_numbers=numbers, keep_underscore=underscore, extra_chars=extra)
+        assert df.where(~got.eqNullSafe(want)).collect() == [], (numbers, underscore, extra)
+    plan = df.select(got)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN RLIKE(" in plan  # the whole text is tested once, first
+    clean = clean_text("t", extra_chars="-")
+    assert df.where(~clean_key(clean).eqNullSafe(join_key(clean))).collect() == []

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import with_dms
-from waymark.functions.text import clean_text, join_key
+from waymark.functions.text import clean_key, clean_text, join_key
 
 
 def first_per_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
@@ -56,7 +56,7 @@ def clean_signs(df: DataFrame, intersection_col: str = "intersection",
     out = (df.withColumnRenamed(text_col, "text_on_sign")
              .withColumns({"text_on_sign": clean_text("text_on_sign", extra_chars="-"),
                            intersection_col: clean_text(intersection_col, extra_chars="-")}))
-    return out if key_from == "raw" else out.withColumn("intersection_key", join_key(intersection_col))
+    return out if key_from == "raw" else out.withColumn("intersection_key", clean_key(intersection_col))
 
 
 def attach_coordinates(signs: DataFrame, lookup: DataFrame, mode: str = "strict",
