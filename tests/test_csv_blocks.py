@@ -153,3 +153,43 @@ def test_lines_that_need_no_parser(spark, tmp_path):
     for size in (100_000, 10 ** 7):
         with blocks_of(spark, size):
             assert read(spark, tmp_path / "f.csv", ["text", "n"]) == dicts(text, ["text", "n"])
+
+
+def test_plain_lines_of_uncut_files_skip_the_parser(monkeypatch):
+    """Lines without quotes go by columns, also in files that are never cut;
+    the rows are those of the csv module."""
+    import csv
+    import io
+    import random
+    import pyarrow as pa
+    from waymark.sources import csvblocks as C
+    draw, parsed = random.Random(9), []
+
+    class Lines:
+        def mapInArrow(self, run, _schema):
+            return run
+
+    def text(k):
+        rows = [["n", "", "a,b" if k == 0 else "t", 'x"y']] if k < 2 else []
+        rows += [[str(i), "plain", "", "u"] if draw.random() < 0.8 else [str(i), 'q"\n,', "two\nlines", "\r"] for i in range(40)]
+        out = io.StringIO()
+        csv.writer(out, lineterminator="\n").writerows([["", " "]] * (k == 1) + [["a", "b", "c", "d"], *rows])
+        return ("\ufeff" if k == 0 else "") + out.getvalue()
+
+    files = {f"f{k}": text(k) for k in range(4)}
+    rows = [(p, 0, i, line) for p, t in files.items() for i, line in enumerate(t.removesuffix("\n").split("\n"))]
+    parse = C._parse
+    monkeypatch.setattr(C, "_parse", lambda lines: parse(parsed.extend(lines) or list(lines)))
+    run = C._whole_files(Lines(), ["d", "a"], ["a"])
+    for step in (1, 7, 1000):
+        parsed.clear()
+        batches = [pa.record_batch([pa.array(c) for c in zip(*rows[i:i + step])], ["path", "block", "pos", "value"])
+                   for i in range(0, len(rows), step)]
+        got = sorted((r["path"], r["pos"], r["c0"], r["c1"]) for b in run(iter(batches)) for r in b.to_pylist())
+        want = []
+        for path, t in files.items():
+            whole = [r for r in csv.reader(io.StringIO(t.removeprefix("\ufeff"), newline="")) if len(r) > 1 or (r and r[0].strip())]
+            names = whole[0]
+            want += [(path, r[3].replace("\r", "\n"), r[0]) for r in whole[1:]] if "a" in names else []
+        assert [(p, d, a) for p, _, d, a in got] == want
+        assert len(parsed) < len(rows) * 0.75

@@ -128,17 +128,6 @@ def _lines(spark: SparkSession, paths, files: Column | None = None) -> DataFrame
         F.monotonically_increasing_id().alias("pos"), "value")
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[int], list[str]]]:
-    """``(path, block, positions, lines)`` in pieces, in order."""
-    for batch in batches:
-        paths, blocks, places, values = (batch.column(c).to_pylist() for c in ("path", "block", "pos", "value"))
-        begin = 0
-        for k in range(1, len(values) + 1):
-            if k == len(values) or blocks[k] != blocks[begin] or paths[k] != paths[begin]:
-                yield paths[begin], blocks[begin], places[begin:k], values[begin:k]
-                begin = k
-
-
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, str, int, pa.Array, pa.Array]]:
     """``(row in the batch, path, block, positions, lines)`` in pieces, in
     order, as Arrow arrays."""
@@ -272,15 +261,19 @@ def _emit(rows: list[tuple], wanted: int, fragments: bool) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds)], names)
 
 
-def _emit_plain(at: tuple[str, int], places: pa.Array, values: pa.Array, columns: _Columns) -> pa.RecordBatch:
+def _emit_plain(at: tuple[str, int], places: pa.Array, values: pa.Array, columns: _Columns,
+                fragments: bool) -> pa.RecordBatch:
     """The rows of plain lines (see ``_plain_lines``), all columns at once."""
     n, width = len(values), columns.width
     fields = pc.split_pattern(values, ",").flatten()
     picked = [pa.nulls(n, pa.string()) if p is None else
               fields.take(pa.array(np.arange(p, n * width, width))).cast(pa.string()) for p in columns.places]
-    arrays = [pa.repeat(pa.scalar(at[0], pa.string()), n), pa.repeat(pa.scalar(at[1], pa.int64()), n), places, *picked,
-              pa.nulls(n, pa.string()), pa.nulls(n, pa.bool_())]
-    return pa.record_batch(arrays, ["path", "block", "pos", *[f"c{k}" for k in range(len(picked))], "fragment", "opens"])
+    arrays = [pa.repeat(pa.scalar(at[0], pa.string()), n), pa.repeat(pa.scalar(at[1], pa.int64()), n), places, *picked]
+    names = ["path", "block", "pos", *[f"c{k}" for k in range(len(picked))]]
+    if fragments:
+        arrays += [pa.nulls(n, pa.string()), pa.nulls(n, pa.bool_())]
+        names += ["fragment", "opens"]
+    return pa.record_batch(arrays, names)
 
 
 def _kinds(wanted: list[str], more: str = "") -> str:
@@ -305,12 +298,32 @@ def _whole_files(lines: DataFrame, wanted: list[str], required: list[str]) -> Da
             if out:
                 yield _emit(out, len(wanted), False)
 
-        for name, _, numbers, values in _blocks(batches):
-            if name != path:
+        for _, name, _, numbers, values in (piece for batch in batches for piece in _pieces(batch)):
+            begins = name != path
+            if begins:
                 yield from rows()
                 path, columns, inside = name, None, False
-                values[0] = _unmarked(values[0])
-            for number, line in zip(numbers, values, strict=True):
+            looked = 0
+            while columns is None and looked < len(values):
+                line = values[looked].as_py()
+                line = _unmarked(line) if begins and not looked else line
+                held.append(line)
+                places.append(numbers[looked].as_py())
+                inside = ends_inside(line, inside)
+                looked += 1
+                if not inside:
+                    yield from rows()
+            numbers, values = numbers[looked:], values[looked:]
+            if not len(values):
+                continue
+            # Whole rows stand between the lines that are left (see _cut_files).
+            plain, _ = _plain_lines(values, columns.width, inside)
+            if plain.any():
+                mask = pa.array(plain)
+                if columns.usable:
+                    yield _emit_plain((path, 0), numbers.filter(mask), values.filter(mask), columns, False)
+                numbers, values = numbers.filter(pa.array(~plain)), values.filter(pa.array(~plain))
+            for number, line in zip(numbers.to_pylist(), values.to_pylist(), strict=True):
                 held.append(line)
                 places.append(number)
                 inside = ends_inside(line, inside)
@@ -381,7 +394,7 @@ def _cut_files(lines: DataFrame, wanted: list[str], required: list[str]) -> Data
                     if plain.any():
                         mask = pa.array(plain)
                         if columns.usable:
-                            yield _emit_plain(at, numbers.filter(mask), values.filter(mask), columns)
+                            yield _emit_plain(at, numbers.filter(mask), values.filter(mask), columns, True)
                         numbers, values = numbers.filter(pa.array(~plain)), values.filter(pa.array(~plain))
                 numbers, values = numbers.to_pylist(), values.to_pylist()
                 if first and block == 0:
