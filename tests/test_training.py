@@ -168,3 +168,38 @@ def test_the_plan_of_the_rounds_does_not_grow_with_them(spark):
     from waymark.plans.q_model import q_training_rounds
     plan = q_training_rounds(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan
+
+
+def _dealt(spark, n=200):
+    rows = H.prepare_training(_rows(spark, n), "embedding", "latitude", "longitude",
+                              {"lat_mean": 39.3, "lat_std": 0.2, "lon_mean": -104.8, "lon_std": 0.2}, "vec_id", 1)
+    zero = {k: np.zeros_like(v) for k, v in fixed_params(6).items()}
+    return H.deal_rounds(rows, batch_size=4, replicas=3, sync_steps=1), {"params": fixed_params(6), "m": zero, "v": zero, "t": 0}
+
+
+def test_an_epoch_is_one_job_however_many_rounds(spark):
+    deal, start = _dealt(spark)
+    assert deal.rounds > 2 * H.CHAINED
+    args = (deal, "embedding", start, 1, 4, 1e-2, 1e-3, 0.1, 5)
+    spark.sparkContext.setJobGroup("one-epoch", "")
+    try:
+        got = H.run_epoch(*args)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # The exchange of the rows by replica and the epoch itself.
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("one-epoch")) <= 3
+    want = H.epoch_in_chains(*args)
+    assert got[1] == want[1] == 200 and got[0]["t"] == want[0]["t"] and got[2] == pytest.approx(want[2])
+    for part in ("params", "m", "v"):
+        assert all(np.allclose(got[0][part][k], want[0][part][k], rtol=1e-9, atol=1e-15) for k in H.PARAM_NAMES)
+
+
+def test_an_epoch_does_not_depend_on_its_tasks_nor_on_the_way_of_exchange(spark):
+    deal, start = _dealt(spark, 40)
+    args = (deal, "embedding", start, 1, 4, 1e-2, 1e-3, 0.1, 5)
+    logs = [H.epoch_in_one_job(*args, tasks, folder) for tasks, folder in
+            ((3, H._seen_by_python(scratch_path(spark, "t-exchange"))), (1, H._seen_by_python(scratch_path(spark, "t-exchange"))), (2, None))]
+    for state, rows, loss in logs:
+        assert rows == 40 and loss == logs[0][2]
+        assert all(np.array_equal(state["params"][k], logs[0][0]["params"][k]) for k in H.PARAM_NAMES)
+    assert H._seen_by_python("file:///a/b%20c") == "/a/b c" and H._seen_by_python("viewfs://store/a") is None
