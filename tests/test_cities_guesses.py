@@ -3,11 +3,13 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import geodesic_km
 from waymark.functions.geodesic_arrays import with_geodesic_arrays
+from waymark.functions.md5_arrays import PairHash
 from waymark.operators import cities as C
 from waymark.operators import score as SC
 
@@ -217,3 +219,48 @@ def test_distances_of_arrays_equal_the_expression(spark):
     df = spark.createDataFrame(rows, "a double, b double, c double, d double").withColumn("e", geodesic_km("a", "b", "c", "d"))
     for r in with_geodesic_arrays(df, "g", "a", "b", "c", "d", ["a", "e"]).collect():
         assert (r.e is None and r.g is None) or r.g == pytest.approx(r.e, abs=1e-6), r
+
+
+def test_hashes_of_arrays_equal_md5():
+    rng = random.Random(1)
+    texts = [None] + ["".join(rng.choice("abcé|") for _ in range(size)) for size in (0, 1, 5, 20, 50, 54, 55, 56, 60, 64, 119, 120, 199, 205, 400)]
+    i, j = np.triu_indices(len(texts), 1)
+    want = [int(hashlib.md5("|".join(["7", *(t for t in (texts[a], texts[b]) if t is not None)]).encode()).hexdigest()[:8], 16)
+            for a, b in zip(i, j, strict=True)]
+    assert PairHash(7, texts)(i, j).tolist() == want
+
+
+def test_gaps_of_any_size_are_packed_and_found_again():
+    lists = [[0, 1, 65534, 65535], [65535, 200_000, 400_001], [3], [131_070, 131_071]]
+    first = np.cumsum([0, *(len(x) for x in lists)])[:-1]
+    gaps, begin = C.pack_gaps(np.concatenate(lists), first)
+    positions, each = C.unpack_gaps(gaps, np.diff(np.append(begin, len(gaps))))
+    assert positions.tolist() == sum(lists, []) and each.tolist() == [len(x) for x in lists]
+
+
+def test_the_shuffle_moves_two_bytes_a_pair(spark, monkeypatch):
+    # Many blocks and buckets, names of unequal length and a null one.
+    monkeypatch.setattr(C, "BUCKET_PAIRS", 400)
+    monkeypatch.setattr(C, "SORTED_PAIRS", 3000)
+    monkeypatch.setattr(C, "BLOCK_NAMES", 50)
+    names = [None] + sorted("n" * (1 + k % 3) + str(k) for k in range(160))
+    points = spark.createDataFrame([(t, 0.0, 0.0) for t in names], "name string, latitude double, longitude double")
+    out = C.shuffle_pairs(points, 7)
+    got = [(r.city_from, r.city_to) for r in out.orderBy("shuffle_pos").collect()]
+    digest = lambda a, b: int(hashlib.md5("|".join(["7", *([a] if a else []), b]).encode()).hexdigest()[:8], 16)
+    want = sorted((digest(a, b), k, m, a, b) for k, a in enumerate(names) for m, b in enumerate(names[k + 1:], k + 1))
+    assert got == [w[3:] for w in want]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(bucket" in line]
+    assert moved and "MapInArrow" in plan and "gaps" in plan
+
+
+def test_pairs_are_made_from_joined_blocks_not_from_joined_names(spark):
+    plan = C.city_pairs(_names(spark, 300), carry=["latitude"])._jdf.queryExecution().executedPlan().toString()
+    join = plan.index("SortMergeJoin")
+    # Above the join both arrays of a pair of blocks are taken apart.
+    assert plan[:join].count("Generate explode(_wm_") == 2
+    got = C.city_pairs(_names(spark, 300), block_size=37, carry=["latitude"]).collect()
+    assert len(got) == len({(r.i, r.j) for r in got}) == 300 * 299 // 2
+    assert all(r.i < r.j and r.city_from < r.city_to and (r.latitude_from, r.latitude_to) == (float(r.city_from[1:]), float(r.city_to[1:]))
+               for r in got)
