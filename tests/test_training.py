@@ -9,6 +9,7 @@ from conftest import SF001
 from waymark.operators import baseline as L
 from waymark.operators import head as H
 from waymark.operators import metrics as M
+from waymark.plans import q_model
 from waymark.plans.q_model import bag_errors, baseline_errors, fixed_params, place_bags
 from waymark.session import scratch_path
 
@@ -203,3 +204,16 @@ def test_an_epoch_does_not_depend_on_its_tasks_nor_on_the_way_of_exchange(spark)
         assert rows == 40 and loss == logs[0][2]
         assert all(np.array_equal(state["params"][k], logs[0][0]["params"][k]) for k in H.PARAM_NAMES)
     assert H._seen_by_python("file:///a/b%20c") == "/a/b c" and H._seen_by_python("viewfs://store/a") is None
+
+
+def test_the_texts_of_the_baselines_are_embedded_once(spark, monkeypatch):
+    seen = []
+
+    def split(df, **_):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        raise InterruptedError
+
+    monkeypatch.setattr(q_model.S, "split", split)
+    with pytest.raises(InterruptedError):
+        baseline_errors(place_bags(spark, SF001), "bag_id", 8)
+    assert "MapInArrow" not in seen[0] and "Scan parquet" in seen[0]
